@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, sharding, token_counts, url_filter
+from . import byte_bpe, decontamination, sharding, token_counts, url_filter
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -28,6 +28,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     assigned, _ = sharding.assign(docs, SHARDS, ["doc_id", "text_crc32"])
@@ -49,10 +57,30 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op6_sharding, op7_url_filter, op8_token_counts)
+    found = (op1_byte_bpe, op2_decontamination, op6_sharding, op7_url_filter, op8_token_counts)
     return {f.__name__: f for f in found}
 
 
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(words[i : i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i FROM w, sizes WHERE len(words) >= n)),
+found AS (SELECT g.doc_id, g.i, g.n, v.item_id FROM grams g JOIN windows v ON g.n = v.n AND g.phrase = v.phrase),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT w.doc_id, len(w.words) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+       sha256(coalesce(m.ids, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN hits h ON w.doc_id = h.doc_id LEFT JOIN named m ON w.doc_id = m.doc_id
+"""
+
 OP7_SQL = """
 WITH rules(host, path, verdict) AS (VALUES
   ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -73,4 +101,4 @@ FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_url_filter": OP7_SQL}
