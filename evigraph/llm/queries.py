@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, sharding, token_counts, url_filter
+from . import byte_bpe, decontamination, jaccard_join, sharding, token_counts, url_filter
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -36,6 +36,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"), shingle=3, similarity=(9, 10))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     assigned, _ = sharding.assign(docs, SHARDS, ["doc_id", "text_crc32"])
@@ -57,7 +61,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op6_sharding, op7_url_filter, op8_token_counts)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op6_sharding, op7_url_filter, op8_token_counts)
     return {f.__name__: f for f in found}
 
 
