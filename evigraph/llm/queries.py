@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, jaccard_join, sharding, token_counts, url_filter
+from . import byte_bpe, decontamination, exact_topk, jaccard_join, sharding, token_counts, toxicity, url_filter
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,14 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), shingle=3, similarity=(9, 10))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    model = toxicity.fit(docs, labels, "toxic")
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     assigned, _ = sharding.assign(docs, SHARDS, ["doc_id", "text_crc32"])
@@ -60,8 +68,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op6_sharding, op7_url_filter, op8_token_counts)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk)
     return {f.__name__: f for f in found}
 
 
@@ -104,5 +116,17 @@ FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
 """
 
 
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(generate_series(1, len(q.e)), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_url_filter": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_url_filter": OP7_SQL, "op9_exact_topk": OP9_SQL}
