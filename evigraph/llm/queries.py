@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, exact_topk, jaccard_join, sharding, token_counts, toxicity, url_filter
+from . import byte_bpe, decontamination, exact_topk, jaccard_join, pii, sharding, token_counts, toxicity, url_filter
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -72,8 +72,12 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).drop("base")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii)
     return {f.__name__: f for f in found}
 
 
