@@ -74,6 +74,15 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a side that is broadcast at most; a larger side is joined by shuffle.
+BROADCAST_ROWS = 300_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """Broadcast a side of ids that is counted to be small; leave a larger one to a shuffle join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -259,18 +259,18 @@ def _blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) ->
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", keep_text: bool = False) -> DataFrame:
-    """``id_col``, n_words, n_hit, item_ids (sorted as strings) and spans (bytes, end exclusive) for every row.
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """``id_col``, the columns of ``keep``, n_words, n_hit, item_ids (sorted as strings) and spans (bytes, end exclusive) for every row.
 
     With ``keep_text`` also ``cleaned``: the text without the spans.
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = _blocks(benchmark, window, item_col, "text" if "text" in benchmark.columns else text_col)
+    shared = _blocks(benchmark, window, item_col, item_text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for first, shard in shards(texts):
                 hits = scan(shard, [b.value for b in shared])
                 offsets = np.cumsum([0, *(len(t) + 1 for t in shard)])
@@ -278,20 +278,22 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
                 n_hit[hits.n_words == 0] = 0
                 spans = [spans_of(hits, k, offsets[k]) if n_hit[k] else [] for k in range(len(shard))]
                 columns = [
-                    batch.column(0).slice(first, len(shard)),
+                    *(c.slice(first, len(shard)) for c in batch.columns[1:]),
                     pa.array(hits.n_words, pa.int64()),
                     pa.array(n_hit, pa.int64()),
                     pa.array([sorted(map(str, x)) for x in hits.items], pa.list_(pa.string())),
                     pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 ]
-                names = [id_col, "n_words", "n_hit", "item_ids", "spans"]
+                names = [*batch.schema.names[1:], "n_words", "n_hit", "item_ids", "spans"]
                 if keep_text:
                     columns.append(pa.array([_without(t, s) if s else t.decode() for t, s in zip(shard, spans, strict=True)], pa.string()))
                     names.append("cleaned")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     made = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start: int, end: int>>" + ", cleaned string" * keep_text
-    return docs.select(id_col, text_or_empty(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, {made}")
+    kinds = dict(docs.dtypes)
+    columns = list(dict.fromkeys([id_col, *keep]))
+    return docs.select(text_or_empty(text_col).alias("_text"), *columns).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", " + made)
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> str:

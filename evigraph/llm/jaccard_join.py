@@ -36,12 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import persist_table, ship, text_or_empty
+from .common import few, persist_table, ship, text_or_empty
 from .components import components
 from .words import SOLID, borders, hashes, lowered, mix
 
-#: Rows of a side that is broadcast at most; a larger side is joined by shuffle.
-BROADCAST_ROWS = 300_000
 #: Members of a bucket in one block of the blockwise comparison.
 BLOCK = 512
 #: Bits of a segment of the sketch, and of the whole-set sketch for each shingle.
@@ -278,11 +276,6 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
     return sorted_.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast a side that is counted to be small; leave a larger one to a shuffle join."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_shingles and component_id (the smallest id reachable by links) for every row.
 
@@ -298,7 +291,7 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     # copies go: the smallest id of a class stays
     named = made.filter("n > 0 AND id IS NOT NULL").select("id", "n", "s1", "s2")
     spare = persist_table(named.join(classes.filter("copies > 1"), ["n", "s1", "s2"]).filter("id <> rep").select("id", "n", "s1", "s2").distinct(), "spare")
-    kept = made.filter("n > 0 AND id IS NOT NULL").join(_few(spare), ["id", "n", "s1", "s2"], "left_anti")
+    kept = made.filter("n > 0 AND id IS NOT NULL").join(few(spare), ["id", "n", "s1", "s2"], "left_anti")
     reps = persist_table(kept.select("id", "n", "sketch").distinct(), "reps")
     by_key = Window.partitionBy("key")
     keyed = kept.select("id", F.explode("keys").alias("key"))
@@ -308,7 +301,7 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     def texts_of(pairs: DataFrame) -> DataFrame:
         wanted = persist_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
         own = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-        return persist_table(own.join(_few(wanted), "id", "left_semi"), "texts")
+        return persist_table(own.join(few(wanted), "id", "left_semi"), "texts")
 
     # first each document against the nearest of its buckets' minima
     near = _near(buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), reps, num, den)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, exact_topk, jaccard_join, pii, sharding, token_counts, toxicity, url_filter
+from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, pii, sharding, token_counts, toxicity, url_filter
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -48,6 +48,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     assigned, _ = sharding.assign(docs, SHARDS, ["doc_id", "text_crc32"])
@@ -77,7 +82,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii)
     return {f.__name__: f for f in found}
 
 
