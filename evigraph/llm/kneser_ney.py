@@ -5,7 +5,9 @@ packs into a long: its context is a shift, its suffix a mask. Text is cut into c
 bounded size; each gives its distinct grams with their counts in trusted text. Counts,
 continuation counts, discounts and probabilities are joins and sums of gram tables, sharded
 by gram; what is gathered (the grams of every chunk) grows with the corpus and nothing is
-cut off. Each chunk gets back the probabilities of its own grams and scores its documents.
+cut off. The table of probabilities, where counted to have at most ``BROADCAST_GRAMS`` rows,
+is broadcast and documents are scored in place; a larger one is joined with the grams of each
+chunk, and each chunk of packed documents gets back those that it needs.
 A document is kept when its perplexity is not over its language's threshold, which is a
 quantile of the perplexities of trusted documents of that language.
 
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +32,8 @@ from .common import few, persist_table, ship, text_or_empty
 ORDER = 4
 #: Code units of a chunk.
 CHUNK = 12_000_000
+#: Rows of the probability table that are broadcast at most (16 bytes each).
+BROADCAST_GRAMS = 2_000_000
 #: A unit that no gram was seen of shares the least probability with all others.
 UNITS = 1 << 16
 #: Perplexities are compared on a logarithmic scale with this many steps to a factor of e.
@@ -78,8 +83,8 @@ def _pack(rows: list[tuple]) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _chunks(rows: DataFrame) -> DataFrame:
-    """chunk, packed documents, and for each language distinct grams and trusted counts."""
+def _chunks(rows: DataFrame, pack: bool) -> DataFrame:
+    """chunk, packed documents if asked for, and for each language distinct grams and trusted counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -90,7 +95,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
         def close():
             for t in tallies.values():
                 t.close()
-            columns = [[(part << 32) + k] * (1 + len(tallies)), [_pack(held), *[None] * len(tallies)], [None, *tallies], [None, *(t.keys for t in tallies.values())], [None, *(t.counts for t in tallies.values())]]
+            columns = [[(part << 32) + k] * (1 + len(tallies)), [_pack(held) if pack else None, *[None] * len(tallies)], [None, *tallies], [None, *(t.keys for t in tallies.values())], [None, *(t.counts for t in tallies.values())]]
             kinds = [pa.int64(), pa.binary(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["chunk", "packed", "lang", "grams", "counts"])
 
@@ -99,13 +104,14 @@ def _chunks(rows: DataFrame) -> DataFrame:
                 for row, lang, trusted, text in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns), strict=True):
                     own = grams(text)
                     tallies.setdefault(lang, _Tally()).add(own, trusted)
-                    held.append((row, lang, text))
+                    if pack:
+                        held.append((row, lang, text))
                     size += len(own)
                     if size >= CHUNK:
                         yield close()
                         k += 1
                         held, size, tallies = [], 0, {}
-        if held:
+        if tallies:
             yield close()
 
     return rows.select("row", "lang", "trusted", "text").mapInArrow(run, "chunk bigint, packed binary, lang string, grams array<bigint>, counts array<bigint>")
@@ -140,52 +146,88 @@ def probabilities(counts: DataFrame) -> DataFrame:
     return lower
 
 
-def _score(key: tuple, packed: pa.Table, known: pa.Table) -> pa.Table:
-    tables = {}
-    langs = known.column("lang").to_numpy(zero_copy_only=False)
-    keys, logs = known.column("key").to_numpy(), np.log(known.column("p").to_numpy())
-    for lang in set(langs.tolist()):
-        own = np.flatnonzero(langs == lang)
-        order = own[np.argsort(keys[own])]
-        tables[lang] = keys[order], logs[order]
-    out: tuple[list, list, list] = ([], [], [])
+def _perplexities(rows: list[tuple[str, str]], tables: dict) -> tuple[list[int], list[float | None]]:
+    """Units and perplexity of each (language, text); tables: for each language sorted grams and their logs."""
+    sizes, out = [], []
+    for lang, text in rows:
+        own = grams(text)
+        sizes.append(len(own))
+        if len(own):
+            at, log = tables[lang]
+            keys, n = np.unique(own, return_counts=True) if len(own) > 2000 else (own, 1)
+            out.append(float(np.exp(min(700.0, -float((log[np.searchsorted(at, keys)] * n).sum()) / len(own)))))
+        else:
+            out.append(None)
+    return sizes, out
+
+
+def _tables(known: pa.Table) -> dict:
+    """For each language its sorted grams and the logarithms of their probabilities."""
+    out = {}
+    for lang in pc.unique(known.column("lang")).to_pylist():
+        own = known.filter(pc.equal(known.column("lang"), lang))
+        keys, logs = own.column("key").to_numpy(), np.log(own.column("p").to_numpy())
+        order = np.argsort(keys)
+        out[lang] = keys[order], logs[order]
+    return out
+
+
+def _score_chunk(key: tuple, packed: pa.Table, known: pa.Table) -> pa.Table:
+    tables = _tables(known)
+    ids, sizes, out = [], [], []
     for blob in packed.column("packed").to_pylist():
         for batch in pa.ipc.open_stream(blob):
-            for row, lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = grams(text)
-                if len(own):
-                    at, log = tables[lang]
-                    few_keys, n = np.unique(own, return_counts=True)
-                    total = float((log[np.searchsorted(at, few_keys)] * n).sum())
-                out[0].append(row)
-                out[1].append(len(own))
-                out[2].append(float(np.exp(min(700.0, -total / len(own)))) if len(own) else None)
-    return pa.table({"row": pa.array(out[0], pa.string()), "n_units": pa.array(out[1], pa.int64()), "perplexity": pa.array(out[2], pa.float64())})
-
-
-def judge(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``id_col``, ``lang_col``, n_units, perplexity, threshold and keep for every row. ``trusted`` has the ids of trusted text."""
+            row, lang, text = (c.to_pylist() for c in batch.columns)
+            n, found = _perplexities(list(zip(lang, text, strict=True)), tables)
+            ids, sizes, out = ids + row, sizes + n, out + found
+    return pa.table({"row": pa.array(ids, pa.string()), "n_units": pa.array(sizes, pa.int64()), "perplexity": pa.array(out, pa.float64())})
+
+
+def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
+    """``id_col``, ``lang_col``, n_units and perplexity for every row under the model of the trusted rows."""
     spark = docs.sparkSession
     ship(spark)
-    kind = dict(docs.dtypes)[id_col]
-    marks = trusted.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").distinct().withColumn("_t", F.lit(True))
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(lang_col).isNull().alias("_null"), text_or_empty(text_col).alias("text")).join(few(marks), "_id", "left")
-    named = F.to_json(F.struct(F.col("_id").cast("string").alias("i"), "lang", "_null", F.coalesce("_t", F.lit(False)).alias("t")))
-    rows = rows.select(named.alias("row"), "lang", F.coalesce("_t", F.lit(False)).alias("trusted"), "text")
-    chunks = persist_table(_chunks(rows), "chunks")
-    own = chunks.filter("packed IS NULL").select("chunk", "lang", F.explode(F.arrays_zip("grams", "counts")).alias("g")).select("chunk", "lang", F.col("g.grams").alias("key"), F.col("g.counts").alias("c"))
-    counts = persist_table(own.groupBy("lang", "key").agg(F.sum("c").alias("c")), "grams")
+    kinds = dict(docs.dtypes)
+    marks = trusted.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").distinct().withColumn("trusted", F.lit(True))
+    named = F.to_json(F.struct(F.col(id_col).cast("string").alias("i"), F.col(lang_col).alias("l")))
+    rows = docs.select(F.col(id_col).alias("_id"), named.alias("row"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text_or_empty(text_col).alias("text"))
+    marked = rows.join(few(marks), "_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+
+    def grams_of(chunks: DataFrame) -> DataFrame:
+        own = chunks.filter("grams IS NOT NULL").select("chunk", "lang", F.explode(F.arrays_zip("grams", "counts")).alias("g"))
+        return own.select("chunk", "lang", F.col("g.grams").alias("key"), F.col("g.counts").alias("c"))
+
+    counts = persist_table(grams_of(_chunks(marked, False)).groupBy("lang", "key").agg(F.sum("c").alias("c")), "grams")
     p = probabilities(counts)
-    told = own.select(F.col("chunk").alias("part"), "lang", "key").join(p, ["lang", "key"])
-    scored = chunks.filter("packed IS NOT NULL").select("chunk", "packed").groupBy("chunk").cogroup(told.groupBy("part")).applyInArrow(_score, "row string, n_units bigint, perplexity double")
-    parsed = F.from_json("row", "i string, lang string, _null boolean, t boolean")
-    scored = persist_table(scored.withColumn("r", parsed).select(F.col("r.i").cast(kind).alias(id_col), F.when(~F.col("r._null"), F.col("r.lang")).alias(lang_col), F.col("r.t").alias("trusted"), "n_units", "perplexity"), "scored")
+    if p.count() <= broadcast_grams:
+        shared = spark.sparkContext.broadcast(_tables(p.toArrow()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    part = batch.slice(at, 1000)
+                    n, found = _perplexities(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)), shared.value)
+                    yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(n, pa.int64()), pa.array(found, pa.float64())], [*part.schema.names[2:], "n_units", "perplexity"])
+
+        source = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("_lang"), text_or_empty(text_col).alias("_text"), id_col, lang_col)
+        return source.mapInArrow(run, f"`{id_col}` {kinds[id_col]}, `{lang_col}` {kinds[lang_col]}, n_units bigint, perplexity double")
+    chunks = persist_table(_chunks(rows.withColumn("trusted", F.lit(False)), True), "chunks")
+    told = grams_of(chunks).select(F.col("chunk").alias("part"), "lang", "key").join(p, ["lang", "key"])
+    scored = chunks.filter("packed IS NOT NULL").select("chunk", "packed").groupBy("chunk").cogroup(told.groupBy("part")).applyInArrow(_score_chunk, "row string, n_units bigint, perplexity double")
+    parsed = F.from_json("row", f"i string, l {kinds[lang_col]}")
+    return scored.withColumn("r", parsed).select(F.col("r.i").cast(kinds[id_col]).alias(id_col), F.col("r.l").alias(lang_col), "n_units", "perplexity")
+
+
+def judge(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
+    """``id_col``, ``lang_col``, n_units, perplexity, threshold and keep for every row. ``trusted`` has the ids of trusted text."""
+    scored = persist_table(score(docs, trusted, id_col, text_col, lang_col, broadcast_grams), "scored")
+    known = scored.join(trusted.select(id_col).distinct(), id_col, "left_semi").filter("perplexity IS NOT NULL")
     # the quantile from a histogram: one row a language and step
     step = F.ceil(F.log("perplexity") * STEPS).cast("bigint")
-    bars = scored.filter("trusted AND perplexity IS NOT NULL").groupBy(F.coalesce(lang_col, F.lit("")).alias("_l"), step.alias("step")).agg(F.count("*").alias("n"))
+    bars = known.groupBy(F.coalesce(lang_col, F.lit("")).alias("_l"), step.alias("step")).agg(F.count("*").alias("n"))
     up = Window.partitionBy("_l").orderBy("step")
     bars = bars.withColumns({"upto": F.sum("n").over(up), "all": F.sum("n").over(Window.partitionBy("_l"))}).filter(F.col("upto") >= F.col("all") * quantile)
     limit = bars.groupBy("_l").agg((F.exp(F.min("step") / STEPS)).alias("threshold"))
-    out = scored.join(F.broadcast(limit), F.coalesce(F.col(lang_col), F.lit("")) == F.col("_l"), "left")
+    out = scored.join(F.broadcast(limit), F.coalesce(F.col(lang_col), F.lit("")) == F.col("_l"), "left")  # one row a language
     keep = F.col("perplexity").isNull() | F.col("threshold").isNull() | (F.col("perplexity") <= F.col("threshold"))
     return out.select(id_col, lang_col, "n_units", "perplexity", "threshold", keep.alias("keep"))
