@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scans", "predicates", "joins")
+MODULES = ("scans", "predicates", "joins", "aggregates", "ordering")
 
 
 def collected() -> tuple[dict, dict]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +40,25 @@ CLUSTERS = """
 clusters AS (SELECT vec_id AS member, label AS cluster_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings)"""
 
 
+def r6(col: Column | str) -> Column:
+    """Six digits, with ties moved off the border by the same small amount as in the SQL: sums in another order give the same."""
+    return F.round((F.col(col) if isinstance(col, str) else col) + 1e-9, 6)
+
+
+def steady(sql: str) -> str:
+    """The SQL with every ``round(x, 6)`` as ``round(x + 1e-9, 6)``."""
+    out, at = "", 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, k = 1, start + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = steady(sql[start + 6 : k - 1])
+        out += sql[at:start] + "round(" + (f"({inner[:-3]}) + 1e-9, 6" if inner.endswith(", 6") else inner) + ")"
+        at = k
+    return out + sql[at:]
+
+
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:
     """Register a query; ``sql`` may use the views named."""
 
@@ -47,7 +67,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
             raise ValueError(f"two queries are named {name}")
         QUERIES[name] = f
         if sql is not None:
-            ORACLES[name] = ("WITH " + ",".join(views) + "\n" if views else "") + sql
+            ORACLES[name] = steady(("WITH " + ",".join(views) + "\n" if views else "") + sql)
         return f
 
     return add

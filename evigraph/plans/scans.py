@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..sources import articles
 from ..sources.tables import canonical, edges, papers, raw
-from .registry import CANONICAL, EDGES, PAPERS, query
+from .registry import CANONICAL, EDGES, PAPERS, query, r6
 
 
 @query("s1_table_scan", "SELECT * FROM papers", (PAPERS,))
@@ -50,21 +50,21 @@ def c2(spark, d):
   count(doi) AS with_doi, round(100.0 * count(CASE WHEN has_fulltext THEN 1 END) / count(*), 6) AS coverage FROM papers""", (PAPERS,))
 def r1(spark, d):
     full = F.count_if(F.col("has_fulltext"))
-    return papers(spark, d).agg(F.count("*").alias("total"), full.alias("with_fulltext"), F.count_if(F.col("fulltext_source") == "pmc").alias("from_pmc"), F.count("doi").alias("with_doi"), F.round(100.0 * full / F.count("*"), 6).alias("coverage"))
+    return papers(spark, d).agg(F.count("*").alias("total"), full.alias("with_fulltext"), F.count_if(F.col("fulltext_source") == "pmc").alias("from_pmc"), F.count("doi").alias("with_doi"), r6(100.0 * full / F.count("*")).alias("coverage"))
 
 
 @query("r3_processing_statistics", "SELECT processing_status, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM papers GROUP BY processing_status", (PAPERS,))
 def r3(spark, d):
     p = papers(spark, d)
     total = p.agg(F.count("*").alias("total"))
-    return p.groupBy("processing_status").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("processing_status", "n", F.round(F.when(F.col("total") > 0, 100.0 * F.col("n") / F.col("total")).otherwise(0.0), 6).alias("pct"))
+    return p.groupBy("processing_status").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("processing_status", "n", r6(F.when(F.col("total") > 0, 100.0 * F.col("n") / F.col("total")).otherwise(0.0)).alias("pct"))
 
 
 @query("r25_normalisation_rate", """SELECT entity_type, count(*) AS names, count(DISTINCT canonical_name) AS groups,
   round((1 - count(DISTINCT canonical_name) / CAST(count(DISTINCT entity_name) AS DOUBLE)) * 100, 6) AS reduction FROM canonical GROUP BY entity_type""", (CANONICAL,))
 def r25(spark, d):
     groups, names = F.countDistinct("canonical_name"), F.countDistinct("entity_name")
-    return canonical(spark, d).groupBy("entity_type").agg(F.count("*").alias("names"), groups.alias("groups"), F.round((1 - groups / names) * 100, 6).alias("reduction"))
+    return canonical(spark, d).groupBy("entity_type").agg(F.count("*").alias("names"), groups.alias("groups"), r6((1 - groups / names) * 100).alias("reduction"))
 
 
 @query("c37_latest_session", "SELECT ts, event_type, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
