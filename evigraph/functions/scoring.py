@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def py_round(col: Column, digits: int) -> Column:
@@ -71,7 +72,7 @@ def beta_quantiles(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def beta_quantile(p: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     """No built-in inverts the incomplete beta."""
     return pd.Series(beta_quantiles(p.to_numpy(float), a.to_numpy(float), b.to_numpy(float)))

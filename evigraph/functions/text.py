@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 PREFIXES = ("the ", "a ", "an ")
 SUFFIXES = (" therapy", " treatment", " intervention")
@@ -142,7 +143,7 @@ def _ratio(a: str, b: str) -> float:
     return 2 * row[-1] / (len(a) + len(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edit ratio with substitutions as two edits, which no built-in has."""
     return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -171,7 +172,7 @@ def _repaired(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def repair_json(text: pd.Series) -> pd.Series:
     """The first reading that parses, as JSON text; null where none does."""
     return text.map(_repaired)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scans", "predicates", "joins", "aggregates", "ordering")
+MODULES = ("scans", "predicates", "joins", "aggregates", "ordering", "texts", "vectors")
 
 
 def collected() -> tuple[dict, dict]:
