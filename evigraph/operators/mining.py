@@ -195,11 +195,11 @@ def recommendations(edges: DataFrame, similar: DataFrame, failed: DataFrame, inn
     return base.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
-def suggestions(edges: DataFrame, clusters: DataFrame, top: int = 10) -> DataFrame:
-    """Interventions that work for a condition's cluster peers and are untested on it."""
+def suggestions(edges: DataFrame, clusters: DataFrame, top: int = 10, digits: int | None = None) -> DataFrame:
+    """Interventions that work for a condition's cluster peers and are untested on it; ``digits`` rounds the score before ranking."""
     per = edges.groupBy("source", "target").agg(F.avg(_effect()).alias("m")).filter("m > 0")
     of = clusters.select("target", "cluster").distinct()
-    by = per.join(of, "target").groupBy("source", "cluster").agg(F.avg("m").alias("score"), F.count("*").alias("peers"))
+    by = per.join(of, "target").groupBy("source", "cluster").agg((F.avg("m") if digits is None else F.round(F.avg("m") + 1e-9, digits)).alias("score"), F.count("*").alias("peers"))
     open_ = of.join(by, "cluster").join(edges.select("source", "target").distinct(), ["source", "target"], "left_anti")
     return open_.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("score"), "source"))).filter(F.col("rank") <= top).select("target", "source", "score", "peers", "rank")
 
