@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scans", "predicates", "joins", "aggregates", "ordering", "texts", "vectors", "graphs", "bayes", "mining", "curation")
+MODULES = ("scans", "predicates", "joins", "aggregates", "ordering", "texts", "vectors", "graphs", "bayes", "mining", "curation", "units")
 
 
 def collected() -> tuple[dict, dict]:

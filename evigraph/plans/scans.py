@@ -70,3 +70,11 @@ def r25(spark, d):
 @query("c37_latest_session", "SELECT ts, event_type, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
 def c37(spark, d):
     return raw(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(1).select("ts", "event_type", "user_id")
+
+
+@query("stream_windows", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY ALL")
+def stream_windows(spark, d):
+    """The streaming aggregate in its batch form; tests run it as a stream."""
+    from ..streaming import outcome_windows
+
+    return outcome_windows(raw(spark, d, "events")).withColumn("mean", r6("mean"))
