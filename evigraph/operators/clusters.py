@@ -6,11 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.labels import similarity_tier
 from ..functions.vectors import cosine, l2_normalise
-from .components import weak_components
+from .components import cut_lineage, weak_components
+from .numbering import numbered
 
 
 def centroids(members: DataFrame, weight_col: str | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def filter_candidates(pairs: DataFrame, least_tier: str = "MEDIUM", size_ratio:
 def complete_singletons(labelled: DataFrame, id_col: str, label_col: str = "label") -> DataFrame:
     """Noise (-1) gets labels of its own after the greatest, in order of id."""
     top = labelled.agg(F.coalesce(F.max(label_col), F.lit(-1)).alias("top"))
-    noise = labelled.filter(F.col(label_col) == -1).select(id_col, F.row_number().over(Window.orderBy(id_col)).alias("_k"))
+    noise = numbered(labelled.filter(F.col(label_col) == -1).select(id_col), [id_col], "_k")
     out = labelled.join(noise, id_col, "left").crossJoin(F.broadcast(top))
     return out.withColumn(label_col, F.coalesce(F.col("_k") + F.col("top"), F.col(label_col)).cast("bigint")).drop("_k", "top")
 
@@ -151,8 +151,6 @@ def greedy_merges(pairs: DataFrame) -> DataFrame:
     Rounds of mutually best pairs give what the sequential greedy pass gives; every round settles
     at least the best pair that is left.
     """
-    from .components import cut_lineage
-
     left, chosen = cut_lineage(pairs.select("a", "b", "similarity"), "pairs"), None
     key = F.struct(F.col("similarity"), -F.col("a"), -F.col("b"))
     while not left.isEmpty():
@@ -170,7 +168,7 @@ def apply_merges(hierarchy: DataFrame, merges: DataFrame) -> DataFrame:
     same = merges.filter("relation = 'identical'").select(F.col("b").alias("cluster_id"), F.col("a").alias("into"))
     related = merges.filter("relation <> 'identical'")
     top = hierarchy.agg(F.max("cluster_id").alias("top"))
-    new = related.withColumn("k", F.row_number().over(Window.orderBy("a", "b"))).crossJoin(F.broadcast(top)).withColumn("parent", F.col("top") + F.col("k"))
+    new = numbered(related, ["a", "b"], "k").crossJoin(F.broadcast(top)).withColumn("parent", F.col("top") + F.col("k"))
     kept = hierarchy.join(same.select("cluster_id"), "cluster_id", "left_anti")
     moved = kept.join(same.select(F.col("cluster_id").alias("parent_id"), "into"), "parent_id", "left").withColumn("parent_id", F.coalesce("into", "parent_id")).drop("into")
     adopted = new.select(F.explode(F.array("a", "b")).alias("cluster_id"), F.col("parent").alias("adopted"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import normalize_term, token_sort_ratio
+from .numbering import numbered
 
 
 def best_mapping(terms: DataFrame, mappings: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def find_or_create(terms: DataFrame, known: DataFrame) -> DataFrame:
     have = known.select(normalize_term(F.col("name")).alias("k"), "id").groupBy("k").agg(F.min("id").alias("id"))
     fresh = keyed.select("k").distinct().join(have, "k", "left_anti")
     top = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
-    made = fresh.withColumn("n", F.row_number().over(Window.orderBy("k"))).crossJoin(F.broadcast(top)).select("k", (F.col("top") + F.col("n")).alias("id"))
+    made = numbered(fresh, ["k"]).crossJoin(F.broadcast(top)).select("k", (F.col("top") + F.col("n")).alias("id"))
     return keyed.join(have.union(made), "k").select("term", "id")
 
 

@@ -166,7 +166,7 @@ def a20(spark, d):
   round(CASE WHEN count(*) > 1 THEN least(0.98, avg(confidence) + 0.12) ELSE avg(confidence) END, 6) AS confidence, count(*) AS n FROM edges GROUP BY paper_id, target, outcome""", (EDGES,))
 def a21(spark, d):
     merged = F.when(F.count("*") > 1, F.least(F.lit(0.98), F.avg("confidence") + 0.12)).otherwise(F.avg("confidence"))
-    return edges(spark, d).groupBy("paper_id", "target", "outcome").agg(F.max_by("study_id", F.struct("confidence", "study_id")).alias("base"), F.array_join(F.array_sort(F.collect_set("study_design")), "; ").alias("models"), r6(merged).alias("confidence"), F.count("*").alias("n"))
+    return edges(spark, d, design=True).groupBy("paper_id", "target", "outcome").agg(F.max_by("study_id", F.struct("confidence", "study_id")).alias("base"), F.array_join(F.array_sort(F.collect_set("study_design")), "; ").alias("models"), r6(merged).alias("confidence"), F.count("*").alias("n"))
 
 
 @query("a22_cross_paper_consensus", """, g AS (SELECT source, target, outcome, count(DISTINCT paper_id) AS papers, count(*) AS studies, avg(confidence) AS mean, var_pop(confidence) AS v, arg_max(study_id, (confidence, study_id)) AS base_study FROM edges GROUP BY ALL)

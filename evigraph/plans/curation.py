@@ -100,7 +100,7 @@ def e5(spark, d):
 
 @query("e6_categories", """, m AS (SELECT DISTINCT source AS entity, mechanism AS category_name, study_design AS category_type, confidence FROM sparse) SELECT entity, count(DISTINCT category_type) AS types, arg_min(category_name, (-confidence, category_name)) AS primary FROM m GROUP BY entity""".replace(" AS primary", ' AS "primary"'), (SPARSE,))
 def e6(spark, d):
-    m = edges_sparse(spark, d).select(F.col("source").alias("entity"), F.col("mechanism").alias("category_name"), F.col("study_design").alias("category_type"), "confidence").distinct()
+    m = edges_sparse(spark, d, design=True).select(F.col("source").alias("entity"), F.col("mechanism").alias("category_name"), F.col("study_design").alias("category_type"), "confidence").distinct()
     return rs.categories_of(m).select("entity", F.size("categories").cast("bigint").alias("types"), "primary")
 
 

@@ -156,12 +156,12 @@ _INNOVATION = """, axis AS (SELECT source, y FROM (SELECT DISTINCT source FROM e
 @query("m22_innovation_metrics", _INNOVATION, (EDGES,))
 def m22(spark, d):
     names = ("recency", "growth", "breakthrough", "diversity", "velocity")
-    return mn.innovation(edges(spark, d), 2001).select("source", *[r6(c).alias(c) for c in names])
+    return mn.innovation(edges(spark, d, design=True), 2001).select("source", *[r6(c).alias(c) for c in names])
 
 
 @query("m22_innovation_index")
 def m22_index(spark, d):
-    out = mn.innovation(edges_sparse(spark, d).union(edges(spark, d).filter("year >= 1999 AND target LIKE 'Brand#2%'")), 2001)
+    out = mn.innovation(edges(spark, d, design=True).filter("year = 1998 AND month <= 3 OR year >= 1999 AND target LIKE 'Brand#2%'"), 2001)
     return out.select("source", r6("innovation_index").alias("innovation_index"), r6("novelty").alias("novelty"), r6("momentum").alias("momentum"), "classification")
 
 
@@ -175,7 +175,7 @@ def m23(spark, d):
 @query("m25_recommendations")
 def m25(spark, d):
     e = edges_sparse(spark, d)
-    out = mn.recommendations(e, mn.condition_similarity(e), mn.failures(e), mn.innovation(edges(spark, d), 2001))
+    out = mn.recommendations(e, mn.condition_similarity(e), mn.failures(e), mn.innovation(edges(spark, d, design=True), 2001))
     return out.withColumn("score", r6("score"))
 
 

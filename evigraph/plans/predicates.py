@@ -68,7 +68,7 @@ def f9(spark, d):
 @query("f10_facets", """SELECT study_id, study_design, outcome FROM edges WHERE list_contains([study_design, mechanism], '1-URGENT') AND outcome = 'improves'
   AND coalesce(confidence, 0) >= 0.8 AND target IN ('Brand#12', 'Brand#13')""", (EDGES,))
 def f10(spark, d):
-    return facets(edges(spark, d), "1-URGENT", "improves", 0.8, ["Brand#12", "Brand#13"])
+    return facets(edges(spark, d, design=True), "1-URGENT", "improves", 0.8, ["Brand#12", "Brand#13"])
 
 
 def facets(rows, category, outcome, confidence, targets):

@@ -146,7 +146,7 @@ def m4(spark, d):
 @query("m24_innovation_boost", """, s AS (SELECT source, round(avg(confidence), 6) AS score FROM edges GROUP BY source), i AS (SELECT source, round(avg(power(0.5, greatest(0, least(100, 2001 - year)) / 3.0)), 6) AS recency FROM edges WHERE year >= 1997 GROUP BY source)
   SELECT s.source, round(least(1, score + 0.2 * coalesce(recency, 0)), 6) AS boosted FROM s LEFT JOIN i USING (source)""", (EDGES,))
 def m24(spark, d):
-    e = edges(spark, d)
+    e = edges(spark, d, design=True)
     index = mn.innovation(e.filter("year >= 1997"), 2001).select("source", r6("recency").alias("recency"))
     score = e.groupBy("source").agg(r6(F.avg("confidence")).alias("score"))
     return score.join(index, "source", "left").select("source", r6(F.least(F.lit(1.0), F.col("score") + 0.2 * F.coalesce("recency", F.lit(0.0)))).alias("boosted"))
@@ -379,7 +379,7 @@ def c11(spark, d):
 
 @query("c12_evidence_by_treatment", "SELECT source, count(*) AS n, min(year) AS first, max(year) AS last, count(DISTINCT study_design) AS designs FROM edges GROUP BY source", (EDGES,))
 def c12(spark, d):
-    return edges(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"), F.countDistinct("study_design").alias("designs"))
+    return edges(spark, d, design=True).groupBy("source").agg(F.count("*").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"), F.countDistinct("study_design").alias("designs"))
 
 
 @query("c13_single_source_branch", ", g AS (SELECT source, target, count(*) AS n, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL) SELECT source, target, CASE WHEN n = 1 THEN 'single' ELSE 'consensus' END AS kind, c AS confidence FROM g", (SPARSE,))

@@ -16,13 +16,19 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evidence edges: one study's claim about an intervention (source) and a condition (target)."""
+def edges(spark: SparkSession, sf_dir: str, design: bool = False) -> DataFrame:
+    """Evidence edges: one study's claim about an intervention (source) and a condition (target).
+
+    ``design`` adds study_design, which takes a join with the papers; every study has one, so
+    the edges are the same without it.
+    """
     lines = raw(spark, sf_dir, "lineitem")
     names = raw(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     parts = raw(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    orders = raw(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    joined = lines.join(names, F.col("l_suppkey") == F.col("s_suppkey")).join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(names, F.col("l_suppkey") == F.col("s_suppkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    if design:
+        orders = raw(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("study_design"))
+        joined = joined.join(orders, "l_orderkey")
     outcome = ladder(
         (F.col("l_returnflag") == "A", "improves"),
         ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), "worsens"),
@@ -33,14 +39,14 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("study_id"), F.col("l_orderkey").alias("paper_id"), F.col("s_name").alias("source"), F.col("p_brand").alias("target"),
         F.col("p_type").alias("mechanism"), outcome.alias("outcome"), (0.5 + 5 * F.col("l_discount")).alias("confidence"), F.col("l_quantity").alias("sample_size"),
-        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), F.col("o_orderpriority").alias("study_design"),
+        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), *["study_design"] * design,
     )
     return out.withColumn("weight", outcome_weight(F.col("outcome")))
 
 
-def edges_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def edges_sparse(spark: SparkSession, sf_dir: str, design: bool = False) -> DataFrame:
     """Edges of one quarter, so that some pairs are untested."""
-    return edges(spark, sf_dir).filter("year = 1998 AND month <= 3")
+    return edges(spark, sf_dir, design).filter("year = 1998 AND month <= 3")
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,3 +194,12 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_running_counts(spark):
     r = evidence_counts(edges(spark, [("a", "x", "m", "improves", 0.8, 2000), ("a", "x", "m", "worsens", 0.4, 2000)])).first()
     assert (r.pos, r.neg, r.n) == (1, 1, 2)
+
+
+def test_numbers_are_consecutive_in_order(spark):
+    from evigraph.operators.numbering import numbered
+
+    rows = [(f"k{(i * 37) % 101:03d}", i) for i in range(101)]
+    got = sorted((r.n, r.k) for r in numbered(spark.createDataFrame(rows, "k string, i int").repartition(7), ["k"]).collect())
+    assert got == [(i + 1, f"k{i:03d}") for i in range(101)]
+    assert numbered(spark.createDataFrame([], "k string"), ["k"]).count() == 0
