@@ -26,7 +26,7 @@ def _small(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
-    """node and component (the smallest node it reaches) for every node of an edge."""
+    """node and component (the smallest node it reaches) for every node that is not itself its component's smallest."""
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     now = persist_table(now, "edges")
     mark = None

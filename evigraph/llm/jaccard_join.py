@@ -10,16 +10,17 @@ segments give buckets; pairs of a bucket whose sketches are near enough are veri
 the words themselves.
 
 Only what connects documents is needed, so buckets are never expanded into all pairs:
-first each document is verified against the nearest bucket minimum, then buckets that
-still hold several components go through blockwise sketch comparison, once for a spanning
-forest and once for all pairs that remain between components. No link is lost.
+first each document is verified against the nearest of its buckets' minima, then against
+those other minima that are near and in another component. Buckets whose other members
+still are in several components go through blockwise sketch comparison, once for a spanning
+forest and once for all near pairs that remain between components. No link is lost.
 
 Equal sets (equal up to 64-bit hashes of shingles, and their number) form a class, of
 which the smallest id stands for all.
 
 Defined results: a null or wordless text has the empty set, links with nothing and is its
-own component; fewer words than the shingle length make one shingle; a null id is kept
-and never is another row's component; an id that repeats with other texts links through
+own component; fewer words than the shingle length make one shingle; a row without an id
+is kept, links with nothing and has no component; an id that repeats with other texts links through
 each of them.
 """
 
@@ -36,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import few, persist_table, ship, text_or_empty
+from .common import drop_table, few, persist_table, ship, text_or_empty
 from .components import components
 from .words import SOLID, borders, hashes, lowered, mix
 
 #: Members of a bucket in one block of the blockwise comparison.
 BLOCK = 512
 #: Bits of a segment of the sketch, and of the whole-set sketch for each shingle.
-SEGMENT_BITS, BITS_A_SHINGLE = 4096, 2
+SEGMENT_BITS, BITS_A_SHINGLE = 4096, 1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
@@ -207,7 +208,10 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
     """
     kind = dict(reps.dtypes)["id"]
     named = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "n_key", "id", F.coalesce("component", "id").alias("c"))
-    split = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("key")
+    # of buckets with the same members (by number, least and two hashes over all) one stands for all
+    members = [F.count("*").alias("m"), F.min("id").alias("m0"), F.bit_xor(F.xxhash64("id")).alias("m1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("m2")]
+    split = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), *members).filter("c1 <> c2")
+    split = split.groupBy("m", "m0", "m1", "m2").agg(F.min("key").alias("key")).select("key")
     open_ = named.join(split, "key", "left_semi").join(reps.select("id", "n", "sketch"), "id")
     blocks = F.ceil(F.col("n_key") / BLOCK).cast("int")
     dealt = open_.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -276,6 +280,13 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
     return sorted_.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components."""
+    for x in "ab":
+        pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    return pairs.filter("ca <> cb").select("a", "b")
+
+
 def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_shingles and component_id (the smallest id reachable by links) for every row.
 
@@ -285,37 +296,39 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     num, den = similarity
     spark = docs.sparkSession
     ship(spark)
-    made = persist_table(_sketch(docs, shingle, num, den, id_col, text_col), "sketches")
+    wide = persist_table(_sketch(docs, shingle, num, den, id_col, text_col), "sketches")
+    made = persist_table(wide.select("id", "n", "s1", "s2"), "sets")
     classes = persist_table(made.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
 
     # copies go: the smallest id of a class stays
-    named = made.filter("n > 0 AND id IS NOT NULL").select("id", "n", "s1", "s2")
-    spare = persist_table(named.join(classes.filter("copies > 1"), ["n", "s1", "s2"]).filter("id <> rep").select("id", "n", "s1", "s2").distinct(), "spare")
-    kept = made.filter("n > 0 AND id IS NOT NULL").join(few(spare), ["id", "n", "s1", "s2"], "left_anti")
+    named = made.filter("n > 0 AND id IS NOT NULL")
+    copied = few(classes.filter("copies > 1 AND rep IS NOT NULL").select("n", "s1", "s2", "rep"))
+    spare = persist_table(named.join(copied, ["n", "s1", "s2"]).filter("id <> rep").select("id", "n", "s1", "s2", "rep").distinct(), "spare")
+    kept = wide.filter("n > 0 AND id IS NOT NULL").join(few(spare.select("id", "n", "s1", "s2")), ["id", "n", "s1", "s2"], "left_anti")
     reps = persist_table(kept.select("id", "n", "sketch").distinct(), "reps")
     by_key = Window.partitionBy("key")
     keyed = kept.select("id", F.explode("keys").alias("key"))
     keyed = keyed.withColumns({"n_key": F.count("*").over(by_key), "least": F.min("id").over(by_key)})
     buckets = persist_table(keyed.filter("n_key > 1"), "buckets")
+    drop_table(wide)
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         wanted = persist_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
         own = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
         return persist_table(own.join(few(wanted), "id", "left_semi"), "texts")
 
-    # first each document against the nearest of its buckets' minima
-    near = _near(buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), reps, num, den)
+    # first each document against the nearest of its buckets' minima, then against the other near ones that lie apart
+    near = persist_table(_near(buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), reps, num, den), "near")
     first = persist_table(near.groupBy("b").agg(F.min_by("a", F.struct("h", "a")).alias("a")).select("a", "b"), "pairs")
     checked = persist_table(_verify(first, texts_of(first), shingle, num, den), "checked")
     labels = components(checked.filter("linked"), "a", "b")
-    # then what still lies apart: a spanning forest, and after it all that remains
-    larger = buckets.select("key", "n_key", "id")
-    for forest in (True, False):
-        pairs = _blockwise(larger, reps, labels, num, den, forest).join(checked, ["a", "b"], "left_anti")
-        pairs = persist_table(pairs, "pairs")
-        more = persist_table(_verify(pairs, texts_of(pairs), shingle, num, den), "checked")
-        checked = checked.union(more)
+    # a bucket of two is done with its minimum; of larger ones the other members remain: first a spanning forest of
+    # near pairs between components, and then all that still lie apart
+    larger = buckets.filter("n_key > 2 AND id <> least").select("key", (F.col("n_key") - 1).alias("n_key"), "id")
+    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(larger, reps, labels, num, den, True), lambda: _blockwise(larger, reps, labels, num, den, False)):
+        pairs = persist_table(step().join(checked, ["a", "b"], "left_anti"), "pairs")
+        checked = checked.union(persist_table(_verify(pairs, texts_of(pairs), shingle, num, den), "checked"))
         labels = components(checked.filter("linked"), "a", "b")
 
-    out = made.select("id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").join(labels, F.col("rep") == F.col("node"), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
+    out = made.join(spare, ["id", "n", "s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "id")).join(labels, F.col("rep") == F.col("node"), "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

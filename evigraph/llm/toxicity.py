@@ -28,7 +28,7 @@ from .common import ship, text_or_empty
 from .words import ALNUM, borders, hashes, lowered, mix
 
 #: Labelled rows that are learnt from at most.
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 6_000
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
 #: Names of groups, by list; a term is swapped within its list.
@@ -85,7 +85,7 @@ class Model:
 
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    return (np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)), np.repeat(np.arange(len(rows)), sizes)
+    return (np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)), np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], rounds: int = 120, decay: float = 2e-4, counterfactual: float = 1.0, least_rows: int = 4) -> Model:
