@@ -25,7 +25,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; rows without an id stay unless one with an id equals them."""
+    """Of each group of linked documents the one with the smallest id stays; rows without an id stay."""
     linked = persist_table(jaccard_join.link(docs).select("doc_id", "component_id"), "linked")
     gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(few(gone), "doc_id", "left_anti")
