@@ -184,6 +184,23 @@ def hierarchy_problems(hierarchy: DataFrame) -> DataFrame:
     return orphans.union(child.join(up, "parent_id").filter("level <= up").select("cluster_id", F.lit("level").alias("problem")))
 
 
+def ancestor_depth(tree: DataFrame, most: int = 10) -> DataFrame:
+    """How many steps lead up from each (id, parent), ``most`` at most: a walk that reaches the bound hints at a cycle.
+
+    Each step joins only the walks that still go on, so there is no limit on rows as a recursive query has.
+    """
+    steps = tree.select(F.col("id").alias("parent"), F.col("parent").alias("up"))
+    done = tree.select("id", F.lit(0).alias("depth"))
+    going = tree.filter("parent IS NOT NULL").select("id", "parent")
+    for depth in range(1, most + 1):
+        going = cut_lineage(going.join(steps, "parent").select("id", F.col("up").alias("parent")), "walks")
+        done = done.union(going.select("id", F.lit(depth).alias("depth")))
+        going = going.filter("parent IS NOT NULL")
+        if going.isEmpty():
+            break
+    return done.groupBy("id").agg(F.max("depth").alias("depth"))
+
+
 def hierarchy_score(reduction: float, depth: float, coherence: float, separation: float) -> float:
     """Composite out of 100: 30 reduction, 20 depth, 30 coherence, 20 separation; each part from 0 to 1."""
     return 100 * (0.3 * reduction + 0.2 * depth + 0.3 * coherence + 0.2 * separation)

@@ -1,9 +1,8 @@
 """Joins (J rows) and set operations (U rows)."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..operators.evidence import fold_pairs
+from ..operators.clusters import ancestor_depth
 from ..sources.tables import canonical, edges, edges_sparse, papers, raw
 from .registry import CANONICAL, EDGES, PAPERS, SPARSE, query
 
@@ -169,11 +168,8 @@ def j20(spark, d):
   walk AS (SELECT id, parent, 0 AS depth FROM tree UNION ALL SELECT w.id, t.parent, w.depth + 1 FROM walk w JOIN tree t ON w.parent = t.id WHERE w.depth < 10)
   SELECT id, max(depth) AS depth FROM walk GROUP BY id""")
 def u1(spark, d):
-    """Ancestor walks bounded at ten steps: each step joins the walks that still go on."""
     t = raw(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 9 != 0, F.floor(F.col("vec_id") / 2)).alias("parent"))
-    t.createOrReplaceTempView("u1_tree")
-    return spark.sql("""WITH RECURSIVE walk(id, parent, depth) AS (SELECT id, parent, 0 FROM u1_tree UNION ALL
-      SELECT w.id, t.parent, w.depth + 1 FROM walk w JOIN u1_tree t ON w.parent = t.id WHERE w.depth < 10) SELECT id, max(depth) AS depth FROM walk GROUP BY id""")
+    return ancestor_depth(t)
 
 
 @query("u2_distinct_projection", "SELECT DISTINCT canonical_name, entity_type FROM canonical", (CANONICAL,))

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import mining as mn
-from ..sources.tables import canonical, edges, edges_sparse, raw
+from ..sources.tables import edges, edges_sparse, raw
 from .bayes import COUNTS
-from .registry import CANONICAL, EDGES, SPARSE, query, r6
+from .registry import EDGES, SPARSE, query, r6
 
 _CLUSTERS = ", cl AS (SELECT DISTINCT p_brand AS target, substr(p_brand, 1, 7) AS cluster FROM part)"
 

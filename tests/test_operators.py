@@ -203,3 +203,9 @@ def test_numbers_are_consecutive_in_order(spark):
     got = sorted((r.n, r.k) for r in numbered(spark.createDataFrame(rows, "k string, i int").repartition(7), ["k"]).collect())
     assert got == [(i + 1, f"k{i:03d}") for i in range(101)]
     assert numbered(spark.createDataFrame([], "k string"), ["k"]).count() == 0
+
+
+def test_walks_up_are_bounded(spark):
+    tree = spark.createDataFrame([(i, i - 1 if i else None) for i in range(6)] + [(50, 51), (51, 50)], "id bigint, parent bigint")
+    got = {r.id: r.depth for r in cl.ancestor_depth(tree, 4).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 50: 4, 51: 4}
