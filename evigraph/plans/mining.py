@@ -93,9 +93,9 @@ def m16(spark, d):
   t AS (SELECT DISTINCT source, target FROM sparse), sh AS (SELECT a.source AS a, b.source AS b, count(*) AS shared FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
   x AS (SELECT sh.*, p.e AS ea, q.e AS eb, p.k AS ka, q.k AS kb, shared / CAST(p.n AS DOUBLE) AS confidence, (shared / CAST(p.n AS DOUBLE)) / (q.n / CAST(p.n + q.n - shared AS DOUBLE)) AS lift, (p.e + q.e) / 2 AS base, len(p.m) + len(q.m) - 2 * len(list_intersect(p.m, q.m)) AS d, len(p.m) + len(q.m) AS mm FROM sh JOIN per p ON p.source = sh.a JOIN per q ON q.source = sh.b),
   y AS (SELECT *, least(1, base) AS combined, least(1, 0.3 * confidence + 0.3 * least(1, (lift - 1) / 4) + 0.2 * least(1, least(1, base) / greatest(base, 0.1) - 1) + 0.2 * d / mm::DOUBLE) AS synergy FROM x)
-  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.65 AND lift >= 1.02 AND synergy >= 0.15""", (SPARSE,))
+  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.6 AND lift >= 0.9 AND synergy >= 0.1""", (SPARSE,))
 def m17(spark, d):
-    out = mn.combinations(edges_sparse(spark, d), 0.65, 1.02, 3, 0.15)
+    out = mn.combinations(edges_sparse(spark, d), 0.6, 0.9, 3, 0.1)
     return out.withColumns({c: r6(c) for c in ("confidence", "lift", "combined", "synergy")})
 
 

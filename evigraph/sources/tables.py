@@ -16,13 +16,18 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def edges(spark: SparkSession, sf_dir: str, design: bool = False) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str, design: bool = False, since: str | None = None, before: str | None = None) -> DataFrame:
     """Evidence edges: one study's claim about an intervention (source) and a condition (target).
 
     ``design`` adds study_design, which takes a join with the papers; every study has one, so
-    the edges are the same without it.
+    the edges are the same without it. ``since`` and ``before`` are dates, compared with the
+    stored column itself so that the comparison reaches the scan.
     """
     lines = raw(spark, sf_dir, "lineitem")
+    if since:
+        lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
+    if before:
+        lines = lines.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     names = raw(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     parts = raw(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     joined = lines.join(names, F.col("l_suppkey") == F.col("s_suppkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -46,7 +51,7 @@ def edges(spark: SparkSession, sf_dir: str, design: bool = False) -> DataFrame:
 
 def edges_sparse(spark: SparkSession, sf_dir: str, design: bool = False) -> DataFrame:
     """Edges of one quarter, so that some pairs are untested."""
-    return edges(spark, sf_dir, design).filter("year = 1998 AND month <= 3")
+    return edges(spark, sf_dir, design, "1998-01-01", "1998-04-01")
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
