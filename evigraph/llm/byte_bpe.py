@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ship, text_or_empty, vocabulary_bytes
+from .common import runs, ship, text_or_empty, vocabulary_bytes
 
 NONE = np.int32(2**31 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -270,8 +270,7 @@ def _apply(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(key, shared, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in runs(batch, 1):
                 made = make(own.encode_batch(part.column(1).to_pylist()), own.vocabulary.decode)
                 yield pa.RecordBatch.from_arrays([part.column(0), *made.values()], [id_col, *made])
 

@@ -7,12 +7,20 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch between the JVM and Python: texts are long, so few.
+BATCH_ROWS = 1000
+#: Bytes of text that Python code works on at a time, but for a single longer text.
+RUN_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each application.
+    """Send this package's source to the executors, once for each application, and keep Arrow batches small.
 
     Python workers import the functions by module name, so every executor needs
     the source whether or not it shares a file system with the driver.
     """
-    sc = spark.sparkContext
+    sc, rows = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[2]
@@ -62,16 +72,17 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._shared_path = path
+    return back
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete the files of a table that ``persist_table`` made."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``persist_table`` made and nothing will read again."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._shared_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Rows of a side that is broadcast at most; a larger side is joined by shuffle.
@@ -87,6 +98,17 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def runs(batch: pa.RecordBatch, text_at: int = 0) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about RUN_BYTES of text each, or one longer text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, before + RUN_BYTES, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def vocabulary_bytes(path: str) -> bytes:
     """A tokenizer file's content; the driver reads it, tasks get it by broadcast."""
     return Path(path).read_bytes()

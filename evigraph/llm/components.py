@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import persist_table
+from .common import drop_tables, persist_table
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -26,16 +26,19 @@ def _small(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
-    """node and component (the smallest node it reaches) for every node that is not itself its component's smallest."""
+    """node and component (the smallest node it reaches) for every node that is not itself its component's smallest: a table in the shared folder."""
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     now = persist_table(now, "edges")
     mark = None
     for _ in range(most_rounds):
-        now = persist_table(_small(_large(now).distinct()), "edges")
+        before, now = now, persist_table(_small(_large(now).distinct()), "edges")
+        drop_tables(before)
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if (seen.n, seen.s) == mark:
             break
         mark = seen.n, seen.s
     else:
         raise RuntimeError("components did not settle")
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    found = persist_table(now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "components")
+    drop_tables(now)
+    return found

@@ -233,11 +233,11 @@ def spans_of(hits: Hits, k: int, begin: int) -> list[tuple[int, int]]:
     return [(int(hits.start[a + i] - begin), int(hits.end[a + j - 1] - begin)) for i, j in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
 
 
-def shards(texts: list[str]) -> Iterator[tuple[int, list[bytes]]]:
+def shards(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about SHARD_BYTES, each with the place of its first text."""
     run, size, first = [], 0, 0
     for i, text in enumerate(texts):
-        run.append(text.encode())
+        run.append(text.as_buffer().to_pybytes())
         size += len(run[-1])
         if size >= SHARD_BYTES:
             yield first, run
@@ -270,8 +270,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for first, shard in shards(texts):
+            for first, shard in shards(batch.column(0)):
                 hits = scan(shard, [b.value for b in shared])
                 offsets = np.cumsum([0, *(len(t) + 1 for t in shard)])
                 n_hit = np.add.reduceat(np.append(hits.hit, False).astype(np.int64), hits.first_word[:-1]) if len(shard) else np.zeros(0, np.int64)

@@ -13,7 +13,8 @@ meeting gives k rows a query, of which the best k stay.
 Defined results: vectors that are null, or hold null or non-finite components, take no
 part; shorter vectors count as padded with zeros; rows with the query's own id are no
 candidates; a query row that repeats exactly is answered once; of candidates that repeat
-exactly each counts; ties go to the smaller id; fewer candidates than k are all returned.
+exactly each counts; ties go to the smaller id; fewer candidates than k are all returned;
+scores beyond a long are held to its range.
 """
 
 from __future__ import annotations
@@ -51,16 +52,16 @@ class ImpactIndex:
     def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> list[np.ndarray]:
         """For each query the candidates that can be among its best k; ``own`` marks pairs that may not meet."""
         score = np.zeros((len(queries), len(self.vectors)))
-        norm = np.sqrt((queries**2).sum(axis=1))[:, None]
+        norm, whole = np.sqrt((queries**2).sum(axis=1))[:, None], np.sqrt((self.vectors**2).sum(axis=1))
         few = max(4 * k, len(self.vectors) // 50)
         for (row, dimension, value), left in zip(self.segments, self.left, strict=True):
             if len(row):
                 share = np.zeros(self.vectors.shape)
                 share[row, dimension] = value
                 score += queries @ share.T
-            if left.max(initial=0) > 0.75 * np.sqrt((self.vectors**2).sum(axis=1)).max(initial=0):
+            if left.max(initial=0) > 0.75 * whole.max(initial=0):
                 continue  # too much is left for any proof
-            slack = norm * left * (1 + 1e-9) + 1e-6
+            slack = norm * (left * (1 + 1e-9) + whole * 1e-12) + 1e-6  # what is left, and rounding of what is summed
             low = np.where(own, -np.inf, score - slack)
             if low.shape[1] > k:
                 bar = np.partition(low, low.shape[1] - k, axis=1)[:, -k][:, None]

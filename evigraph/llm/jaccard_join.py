@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import drop_table, few, persist_table, ship, text_or_empty
+from .common import drop_tables, few, persist_table, runs, ship, text_or_empty
 from .components import components
 from .words import SOLID, borders, hashes, lowered, mix
 
@@ -133,8 +133,7 @@ def hamming(a: bytes, b: bytes) -> int:
 def _sketch(docs: DataFrame, size: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in runs(batch, 1):
                 sets = shingle_hashes([t.encode() for t in part.column(1).to_pylist()], size)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
@@ -181,7 +180,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -
         def shingles(text: str) -> frozenset:
             nonlocal held
             if text not in known:
-                if held > 3_000_000:
+                if held > 500_000:
                     known.clear()
                     held = 0
                 known[text] = _shingles(text, size)
@@ -310,25 +309,32 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     keyed = kept.select("id", F.explode("keys").alias("key"))
     keyed = keyed.withColumns({"n_key": F.count("*").over(by_key), "least": F.min("id").over(by_key)})
     buckets = persist_table(keyed.filter("n_key > 1"), "buckets")
-    drop_table(wide)
+    drop_tables(wide)
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         wanted = persist_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
         own = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-        return persist_table(own.join(few(wanted), "id", "left_semi"), "texts")
+        texts = persist_table(own.join(few(wanted), "id", "left_semi"), "texts")
+        found = persist_table(_verify(pairs, texts, shingle, num, den), "checked")
+        drop_tables(wanted, texts, pairs)
+        return found
 
     # first each document against the nearest of its buckets' minima, then against the other near ones that lie apart
     near = persist_table(_near(buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), reps, num, den), "near")
     first = persist_table(near.groupBy("b").agg(F.min_by("a", F.struct("h", "a")).alias("a")).select("a", "b"), "pairs")
-    checked = persist_table(_verify(first, texts_of(first), shingle, num, den), "checked")
+    rounds = [verified(first)]
+    checked = rounds[0]
     labels = components(checked.filter("linked"), "a", "b")
     # a bucket of two is done with its minimum; of larger ones the other members remain: first a spanning forest of
     # near pairs between components, and then all that still lie apart
     larger = buckets.filter("n_key > 2 AND id <> least").select("key", (F.col("n_key") - 1).alias("n_key"), "id")
     for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(larger, reps, labels, num, den, True), lambda: _blockwise(larger, reps, labels, num, den, False)):
         pairs = persist_table(step().join(checked, ["a", "b"], "left_anti"), "pairs")
-        checked = checked.union(persist_table(_verify(pairs, texts_of(pairs), shingle, num, den), "checked"))
+        rounds.append(verified(pairs))
+        checked = checked.union(rounds[-1])
+        drop_tables(labels)
         labels = components(checked.filter("linked"), "a", "b")
+    drop_tables(reps, buckets, near, classes, *rounds)
 
     out = made.join(spare, ["id", "n", "s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "id")).join(labels, F.col("rep") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

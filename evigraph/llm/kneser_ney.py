@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import few, persist_table, ship, text_or_empty
+from .common import drop_tables, few, persist_table, runs, ship, text_or_empty
 
 ORDER = 4
 #: Code units of a chunk.
-CHUNK = 12_000_000
+CHUNK = 6_000_000
 #: Rows of the probability table that are broadcast at most (16 bytes each).
 BROADCAST_GRAMS = 2_000_000
 #: A unit that no gram was seen of shares the least probability with all others.
@@ -100,8 +100,8 @@ def _chunks(rows: DataFrame, pack: bool) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["chunk", "packed", "lang", "grams", "counts"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                for row, lang, trusted, text in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns), strict=True):
+            for part_rows in runs(batch, 3):
+                for row, lang, trusted, text in zip(*(c.to_pylist() for c in part_rows.columns), strict=True):
                     own = grams(text)
                     tallies.setdefault(lang, _Tally()).add(own, trusted)
                     if pack:
@@ -142,7 +142,9 @@ def probabilities(counts: DataFrame) -> DataFrame:
             row = row.withColumn("p_lower", F.lit(1.0 / UNITS))
         own = F.when(F.col("c").isNull(), 0.0).when(F.col("c") == 1, 1 - F.col("d1")).when(F.col("c") == 2, 2 - F.col("d2")).otherwise(F.col("c") - F.col("d3"))
         p = F.when(F.col("total").isNull(), F.col("p_lower")).otherwise(own / F.col("total") + F.col("rest") * F.col("p_lower"))
-        lower = persist_table(row.select("lang", "key", p.alias("p")), "probabilities")
+        before, lower = lower, persist_table(row.select("lang", "key", p.alias("p")), "probabilities")
+        drop_tables(*([before] if before else []))
+    drop_tables(*(t for k in range(1, ORDER) for t in (asked[k], seen[k])))
     return lower
 
 
@@ -199,13 +201,14 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
 
     counts = persist_table(grams_of(_chunks(marked, False)).groupBy("lang", "key").agg(F.sum("c").alias("c")), "grams")
     p = probabilities(counts)
+    drop_tables(counts)
     if p.count() <= broadcast_grams:
         shared = spark.sparkContext.broadcast(_tables(p.toArrow()))
+        drop_tables(p)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1000):
-                    part = batch.slice(at, 1000)
+                for part in runs(batch, 1):
                     n, found = _perplexities(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)), shared.value)
                     yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(n, pa.int64()), pa.array(found, pa.float64())], [*part.schema.names[2:], "n_units", "perplexity"])
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import persist_table, ship, text_or_empty
+from .common import drop_tables, persist_table, runs, ship, text_or_empty
 from .words import ALNUM, borders, hashes, lowered
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -111,7 +111,7 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, s
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, support: int = 3) -> DataFrame:
-    """term (64-bit hash) and the share of an entity's information that it discloses, at most."""
+    """term (64-bit hash) and the share of an entity's information that it discloses, at most: a table in the shared folder."""
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(text_or_empty(text_col).alias("_text"))
@@ -159,8 +159,8 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float =
             total += batch.num_rows
             if wanted is None:
                 continue
-            for at in range(0, batch.num_rows, 500):
-                raw, begin = lowered([t.encode() for t in batch.column(0).slice(at, 500).to_pylist()])
+            for part in runs(batch):
+                raw, begin = lowered([t.encode() for t in part.column(0).to_pylist()])
                 start, end = borders(raw, ALNUM)
                 long = end - start >= 3
                 start, end = start[long], end[long]
@@ -177,14 +177,19 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float =
     n = df.filter("term IS NULL").agg(F.sum("df_t")).first()[0] or 0
     bits_e, bits_t = F.log2(F.lit(float(n)) / F.col("df_e")), F.log2(F.lit(float(n)) * F.col("co") / (F.col("df_t") * F.col("df_e")))
     told = pairs.join(df.filter("term IS NOT NULL"), "term").withColumn("share", F.when(bits_e > 0, bits_t / bits_e).otherwise(0.0))
-    return told.filter(F.col("share") >= threshold).groupBy("term").agg(F.max("share").alias("share"))
+    terms = persist_table(told.filter(F.col("share") >= threshold).groupBy("term").agg(F.max("share").alias("share")), "terms")
+    drop_tables(met, pairs, df)
+    return terms
 
 
 def term_spans(text: str, terms: np.ndarray) -> list[tuple[str, int, int]]:
-    found = [m.span() for m in _TERM.finditer(text)]
-    if not found or not len(terms):
+    if not len(terms):
         return []
-    h = word_hashes([text[a:b].translate(_FOLD) for a, b in found])
+    folded = text.translate(_FOLD)  # as long as the text
+    found = [m.span() for m in _TERM.finditer(folded)]
+    if not found:
+        return []
+    h = word_hashes([folded[a:b] for a, b in found])
     hit = terms[np.minimum(np.searchsorted(terms, h), len(terms) - 1)] == h
     return [("term", *found[i]) for i in np.flatnonzero(hit)]
 
@@ -209,17 +214,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     With ``with_text`` also ``sanitised``.
     """
     spark = docs.sparkSession
-    terms = persist_table(disclosing_terms(docs, text_col, threshold, support), "terms")
+    terms = disclosing_terms(docs, text_col, threshold, support)
     blocks = -(-terms.count() // BLOCK_TERMS)
     shared = []
     for b in range(blocks):
         part = terms.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b).select("term")
         shared.append(spark.sparkContext.broadcast(np.array(sorted(r.term for r in part.toLocalIterator()), np.int64)))
+    drop_tables(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in runs(batch):
                 texts = part.column(0).to_pylist()
                 base = [base_spans(t) for t in texts]
                 every = [b + sorted(x for s in shared for x in term_spans(t, s.value)) for t, b in zip(texts, base, strict=True)]

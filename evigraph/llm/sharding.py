@@ -77,9 +77,9 @@ def pack(weights: dict[int, int], n_shards: int, slots: int = SLOTS) -> SlotMap:
 
 
 def rebalance(current: SlotMap, weights: dict[int, int], n_shards: int, tolerance: float = 0.01) -> SlotMap:
-    """The next version: moves slots from the heaviest shard to the lightest until their gap is within ``tolerance``.
+    """The next version: moves slots from the heaviest shard to the lightest until their gap is within ``tolerance`` or a slot's weight.
 
-    A new shard starts empty and so only receives; slots that need not move stay.
+    A new shard starts empty and so receives first; slots that need not move stay.
     A move must narrow the gap, so the loop ends.
     """
     out = list(current.shards)
@@ -96,11 +96,11 @@ def rebalance(current: SlotMap, weights: dict[int, int], n_shards: int, toleranc
         out[slot] = to
         load[to] += weights.get(slot, 0)
         held[to].append(slot)
-    goal = sum(load) / n_shards
+    goal, grain = sum(load) / n_shards, max(weights.values(), default=0)
     while True:
         high, low = max(range(n_shards), key=lambda s: load[s]), min(range(n_shards), key=lambda s: load[s])
         gap = load[high] - load[low]
-        if gap <= tolerance * goal:
+        if gap <= max(tolerance * goal, grain):
             break
         fits = [s for s in held[high] if 0 < weights.get(s, 0) < gap]
         if not fits:

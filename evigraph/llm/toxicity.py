@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_or_empty
+from .common import runs, ship, text_or_empty
 from .words import ALNUM, borders, hashes, lowered, mix
 
 #: Labelled rows that are learnt from at most.
@@ -144,8 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "label", id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in runs(batch, 1):
                 texts = part.column(1).to_pylist()
                 pairs = [swaps(t) for t in texts]
                 found = [features([t.encode() for t in texts])] + [[features(list(p[k] for p in own)) for own in pairs] for k in (0, 1)]
@@ -171,8 +170,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in runs(batch):
                 found = shared.value.scores(features([t.encode() for t in part.column(0).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, pa.float64())], [*part.schema.names[1:], "score"])
 
