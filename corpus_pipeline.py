@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evigraph.llm import byte_bpe, decontamination, jaccard_join, pii, toxicity
-from evigraph.llm.common import few, persist_table, table
+from evigraph.llm.common import drop_tables, few, persist_table, table
 
 
 def _with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -67,7 +67,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = persist_table(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            drop_tables(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
