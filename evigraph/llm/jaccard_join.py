@@ -12,8 +12,9 @@ the words themselves.
 Only what connects documents is needed, so buckets are never expanded into all pairs:
 first each document is verified against the nearest of its buckets' minima, then against
 those other minima that are near and in another component. Buckets whose other members
-still are in several components go through blockwise sketch comparison, once for a spanning
-forest and once for all near pairs that remain between components. No link is lost.
+still are in several components go through blockwise sketch comparison: some of them for a
+spanning forest, then all of them for all near pairs that remain between components. No link
+is lost.
 
 Equal sets (equal up to 64-bit hashes of shingles, and their number) form a class, of
 which the smallest id stands for all.
@@ -42,9 +43,11 @@ from .components import components
 from .words import SOLID, borders, hashes, lowered, mix
 
 #: Members of a bucket in one block of the blockwise comparison.
-BLOCK = 512
+BLOCK = 4096
+#: One in so many buckets takes part in the spanning-forest step, which only saves work for the complete step after it.
+FOREST_SHARE = 8
 #: Bits of a segment of the sketch, and of the whole-set sketch for each shingle.
-SEGMENT_BITS, BITS_A_SHINGLE = 4096, 1
+SEGMENT_BITS, BITS_A_SHINGLE = 4096, 2
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
@@ -237,7 +240,21 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
                 x = boss[x]
             return x
 
-        out = []
+        found, held, out = [], 0, []
+
+        def settle():
+            """The nearest pairs first: they are the likeliest links."""
+            first, second, h = np.concatenate(found, axis=1)
+            for x in np.argsort(h, kind="stable").tolist():
+                p, q = first[x], second[x]
+                if forest:
+                    u, v = top(c[p]), top(c[q])
+                    if u == v:
+                        continue
+                    boss[u] = v
+                out.append((ids[p], ids[q]) if ids[p] < ids[q] else (ids[q], ids[p]))
+            found.clear()
+
         for k in range(m - 1):
             rest = slice(k + 1, m)
             may = (c[rest] != c[k]) & (np.minimum(n[rest], n[k]) * den >= np.maximum(n[rest], n[k]) * num)
@@ -246,15 +263,16 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
             hit = np.flatnonzero(may) + k + 1
             if not len(hit):
                 continue
-            h = np.bitwise_count(folded[hit] ^ folded[k]).sum(axis=1, dtype=np.int64)
-            hit = hit[h <= (n[hit] + n[k]) * (den - num) // (den + num)]
-            for x in hit.tolist():
-                if forest:
-                    p, q = top(c[k]), top(c[x])
-                    if p == q:
-                        continue
-                    boss[p] = q
-                out.append((ids[k], ids[x]) if ids[k] < ids[x] else (ids[x], ids[k]))
+            h = np.bitwise_count(folded[hit] ^ folded[k]).sum(axis=1, dtype=np.int32)
+            near = h <= (n[hit] + n[k]) * (den - num) // (den + num)
+            if near.any():
+                found.append(np.stack([np.full(near.sum(), k, np.int32), hit[near].astype(np.int32), h[near]]))
+                held += int(near.sum())
+                if held > 500_000:
+                    settle()
+                    held = 0
+        if found:
+            settle()
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,9 +344,9 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     checked = rounds[0]
     labels = components(checked.filter("linked"), "a", "b")
     # a bucket of two is done with its minimum; of larger ones the other members remain: first a spanning forest of
-    # near pairs between components, and then all that still lie apart
+    # near pairs between components in some of them, and then in all of them all near pairs that still lie apart
     larger = buckets.filter("n_key > 2 AND id <> least").select("key", (F.col("n_key") - 1).alias("n_key"), "id")
-    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(larger, reps, labels, num, den, True), lambda: _blockwise(larger, reps, labels, num, den, False)):
+    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(larger.filter(F.pmod("key", F.lit(FOREST_SHARE)) == 0), reps, labels, num, den, True), lambda: _blockwise(larger, reps, labels, num, den, False)):
         pairs = persist_table(step().join(checked, ["a", "b"], "left_anti"), "pairs")
         rounds.append(verified(pairs))
         checked = checked.union(rounds[-1])
