@@ -33,13 +33,13 @@ def a3(spark, d):
 
 
 @query("a4_conditional_distinct", "SELECT count(DISTINCT CASE WHEN outcome = 'improves' THEN source END) AS improving, count(DISTINCT CASE WHEN confidence > 0.95 THEN paper_id END) AS sure_papers FROM sparse", (SPARSE,))
-def a4(spark, d):
-    return edges_sparse(spark, d).agg(F.countDistinct(F.when(F.col("outcome") == "improves", F.col("source"))).alias("improving"), F.countDistinct(F.when(F.col("confidence") > 0.95, F.col("paper_id"))).alias("sure_papers"))
+def a4(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).agg(F.countDistinct(F.when(F.col("outcome") == "improves", F.col("source"))).alias("improving"), F.countDistinct(F.when(F.col("confidence") > 0.95, F.col("paper_id"))).alias("sure_papers"))
 
 
 @query("a5_distinct_pairs", "SELECT count(DISTINCT source || '|' || target) AS pairs FROM sparse", (SPARSE,))
-def a5(spark, d):
-    return edges_sparse(spark, d).agg(F.countDistinct("source", "target").alias("pairs"))
+def a5(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).agg(F.countDistinct("source", "target").alias("pairs"))
 
 
 @query("a6_coalesced_key", """SELECT coalesce(c.canonical_name, e.source) AS name, count(*) AS n, count(DISTINCT paper_id) AS papers FROM edges e
@@ -127,8 +127,8 @@ def a16(spark, d):
 
 @query("a17_track_record", """, c AS (SELECT source, target, avg(weight * confidence) AS m FROM sparse GROUP BY ALL)
   SELECT source, round(greatest(0, least(1, avg(m) + least(0.3, count(*) / 10.0))), 6) AS track_record FROM c GROUP BY source""", (SPARSE,))
-def a17(spark, d):
-    return track_record(edges_sparse(spark, d)).withColumn("track_record", r6("track_record"))
+def a17(spark, d, sparse=edges_sparse):
+    return track_record(sparse(spark, d)).withColumn("track_record", r6("track_record"))
 
 
 def track_record(e):
@@ -141,23 +141,23 @@ def track_record(e):
 @query("a18_fundamental_scores", """, p AS (SELECT source, target, round(sum(weight * confidence) / count(*) * avg(confidence), 3) AS s FROM sparse GROUP BY ALL)
   SELECT source, count(CASE WHEN s > 0 THEN 1 END) AS positive_conditions, count(*) AS total_conditions, round(sum(CASE WHEN s > 0 THEN s ELSE 0 END), 6) AS breadth_score,
   round(sum(CASE WHEN s > 0 THEN s ELSE 0 END) / count(CASE WHEN s > 0 THEN 1 END), 6) AS avg_effectiveness FROM p GROUP BY source HAVING count(CASE WHEN s > 0 THEN 1 END) >= 3""", (SPARSE,))
-def a18(spark, d):
-    return ev.fundamental(edges_sparse(spark, d)).withColumns({c: r6(c) for c in ("breadth_score", "avg_effectiveness")})
+def a18(spark, d, sparse=edges_sparse):
+    return ev.fundamental(sparse(spark, d)).withColumns({c: r6(c) for c in ("breadth_score", "avg_effectiveness")})
 
 
 @query("a19_mode_with_tie_break", """, n AS (SELECT target, mechanism, count(*) AS n, max(confidence) AS c FROM sparse GROUP BY ALL)
   SELECT target, mechanism FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY n DESC, c DESC, mechanism) AS r FROM n) WHERE r = 1""", (SPARSE,))
-def a19(spark, d):
-    n = edges_sparse(spark, d).groupBy("target", "mechanism").agg(F.count("*").alias("n"), F.max("confidence").alias("c"))
+def a19(spark, d, sparse=edges_sparse):
+    n = sparse(spark, d).groupBy("target", "mechanism").agg(F.count("*").alias("n"), F.max("confidence").alias("c"))
     w = Window.partitionBy("target").orderBy(F.desc("n"), F.desc("c"), "mechanism")
     return n.withColumn("r", F.row_number().over(w)).filter("r = 1").select("target", "mechanism")
 
 
 @query("a20_category_of_members", """, m AS (SELECT e.target, c.category, row_number() OVER (PARTITION BY e.target ORDER BY e.source) AS r FROM (SELECT DISTINCT source, target FROM sparse) e JOIN canonical c ON e.source = c.entity_name),
   n AS (SELECT target, category, count(*) AS n FROM m WHERE r <= 10 GROUP BY ALL) SELECT target, category FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY n DESC, category) AS k FROM n) WHERE k = 1""", (SPARSE, CANONICAL))
-def a20(spark, d):
+def a20(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "category")
-    ten = edges_sparse(spark, d).select("source", "target").distinct().join(names, "source").withColumn("r", F.row_number().over(Window.partitionBy("target").orderBy("source"))).filter("r <= 10")
+    ten = sparse(spark, d).select("source", "target").distinct().join(names, "source").withColumn("r", F.row_number().over(Window.partitionBy("target").orderBy("source"))).filter("r <= 10")
     n = ten.groupBy("target", "category").agg(F.count("*").alias("n"))
     return n.withColumn("k", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("n"), "category"))).filter("k = 1").select("target", "category")
 
@@ -186,9 +186,9 @@ def a23(spark, d):
 
 @query("a24_type_blend", """, t AS (SELECT source, target, mechanism, avg(confidence) AS c FROM sparse GROUP BY ALL)
   SELECT source, target, round(sum(c * CASE WHEN mechanism LIKE 'S%' THEN 1.0 ELSE 0.5 END) / sum(CASE WHEN mechanism LIKE 'S%' THEN 1.0 ELSE 0.5 END), 6) AS blended FROM t GROUP BY ALL""", (SPARSE,))
-def a24(spark, d):
+def a24(spark, d, sparse=edges_sparse):
     w = F.when(F.col("mechanism").like("S%"), 1.0).otherwise(0.5)
-    t = edges_sparse(spark, d).groupBy("source", "target", "mechanism").agg(F.avg("confidence").alias("c"))
+    t = sparse(spark, d).groupBy("source", "target", "mechanism").agg(F.avg("confidence").alias("c"))
     return t.groupBy("source", "target").agg(r6(F.sum(F.col("c") * w) / F.sum(w)).alias("blended"))
 
 

@@ -19,13 +19,13 @@ def _rounded(scores):
 
 
 @query("m1_posterior_scores", COUNTS.format(t="sparse") + f" SELECT {_SHOWN} FROM s", (SPARSE,))
-def m1(spark, d):
-    return _rounded(bayes.score_pairs(edges_sparse(spark, d), quantiles=False))
+def m1(spark, d, sparse=edges_sparse):
+    return _rounded(bayes.score_pairs(sparse(spark, d), quantiles=False))
 
 
 @query("m2_posterior_quantiles")
-def m2(spark, d):
-    s = bayes.score_pairs(edges_sparse(spark, d))
+def m2(spark, d, sparse=edges_sparse):
+    s = bayes.score_pairs(sparse(spark, d))
     return s.select("source", "target", "pos", "neg", r6("conservative").alias("conservative"), r6("low").alias("low"), r6("high").alias("high"))
 
 
@@ -43,6 +43,6 @@ def m6(spark, d):
 
 
 @query("m7_interventions_for_condition", "SELECT DISTINCT coalesce(c.canonical_name, e.source) AS intervention FROM sparse e LEFT JOIN canonical c ON e.source = c.entity_name WHERE e.target = 'Brand#11'", (SPARSE, CANONICAL))
-def m7(spark, d):
+def m7(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "canonical_name")
-    return edges_sparse(spark, d).filter("target = 'Brand#11'").join(names, "source", "left").select(F.coalesce("canonical_name", "source").alias("intervention")).distinct()
+    return sparse(spark, d).filter("target = 'Brand#11'").join(names, "source", "left").select(F.coalesce("canonical_name", "source").alias("intervention")).distinct()

@@ -36,30 +36,30 @@ def k4(spark, d):
 
 
 @query("k6_junction", "SELECT DISTINCT e.mechanism, c.canonical_name FROM sparse e JOIN canonical c ON e.source = c.entity_name", (SPARSE, CANONICAL))
-def k6(spark, d):
+def k6(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "canonical_name")
-    return sinks.junction(edges_sparse(spark, d).select("source", "mechanism"), names, "source").select("mechanism", "canonical_name").distinct()
+    return sinks.junction(sparse(spark, d).select("source", "mechanism"), names, "source").select("mechanism", "canonical_name").distinct()
 
 
 @query("k8_table_export", """SELECT source, count(*) AS studies, count(DISTINCT target) AS conditions, round(avg(confidence), 6) AS confidence FROM sparse GROUP BY source""", (SPARSE,))
-def k8(spark, d):
+def k8(spark, d, sparse=edges_sparse):
     """The nested table view (one document a row), read back from its JSON."""
-    doc = edges_sparse(spark, d).groupBy("source").agg(F.to_json(F.struct(F.count("*").alias("studies"), F.array_sort(F.collect_set("target")).alias("conditions"), F.avg("confidence").alias("confidence"))).alias("doc"))
+    doc = sparse(spark, d).groupBy("source").agg(F.to_json(F.struct(F.count("*").alias("studies"), F.array_sort(F.collect_set("target")).alias("conditions"), F.avg("confidence").alias("confidence"))).alias("doc"))
     x = F.from_json("doc", "studies bigint, conditions array<string>, confidence double")
     return doc.select("source", x.alias("x")).select("source", "x.studies", F.size("x.conditions").cast("bigint").alias("conditions"), r6("x.confidence").alias("confidence"))
 
 
 @query("k10_minimal_export", "SELECT source, target, mechanism, CASE WHEN outcome = 'inconclusive' THEN 'unsure' ELSE outcome END AS outcome, year FROM sparse", (SPARSE,))
-def k10(spark, d):
+def k10(spark, d, sparse=edges_sparse):
     from ..functions.labels import display_outcome
 
-    return edges_sparse(spark, d).select("source", "target", "mechanism", display_outcome(F.col("outcome")).alias("outcome"), "year")
+    return sparse(spark, d).select("source", "target", "mechanism", display_outcome(F.col("outcome")).alias("outcome"), "year")
 
 
 @query("k11_training_export", "SELECT study_id, 'What does ' || source || ' do for ' || target || '?' AS prompt, outcome AS answer FROM sparse WHERE confidence >= 0.9", (SPARSE,))
-def k11(spark, d):
+def k11(spark, d, sparse=edges_sparse):
     ask = F.concat(F.lit("What does "), "source", F.lit(" do for "), "target", F.lit("?"))
-    return edges_sparse(spark, d).filter("confidence >= 0.9").select("study_id", ask.alias("prompt"), F.col("outcome").alias("answer"))
+    return sparse(spark, d).filter("confidence >= 0.9").select("study_id", ask.alias("prompt"), F.col("outcome").alias("answer"))
 
 
 @query("e1_normalised_terms", "SELECT DISTINCT entity_name, trim(regexp_replace(lower(entity_name), '[#]', '', 'g')) AS normal FROM canonical", (CANONICAL,))
@@ -71,8 +71,8 @@ def e1(spark, d):
 
 @query("e2_best_mapping", """, m AS (SELECT source AS term, mechanism AS canonical_name, max(confidence) AS confidence FROM sparse GROUP BY ALL) SELECT t.term, (SELECT arg_max(canonical_name, (confidence, canonical_name)) FROM m WHERE m.term = t.term) AS canonical_name, (SELECT max(confidence) FROM m WHERE m.term = t.term) AS confidence
   FROM (SELECT s_name AS term FROM supplier) t""", (SPARSE,))
-def e2(spark, d):
-    m = edges_sparse(spark, d).groupBy(F.col("source").alias("term"), F.col("mechanism").alias("canonical_name")).agg(F.max("confidence").alias("confidence"))
+def e2(spark, d, sparse=edges_sparse):
+    m = sparse(spark, d).groupBy(F.col("source").alias("term"), F.col("mechanism").alias("canonical_name")).agg(F.max("confidence").alias("confidence"))
     return rs.best_mapping(raw(spark, d, "supplier").select(F.col("s_name").alias("term")), m)
 
 
@@ -86,8 +86,8 @@ def e2_create(spark, d):
 @query("e3_group_names", """, n AS (SELECT CASE WHEN paper_id % 3 = 0 THEN upper(mechanism) ELSE mechanism END AS name, confidence FROM sparse), s AS (SELECT lower(trim(name)) AS k, name, count(*) AS n, max(confidence) AS c FROM n GROUP BY ALL),
   p AS (SELECT k, arg_min(name, (-n, -c, name)) AS canonical_name, sum(n) AS members, avg(c) AS mean FROM s GROUP BY k) SELECT n.name, p.canonical_name, CAST(p.members AS BIGINT) AS members, CASE WHEN n.name = p.canonical_name THEN 1.0 ELSE 0.9 END::DOUBLE AS mapping_confidence, round(least(0.98, p.mean + 0.1), 6) AS consensus, count(*) AS n
   FROM n JOIN p ON lower(trim(n.name)) = p.k GROUP BY ALL""", (SPARSE,))
-def e3(spark, d):
-    n = edges_sparse(spark, d).select(F.when(F.col("paper_id") % 3 == 0, F.upper("mechanism")).otherwise(F.col("mechanism")).alias("name"), "confidence")
+def e3(spark, d, sparse=edges_sparse):
+    n = sparse(spark, d).select(F.when(F.col("paper_id") % 3 == 0, F.upper("mechanism")).otherwise(F.col("mechanism")).alias("name"), "confidence")
     g = rs.group_names(n).withColumn("consensus", r6("consensus"))
     return g.groupBy("name", "canonical_name", "members", "mapping_confidence", "consensus").agg(F.count("*").alias("n"))
 
@@ -99,8 +99,8 @@ def e5(spark, d):
 
 
 @query("e6_categories", """, m AS (SELECT DISTINCT source AS entity, mechanism AS category_name, study_design AS category_type, confidence FROM sparse) SELECT entity, count(DISTINCT category_type) AS types, arg_min(category_name, (-confidence, category_name)) AS primary FROM m GROUP BY entity""".replace(" AS primary", ' AS "primary"'), (SPARSE,))
-def e6(spark, d):
-    m = edges_sparse(spark, d, design=True).select(F.col("source").alias("entity"), F.col("mechanism").alias("category_name"), F.col("study_design").alias("category_type"), "confidence").distinct()
+def e6(spark, d, sparse=edges_sparse):
+    m = sparse(spark, d, design=True).select(F.col("source").alias("entity"), F.col("mechanism").alias("category_name"), F.col("study_design").alias("category_type"), "confidence").distinct()
     return rs.categories_of(m).select("entity", F.size("categories").cast("bigint").alias("types"), "primary")
 
 
@@ -121,15 +121,15 @@ def q2(spark, d):
 
 
 @query("q5_export_verdict", "SELECT count(*) AS rows, count(DISTINCT source) AS sources, 0::BIGINT AS incomplete, FALSE AS few, TRUE AS valid FROM sparse", (SPARSE,))
-def q5(spark, d):
-    return va.export_verdict(edges_sparse(spark, d))
+def q5(spark, d, sparse=edges_sparse):
+    return va.export_verdict(sparse(spark, d))
 
 
 @query("q6_order_breaks", ", p AS (SELECT target, source, round(avg(confidence), 6) AS v FROM sparse GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY source) AS rank FROM p) SELECT target, source, rank, v FROM (SELECT *, lag(v) OVER (PARTITION BY target ORDER BY rank) AS b FROM r) WHERE v > b", (SPARSE,))
-def q6(spark, d):
+def q6(spark, d, sparse=edges_sparse):
     from pyspark.sql.window import Window
 
-    p = edges_sparse(spark, d).groupBy("target", "source").agg(r6(F.avg("confidence")).alias("v"))
+    p = sparse(spark, d).groupBy("target", "source").agg(r6(F.avg("confidence")).alias("v"))
     return va.order_breaks(p.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy("source"))), "target", "rank", "v")
 
 
@@ -140,9 +140,9 @@ def q7(spark, d):
 
 
 @query("r4_normalise_batch", ", b AS (SELECT DISTINCT source FROM sparse ORDER BY source LIMIT 25) SELECT b.source, c.canonical_name FROM b LEFT JOIN canonical c ON b.source = c.entity_name", (SPARSE, CANONICAL))
-def r4(spark, d):
+def r4(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "canonical_name")
-    return edges_sparse(spark, d).select("source").distinct().orderBy("source").limit(25).join(names, "source", "left")
+    return sparse(spark, d).select("source").distinct().orderBy("source").limit(25).join(names, "source", "left")
 
 
 @query("r6_display_info", "SELECT canonical_name, min(entity_name) AS shown, count(*) - 1 AS alternatives FROM canonical GROUP BY canonical_name", (CANONICAL,))
@@ -158,8 +158,8 @@ def r8(spark, d):
 
 
 @query("r11_band_report", """, p AS (SELECT source, target, avg(confidence) AS c FROM sparse GROUP BY ALL) SELECT CASE WHEN round(c, 6) > 0.7 THEN 'high' WHEN round(c, 6) >= 0.4 THEN 'middle' ELSE 'low' END AS band, count(*) AS n FROM p GROUP BY 1""", (SPARSE,))
-def r11(spark, d):
-    p = edges_sparse(spark, d).groupBy("source", "target").agg(r6(F.avg("confidence")).alias("c"))
+def r11(spark, d, sparse=edges_sparse):
+    p = sparse(spark, d).groupBy("source", "target").agg(r6(F.avg("confidence")).alias("c"))
     return p.groupBy(F.when(F.col("c") > 0.7, "high").when(F.col("c") >= 0.4, "middle").otherwise("low").alias("band")).agg(F.count("*").alias("n"))
 
 
@@ -169,8 +169,8 @@ def c7(spark, d):
 
 
 @query("c17_edge_ids", "SELECT source || '_' || target || '_' || study_id || '_improves_' || mechanism AS edge_id FROM sparse WHERE outcome = 'improves'", (SPARSE,))
-def c17(spark, d):
-    return edges_sparse(spark, d).filter("outcome = 'improves'").select(F.concat_ws("_", "source", "target", "study_id", "outcome", "mechanism").alias("edge_id"))
+def c17(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).filter("outcome = 'improves'").select(F.concat_ws("_", "source", "target", "study_id", "outcome", "mechanism").alias("edge_id"))
 
 
 @query("c21_latest_answer", "SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
@@ -180,12 +180,12 @@ def c21(spark, d):
 
 
 @query("c39_threshold_comparison", ", p AS (SELECT source, target, avg(confidence) AS c FROM sparse GROUP BY ALL) SELECT t AS threshold, count(*) AS kept, count(DISTINCT source) AS sources FROM p, (VALUES (0.6::DOUBLE), (0.65::DOUBLE), (0.7::DOUBLE)) g(t) WHERE round(c, 6) >= t GROUP BY t", (SPARSE,))
-def c39(spark, d):
-    p = edges_sparse(spark, d).groupBy("source", "target").agg(r6(F.avg("confidence")).alias("c"))
+def c39(spark, d, sparse=edges_sparse):
+    p = sparse(spark, d).groupBy("source", "target").agg(r6(F.avg("confidence")).alias("c"))
     grid = F.explode(F.array(*[F.lit(x) for x in (0.6, 0.65, 0.7)])).alias("threshold")
     return p.select("source", "c", grid).filter("c >= threshold").groupBy("threshold").agg(F.count("*").alias("kept"), F.countDistinct("source").alias("sources"))
 
 
 @query("k9_graph_statistics", ", p AS (SELECT source, target, count(*) AS n FROM sparse GROUP BY ALL) SELECT count(*) AS links, sum(n) AS studies, max(n) AS most FROM p", (SPARSE,))
-def k9(spark, d):
-    return fold_pairs(edges_sparse(spark, d)).agg(F.count("*").alias("links"), F.sum("edge_count").alias("studies"), F.max("edge_count").alias("most"))
+def k9(spark, d, sparse=edges_sparse):
+    return fold_pairs(sparse(spark, d)).agg(F.count("*").alias("links"), F.sum("edge_count").alias("studies"), F.max("edge_count").alias("most"))

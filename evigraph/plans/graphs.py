@@ -16,9 +16,9 @@ _SHOWN = f"""source, target, edge_count, round(raw_score, 6) AS raw_score, round
 _LINKS = ", links AS (SELECT source, target, avg(confidence) AS weight FROM sparse WHERE outcome = 'improves' GROUP BY ALL UNION ALL SELECT target, source, 0.5::DOUBLE * avg(confidence) FROM sparse WHERE outcome = 'worsens' GROUP BY ALL)"
 
 
-def links(spark, d):
+def links(spark, d, sparse=edges_sparse):
     """A directed graph that has cycles: improvements lead one way, harms the other."""
-    e = edges_sparse(spark, d)
+    e = sparse(spark, d)
     good = e.filter("outcome = 'improves'").groupBy("source", "target").agg(F.avg("confidence").alias("weight"))
     bad = e.filter("outcome = 'worsens'").groupBy(F.col("target").alias("source"), F.col("source").alias("target")).agg((0.5 * F.avg("confidence")).alias("weight"))
     return good.union(bad)
@@ -80,20 +80,20 @@ def g5_intervention(spark, d):
 
 
 @query("g7_node_lists", "SELECT DISTINCT source AS node, 'intervention' AS type FROM sparse UNION ALL SELECT DISTINCT target, 'condition' FROM sparse", (SPARSE,))
-def g7(spark, d):
-    e = edges_sparse(spark, d)
+def g7(spark, d, sparse=edges_sparse):
+    e = sparse(spark, d)
     return e.select(F.col("source").alias("node"), F.lit("intervention").alias("type")).distinct().union(e.select("target", F.lit("condition")).distinct())
 
 
 @query("g8_canonical_lookup", "SELECT DISTINCT e.source, c.canonical_name FROM sparse e LEFT JOIN canonical c ON e.source = c.entity_name", (SPARSE, CANONICAL))
-def g8(spark, d):
+def g8(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "canonical_name")
-    return edges_sparse(spark, d).select("source").distinct().join(names, "source", "left")
+    return sparse(spark, d).select("source").distinct().join(names, "source", "left")
 
 
 @query("g9_neighbours", _LINKS + " SELECT DISTINCT target AS neighbour, 'out' AS side FROM links WHERE source = 'Brand#11' UNION SELECT DISTINCT source, 'in' FROM links WHERE target = 'Brand#11' AND source <> 'Brand#11'", (SPARSE,))
-def g9(spark, d):
-    return gr.neighbours(links(spark, d), "Brand#11")
+def g9(spark, d, sparse=edges_sparse):
+    return gr.neighbours(links(spark, d, sparse), "Brand#11")
 
 
 @query("g10_simple_paths", "WITH" + SPARSE + _LINKS + """, s AS (SELECT * FROM links WHERE weight >= 0.35),
@@ -101,21 +101,21 @@ def g9(spark, d):
   p2 AS (SELECT list_append(path, target) AS path, total + weight AS total FROM p1 JOIN s ON path[-1] = s.source WHERE path[-1] <> 'Brand#12' AND NOT list_contains(path, target)),
   p3 AS (SELECT list_append(path, target) AS path, total + weight AS total FROM p2 JOIN s ON path[-1] = s.source WHERE path[-1] <> 'Brand#12' AND NOT list_contains(path, target))
   SELECT array_to_string(path, '>') AS path, len(path) - 1 AS steps, round(total, 6) AS total, len(path) = 2 AS direct FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3) WHERE path[-1] = 'Brand#12'""")
-def g10(spark, d):
-    return gr.simple_paths(links(spark, d), "Brand#11", "Brand#12", 3, 0.35).withColumn("total", r6("total"))
+def g10(spark, d, sparse=edges_sparse):
+    return gr.simple_paths(links(spark, d, sparse), "Brand#11", "Brand#12", 3, 0.35).withColumn("total", r6("total"))
 
 
 @query("g11_weak_components", "WITH RECURSIVE" + SPARSE + """, l AS (SELECT source AS a, target AS b FROM sparse WHERE month = 1 AND confidence > 0.95 UNION SELECT target, source FROM sparse WHERE month = 1 AND confidence > 0.95),
-  w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""")
-def g11(spark, d):
-    return weak_components(edges_sparse(spark, d).filter("month = 1 AND confidence > 0.95").select("source", "target"), "source", "target")
+  w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""", whole=False)
+def g11(spark, d, sparse=edges_sparse):
+    return weak_components(sparse(spark, d).filter("month = 1 AND confidence > 0.95").select("source", "target"), "source", "target")
 
 
 @query("g12_local_clustering", _LINKS + """, n AS (SELECT DISTINCT source, target FROM links WHERE source <> target), k AS (SELECT source, count(*) AS k FROM n GROUP BY source),
   t AS (SELECT a.source, count(*) AS c FROM n a JOIN links l ON a.target = l.source JOIN n b ON b.source = a.source AND b.target = l.target WHERE a.target <> l.target GROUP BY a.source)
   SELECT k.source AS node, k.k, round(CASE WHEN k.k < 2 THEN 0 ELSE coalesce(t.c, 0) / CAST(k.k * (k.k - 1) AS DOUBLE) END, 6) AS coefficient FROM k LEFT JOIN t ON k.source = t.source""", (SPARSE,))
-def g12(spark, d):
-    return gr.clustering(links(spark, d)).withColumn("coefficient", r6("coefficient"))
+def g12(spark, d, sparse=edges_sparse):
+    return gr.clustering(links(spark, d, sparse)).withColumn("coefficient", r6("coefficient"))
 
 
 @query("g13_node_summary", """SELECT target AS node, count(*) AS studies, count(DISTINCT source) AS partners, count(DISTINCT mechanism) AS mechanisms, round(avg(confidence), 6) AS mean, min(year) AS first, max(year) AS last FROM edges GROUP BY target""", (EDGES,))
@@ -124,5 +124,5 @@ def g13(spark, d):
 
 
 @query("g14_node_link_export", ", p AS (SELECT source, target FROM sparse GROUP BY ALL) SELECT count(*) + (SELECT count(DISTINCT target) FROM p) AS nodes, (SELECT count(*) FROM p) AS links FROM (SELECT DISTINCT source FROM p)", (SPARSE,))
-def g14(spark, d):
-    return node_link(ev.fold_pairs(edges_sparse(spark, d))).select(F.size("nodes").cast("bigint").alias("nodes"), F.size("links").cast("bigint").alias("links"))
+def g14(spark, d, sparse=edges_sparse):
+    return node_link(ev.fold_pairs(sparse(spark, d))).select(F.size("nodes").cast("bigint").alias("nodes"), F.size("links").cast("bigint").alias("links"))

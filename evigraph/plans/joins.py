@@ -24,9 +24,9 @@ def j2(spark, d):
   SELECT e.study_id, p.journal, i.canonical_name AS intervention, c.canonical_name AS condition, s.n FROM edges e LEFT JOIN papers p ON e.paper_id = p.pmid
   LEFT JOIN canonical i ON e.source = i.entity_name AND i.entity_type = 'intervention' LEFT JOIN canonical c ON e.target = c.entity_name AND c.entity_type = 'condition'
   LEFT JOIN s ON e.source = s.source AND e.target = s.target""", (SPARSE, PAPERS, CANONICAL))
-def j3(spark, d):
+def j3(spark, d, sparse=edges_sparse):
     e, names = edges(spark, d).select("study_id", "paper_id", "source", "target"), canonical(spark, d)
-    scores = edges_sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"))
+    scores = sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"))
     kind = lambda t, end, out: names.filter(F.col("entity_type") == t).select(F.col("entity_name").alias(end), F.col("canonical_name").alias(out))
     out = e.join(papers(spark, d).select(F.col("pmid").alias("paper_id"), "journal"), "paper_id", "left")
     out = out.join(kind("intervention", "source", "intervention"), "source", "left").join(kind("condition", "target", "condition"), "target", "left")
@@ -54,8 +54,8 @@ def j6(spark, d):
 
 
 @query("j7_not_in", "SELECT entity_name FROM canonical WHERE entity_type = 'intervention' AND entity_name NOT IN (SELECT source FROM sparse WHERE target = 'Brand#11')", (SPARSE, CANONICAL))
-def j7(spark, d):
-    used = edges_sparse(spark, d).filter("target = 'Brand#11'").select(F.col("source").alias("entity_name"))
+def j7(spark, d, sparse=edges_sparse):
+    used = sparse(spark, d).filter("target = 'Brand#11'").select(F.col("source").alias("entity_name"))
     return canonical(spark, d).filter("entity_type = 'intervention'").select("entity_name").join(used, "entity_name", "left_anti")
 
 
@@ -121,9 +121,9 @@ def untested(e):
     return e.select("source").distinct().crossJoin(e.select("target").distinct()).join(e.select("source", "target").distinct(), ["source", "target"], "left_anti")
 
 
-@query("j15_untested_pairs", "SELECT s.source, t.target FROM (SELECT DISTINCT source FROM sparse) s, (SELECT DISTINCT target FROM sparse) t WHERE NOT EXISTS (SELECT 1 FROM sparse x WHERE x.source = s.source AND x.target = t.target)", (SPARSE,))
-def j15(spark, d):
-    return untested(edges_sparse(spark, d))
+@query("j15_untested_pairs", "SELECT s.source, t.target FROM (SELECT DISTINCT source FROM sparse) s, (SELECT DISTINCT target FROM sparse) t WHERE NOT EXISTS (SELECT 1 FROM sparse x WHERE x.source = s.source AND x.target = t.target)", (SPARSE,), whole=False)
+def j15(spark, d, sparse=edges_sparse):
+    return untested(sparse(spark, d))
 
 
 @query("j16_unordered_pairs", "SELECT a.n_name AS a, b.n_name AS b FROM nation a JOIN nation b ON a.n_name < b.n_name")
@@ -132,9 +132,9 @@ def j16(spark, d):
     return n.select(F.col("n_name").alias("a")).join(n.select(F.col("n_name").alias("b")), F.col("a") < F.col("b"))
 
 
-@query("j17_shared_neighbour", ", t AS (SELECT DISTINCT source, target FROM sparse) SELECT a.target AS a, b.target AS b, count(*) AS shared FROM t a JOIN t b ON a.source = b.source AND a.target < b.target GROUP BY ALL", (SPARSE,))
-def j17(spark, d):
-    t = edges_sparse(spark, d).select("source", "target").distinct()
+@query("j17_shared_neighbour", ", t AS (SELECT DISTINCT source, target FROM sparse) SELECT a.target AS a, b.target AS b, count(*) AS shared FROM t a JOIN t b ON a.source = b.source AND a.target < b.target GROUP BY ALL", (SPARSE,), whole=False)
+def j17(spark, d, sparse=edges_sparse):
+    t = sparse(spark, d).select("source", "target").distinct()
     return t.withColumnRenamed("target", "a").join(t.withColumnRenamed("target", "b"), "source").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
@@ -178,15 +178,15 @@ def u2(spark, d):
 
 
 @query("u3_candidate_union", "SELECT DISTINCT target AS condition FROM sparse UNION SELECT DISTINCT entity_name FROM canonical WHERE entity_type = 'condition' UNION SELECT * FROM (VALUES ('long_covid'), ('climate_anxiety')) t(condition)", (SPARSE, CANONICAL))
-def u3(spark, d):
+def u3(spark, d, sparse=edges_sparse):
     extra = spark.sql("SELECT explode(array('long_covid', 'climate_anxiety')) AS condition")
-    return edges_sparse(spark, d).select(F.col("target").alias("condition")).union(canonical(spark, d).filter("entity_type = 'condition'").select("entity_name")).union(extra).distinct()
+    return sparse(spark, d).select(F.col("target").alias("condition")).union(canonical(spark, d).filter("entity_type = 'condition'").select("entity_name")).union(extra).distinct()
 
 
 @query("u4_set_overlap", """, s AS (SELECT source, list_sort(list_distinct(list(target))) AS t FROM sparse GROUP BY source)
-  SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source WHERE a.source LIKE '%1'""", (SPARSE,))
-def u4(spark, d):
-    s = edges_sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
+  SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source WHERE a.source LIKE '%1'""", (SPARSE,), whole=False)
+def u4(spark, d, sparse=edges_sparse):
+    s = sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
     pairs = s.filter("source LIKE '%1'").select(F.col("source").alias("a"), F.col("t").alias("ta")).join(s.select(F.col("source").alias("b"), F.col("t").alias("tb")), F.col("a") < F.col("b"))
     return pairs.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("shared"), (F.size(F.array_except("ta", "tb")) + F.size(F.array_except("tb", "ta"))).cast("bigint").alias("differ"))
 

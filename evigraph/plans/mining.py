@@ -16,21 +16,21 @@ def brand_clusters(spark, d):
 
 @query("m8_effectiveness_matrix", """, v AS (SELECT source, target, avg(weight * confidence) * avg(confidence) AS v FROM sparse GROUP BY ALL)
   SELECT s.source, t.target, round(coalesce(v.v, 0), 6) AS v FROM (SELECT DISTINCT source FROM sparse) s CROSS JOIN (SELECT DISTINCT target FROM sparse) t LEFT JOIN v ON v.source = s.source AND v.target = t.target""", (SPARSE,))
-def m8(spark, d):
+def m8(spark, d, sparse=edges_sparse):
     """The dense matrix over the ends: every cell is the result."""
-    e = edges_sparse(spark, d)
+    e = sparse(spark, d)
     ends = e.select("source").distinct().crossJoin(e.select("target").distinct())
     return ends.join(mn.effectiveness(e), ["source", "target"], "left").select("source", "target", r6(F.coalesce("v", F.lit(0.0))).alias("v"))
 
 
 @query("m9_patterns")
-def m9(spark, d):
-    return mn.patterns(edges_sparse(spark, d)).withColumn("loading", r6("loading"))
+def m9(spark, d, sparse=edges_sparse):
+    return mn.patterns(sparse(spark, d)).withColumn("loading", r6("loading"))
 
 
 @query("m10_cross_talk", "SELECT target, count(DISTINCT mechanism) AS mechanisms, string_agg(DISTINCT mechanism, ',' ORDER BY mechanism) AS names FROM sparse WHERE outcome = 'improves' GROUP BY target HAVING count(DISTINCT mechanism) > 1", (SPARSE,))
-def m10(spark, d):
-    m = edges_sparse(spark, d).filter("outcome = 'improves'").groupBy("target").agg(F.array_sort(F.collect_set("mechanism")).alias("m"))
+def m10(spark, d, sparse=edges_sparse):
+    m = sparse(spark, d).filter("outcome = 'improves'").groupBy("target").agg(F.array_sort(F.collect_set("mechanism")).alias("m"))
     return m.filter(F.size("m") > 1).select("target", F.size("m").cast("bigint").alias("mechanisms"), F.array_join("m", ",").alias("names"))
 
 
@@ -41,49 +41,49 @@ sim AS (SELECT sh.a, sh.b, shared, shared / CAST(za.n + zb.n - shared AS DOUBLE)
 
 
 @query("m11_condition_similarity", SIMILAR + " SELECT a, b, shared, round(overlap, 6) AS overlap, round(evidence, 6) AS evidence, round(mechanism, 6) AS mechanism, round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) AS similarity FROM sim", (SPARSE,))
-def m11(spark, d):
-    return mn.condition_similarity(edges_sparse(spark, d)).withColumns({c: r6(c) for c in ("overlap", "evidence", "mechanism", "similarity")})
+def m11(spark, d, sparse=edges_sparse):
+    return mn.condition_similarity(sparse(spark, d)).withColumns({c: r6(c) for c in ("overlap", "evidence", "mechanism", "similarity")})
 
 
 @query("m12_condition_clusters")
-def m12(spark, d):
+def m12(spark, d, sparse=edges_sparse):
     """Ward clusters of conditions over their effectiveness profiles."""
     from ..operators.clusters import agglomerate
 
-    dense = m8(spark, d).groupBy("target").agg(F.transform(F.array_sort(F.collect_list(F.struct("source", "v"))), lambda e: e.v).alias("vector"))
+    dense = m8(spark, d, sparse).groupBy("target").agg(F.transform(F.array_sort(F.collect_list(F.struct("source", "v"))), lambda e: e.v).alias("vector"))
     return agglomerate(dense.withColumn("all", F.lit(1)), "all", "target", "vector", "ward", None, 12).drop("all")
 
 
 @query("m13_cluster_description", _CLUSTERS + """, c AS (SELECT cluster, count(*) AS n FROM cl GROUP BY cluster), t AS (SELECT cl.cluster, e.source, count(DISTINCT e.target) AS k, avg(e.weight * e.confidence) AS m FROM sparse e JOIN cl ON e.target = cl.target GROUP BY ALL)
   SELECT t.cluster, count(*) AS common, round(avg(m), 6) AS effect, max(c.n) AS conditions FROM t JOIN c ON t.cluster = c.cluster WHERE k >= greatest(2, c.n // 2) GROUP BY t.cluster""", (SPARSE,))
-def m13(spark, d):
+def m13(spark, d, sparse=edges_sparse):
     of = brand_clusters(spark, d)
     n = of.groupBy("cluster").agg(F.count("*").alias("n"))
-    t = edges_sparse(spark, d).join(of, "target").groupBy("cluster", "source").agg(F.countDistinct("target").alias("k"), F.avg(F.col("weight") * F.col("confidence")).alias("m"))
+    t = sparse(spark, d).join(of, "target").groupBy("cluster", "source").agg(F.countDistinct("target").alias("k"), F.avg(F.col("weight") * F.col("confidence")).alias("m"))
     kept = t.join(n, "cluster").filter(F.col("k") >= F.greatest(F.lit(2), F.floor(F.col("n") / 2)))
     return kept.groupBy("cluster").agg(F.count("*").alias("common"), r6(F.avg("m")).alias("effect"), F.max("n").alias("conditions"))
 
 
 @query("m14_unexpected_links", SIMILAR + _CLUSTERS + """ SELECT sim.a, sim.b, round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) AS similarity FROM sim JOIN cl x ON x.target = sim.a JOIN cl y ON y.target = sim.b
   WHERE x.cluster <> y.cluster AND round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) >= 0.55""", (SPARSE,))
-def m14(spark, d):
-    similar = mn.condition_similarity(edges_sparse(spark, d)).withColumn("similarity", r6("similarity"))
+def m14(spark, d, sparse=edges_sparse):
+    similar = mn.condition_similarity(sparse(spark, d)).withColumn("similarity", r6("similarity"))
     return mn.unexpected(similar, brand_clusters(spark, d).withColumnRenamed("cluster", "category"), 0.55).select("a", "b", "similarity")
 
 
 @query("m15_peer_suggestions", _CLUSTERS + """, per AS (SELECT source, target, avg(weight * confidence) AS m FROM sparse GROUP BY ALL HAVING avg(weight * confidence) > 0), y AS (SELECT source, cluster, round(avg(m), 6) AS score, count(*) AS peers FROM per JOIN cl USING (target) GROUP BY ALL),
   o AS (SELECT cl.target, y.source, y.score, y.peers FROM cl JOIN y USING (cluster) WHERE NOT EXISTS (SELECT 1 FROM sparse x WHERE x.source = y.source AND x.target = cl.target))
-  SELECT target, source, score, peers, row_number() OVER (PARTITION BY target ORDER BY score DESC, source) AS rank FROM o QUALIFY rank <= 10""", (SPARSE,))
-def m15(spark, d):
-    return mn.suggestions(edges_sparse(spark, d), brand_clusters(spark, d), digits=6)
+  SELECT target, source, score, peers, row_number() OVER (PARTITION BY target ORDER BY score DESC, source) AS rank FROM o QUALIFY rank <= 10""", (SPARSE,), whole=False)
+def m15(spark, d, sparse=edges_sparse):
+    return mn.suggestions(sparse(spark, d), brand_clusters(spark, d), digits=6)
 
 
 @query("m16_similarity_kit", """, t AS (SELECT source, list(DISTINCT target) AS s FROM sparse GROUP BY source), j AS (SELECT a.source AS a, b.source AS b, len(list_intersect(a.s, b.s)) AS i, len(a.s) AS na, len(b.s) AS nb FROM t a JOIN t b ON a.source < b.source WHERE a.source LIKE '%01')
   SELECT a, b, round(i / CAST(na + nb - i AS DOUBLE), 6) AS jaccard, round(2.0 * i / (na + nb), 6) AS dice, round(0.5 * (i / CAST(na + nb - i AS DOUBLE)) + 0.3 * (2.0 * i / (na + nb)) + 0.2 * least(1, ln(1 + i) / ln(100)), 6) AS composite FROM j""", (SPARSE,))
-def m16(spark, d):
+def m16(spark, d, sparse=edges_sparse):
     from ..functions import similarity as sm
 
-    t = edges_sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("s"))
+    t = sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("s"))
     p = t.filter("source LIKE '%01'").select(F.col("source").alias("a"), F.col("s").alias("sa")).join(t.select(F.col("source").alias("b"), F.col("s").alias("sb")), F.col("a") < F.col("b"))
     jaccard, dice = sm.jaccard(F.col("sa"), F.col("sb")), sm.dice(F.col("sa"), F.col("sb"))
     return p.select("a", "b", r6(jaccard).alias("jaccard"), r6(dice).alias("dice"), r6(sm.composite(jaccard, dice, F.size(F.array_intersect("sa", "sb")))).alias("composite"))
@@ -93,16 +93,16 @@ def m16(spark, d):
   t AS (SELECT DISTINCT source, target FROM sparse), sh AS (SELECT a.source AS a, b.source AS b, count(*) AS shared FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
   x AS (SELECT sh.*, p.e AS ea, q.e AS eb, p.k AS ka, q.k AS kb, shared / CAST(p.n AS DOUBLE) AS confidence, (shared / CAST(p.n AS DOUBLE)) / (q.n / CAST(p.n + q.n - shared AS DOUBLE)) AS lift, (p.e + q.e) / 2 AS base, len(p.m) + len(q.m) - 2 * len(list_intersect(p.m, q.m)) AS d, len(p.m) + len(q.m) AS mm FROM sh JOIN per p ON p.source = sh.a JOIN per q ON q.source = sh.b),
   y AS (SELECT *, least(1, base) AS combined, least(1, 0.3 * confidence + 0.3 * least(1, (lift - 1) / 4) + 0.2 * least(1, least(1, base) / greatest(base, 0.1) - 1) + 0.2 * d / mm::DOUBLE) AS synergy FROM x)
-  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.6 AND lift >= 0.9 AND synergy >= 0.1""", (SPARSE,))
-def m17(spark, d):
-    out = mn.combinations(edges_sparse(spark, d), 0.6, 0.9, 3, 0.1)
+  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.6 AND lift >= 0.9 AND synergy >= 0.1""", (SPARSE,), whole=False)
+def m17(spark, d, sparse=edges_sparse):
+    out = mn.combinations(sparse(spark, d), 0.6, 0.9, 3, 0.1)
     return out.withColumns({c: r6(c) for c in ("confidence", "lift", "combined", "synergy")})
 
 
 @query("m18_combination_trends", """, t AS (SELECT DISTINCT source, target FROM sparse), sh AS (SELECT a.source AS a, b.source AS b FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 10)
   SELECT s AS source, count(*) AS n FROM (SELECT a AS s FROM sh UNION ALL SELECT b FROM sh) GROUP BY s ORDER BY n DESC, s LIMIT 5""", (SPARSE,))
-def m18(spark, d):
-    t = edges_sparse(spark, d).select("source", "target").distinct()
+def m18(spark, d, sparse=edges_sparse):
+    t = sparse(spark, d).select("source", "target").distinct()
     sh = t.withColumnRenamed("source", "a").join(t.withColumnRenamed("source", "b"), "target").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("k")).filter("k >= 10")
     return sh.select(F.explode(F.array("a", "b")).alias("source")).groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(5)
 
@@ -122,9 +122,9 @@ _GAPS = _CLUSTERS + """, pairs AS (SELECT source, target, sum(weight * confidenc
   CASE WHEN sources >= 3 AND strength >= 0.7 THEN 'VERY HIGH - Multiple strong indicators' WHEN sources >= 2 AND strength >= 0.6 THEN 'HIGH - Strong evidence from similar conditions' WHEN sources >= 2 OR strength >= 0.5 THEN 'MODERATE - Some supporting evidence' ELSE 'LOW - Limited evidence available' END AS confidence_level FROM z WHERE score >= 0.5"""
 
 
-@query("m19_research_gaps", _GAPS, (SPARSE,))
-def m19(spark, d):
-    return mn.gaps(edges_sparse(spark, d), brand_clusters(spark, d), {"Supplier#000000003": 0.9}, cap=None).withColumn("score", r6("score"))
+@query("m19_research_gaps", _GAPS, (SPARSE,), whole=False)
+def m19(spark, d, sparse=edges_sparse):
+    return mn.gaps(sparse(spark, d), brand_clusters(spark, d), {"Supplier#000000003": 0.9}, cap=None).withColumn("score", r6("score"))
 
 
 @query("m20_failed_interventions", """, per AS (SELECT source, count(*) AS n, count(CASE WHEN outcome = 'worsens' THEN 1 END) AS negative, count(CASE WHEN outcome IN ('no_effect', 'inconclusive') THEN 1 END) AS neutral, count(CASE WHEN outcome = 'improves' THEN 1 END) AS positive, avg(confidence) AS q,
@@ -140,8 +140,8 @@ def m20(spark, d):
   c AS (SELECT source, count(DISTINCT target) AS conditions FROM sparse GROUP BY source), x AS (SELECT *, CASE WHEN evidence < 5 THEN 0.9 WHEN evidence < 15 THEN 0.6 WHEN evidence < 30 THEN 0.3 ELSE 0.1 END AS vol FROM p JOIN c USING (source) WHERE mechanisms >= 3 AND conditions >= 4 AND effect > 0.3 AND evidence >= 3),
   y AS (SELECT *, least(1, (vol + least(1, mechanisms / 5.0)) / 2)::DOUBLE AS i FROM x)
   SELECT source, mechanisms, conditions, round(mechanisms * conditions * effect * least(2.0, 1 + log10(evidence)), 6) AS fundamentality, round(i, 6) AS innovation_index, CASE WHEN evidence >= 10 AND i <= 0.6 THEN 'established' WHEN evidence >= 5 AND i >= 0.6 AND i <= 0.9 THEN 'emerging' ELSE 'experimental' END AS classification FROM y""", (SPARSE,))
-def m21(spark, d):
-    out = mn.fundamentals(edges_sparse(spark, d))
+def m21(spark, d, sparse=edges_sparse):
+    out = mn.fundamentals(sparse(spark, d))
     return out.select("source", "mechanisms", "conditions", r6("fundamentality").alias("fundamentality"), r6("innovation_index").alias("innovation_index"), "classification")
 
 
@@ -173,8 +173,8 @@ def m23(spark, d):
 
 
 @query("m25_recommendations")
-def m25(spark, d):
-    e = edges_sparse(spark, d)
+def m25(spark, d, sparse=edges_sparse):
+    e = sparse(spark, d)
     out = mn.recommendations(e, mn.condition_similarity(e), mn.failures(e), mn.innovation(edges(spark, d, design=True), 2001))
     return out.withColumn("score", r6("score"))
 
@@ -188,8 +188,8 @@ def m26(spark, d):
 
 
 @query("m27_emerging_categories", """SELECT mechanism AS category, count(*) AS items, count(DISTINCT paper_id) AS papers, round(least(0.4, 0.05 * count(*)) + least(0.3, 0.1 * count(DISTINCT paper_id)) + CASE WHEN mechanism LIKE '%STEEL%' THEN 0.2 ELSE 0 END + 0.1, 6)::DOUBLE AS confidence FROM sparse WHERE outcome = 'inconclusive' GROUP BY mechanism HAVING count(*) >= 3 AND count(DISTINCT paper_id) >= 2""", (SPARSE,))
-def m27(spark, d):
-    g = edges_sparse(spark, d).filter("outcome = 'inconclusive'").groupBy(F.col("mechanism").alias("category")).agg(F.count("*").alias("items"), F.countDistinct("paper_id").alias("papers")).filter("items >= 3 AND papers >= 2")
+def m27(spark, d, sparse=edges_sparse):
+    g = sparse(spark, d).filter("outcome = 'inconclusive'").groupBy(F.col("mechanism").alias("category")).agg(F.count("*").alias("items"), F.countDistinct("paper_id").alias("papers")).filter("items >= 3 AND papers >= 2")
     sure = F.least(F.lit(0.4), 0.05 * F.col("items")) + F.least(F.lit(0.3), 0.1 * F.col("papers")) + F.when(F.col("category").like("%STEEL%"), 0.2).otherwise(0.0) + 0.1
     return g.withColumn("confidence", r6(sure))
 

@@ -10,8 +10,8 @@ from .registry import EDGES, PAPERS, SPARSE, query, r6
 PAIR = ", p AS (SELECT source, target, count(*) AS edge_count, round(sum(weight * confidence) / count(*) * avg(confidence), 6) AS score FROM sparse GROUP BY ALL)"
 
 
-def scored(spark, d):
-    return fold_pairs(edges_sparse(spark, d), None).select("source", "target", "edge_count", r6("aggregate_score").alias("score"))
+def scored(spark, d, sparse=edges_sparse):
+    return fold_pairs(sparse(spark, d), None).select("source", "target", "edge_count", r6("aggregate_score").alias("score"))
 
 
 @query("w2_rank_in_condition", PAIR + " SELECT target, source, score, row_number() OVER (PARTITION BY target ORDER BY score DESC, source) AS rank FROM p", (SPARSE,))
@@ -94,8 +94,8 @@ def o3(spark, d):
 
 
 @query("o4_most_frequent", "SELECT mechanism, count(*) AS n FROM sparse GROUP BY mechanism ORDER BY n DESC, mechanism LIMIT 3", (SPARSE,))
-def o4(spark, d):
-    return edges_sparse(spark, d).groupBy("mechanism").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "mechanism").limit(3)
+def o4(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).groupBy("mechanism").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "mechanism").limit(3)
 
 
 @query("o5_stratified_sample", "SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('7' || CAST(doc_id AS VARCHAR)), doc_id) AS r, count(*) OVER (PARTITION BY lang) AS n FROM documents) WHERE r <= ceil(n * 0.1)")

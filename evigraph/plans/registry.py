@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import edges
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +24,8 @@ edges AS (
               WHEN l_returnflag = 'R' THEN 0.0 WHEN l_quantity < 5 THEN 0.3 ELSE 1.0 END::DOUBLE AS weight
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"""
 SPARSE = EDGES + ",\nsparse AS (SELECT * FROM edges WHERE year = 1998 AND month <= 3)"
+#: Stands for SPARSE in the SQL of a query's whole form.
+WHOLE = EDGES + ",\nsparse AS (SELECT * FROM edges)"
 PAPERS = """
 papers AS (
   SELECT o_orderkey AS pmid, 'Study of customer ' || o_custkey AS title, CASE WHEN o_orderkey % 11 <> 0 THEN 'Abstract ' || o_orderpriority END AS abstract, o_orderpriority AS journal,
@@ -59,15 +64,24 @@ def steady(sql: str) -> str:
     return out + sql[at:]
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:
-    """Register a query; ``sql`` may use the views named."""
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), whole: bool = True) -> Callable[[Query], Query]:
+    """Register a query; ``sql`` may use the views named.
 
-    def add(f: Query) -> Query:
+    A query that takes its edges from a parameter ``sparse`` is also registered over all edges, as
+    ``name_all``, unless ``whole`` is off: where untested pairs are the feature.
+    """
+
+    def put(name: str, f: Query, sql: str | None, views: tuple[str, ...]) -> None:
         if name in QUERIES:
             raise ValueError(f"two queries are named {name}")
         QUERIES[name] = f
         if sql is not None:
             ORACLES[name] = steady(("WITH " + ",".join(views) + "\n" if views else "") + sql)
+
+    def add(f: Query) -> Query:
+        put(name, f, sql, views)
+        if whole and "sparse" in signature(f).parameters:
+            put(f"{name}_all", lambda spark, d: f(spark, d, sparse=edges), sql and sql.replace(SPARSE, WHOLE), tuple(WHOLE if v is SPARSE else v for v in views))
         return f
 
     return add

@@ -64,8 +64,8 @@ def x9(spark, d):
 
 @query("x10_flatten_nested", """, n AS (SELECT source, list(struct_pack(t := target, m := mechanism) ORDER BY study_id) AS studies FROM sparse GROUP BY source)
   SELECT source, s.t AS target, count(*) AS n, string_agg(DISTINCT s.m, '; ' ORDER BY s.m) AS mechanisms FROM (SELECT source, unnest(studies) AS s FROM n) GROUP BY ALL""", (SPARSE,))
-def x10(spark, d):
-    nested = edges_sparse(spark, d).groupBy("source").agg(F.collect_list(F.struct("target", "mechanism")).alias("studies"))
+def x10(spark, d, sparse=edges_sparse):
+    nested = sparse(spark, d).groupBy("source").agg(F.collect_list(F.struct("target", "mechanism")).alias("studies"))
     flat = nested.select("source", F.explode("studies").alias("s")).select("source", "s.target", "s.mechanism")
     return flat.groupBy("source", "target").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("mechanism")), "; ").alias("mechanisms"))
 
@@ -117,9 +117,9 @@ def x17(spark, d):
 
 @query("x18_weighted_combination", """, p AS (SELECT source, avg(confidence) AS a, avg(CASE WHEN outcome = 'worsens' THEN confidence END) AS b, max(CASE WHEN outcome = 'inconclusive' THEN confidence END) AS c FROM sparse GROUP BY source)
   SELECT source, round(greatest(0, least(1, (coalesce(a, 0) * 1.0 + coalesce(b * 0.9, 0) + coalesce(c * 0.6, 0)) / ((CASE WHEN a IS NULL THEN 0 ELSE 1.0 END) + (CASE WHEN b IS NULL THEN 0 ELSE 0.9 END) + (CASE WHEN c IS NULL THEN 0 ELSE 0.6 END)))), 6) AS score FROM p""", (SPARSE,))
-def x18(spark, d):
+def x18(spark, d, sparse=edges_sparse):
     c = F.col("confidence")
-    p = edges_sparse(spark, d).groupBy("source").agg(F.avg(c).alias("a"), F.avg(F.when(F.col("outcome") == "worsens", c)).alias("b"), F.max(F.when(F.col("outcome") == "inconclusive", c)).alias("c"))
+    p = sparse(spark, d).groupBy("source").agg(F.avg(c).alias("a"), F.avg(F.when(F.col("outcome") == "worsens", c)).alias("b"), F.max(F.when(F.col("outcome") == "inconclusive", c)).alias("c"))
     return p.select("source", r6(sc.weighted_mean([F.col(x) for x in "abc"], [1.0, 0.9, 0.6])).alias("score"))
 
 

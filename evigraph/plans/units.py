@@ -80,22 +80,22 @@ def k5(spark, d):
 
 
 @query("k7_json_document", "SELECT source, count(*) AS n FROM sparse GROUP BY source", (SPARSE,))
-def k7(spark, d):
+def k7(spark, d, sparse=edges_sparse):
     path = _scratch(spark, "document")
-    sinks.write_json_document(edges_sparse(spark, d).groupBy("source").agg(F.count("*").alias("n")), path)
+    sinks.write_json_document(sparse(spark, d).groupBy("source").agg(F.count("*").alias("n")), path)
     return spark.read.schema("source string, n bigint").json(path)
 
 
 @query("k12_csv_round_trip", "SELECT source, target, count(*) AS n FROM sparse GROUP BY ALL", (SPARSE,))
-def k12(spark, d):
+def k12(spark, d, sparse=edges_sparse):
     path = _scratch(spark, "csv")
-    sinks.write_csv(edges_sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n")), path)
+    sinks.write_csv(sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n")), path)
     return spark.read.csv(path, header=True, schema="source string, target string, n bigint")
 
 
 @query("k13_run_log", "SELECT 'mining' AS phase, (SELECT count(*) FROM sparse) AS rows, 'completed' AS status", (SPARSE,))
-def k13(spark, d):
-    return sinks.run_log(spark, "mining", edges_sparse(spark, d).count(), "completed").select("phase", "rows", "status")
+def k13(spark, d, sparse=edges_sparse):
+    return sinks.run_log(spark, "mining", sparse(spark, d).count(), "completed").select("phase", "rows", "status")
 
 
 @query("k14_rollback", "SELECT pmid FROM papers WHERE pmid < 500", (PAPERS,))
@@ -110,8 +110,8 @@ def k14(spark, d):
 
 # -- graph and scores under their own names -----------------------------------------
 @query("g6_fundamental_interventions", ", p AS (SELECT source, target, round(sum(weight * confidence) / count(*) * avg(confidence), 3) AS s FROM sparse GROUP BY ALL) SELECT source, count(CASE WHEN s > 0 THEN 1 END) AS positive_conditions FROM p GROUP BY source HAVING count(CASE WHEN s > 0 THEN 1 END) >= 5", (SPARSE,))
-def g6(spark, d):
-    return ev.fundamental(edges_sparse(spark, d), 5).select("source", "positive_conditions")
+def g6(spark, d, sparse=edges_sparse):
+    return ev.fundamental(sparse(spark, d), 5).select("source", "positive_conditions")
 
 
 @query("x22_outcome_weights", "SELECT outcome, weight, count(*) AS n FROM edges GROUP BY ALL", (EDGES,))
@@ -203,10 +203,10 @@ def v14(spark, d):
 
 # -- resolution and curation ---------------------------------------------------------------
 @query("e4_batch_resolution", "SELECT e.study_id, i.canonical_name AS intervention, c.canonical_name AS condition FROM sparse e LEFT JOIN canonical i ON e.source = i.entity_name AND i.entity_type = 'intervention' LEFT JOIN canonical c ON e.target = c.entity_name AND c.entity_type = 'condition'", (SPARSE, CANONICAL))
-def e4(spark, d):
+def e4(spark, d, sparse=edges_sparse):
     names = canonical(spark, d)
     of = lambda kind, end, out: names.filter(F.col("entity_type") == kind).select(F.col("entity_name").alias(end), F.col("canonical_name").alias(out))
-    return edges_sparse(spark, d).select("study_id", "source", "target").join(of("intervention", "source", "intervention"), "source", "left").join(of("condition", "target", "condition"), "target", "left").select("study_id", "intervention", "condition")
+    return sparse(spark, d).select("study_id", "source", "target").join(of("intervention", "source", "intervention"), "source", "left").join(of("condition", "target", "condition"), "target", "left").select("study_id", "intervention", "condition")
 
 
 @query("e9_rule_based_duplicates", "SELECT a.source AS a, b.source AS b, a.paper_id FROM (SELECT DISTINCT source, paper_id FROM edges) a JOIN (SELECT DISTINCT source, paper_id FROM edges) b ON a.paper_id = b.paper_id AND right(a.source, 2) = right(b.source, 2) AND a.source < b.source", (EDGES,))
@@ -229,40 +229,40 @@ def q4(spark, d):
 
 
 @query("r5_insert_normalised", "SELECT DISTINCT coalesce(c.canonical_name, e.source) AS source, e.target FROM sparse e LEFT JOIN canonical c ON e.source = c.entity_name AND c.category = 'ASIA'", (SPARSE, CANONICAL))
-def r5(spark, d):
+def r5(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).filter("category = 'ASIA'").select(F.col("entity_name").alias("source"), "canonical_name")
-    rows = edges_sparse(spark, d).join(names, "source", "left").select(F.coalesce("canonical_name", "source").alias("source"), "target")
+    rows = sparse(spark, d).join(names, "source", "left").select(F.coalesce("canonical_name", "source").alias("source"), "target")
     return sinks.insert_ignore(rows.limit(0), rows, ["source", "target"])
 
 
 @query("r7_summary_export", "SELECT count(DISTINCT source) AS names, count(DISTINCT CASE WHEN canonical_name IS NOT NULL THEN source END) AS normalised, round(count(canonical_name) / CAST(count(*) AS DOUBLE), 6) AS rate FROM sparse LEFT JOIN canonical ON source = entity_name AND category <> 'EUROPE'", (SPARSE, CANONICAL))
-def r7(spark, d):
+def r7(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).filter("category <> 'EUROPE'").select(F.col("entity_name").alias("source"), "canonical_name")
-    rows = edges_sparse(spark, d).join(names, "source", "left")
+    rows = sparse(spark, d).join(names, "source", "left")
     return rows.agg(F.countDistinct("source").alias("names"), F.countDistinct(F.when(F.col("canonical_name").isNotNull(), F.col("source"))).alias("normalised"), r6(F.count("canonical_name") / F.count("*")).alias("rate"))
 
 
 @query("r9_consensus_validation", ", g AS (SELECT source, target, outcome, count(DISTINCT paper_id) AS papers, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL) SELECT source, target, outcome, papers >= 2 AND c >= 0.7 AS accepted FROM g", (SPARSE,))
-def r9(spark, d):
-    c = ev.consensus(edges_sparse(spark, d), ["source", "target"])
+def r9(spark, d, sparse=edges_sparse):
+    c = ev.consensus(sparse(spark, d), ["source", "target"])
     return c.select("source", "target", "outcome", ((F.col("papers") >= 2) & (r6("mean") >= 0.7)).alias("accepted"))
 
 
 @query("r10_consensus_ratios", ", g AS (SELECT source, target, count(DISTINCT outcome) AS k, count(*) AS n FROM sparse GROUP BY ALL) SELECT count(*) AS pairs, round(count(CASE WHEN k = 1 THEN 1 END) / CAST(count(*) AS DOUBLE), 6) AS agreed, round(avg(n), 6) AS studies FROM g", (SPARSE,))
-def r10(spark, d):
-    g = edges_sparse(spark, d).groupBy("source", "target").agg(F.countDistinct("outcome").alias("k"), F.count("*").alias("n"))
+def r10(spark, d, sparse=edges_sparse):
+    g = sparse(spark, d).groupBy("source", "target").agg(F.countDistinct("outcome").alias("k"), F.count("*").alias("n"))
     return g.agg(F.count("*").alias("pairs"), r6(F.count_if(F.col("k") == 1) / F.count("*")).alias("agreed"), r6(F.avg("n")).alias("studies"))
 
 
 @query("r12_function_targets", "SELECT mechanism, count(DISTINCT source) AS members FROM sparse WHERE outcome = 'improves' GROUP BY mechanism", (SPARSE,))
-def r12(spark, d):
-    m = edges_sparse(spark, d).filter("outcome = 'improves'").groupBy("source").agg(F.collect_set("mechanism").alias("functions"))
+def r12(spark, d, sparse=edges_sparse):
+    m = sparse(spark, d).filter("outcome = 'improves'").groupBy("source").agg(F.collect_set("mechanism").alias("functions"))
     return m.select(F.explode("functions").alias("mechanism")).groupBy("mechanism").agg(F.count("*").alias("members"))
 
 
 @query("r13_map_insights", ", t AS (SELECT target, count(DISTINCT source) AS n FROM sparse GROUP BY target) SELECT count(*) AS conditions, min(n) AS least, max(n) AS most, round(avg(n), 6) AS mean FROM t", (SPARSE,))
-def r13(spark, d):
-    t = edges_sparse(spark, d).groupBy("target").agg(F.countDistinct("source").alias("n"))
+def r13(spark, d, sparse=edges_sparse):
+    t = sparse(spark, d).groupBy("target").agg(F.countDistinct("source").alias("n"))
     return t.agg(F.count("*").alias("conditions"), F.min("n").alias("least"), F.max("n").alias("most"), r6(F.avg("n")).alias("mean"))
 
 
@@ -313,9 +313,9 @@ def r23(spark, d):
 
 
 @query("r24_condition_status", "SELECT target, count(*) AS n, count(CASE WHEN source IN (SELECT entity_name FROM canonical WHERE category = 'ASIA') THEN 1 END) AS normalised FROM sparse GROUP BY target", (SPARSE, CANONICAL))
-def r24(spark, d):
+def r24(spark, d, sparse=edges_sparse):
     done = canonical(spark, d).filter("category = 'ASIA'").select(F.col("entity_name").alias("source"), F.lit(True).alias("done")).distinct()
-    return edges_sparse(spark, d).join(done, "source", "left").groupBy("target").agg(F.count("*").alias("n"), F.count("done").alias("normalised"))
+    return sparse(spark, d).join(done, "source", "left").groupBy("target").agg(F.count("*").alias("n"), F.count("done").alias("normalised"))
 
 
 # -- drivers and lookups -----------------------------------------------------------------
@@ -336,13 +336,13 @@ def c8(spark, d):
 
 
 @query("c9_tested_pairs", "SELECT DISTINCT source, target FROM sparse", (SPARSE,))
-def c9(spark, d):
-    return edges_sparse(spark, d).select("source", "target").distinct()
+def c9(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).select("source", "target").distinct()
 
 
 @query("c10_failure_status", ", f AS (SELECT source, count(CASE WHEN outcome <> 'improves' THEN 1 END) / CAST(count(*) AS DOUBLE) AS r, count(*) AS n FROM sparse GROUP BY source) SELECT s_name AS source, CASE WHEN r >= 0.6 AND n >= 3 THEN 'FAILED' ELSE 'NOT_IN_CATALOG' END AS status FROM supplier LEFT JOIN f ON s_name = source", (SPARSE,))
-def c10(spark, d):
-    failed = mn.failures(edges_sparse(spark, d)).select("source", F.lit("FAILED").alias("status"))
+def c10(spark, d, sparse=edges_sparse):
+    failed = mn.failures(sparse(spark, d)).select("source", F.lit("FAILED").alias("status"))
     return raw(spark, d, "supplier").select(F.col("s_name").alias("source")).join(failed, "source", "left").select("source", F.coalesce("status", F.lit("NOT_IN_CATALOG")).alias("status"))
 
 
@@ -383,8 +383,8 @@ def c12(spark, d):
 
 
 @query("c13_single_source_branch", ", g AS (SELECT source, target, count(*) AS n, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL) SELECT source, target, CASE WHEN n = 1 THEN 'single' ELSE 'consensus' END AS kind, c AS confidence FROM g", (SPARSE,))
-def c13(spark, d):
-    g = edges_sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"), r6(F.avg("confidence")).alias("confidence"))
+def c13(spark, d, sparse=edges_sparse):
+    g = sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"), r6(F.avg("confidence")).alias("confidence"))
     return g.select("source", "target", F.when(F.col("n") == 1, "single").otherwise("consensus").alias("kind"), "confidence")
 
 
@@ -400,8 +400,8 @@ def c15(spark, d):
 
 
 @query("c16_combinations_of_condition", ", s AS (SELECT source, list(DISTINCT target) AS t FROM sparse GROUP BY source) SELECT source FROM s WHERE list_contains(t, 'Brand#11')", (SPARSE,))
-def c16(spark, d):
-    s = edges_sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
+def c16(spark, d, sparse=edges_sparse):
+    s = sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
     return s.filter(F.array_contains("t", "Brand#11")).select("source")
 
 
@@ -424,8 +424,8 @@ def c23(spark, d):
 
 
 @query("c26_name_templates", "SELECT DISTINCT source, 'intervention: ' || source || ' (' || mechanism || ')' AS text FROM sparse", (SPARSE,))
-def c26(spark, d):
-    return edges_sparse(spark, d).select("source", F.format_string("intervention: %s (%s)", "source", "mechanism").alias("text")).distinct()
+def c26(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).select("source", F.format_string("intervention: %s (%s)", "source", "mechanism").alias("text")).distinct()
 
 
 @query("c28_cluster_loader", "SELECT c.cluster_id, count(*) AS members, count(DISTINCT e.label) AS labels FROM clusters c JOIN embeddings e ON c.member = e.vec_id GROUP BY c.cluster_id", (CLUSTERS,))
@@ -465,8 +465,8 @@ def c40(spark, d):
 
 
 @query("m6_min_evidence", ", k AS (SELECT source, target, count(CASE WHEN outcome <> 'inconclusive' THEN 1 END) AS evidence_count FROM sparse GROUP BY ALL) SELECT source, target, evidence_count FROM k WHERE evidence_count >= 3", (SPARSE,))
-def m6_min(spark, d):
-    return bayes.score_pairs(edges_sparse(spark, d), 3, quantiles=False).select("source", "target", "evidence_count")
+def m6_min(spark, d, sparse=edges_sparse):
+    return bayes.score_pairs(sparse(spark, d), 3, quantiles=False).select("source", "target", "evidence_count")
 
 
 @query("e5_group_local_candidates", "SELECT a.n_name AS a, b.n_name AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_name < b.n_name AND length(a.n_name) = length(b.n_name)")

@@ -148,9 +148,9 @@ def v21(spark, d):
 
 
 @query("v22_cross_category", """, m AS (SELECT DISTINCT e.target, c.category FROM sparse e JOIN canonical c ON e.source = c.entity_name) SELECT target, count(*) AS categories, string_agg(category, ',' ORDER BY category) AS spans FROM m GROUP BY target HAVING count(*) > 1""", (SPARSE, CANONICAL))
-def v22(spark, d):
+def v22(spark, d, sparse=edges_sparse):
     names = canonical(spark, d).select(F.col("entity_name").alias("source"), "category")
-    m = edges_sparse(spark, d).select("source", "target").join(names, "source").groupBy("target").agg(F.array_sort(F.collect_set("category")).alias("c"))
+    m = sparse(spark, d).select("source", "target").join(names, "source").groupBy("target").agg(F.array_sort(F.collect_set("category")).alias("c"))
     return m.filter(F.size("c") > 1).select("target", F.size("c").cast("bigint").alias("categories"), F.array_join("c", ",").alias("spans"))
 
 
@@ -169,8 +169,8 @@ def consolidation(usage, asked):
 
 
 @query("v24_category_discovery", "SELECT mechanism AS category, count(*) AS usage, round(avg(confidence), 6) AS mean, array_to_string((list(DISTINCT source ORDER BY source))[1:5], ',') AS examples FROM sparse GROUP BY mechanism", (SPARSE,))
-def v24(spark, d):
-    return edges_sparse(spark, d).groupBy(F.col("mechanism").alias("category")).agg(F.count("*").alias("usage"), r6(F.avg("confidence")).alias("mean"), F.array_join(F.slice(F.array_sort(F.collect_set("source")), 1, 5), ",").alias("examples"))
+def v24(spark, d, sparse=edges_sparse):
+    return sparse(spark, d).groupBy(F.col("mechanism").alias("category")).agg(F.count("*").alias("usage"), r6(F.avg("confidence")).alias("mean"), F.array_join(F.slice(F.array_sort(F.collect_set("source")), 1, 5), ",").alias("examples"))
 
 
 @query("v25_clusters_from_labels", "SELECT cluster_id, string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) AS members FROM clusters GROUP BY cluster_id", (CLUSTERS,))
@@ -179,6 +179,6 @@ def v25(spark, d):
 
 
 @query("v26_fallback_names", ", n AS (SELECT target, source, count(*) AS n FROM sparse GROUP BY ALL) SELECT target, source AS name FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY n DESC, source) AS r FROM n) WHERE r = 1", (SPARSE,))
-def v26(spark, d):
-    n = edges_sparse(spark, d).groupBy("target", "source").agg(F.count("*").alias("n"))
+def v26(spark, d, sparse=edges_sparse):
+    n = sparse(spark, d).groupBy("target", "source").agg(F.count("*").alias("n"))
     return n.groupBy("target").agg(F.min_by("source", F.struct(-F.col("n"), F.col("source"))).alias("name"))
