@@ -8,7 +8,7 @@ from ..operators.components import weak_components
 from ..sources.sinks import node_link
 from ..sources.tables import canonical, edges, edges_sparse
 from .aggregates import ADVICE, FOLD, POOLED
-from .registry import CANONICAL, EDGES, SPARSE, query, r6
+from .registry import CANONICAL, EDGES, SPARSE, WHOLE, query, r6
 
 _PAIRS = f", p AS (SELECT source, target, {FOLD}, arg_max(study_id, (confidence, study_id)) AS strongest_study FROM edges GROUP BY ALL)"
 _SHOWN = f"""source, target, edge_count, round(raw_score, 6) AS raw_score, round(avg_confidence, 6) AS avg_confidence, round(raw_score * avg_confidence, 6) AS aggregate_score,
@@ -107,8 +107,14 @@ def g10(spark, d, sparse=edges_sparse):
 
 @query("g11_weak_components", "WITH RECURSIVE" + SPARSE + """, l AS (SELECT source AS a, target AS b FROM sparse WHERE month = 1 AND confidence > 0.95 UNION SELECT target, source FROM sparse WHERE month = 1 AND confidence > 0.95),
   w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""", whole=False)
-def g11(spark, d, sparse=edges_sparse):
-    return weak_components(sparse(spark, d).filter("month = 1 AND confidence > 0.95").select("source", "target"), "source", "target")
+def g11(spark, d, sparse=edges_sparse, part="month = 1 AND confidence > 0.95"):
+    return weak_components(sparse(spark, d).filter(part).select("source", "target"), "source", "target")
+
+
+@query("g11_weak_components_all", "WITH RECURSIVE" + WHOLE + """, l AS (SELECT source AS a, target AS b FROM sparse UNION SELECT target, source FROM sparse),
+  w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""")
+def g11_all(spark, d):
+    return g11(spark, d, edges, "TRUE")
 
 
 @query("g12_local_clustering", _LINKS + """, n AS (SELECT DISTINCT source, target FROM links WHERE source <> target), k AS (SELECT source, count(*) AS k FROM n GROUP BY source),
