@@ -74,7 +74,7 @@ def shingle_hashes(texts: list[bytes], size: int) -> list[np.ndarray]:
     word = hashes(raw, start, end)
     first = np.searchsorted(start, at)
     run = word.copy()
-    for k in range(1, size):
+    for k in range(1, min(size, len(word))):
         run[: len(word) - k] = mix(run[: len(word) - k]) + word[k:]
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):

@@ -63,6 +63,14 @@ def test_similar_sets_share_a_segment_and_distance_is_a_lower_bound(base, more,
         assert set(jj.segment_keys(x, num, den).tolist()) & set(jj.segment_keys(y, num, den).tolist())
 
 
+@pytest.mark.parametrize("words", [0, 1, 2, 3, 4, 5])
+def test_a_single_short_document(words):
+    text = " ".join(f"w{k}" for k in range(words))
+    alone = jj.shingle_hashes([text.encode()], 5)
+    among = jj.shingle_hashes([text.encode(), b"a b c d e f g h"], 5)
+    assert len(alone) == 1 and alone[0].tolist() == among[0].tolist() and len(alone[0]) == min(words, 1)
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}
