@@ -4,10 +4,12 @@ The patterns find e-mail addresses, IPv4 addresses, card numbers and phone numbe
 distinct value is a protected entity. Over the whole corpus the co-occurrence of terms
 with entities is counted: in how many documents a term stands within ``WINDOW`` words of
 an entity, and in how many the term and the entity occur at all. With N documents, an
-entity e carries log2(N / df(e)) bits, and a term t discloses log2(N co(t, e) / (df(t)
-df(e))) of them. A term that discloses the share ``threshold`` or more of some entity, and
-does so in ``support`` different contexts (copies of one context count once), is a span of
-kind ``term`` wherever it occurs.
+entity e carries log2(N / df(e)) bits, and a term t discloses log2(N p / df(e)) of them,
+where p is how likely e is near t: co(t, e) / df(t) if they meet in ``support`` different
+contexts or more. A pair with c < ``support`` contexts takes part with a smoothed estimate:
+copies of one context count once, and the contexts that are missing count as occurrences
+of t without e, so p = c / (df(t) - co(t, e) + support). A term that discloses the share
+``threshold`` or more of some entity is a span of kind ``term`` wherever it occurs.
 
 Defined results: a null text is empty and has no spans; spans of different kinds may
 overlap and are all reported; repeated rows are reported each and count as documents;
@@ -144,7 +146,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float =
     # one row for each entity, term and context with its number of documents: summed map-side first
     met = persist_table(rows.groupBy("entity", "term", "context").agg(F.count("*").alias("n")), "met")
     entities = met.filter("term IS NULL").groupBy("entity").agg(F.sum("n").alias("df_e"))
-    pairs = met.filter("term IS NOT NULL").groupBy("entity", "term").agg(F.sum("n").alias("co"), F.count("*").alias("contexts")).filter(F.col("contexts") >= support)
+    pairs = met.filter("term IS NOT NULL").groupBy("entity", "term").agg(F.sum("n").alias("co"), F.count("*").alias("contexts"))
     pairs = persist_table(pairs.join(entities, "entity"), "pairs")
     bits = pairs.select(F.pmod("term", F.lit(FILTER_BITS)).alias("b")).select(F.shiftright("b", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(b & 63 AS int))").alias("bit"))
     words = np.zeros(FILTER_BITS // 64, np.int64)
@@ -175,7 +177,8 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float =
     df = texts.mapInArrow(frequencies, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("df_t"))
     df = persist_table(df, "frequencies")
     n = df.filter("term IS NULL").agg(F.sum("df_t")).first()[0] or 0
-    bits_e, bits_t = F.log2(F.lit(float(n)) / F.col("df_e")), F.log2(F.lit(float(n)) * F.col("co") / (F.col("df_t") * F.col("df_e")))
+    likely = F.when(F.col("contexts") >= support, F.col("co") / F.col("df_t")).otherwise(F.col("contexts") / (F.col("df_t") - F.col("co") + support))
+    bits_e, bits_t = F.log2(F.lit(float(n)) / F.col("df_e")), F.log2(F.lit(float(n)) * likely / F.col("df_e"))
     told = pairs.join(df.filter("term IS NOT NULL"), "term").withColumn("share", F.when(bits_e > 0, bits_t / bits_e).otherwise(0.0))
     terms = persist_table(told.filter(F.col("share") >= threshold).groupBy("term").agg(F.max("share").alias("share")), "terms")
     drop_tables(met, pairs, df)
@@ -194,6 +197,22 @@ def term_spans(text: str, terms: np.ndarray) -> list[tuple[str, int, int]]:
     return [("term", *found[i]) for i in np.flatnonzero(hit)]
 
 
+def with_terms(texts: list[str], shared: list) -> set[int]:
+    """The texts in which a word of a block of terms occurs."""
+    out: set[int] = set()
+    if not any(len(s.value) for s in shared):
+        return out
+    raw, begin = lowered([t.encode() for t in texts])
+    start, end = borders(raw, ALNUM)
+    long = end - start >= 3
+    start, end = start[long], end[long]
+    h = hashes(raw, start, end).view(np.int64)
+    for terms in (s.value for s in shared if len(s.value)):
+        hit = terms[np.minimum(np.searchsorted(terms, h), len(terms) - 1)] == h
+        out.update((np.searchsorted(begin, start[hit], "right") - 1).tolist())
+    return out
+
+
 def spell(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -227,7 +246,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
             for part in runs(batch):
                 texts = part.column(0).to_pylist()
                 base = [base_spans(t) for t in texts]
-                every = [b + sorted(x for s in shared for x in term_spans(t, s.value)) for t, b in zip(texts, base, strict=True)]
+                told = with_terms(texts, shared)
+                every = [b + (sorted(x for s in shared for x in term_spans(t, s.value)) if i in told else []) for i, (t, b) in enumerate(zip(texts, base, strict=True))]
                 made = {f"n_{k}": pa.array([sum(s[0] == k for s in b) for b in base], pa.int64()) for k in KINDS[:4]}
                 plain = [spell(b) for b in base]
                 made["base"] = pa.array(plain, pa.string())

@@ -1,5 +1,7 @@
 import re
+from types import SimpleNamespace
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -49,6 +51,22 @@ def test_copies_of_one_context_prove_nothing(spark):
     assert not any("term" in r.spans for r in got)
 
 
+def test_rare_entities_and_copied_lines_take_part(spark):
+    rows = [(i, f"filler words number {i % 7} in here") for i in range(12000)]
+    rows += [(5000, "the quixotic person wrote once@rare.example in here")]  # an entity that occurs once
+    rows += [(6000 + i, "contact zanzibarite copied@line.example in here") for i in range(10)]  # one line, copied
+    rows += [(7000, "quixotic"), (7001, "zanzibarite")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[7000] == "term:0:8" and got[7001] == "term:0:11" and got[0] == ""
+
+
+def test_texts_with_terms_are_those_with_spans():
+    terms = np.sort(pii.word_hashes(["zebra", "caf\u00e9", "abc"]))
+    texts = ["a ZEBRA", "", "Caf\u00e9!", "abcd", "x", "1 abc"]
+    told = pii.with_terms(texts, [SimpleNamespace(value=terms[:1]), SimpleNamespace(value=terms[1:])])
+    assert told == {i for i, t in enumerate(texts) if pii.term_spans(t, terms)} == {0, 2, 5}
+
+
 def test_blocks_of_terms(spark, monkeypatch):
     want = sorted((r.doc_id, r.spans) for r in pii.find(corpus(spark)).collect())
     monkeypatch.setattr(pii, "BLOCK_TERMS", 1)
