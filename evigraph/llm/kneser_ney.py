@@ -8,8 +8,10 @@ by gram; what is gathered (the grams of every chunk) grows with the corpus and n
 cut off. The table of probabilities, where counted to have at most ``BROADCAST_GRAMS`` rows,
 is broadcast and documents are scored in place; a larger one is joined with the grams of each
 chunk, and each chunk of packed documents gets back those that it needs.
-A document is kept when its perplexity is not over its language's threshold, which is a
-quantile of the perplexities of trusted documents of that language.
+A document is kept when its perplexity is not over its language's threshold. With labelled
+documents that the model was not trained on, that is the quantile of the good ones at which the
+share of bad ones kept and that of good ones rejected have the least sum; for a language without
+both kinds it is a fixed quantile of the perplexities of trusted documents of that language.
 
 Defined results: a null or empty text has perplexity null and is kept; without trusted
 text of a language its threshold is null and all its documents are kept; a null language
@@ -221,8 +223,25 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     return scored.withColumn("r", parsed).select(F.col("r.i").cast(kinds[id_col]).alias(id_col), F.col("r.l").alias(lang_col), "n_units", "perplexity")
 
 
-def judge(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
-    """``id_col``, ``lang_col``, n_units, perplexity, threshold and keep for every row. ``trusted`` has the ids of trusted text."""
+def least_errors(scored: DataFrame, labelled: DataFrame, id_col: str, lang_col: str) -> DataFrame:
+    """_l, the threshold ``chosen``, quantile (of good texts), recall (of bad ones) for each language with labelled texts of both kinds."""
+    marks = labelled.groupBy(F.col(id_col).alias("_id")).agg(F.min("quality").alias("quality"))  # bad where labels differ
+    seen = scored.filter("perplexity IS NOT NULL").join(few(marks), F.col(id_col) == F.col("_id"))
+    bars = seen.groupBy(F.coalesce(lang_col, F.lit("")).alias("_l"), F.ceil(F.log("perplexity") * STEPS).cast("bigint").alias("step"))
+    bars = bars.agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
+    every = Window.partitionBy("_l")
+    upto = {c: F.sum(c).over(every.orderBy("step")) / F.sum(c).over(every) for c in ("good", "bad")}
+    rates = bars.withColumns({f"all_{c}": F.sum(c).over(every) for c in ("good", "bad")}).filter("all_good > 0 AND all_bad > 0").withColumns({f"kept_{c}": upto[c] for c in ("good", "bad")})
+    best = F.struct((1 - F.col("kept_good") + F.col("kept_bad")).alias("errors"), (-F.col("step")).alias("step"), F.col("kept_good").alias("quantile"), (1 - F.col("kept_bad")).alias("recall"))
+    best = rates.groupBy("_l").agg(F.min(best).alias("b"))  # of equal sums the highest threshold
+    return best.select("_l", F.exp(-F.col("b.step") / STEPS).alias("chosen"), "b.quantile", "b.recall")
+
+
+def judge(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_grams: int = BROADCAST_GRAMS, labelled: DataFrame | None = None) -> DataFrame:
+    """``id_col``, ``lang_col``, n_units, perplexity, threshold and keep for every row. ``trusted`` has the ids of trusted text.
+
+    ``labelled`` has ids and quality (1 or 0) of texts outside ``trusted``, which set the thresholds.
+    """
     scored = persist_table(score(docs, trusted, id_col, text_col, lang_col, broadcast_grams), "scored")
     known = scored.join(trusted.select(id_col).distinct(), id_col, "left_semi").filter("perplexity IS NOT NULL")
     # the quantile from a histogram: one row a language and step
@@ -231,6 +250,8 @@ def judge(docs: DataFrame, trusted: DataFrame, quantile: float = 0.999, id_col:
     up = Window.partitionBy("_l").orderBy("step")
     bars = bars.withColumns({"upto": F.sum("n").over(up), "all": F.sum("n").over(Window.partitionBy("_l"))}).filter(F.col("upto") >= F.col("all") * quantile)
     limit = bars.groupBy("_l").agg((F.exp(F.min("step") / STEPS)).alias("threshold"))
+    if labelled is not None:
+        limit = limit.join(least_errors(scored, labelled, id_col, lang_col), "_l", "full").select("_l", F.coalesce("chosen", "threshold").alias("threshold"))
     out = scored.join(F.broadcast(limit), F.coalesce(F.col(lang_col), F.lit("")) == F.col("_l"), "left")  # one row a language
     keep = F.col("perplexity").isNull() | F.col("threshold").isNull() | (F.col("perplexity") <= F.col("threshold"))
     return out.select(id_col, lang_col, "n_units", "perplexity", "threshold", keep.alias("keep"))

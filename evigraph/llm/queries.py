@@ -49,8 +49,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
-    return kneser_ney.judge(table(spark, sf_dir, "documents"), trusted)
+    labels = table(spark, sf_dir, "labels")
+    trusted = labels.filter("quality = 1").filter(~toxicity.held_out())
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), trusted, labelled=labels.filter(toxicity.held_out()))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

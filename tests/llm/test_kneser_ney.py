@@ -79,6 +79,22 @@ def test_rejects_junk_and_keeps_clean(spark):
     assert not any(got[1000 + i] for i in range(10)) and sum(got[i] for i in range(200)) >= 195
 
 
+def test_odd_trusted_texts_do_not_set_the_threshold(spark):
+    rng = random.Random(3)
+    vocab = ["the", "of", "river", "stone", "garden", "walked", "slowly", "into", "morning", "light"]
+    junk = lambda n: "".join(rng.choice("theofrivsngadwlkyum ") for _ in range(n))
+    good = [(i, " ".join(rng.choice(vocab) for _ in range(40)), "en") for i in range(300)]
+    odd = [(300 + i, chr(0x4E00 + i), "en") for i in range(3)]  # very short texts, but labelled good
+    bad = [(1000 + i, junk(100), "en") for i in range(40)]
+    df = spark.createDataFrame(good + odd + bad, "doc_id bigint, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(0, 303, 2)] + [(301,)], "doc_id bigint")
+    labelled = spark.createDataFrame([(i, 1) for i in range(1, 201, 2)] + [(1000 + i, 0) for i in range(20)], "doc_id bigint, quality int")
+    junk_kept = lambda rows: sum(r.keep for r in rows if r.doc_id >= 1020)
+    told = kn.judge(df, trusted, labelled=labelled).collect()
+    assert junk_kept(told) == 0 < junk_kept(kn.judge(df, trusted).collect())
+    assert sum(r.keep for r in told if 201 <= r.doc_id < 300) >= 95 and len({r.threshold for r in told}) == 1
+
+
 def test_edges(spark, edge_docs, no_docs):
     trusted = spark.createDataFrame([(1,), (None,), (1,)], "doc_id bigint")
     for most in (0, 10**6):
