@@ -5,16 +5,21 @@ two sketches never exceeds the symmetric difference of their shingle sets. Sets
 a and b whose similarity reaches t differ in at most (a + b)(1 - t)/(1 + t) shingles. Sizes
 are split into bands so wide that similar sets lie in the same band or in neighbours; for
 each band the sketch is cut into one segment more than similar sets of that band can
-differ in, so by the pigeonhole principle similar sets agree on a whole segment. Equal
-segments give buckets; pairs of a bucket whose sketches are near enough are verified on
-the words themselves.
-
-Only what connects documents is needed, so buckets are never expanded into all pairs:
-first each document is verified against the nearest of its buckets' minima, then against
-those other minima that are near and in another component. Buckets whose other members
-still are in several components go through blockwise sketch comparison: some of them for a
-spanning forest, then all of them for all near pairs that remain between components. No link
-is lost.
+differ in, so by the pigeonhole principle similar sets agree on a whole segment. Two sets
+often agree on a segment because it is empty in both. So there is one segment more for each
+``GROUP`` of them: similar sets then agree on a segment that is not empty, or on two empty
+ones of a group. Equal segments and equal pairs of empty ones give buckets; pairs of a bucket
+whose sketches are near enough are verified on the words themselves.
+
+A set has keys in its own band and in the next. Sets of the same band meet in their own, so
+in a bucket only pairs with a member of the bucket's own band count.
+
+Only what connects documents is needed, so buckets are never expanded into all pairs. Keys
+are counted with map-side aggregation, which also tells the two members of a bucket of two;
+members are listed for larger buckets alone. Each document is verified against the nearest of
+its buckets' minima, then against those other minima that are near and in another component.
+Buckets whose other members still are in several components go through blockwise sketch
+comparison for all near pairs that remain between components. No link is lost.
 
 Equal sets (equal up to 64-bit hashes of shingles, and their number) form a class, of
 which the smallest id stands for all.
@@ -30,13 +35,13 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import drop_tables, few, persist_table, runs, ship, text_or_empty
 from .components import components
@@ -44,10 +49,12 @@ from .words import SOLID, borders, hashes, lowered, mix
 
 #: Members of a bucket in one block of the blockwise comparison.
 BLOCK = 4096
-#: One in so many buckets takes part in the spanning-forest step, which only saves work for the complete step after it.
-FOREST_SHARE = 8
 #: Bits of a segment of the sketch, and of the whole-set sketch for each shingle.
-SEGMENT_BITS, BITS_A_SHINGLE = 4096, 2
+SEGMENT_BITS, BITS_A_SHINGLE = 1 << 16, 1
+#: Segments among which two empty ones make a key.
+GROUP = 32
+#: 64-bit words at most, and bits a key, of the filter of large buckets' keys; a fuller filter only lets more keys pass to the join after it.
+FILTER_WORDS, FILTER_BITS = 1 << 21, 4
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
@@ -91,7 +98,7 @@ def shingle_hashes(texts: list[bytes], size: int) -> list[np.ndarray]:
 
 
 def segment_keys(own: np.ndarray, num: int, den: int) -> np.ndarray:
-    """A key for each segment of the parity sketch, in the set's band and the next."""
+    """Keys of the parity sketch in the set's band, with the lowest bit set, and in the next, with the lowest bit clear."""
     low = bands(num, den)
     band = bisect_right(low, len(own)) - 1
     out = []
@@ -99,18 +106,29 @@ def segment_keys(own: np.ndarray, num: int, den: int) -> np.ndarray:
         apart = most_apart(low[k + 1] - 1, low[k + 1] - 1, num, den)
         if not apart:
             continue  # similar sets of this band are equal
-        n = apart + 1
+        n = apart + 1 - (-apart // GROUP)
         bit = (mix(own ^ _U(0x5851F42D4C957F2D)) % _U(n * SEGMENT_BITS)).astype(np.int64)
         bit.sort()
         edge = np.flatnonzero(np.append(True, bit[1:] != bit[:-1]))
         odd = np.diff(np.append(edge, len(bit))) & 1 == 1
         bit = bit[edge[odd]]
-        keys = mix(np.arange(n, dtype=np.uint64) + _U(k << 32))
+        named = mix(np.arange(n, dtype=np.uint64) + _U(k << 32))
+        full = np.zeros(n, bool)
+        keys = []
         if len(bit):
             segment = bit // SEGMENT_BITS
             begin = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
-            keys[segment[begin]] += np.add.reduceat(mix(bit.astype(np.uint64) + _U(1)), begin)
-        out.append(mix(keys))
+            full[segment[begin]] = True
+            keys.append(named[segment[begin]] + np.add.reduceat(mix(bit.astype(np.uint64) + _U(1)), begin))
+        empty = np.flatnonzero(~full)
+        group = empty * -(-apart // GROUP) // n
+        for step in range(1, len(empty)):
+            same = np.flatnonzero(group[step:] == group[:-step])
+            if not len(same):
+                break  # groups are runs
+            keys.append(mix(named[empty[same]]) ^ named[empty[same + step]])
+        if keys:
+            out.append(mix(np.concatenate(keys)) & ~_U(1) | _U(k == band))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -133,24 +151,50 @@ def hamming(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _sketch(docs: DataFrame, size: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame, size: int, num: int, den: int, id_col: str, text_col: str, keys: bool = False, words: Broadcast | None = None) -> DataFrame:
+    """Id, size and two hashes of each row's set, and its sketch or, asked for ``keys``, those that may be in the filter ``words``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs(batch, 1):
                 sets = shingle_hashes([t.encode() for t in part.column(1).to_pylist()], size)
+                if keys:
+                    made = [segment_keys(s, num, den) if len(s) else np.zeros(0, np.int64) for s in sets]
+                    last = pa.array([_listed(k, words.value) for k in made] if words else made, pa.list_(pa.int64()))
+                else:
+                    last = pa.array([parity_sketch(s, num, den) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([int(mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
                     pa.array([int(mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
-                    pa.array([parity_sketch(s, num, den) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([segment_keys(s, num, den) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                ], ["id", "n", "s1", "s2", "sketch", "keys"])
+                    last,
+                ], ["id", "n", "s1", "s2", "keys" if keys else "sketch"])
 
-    schema = f"id {dict(docs.dtypes)[id_col]}, n bigint, s1 bigint, s2 bigint, sketch binary, keys array<bigint>"
+    schema = f"id {dict(docs.dtypes)[id_col]}, n bigint, s1 bigint, s2 bigint, " + ("keys array<bigint>" if keys else "sketch binary")
     return docs.select(id_col, text_or_empty(text_col).alias("_text")).mapInArrow(run, schema)
 
 
+def _filter(listed: DataFrame) -> np.ndarray:
+    """A blocked Bloom filter of ``key``: each key sets FILTER_BITS bits of one word. Two bytes a key, and 16 MB at most."""
+    n = min(FILTER_WORDS, max(1024, 1 << (listed.count() // 4).bit_length()))
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright("key", 24 + 6 * i).bitwiseAND(F.lit(63).cast("bigint")).cast("int")) for i in range(FILTER_BITS)]
+    words = listed.groupBy(F.pmod("key", F.lit(n).cast("bigint")).alias("at")).agg(F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias("word"))
+    out = np.zeros(n, np.int64)
+    found = words.toArrow()
+    out[found.column("at").to_numpy()] = found.column("word").to_numpy()
+    return out
+
+
+def _listed(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The keys that may be in the filter, which knows them without their lowest bit."""
+    bucket = keys >> 1
+    mask = np.zeros(len(keys), np.int64)
+    for i in range(FILTER_BITS):
+        mask |= np.int64(1) << (bucket >> (24 + 6 * i) & 63)
+    return keys[words[bucket & (len(words) - 1)] & mask == mask]
+
+
 def _near(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose sketches may belong to similar sets, with the distance ``h``."""
     left, right = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
@@ -203,25 +247,25 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -
     return found.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """Distinct pairs between components in the same bucket with near sketches; for ``forest`` only enough to connect them.
+def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs between components in the same bucket with near sketches, one member at least of the bucket's own band.
 
     A bucket's members are dealt to blocks; each pair of blocks is one group of bounded size.
     """
     kind = dict(reps.dtypes)["id"]
-    named = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "n_key", "id", F.coalesce("component", "id").alias("c"))
+    named = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "n_key", "id", "own_band", F.coalesce("component", "id").alias("c"))
     # of buckets with the same members (by number, least and two hashes over all) one stands for all
     members = [F.count("*").alias("m"), F.min("id").alias("m0"), F.bit_xor(F.xxhash64("id")).alias("m1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("m2")]
-    split = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), *members).filter("c1 <> c2")
+    split = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.max("own_band").alias("any"), *members).filter("c1 <> c2 AND any")
     split = split.groupBy("m", "m0", "m1", "m2").agg(F.min("key").alias("key")).select("key")
     open_ = named.join(split, "key", "left_semi").join(reps.select("id", "n", "sketch"), "id")
     blocks = F.ceil(F.col("n_key") / BLOCK).cast("int")
     dealt = open_.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     each = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    each = each.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c", "n", "sketch")
+    each = each.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c", "n", "sketch", "own_band")
     sorted_ = each.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def pairs_of(own, ids, c, n, sketch, i, j):
+    def pairs_of(own, ids, c, n, sketch, own_band, i, j):
         m = len(ids)
         width = min(map(len, sketch)) // 8
         folded = np.empty((m, width), np.uint64)
@@ -231,48 +275,18 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
                 x = x[: len(x) // 2] ^ x[len(x) // 2 :]
             folded[k] = x
         n, c = np.array(n), np.unique(np.array(c), return_inverse=True)[1]
-        own = np.array(own)
-        boss = np.arange(c.max() + 1)
-
-        def top(x):
-            while boss[x] != x:
-                boss[x] = boss[boss[x]]
-                x = boss[x]
-            return x
-
-        found, held, out = [], 0, []
-
-        def settle():
-            """The nearest pairs first: they are the likeliest links."""
-            first, second, h = np.concatenate(found, axis=1)
-            for x in np.argsort(h, kind="stable").tolist():
-                p, q = first[x], second[x]
-                if forest:
-                    u, v = top(c[p]), top(c[q])
-                    if u == v:
-                        continue
-                    boss[u] = v
-                out.append((ids[p], ids[q]) if ids[p] < ids[q] else (ids[q], ids[p]))
-            found.clear()
-
+        own, own_band, out = np.array(own), np.array(own_band), []
         for k in range(m - 1):
             rest = slice(k + 1, m)
-            may = (c[rest] != c[k]) & (np.minimum(n[rest], n[k]) * den >= np.maximum(n[rest], n[k]) * num)
+            may = (c[rest] != c[k]) & (own_band[rest] | own_band[k]) & (np.minimum(n[rest], n[k]) * den >= np.maximum(n[rest], n[k]) * num)
             if i != j:
                 may &= own[rest] != own[k]
             hit = np.flatnonzero(may) + k + 1
             if not len(hit):
                 continue
             h = np.bitwise_count(folded[hit] ^ folded[k]).sum(axis=1, dtype=np.int32)
-            near = h <= (n[hit] + n[k]) * (den - num) // (den + num)
-            if near.any():
-                found.append(np.stack([np.full(near.sum(), k, np.int32), hit[near].astype(np.int32), h[near]]))
-                held += int(near.sum())
-                if held > 500_000:
-                    settle()
-                    held = 0
-        if found:
-            settle()
+            for x in hit[h <= (n[hit] + n[k]) * (den - num) // (den + num)].tolist():
+                out.append((ids[k], ids[x]) if ids[k] < ids[x] else (ids[x], ids[k]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +298,7 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
 
         for batch in batches:
             id_type = batch.schema.field("id").type
-            columns = [batch.column(k).to_pylist() for k in range(8)]
+            columns = [batch.column(k).to_pylist() for k in range(9)]
             for key, i, j, *row in zip(*columns, strict=True):
                 if (key, i, j) != held:
                     if group:
@@ -304,6 +318,18 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter("ca <> cb").select("a", "b")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels when ``links`` (a, b) join components; the old table goes."""
+    ends = links
+    for x in "ab":
+        ends = ends.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    joined = components(ends, "ca", "cb")
+    moved = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    out = persist_table(moved.select("node", F.coalesce("to", "component").alias("component")).union(joined.select("node", "component")), "components")
+    drop_tables(labels, joined)
+    return out
+
+
 def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_shingles and component_id (the smallest id reachable by links) for every row.
 
@@ -313,21 +339,27 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
     num, den = similarity
     spark = docs.sparkSession
     ship(spark)
-    wide = persist_table(_sketch(docs, shingle, num, den, id_col, text_col), "sketches")
-    made = persist_table(wide.select("id", "n", "s1", "s2"), "sets")
+    made = persist_table(_sets(docs, shingle, num, den, id_col, text_col), "sets")
     classes = persist_table(made.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
 
     # copies go: the smallest id of a class stays
     named = made.filter("n > 0 AND id IS NOT NULL")
     copied = few(classes.filter("copies > 1 AND rep IS NOT NULL").select("n", "s1", "s2", "rep"))
-    spare = persist_table(named.join(copied, ["n", "s1", "s2"]).filter("id <> rep").select("id", "n", "s1", "s2", "rep").distinct(), "spare")
-    kept = wide.filter("n > 0 AND id IS NOT NULL").join(few(spare.select("id", "n", "s1", "s2")), ["id", "n", "s1", "s2"], "left_anti")
-    reps = persist_table(kept.select("id", "n", "sketch").distinct(), "reps")
-    by_key = Window.partitionBy("key")
-    keyed = kept.select("id", F.explode("keys").alias("key"))
-    keyed = keyed.withColumns({"n_key": F.count("*").over(by_key), "least": F.min("id").over(by_key)})
-    buckets = persist_table(keyed.filter("n_key > 1"), "buckets")
-    drop_tables(wide)
+    spare = persist_table(named.select("id", "n", "s1", "s2").join(copied, ["n", "s1", "s2"]).filter("id <> rep").distinct(), "spare")
+    copies = few(spare.select("id", "n", "s1", "s2"))
+    without = lambda sets: sets.filter("n > 0 AND id IS NOT NULL").join(copies, ["id", "n", "s1", "s2"], "left_anti")
+    reps = persist_table(without(named).select("id", "n", "sketch").distinct(), "reps")
+
+    def keyed(words: Broadcast | None = None) -> DataFrame:
+        """The keys of all that are left; made from the texts each time, as they take more room than these."""
+        every = without(_sets(docs, shingle, num, den, id_col, text_col, True, words)).select("id", F.explode("keys").alias("k"))
+        return every.select("id", F.shiftright("k", 1).alias("key"), (F.col("k").bitwiseAND(F.lit(1).cast("bigint")) == 1).alias("own_band"))
+
+    ends = [F.count("*").alias("n_key"), F.min(F.when(F.col("own_band"), F.col("id"))).alias("least"), F.min("id").alias("a"), F.max("id").alias("b")]
+    counted = persist_table(keyed().groupBy("key").agg(*ends).filter("a <> b AND least IS NOT NULL"), "counted")
+    large = counted.filter("n_key > 2").select("key", "n_key", "least")
+    words = spark.sparkContext.broadcast(_filter(large.select("key")))
+    buckets = persist_table(keyed(words).distinct().join(large, "key"), "buckets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = persist_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
@@ -338,21 +370,21 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
         return found
 
     # first each document against the nearest of its buckets' minima, then against the other near ones that lie apart
-    near = persist_table(_near(buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), reps, num, den), "near")
+    met = counted.filter("n_key = 2").select("a", "b").union(buckets.filter("id <> least").select(F.least("id", "least"), F.greatest("id", "least")))
+    near = persist_table(_near(met.distinct(), reps, num, den), "near")
     first = persist_table(near.groupBy("b").agg(F.min_by("a", F.struct("h", "a")).alias("a")).select("a", "b"), "pairs")
     rounds = [verified(first)]
-    checked = rounds[0]
-    labels = components(checked.filter("linked"), "a", "b")
-    # a bucket of two is done with its minimum; of larger ones the other members remain: first a spanning forest of
-    # near pairs between components in some of them, and then in all of them all near pairs that still lie apart
-    larger = buckets.filter("n_key > 2 AND id <> least").select("key", (F.col("n_key") - 1).alias("n_key"), "id")
-    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(larger.filter(F.pmod("key", F.lit(FOREST_SHARE)) == 0), reps, labels, num, den, True), lambda: _blockwise(larger, reps, labels, num, den, False)):
-        pairs = persist_table(step().join(checked, ["a", "b"], "left_anti"), "pairs")
-        rounds.append(verified(pairs))
-        checked = checked.union(rounds[-1])
-        drop_tables(labels)
-        labels = components(checked.filter("linked"), "a", "b")
-    drop_tables(reps, buckets, near, classes, *rounds)
+    labels = components(rounds[0].filter("linked"), "a", "b")
+    # a bucket of two is done with its minimum; of larger ones the other members remain
+    rest = buckets.filter("id <> least").withColumn("n_key", F.col("n_key") - 1)
+    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(rest, reps, labels, num, den)):
+        pairs = step()
+        for done in rounds:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        rounds.append(verified(persist_table(pairs, "pairs")))
+        labels = _merged(labels, rounds[-1].filter("linked"))
+    drop_tables(reps, counted, buckets, near, classes, *rounds)
+    words.unpersist()
 
     out = made.join(spare, ["id", "n", "s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "id")).join(labels, F.col("rep") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

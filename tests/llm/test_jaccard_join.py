@@ -60,7 +60,38 @@ def test_similar_sets_share_a_segment_and_distance_is_a_lower_bound(base, more,
     assert jj.hamming(jj.parity_sketch(x, num, den), jj.parity_sketch(y, num, den)) <= len(a ^ b)
     if a != b and den * len(a & b) >= num * len(a | b):
         assert len(a ^ b) <= jj.most_apart(len(a), len(b), num, den)
-        assert set(jj.segment_keys(x, num, den).tolist()) & set(jj.segment_keys(y, num, den).tolist())
+        assert meet(jj.segment_keys(x, num, den), jj.segment_keys(y, num, den))
+
+
+def meet(x, y):
+    """They share a bucket with a member of the bucket's own band."""
+    x, y = ({k >> 1: k & 1 for k in keys.tolist()} for keys in (x, y))
+    return any(x[k] | y[k] for k in x.keys() & y.keys())
+
+
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5), (1, 2)])
+def test_the_least_similar_sets_meet_and_strangers_seldom(num, den):
+    rng = np.random.default_rng(num)
+    met = tried = 0
+    for size in rng.integers(1, 1500, 150).tolist():
+        base = rng.integers(0, 2**63, size, dtype=np.int64).astype(np.uint64)
+        other = rng.integers(0, 2**63, size, dtype=np.int64).astype(np.uint64)
+        for kept in range(-(-size * num // den), size + 1, max(1, size // 20)):
+            a, b = np.unique(base), np.unique(base[:kept])  # a subset of the least size that is similar, and larger ones
+            assert len(a) == len(b) or meet(jj.segment_keys(a, num, den), jj.segment_keys(b, num, den))
+        met += size > 100 and meet(jj.segment_keys(np.unique(base), num, den), jj.segment_keys(np.unique(other), num, den))
+        tried += size > 100
+    assert met <= tried / 20
+
+
+def test_the_filter_passes_all_keys_that_it_lists(spark):
+    rng = np.random.default_rng(0)
+    keys = rng.integers(-(2**63), 2**63 - 1, 5000, dtype=np.int64)
+    listed = keys[:2000] >> 1
+    words = jj._filter(spark.createDataFrame([(int(k),) for k in listed], "key bigint"))
+    passed = jj._listed(keys, words)
+    assert set(keys[:2000].tolist()) <= set(passed.tolist()) and len(passed) < 2600
+    assert jj._listed(keys, np.zeros(1024, np.int64)).size == 0
 
 
 @pytest.mark.parametrize("words", [0, 1, 2, 3, 4, 5])
