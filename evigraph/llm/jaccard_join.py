@@ -15,11 +15,12 @@ A set has keys in its own band and in the next. Sets of the same band meet in th
 in a bucket only pairs with a member of the bucket's own band count.
 
 Only what connects documents is needed, so buckets are never expanded into all pairs. Keys
-are counted with map-side aggregation, which also tells the two members of a bucket of two;
-members are listed for larger buckets alone. Each document is verified against the nearest of
-its buckets' minima, then against those other minima that are near and in another component.
-Buckets whose other members still are in several components go through blockwise sketch
-comparison for all near pairs that remain between components. No link is lost.
+are counted with map-side aggregation, and only members of buckets that hold two or more are
+listed. Buckets go once through blockwise sketch comparison for their near pairs; a chain of
+``CHAIN`` near members or more is not compared inside, and its bucket is marked. Each document is
+verified against the nearest of those that it is near to, then against the others that are in
+another component. Marked buckets whose members still are in several components go through
+the comparison again, now for all near pairs between components. No link is lost.
 
 Equal sets (equal up to 64-bit hashes of shingles, and their number) form a class, of
 which the smallest id stands for all.
@@ -51,6 +52,8 @@ from .words import SOLID, borders, hashes, lowered, mix
 BLOCK = 4096
 #: Bits of a segment of the sketch, and of the whole-set sketch for each shingle.
 SEGMENT_BITS, BITS_A_SHINGLE = 1 << 16, 1
+#: Near members of a block that the first comparison takes for one group.
+CHAIN = 32
 #: Segments among which two empty ones make a key.
 GROUP = 32
 #: 64-bit words at most, and bits a key, of the filter of large buckets' keys; a fuller filter only lets more keys pass to the join after it.
@@ -247,23 +250,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -
     return found.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs between components in the same bucket with near sketches, one member at least of the bucket's own band.
+def _blockwise(buckets: DataFrame, reps: DataFrame, num: int, den: int, labels: DataFrame | None = None) -> DataFrame:
+    """Near pairs (a, b, h) of the same bucket, one member at least of the bucket's own band; rows with a ``key`` alone mark incomplete buckets.
 
-    A bucket's members are dealt to blocks; each pair of blocks is one group of bounded size.
+    With ``labels`` all near pairs between components, and no marks. A bucket's members are dealt
+    to blocks; each pair of blocks is one group of bounded size.
     """
-    kind = dict(reps.dtypes)["id"]
-    named = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "n_key", "id", "own_band", F.coalesce("component", "id").alias("c"))
-    # of buckets with the same members (by number, least and two hashes over all) one stands for all
-    members = [F.count("*").alias("m"), F.min("id").alias("m0"), F.bit_xor(F.xxhash64("id")).alias("m1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("m2")]
-    split = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.max("own_band").alias("any"), *members).filter("c1 <> c2 AND any")
-    split = split.groupBy("m", "m0", "m1", "m2").agg(F.min("key").alias("key")).select("key")
-    open_ = named.join(split, "key", "left_semi").join(reps.select("id", "n", "sketch"), "id")
+    kind, known = dict(reps.dtypes)["id"], labels is not None
+    sketched = reps.withColumn("c", F.lit(None).cast(kind))
+    if known:
+        sketched = reps.join(labels, F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id")).drop("node", "component")
     blocks = F.ceil(F.col("n_key") / BLOCK).cast("int")
-    dealt = open_.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = buckets.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(sketched, "id")
     each = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    each = each.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c", "n", "sketch", "own_band")
-    sorted_ = each.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    each = each.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c", F.col("n").cast("int").alias("n"), "sketch", "own_band")
+    sorted_ = each.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
 
     def pairs_of(own, ids, c, n, sketch, own_band, i, j):
         m = len(ids)
@@ -274,27 +275,37 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
             while len(x) > width:
                 x = x[: len(x) // 2] ^ x[len(x) // 2 :]
             folded[k] = x
-        n, c = np.array(n), np.unique(np.array(c), return_inverse=True)[1]
-        own, own_band, out = np.array(own), np.array(own_band), []
+        n, own, own_band = np.array(n, np.int64), np.array(own), np.array(own_band)
+        chain = np.unique(np.array(c), return_inverse=True)[1] if known else np.arange(m)
+        out, whole = [], True
         for k in range(m - 1):
             rest = slice(k + 1, m)
-            may = (c[rest] != c[k]) & (own_band[rest] | own_band[k]) & (np.minimum(n[rest], n[k]) * den >= np.maximum(n[rest], n[k]) * num)
+            may = (own_band[rest] | own_band[k]) & (np.minimum(n[rest], n[k]) * den >= np.maximum(n[rest], n[k]) * num)
             if i != j:
                 may &= own[rest] != own[k]
+            if known or np.count_nonzero(chain == chain[k]) >= CHAIN:
+                other = chain[rest] != chain[k]
+                whole = whole and not (may & ~other).any()
+                may &= other
             hit = np.flatnonzero(may) + k + 1
             if not len(hit):
                 continue
-            h = np.bitwise_count(folded[hit] ^ folded[k]).sum(axis=1, dtype=np.int32)
-            for x in hit[h <= (n[hit] + n[k]) * (den - num) // (den + num)].tolist():
-                out.append((ids[k], ids[x]) if ids[k] < ids[x] else (ids[x], ids[k]))
-        return out
+            h = np.bitwise_count(folded[hit] ^ folded[k]).sum(axis=1, dtype=np.int64)
+            near = h <= (n[hit] + n[k]) * (den - num) // (den + num)
+            hit, h = hit[near], h[near]
+            out += [(ids[k], ids[x], d) for x, d in zip(hit.tolist(), h.tolist(), strict=True)]
+            if not known and len(hit):
+                chain[np.isin(chain, chain[hit])] = chain[k]
+        return out, whole or known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = None, []
 
         def close():
-            made = pairs_of(*zip(*group, strict=True), held[1], held[2]) if len(group) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in made], id_type), pa.array([q for _, q in made], id_type)], ["a", "b"])
+            made, whole = pairs_of(*zip(*group, strict=True), held[1], held[2]) if len(group) > 1 else ([], True)
+            marks = [] if whole else [held[0]]
+            columns = [[*(p[k] for p in made), *(None for _ in marks)] for k in range(3)]
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), pa.array(columns[1], id_type), pa.array(columns[2], pa.int64()), pa.array([*(None for _ in made), *marks], pa.int64())], ["a", "b", "h", "key"])
 
         for batch in batches:
             id_type = batch.schema.field("id").type
@@ -308,7 +319,7 @@ def _blockwise(buckets: DataFrame, reps: DataFrame, labels: DataFrame, num: int,
         if group:
             yield close()
 
-    return sorted_.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return sorted_.mapInArrow(run, f"a {kind}, b {kind}, h bigint, key bigint").distinct()
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -355,11 +366,18 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
         every = without(_sets(docs, shingle, num, den, id_col, text_col, True, words)).select("id", F.explode("keys").alias("k"))
         return every.select("id", F.shiftright("k", 1).alias("key"), (F.col("k").bitwiseAND(F.lit(1).cast("bigint")) == 1).alias("own_band"))
 
-    ends = [F.count("*").alias("n_key"), F.min(F.when(F.col("own_band"), F.col("id"))).alias("least"), F.min("id").alias("a"), F.max("id").alias("b")]
-    counted = persist_table(keyed().groupBy("key").agg(*ends).filter("a <> b AND least IS NOT NULL"), "counted")
-    large = counted.filter("n_key > 2").select("key", "n_key", "least")
-    words = spark.sparkContext.broadcast(_filter(large.select("key")))
-    buckets = persist_table(keyed(words).distinct().join(large, "key"), "buckets")
+    # a key's rows and, in the upper half, those of its own band: one number, as this is the largest shuffle
+    told = F.sum(F.when(F.col("own_band"), F.lit((1 << 32) + 1)).otherwise(F.lit(1)).cast("bigint"))
+    counted = keyed().groupBy("key").agg(told.alias("told")).filter(f"told >= {1 << 32} AND told % {1 << 32} > 1")
+    counted = persist_table(counted.select("key", (F.col("told") % (1 << 32)).cast("int").alias("n_key")), "counted")
+    words = spark.sparkContext.broadcast(_filter(counted.select("key")))
+    members = persist_table(keyed(words).distinct().join(counted, "key"), "members")
+    # of buckets with the same members (by number, least, greatest and a hash over all) one stands for all
+    same = [F.count("*").alias("m"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("x"), F.max("own_band").alias("any")]
+    chosen = persist_table(members.groupBy("key").agg(*same).filter("m > 1 AND any").groupBy("m", "a", "b", "x").agg(F.min("key").alias("key")), "chosen")
+    buckets = persist_table(members.join(chosen.filter("m > 2").select("key"), "key", "left_semi"), "buckets")
+    met = persist_table(_blockwise(buckets, reps, num, den).unionByName(_near(chosen.filter("m = 2").select("a", "b"), reps, num, den), allowMissingColumns=True), "met")
+    drop_tables(counted, members, chosen)
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = persist_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
@@ -369,21 +387,19 @@ def link(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5)
         drop_tables(wanted, texts, pairs)
         return found
 
-    # first each document against the nearest of its buckets' minima, then against the other near ones that lie apart
-    met = counted.filter("n_key = 2").select("a", "b").union(buckets.filter("id <> least").select(F.least("id", "least"), F.greatest("id", "least")))
-    near = persist_table(_near(met.distinct(), reps, num, den), "near")
+    # first each document against the nearest that it meets, then against the other near ones that lie apart
+    near = met.filter("key IS NULL")
     first = persist_table(near.groupBy("b").agg(F.min_by("a", F.struct("h", "a")).alias("a")).select("a", "b"), "pairs")
     rounds = [verified(first)]
     labels = components(rounds[0].filter("linked"), "a", "b")
-    # a bucket of two is done with its minimum; of larger ones the other members remain
-    rest = buckets.filter("id <> least").withColumn("n_key", F.col("n_key") - 1)
-    for step in (lambda: _apart(near.select("a", "b"), labels), lambda: _blockwise(rest, reps, labels, num, den)):
+    marked = buckets.join(met.filter("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
+    for step in (lambda: _apart(near.select("a", "b").distinct(), labels), lambda: _apart(_blockwise(marked, reps, num, den, labels).select("a", "b").distinct(), labels)):
         pairs = step()
         for done in rounds:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         rounds.append(verified(persist_table(pairs, "pairs")))
         labels = _merged(labels, rounds[-1].filter("linked"))
-    drop_tables(reps, counted, buckets, near, classes, *rounds)
+    drop_tables(reps, buckets, met, classes, *rounds)
     words.unpersist()
 
     out = made.join(spare, ["id", "n", "s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "id")).join(labels, F.col("rep") == F.col("node"), "left")

