@@ -105,16 +105,10 @@ def g10(spark, d, sparse=edges_sparse):
     return gr.simple_paths(links(spark, d, sparse), "Brand#11", "Brand#12", 3, 0.35).withColumn("total", r6("total"))
 
 
-@query("g11_weak_components", "WITH RECURSIVE" + SPARSE + """, l AS (SELECT source AS a, target AS b FROM sparse WHERE month = 1 AND confidence > 0.95 UNION SELECT target, source FROM sparse WHERE month = 1 AND confidence > 0.95),
-  w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""", whole=False)
-def g11(spark, d, sparse=edges_sparse, part="month = 1 AND confidence > 0.95"):
-    return weak_components(sparse(spark, d).filter(part).select("source", "target"), "source", "target")
-
-
-@query("g11_weak_components_all", "WITH RECURSIVE" + WHOLE + """, l AS (SELECT source AS a, target AS b FROM sparse UNION SELECT target, source FROM sparse),
+@query("g11_weak_components", "WITH RECURSIVE" + WHOLE + """, l AS (SELECT source AS a, target AS b FROM sparse UNION SELECT target, source FROM sparse),
   w(n, r) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS node, min(r) AS component FROM w GROUP BY n""")
-def g11_all(spark, d):
-    return g11(spark, d, edges, "TRUE")
+def g11(spark, d):
+    return weak_components(edges(spark, d).select("source", "target"), "source", "target")
 
 
 @query("g12_local_clustering", _LINKS + """, n AS (SELECT DISTINCT source, target FROM links WHERE source <> target), k AS (SELECT source, count(*) AS k FROM n GROUP BY source),

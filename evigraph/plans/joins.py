@@ -151,27 +151,19 @@ def j19(spark, d):
     return e.filter("outcome = 'improves'").select("paper_id", "k", F.col("study_id").alias("a")).join(e.filter("outcome = 'worsens'").select("paper_id", "k", F.col("study_id").alias("b")), ["paper_id", "k"]).select("paper_id", "a", "b")
 
 
-@query("j20_priority_match", """, asked AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS ext, CASE WHEN o_orderkey % 3 = 1 THEN '10.1000/' || o_orderkey END AS doi, 'Study of customer ' || o_custkey AS title FROM orders WHERE o_orderkey % 17 = 0),
+@query("j20_priority_match", """, asked AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS ext, CASE WHEN o_orderkey % 3 = 1 THEN '10.1000/' || o_orderkey END AS doi, 'Study of customer ' || o_custkey AS title FROM orders),
   titles AS (SELECT title, min(pmid) AS pmid FROM papers GROUP BY title)
   SELECT a.id, coalesce(x.pmid, y.pmid, t.pmid) AS pmid, CASE WHEN x.pmid IS NOT NULL THEN 'id' WHEN y.pmid IS NOT NULL THEN 'doi' WHEN t.pmid IS NOT NULL THEN 'title' END AS matched
   FROM asked a LEFT JOIN papers x ON a.ext = x.pmid LEFT JOIN papers y ON a.doi = y.doi LEFT JOIN titles t ON a.title = t.title""", (PAPERS,))
-def j20(spark, d, part="o_orderkey % 17 = 0"):
+def j20(spark, d):
     key = F.col("o_orderkey")
-    asked = raw(spark, d, "orders").filter(part).select(key.alias("id"), F.when(key % 3 == 0, key).alias("ext"), F.when(key % 3 == 1, F.concat(F.lit("10.1000/"), key)).alias("doi"), F.concat(F.lit("Study of customer "), "o_custkey").alias("title"))
+    asked = raw(spark, d, "orders").select(key.alias("id"), F.when(key % 3 == 0, key).alias("ext"), F.when(key % 3 == 1, F.concat(F.lit("10.1000/"), key)).alias("doi"), F.concat(F.lit("Study of customer "), "o_custkey").alias("title"))
     p = papers(spark, d)
     out = asked.join(p.select(F.col("pmid").alias("ext"), F.col("pmid").alias("m1")), "ext", "left").join(p.filter("doi IS NOT NULL").select("doi", F.col("pmid").alias("m2")), "doi", "left")
     out = out.join(p.groupBy("title").agg(F.min("pmid").alias("m3")), "title", "left")
     return out.select("id", F.coalesce("m1", "m2", "m3").alias("pmid"), F.when(F.col("m1").isNotNull(), "id").when(F.col("m2").isNotNull(), "doi").when(F.col("m3").isNotNull(), "title").alias("matched"))
 
 
-@query("j20_priority_match_all", """, asked AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS ext, CASE WHEN o_orderkey % 3 = 1 THEN '10.1000/' || o_orderkey END AS doi, 'Study of customer ' || o_custkey AS title FROM orders),
-  titles AS (SELECT title, min(pmid) AS pmid FROM papers GROUP BY title)
-  SELECT a.id, coalesce(x.pmid, y.pmid, t.pmid) AS pmid, CASE WHEN x.pmid IS NOT NULL THEN 'id' WHEN y.pmid IS NOT NULL THEN 'doi' WHEN t.pmid IS NOT NULL THEN 'title' END AS matched
-  FROM asked a LEFT JOIN papers x ON a.ext = x.pmid LEFT JOIN papers y ON a.doi = y.doi LEFT JOIN titles t ON a.title = t.title""", (PAPERS,))
-def j20_all(spark, d):
-    return j20(spark, d, "TRUE")
-
-
 @query("u1_recursive_depth", """WITH RECURSIVE tree AS (SELECT vec_id AS id, CASE WHEN vec_id % 9 = 0 THEN NULL ELSE vec_id // 2 END AS parent FROM embeddings),
   walk AS (SELECT id, parent, 0 AS depth FROM tree UNION ALL SELECT w.id, t.parent, w.depth + 1 FROM walk w JOIN tree t ON w.parent = t.id WHERE w.depth < 10)
   SELECT id, max(depth) AS depth FROM walk GROUP BY id""")
@@ -192,17 +184,11 @@ def u3(spark, d, sparse=edges_sparse):
 
 
 @query("u4_set_overlap", """, s AS (SELECT source, list_sort(list_distinct(list(target))) AS t FROM sparse GROUP BY source)
-  SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source WHERE a.source LIKE '%1'""", (SPARSE,), whole=False)
-def u4(spark, d, sparse=edges_sparse, part="source LIKE '%1'"):
-    s = sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
-    pairs = s.filter(part).select(F.col("source").alias("a"), F.col("t").alias("ta")).join(s.select(F.col("source").alias("b"), F.col("t").alias("tb")), F.col("a") < F.col("b"))
-    return pairs.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("shared"), (F.size(F.array_except("ta", "tb")) + F.size(F.array_except("tb", "ta"))).cast("bigint").alias("differ"))
-
-
-@query("u4_set_overlap_all", """, s AS (SELECT source, list_sort(list_distinct(list(target))) AS t FROM sparse GROUP BY source)
   SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source""", (WHOLE,))
-def u4_all(spark, d):
-    return u4(spark, d, edges, "TRUE")
+def u4(spark, d):
+    s = edges(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
+    pairs = s.select(F.col("source").alias("a"), F.col("t").alias("ta")).join(s.select(F.col("source").alias("b"), F.col("t").alias("tb")), F.col("a") < F.col("b"))
+    return pairs.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("shared"), (F.size(F.array_except("ta", "tb")) + F.size(F.array_except("tb", "ta"))).cast("bigint").alias("differ"))
 
 
 @query("u5_new_conditions", """SELECT source, count(DISTINCT target) FILTER (WHERE year >= 2000) - count(DISTINCT CASE WHEN year >= 2000 AND target IN (SELECT target FROM edges x WHERE x.source = e.source AND x.year < 2000) THEN target END) AS fresh FROM edges e GROUP BY source""", (EDGES,))

@@ -128,22 +128,17 @@ def m19(spark, d, sparse=edges_sparse):
 
 
 _FAILED = """, per AS (SELECT source, count(*) AS n, count(CASE WHEN outcome = 'worsens' THEN 1 END) AS negative, count(CASE WHEN outcome IN ('no_effect', 'inconclusive') THEN 1 END) AS neutral, count(CASE WHEN outcome = 'improves' THEN 1 END) AS positive, avg(confidence) AS q,
-  count(DISTINCT CASE WHEN outcome = 'worsens' THEN target END) AS failed FROM edges WHERE l GROUP BY source HAVING count(*) >= 3),
+  count(DISTINCT CASE WHEN outcome = 'worsens' THEN target END) AS failed FROM edges GROUP BY source HAVING count(*) >= 3),
   r AS (SELECT *, (negative + neutral) / CAST(n AS DOUBLE) AS f FROM per), c AS (SELECT *, least(1, 0.4 * q + 0.3 * least(1, n / 20.0) + 0.2 * CASE WHEN n > 1 THEN f * (1 - positive / CAST(n AS DOUBLE)) ELSE 0.5 END) AS c FROM r WHERE f >= 0.4)
   SELECT source, n, round(f, 6) AS failure_rate, round(c, 6) AS confidence, round(n * f * (1 + c), 6) AS waste, failed, CASE WHEN c >= 0.8 THEN 'AVOID' WHEN f >= 0.7 THEN 'UNLIKELY TO HELP' ELSE 'INCONCLUSIVE' END AS advice FROM c"""
 
 
-@query("m20_failed_interventions", _FAILED.replace("WHERE l", "WHERE target LIKE 'Brand#1%'"), (EDGES,))
-def m20(spark, d, part="target LIKE 'Brand#1%'"):
-    out = mn.failures(edges(spark, d).filter(part), 0.4)
+@query("m20_failed_interventions", _FAILED, (EDGES,))
+def m20(spark, d):
+    out = mn.failures(edges(spark, d), 0.4)
     return out.select("source", "n", r6("failure_rate").alias("failure_rate"), r6("confidence").alias("confidence"), r6("waste").alias("waste"), F.size("failed_conditions").cast("bigint").alias("failed"), "advice")
 
 
-@query("m20_failed_interventions_all", _FAILED.replace(" WHERE l", ""), (EDGES,))
-def m20_all(spark, d):
-    return m20(spark, d, "TRUE")
-
-
 @query("m21_fundamental_functions", """, b AS (SELECT source, mechanism, avg(weight * confidence) AS m, count(*) AS n FROM sparse GROUP BY ALL), p AS (SELECT source, count(*) AS mechanisms, avg(m) AS effect, sum(n) AS evidence FROM b GROUP BY source),
   c AS (SELECT source, count(DISTINCT target) AS conditions FROM sparse GROUP BY source), x AS (SELECT *, CASE WHEN evidence < 5 THEN 0.9 WHEN evidence < 15 THEN 0.6 WHEN evidence < 30 THEN 0.3 ELSE 0.1 END AS vol FROM p JOIN c USING (source) WHERE mechanisms >= 3 AND conditions >= 4 AND effect > 0.3 AND evidence >= 3),
   y AS (SELECT *, least(1, (vol + least(1, mechanisms / 5.0)) / 2)::DOUBLE AS i FROM x)

@@ -7,14 +7,14 @@ from ..operators.evidence import fold_pairs
 from ..sources.tables import edges, edges_sparse, papers, raw
 from .registry import EDGES, PAPERS, SPARSE, query, r6
 
-PAIR = ", p AS (SELECT source, target, count(*) AS edge_count, round(sum(weight * confidence) / count(*) * avg(confidence), 6) AS score FROM sparse GROUP BY ALL)"
+PAIR = ", p AS (SELECT source, target, count(*) AS edge_count, round(sum(weight * confidence) / count(*) * avg(confidence), 6) AS score FROM edges GROUP BY ALL)"
 
 
-def scored(spark, d, sparse=edges_sparse):
-    return fold_pairs(sparse(spark, d), None).select("source", "target", "edge_count", r6("aggregate_score").alias("score"))
+def scored(spark, d):
+    return fold_pairs(edges(spark, d), None).select("source", "target", "edge_count", r6("aggregate_score").alias("score"))
 
 
-@query("w2_rank_in_condition", PAIR + " SELECT target, source, score, row_number() OVER (PARTITION BY target ORDER BY score DESC, source) AS rank FROM p", (SPARSE,))
+@query("w2_rank_in_condition", PAIR + " SELECT target, source, score, row_number() OVER (PARTITION BY target ORDER BY score DESC, source) AS rank FROM p", (EDGES,))
 def w2(spark, d):
     return scored(spark, d).select("target", "source", "score", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("score"), "source")).alias("rank"))
 
@@ -50,7 +50,7 @@ def momentum(e, now):
 
 
 @query("w5_percentile_rank", PAIR + """ , n AS (SELECT count(*) AS n FROM p) SELECT source, target, round(50.0 * ((SELECT count(*) FROM p q WHERE q.score < p.score) + (SELECT count(*) FROM p q WHERE q.score <= p.score)
-  + 1) / n.n, 6) AS pct FROM p, n""", (SPARSE,))
+  + 1) / n.n, 6) AS pct FROM p, n""", (EDGES,))
 def w5(spark, d):
     """The mean of strict and weak ranks. Ranks come from counts by score: the distinct scores are sorted, not the rows."""
     p = scored(spark, d)
@@ -60,14 +60,14 @@ def w5(spark, d):
     return p.join(weak, "score").select("source", "target", r6(pct).alias("pct"))
 
 
-@query("w6_percentile_threshold", PAIR + ", q AS (SELECT quantile_cont(score, 0.7) AS t FROM p) SELECT source, target FROM p, q WHERE score > t", (SPARSE,))
+@query("w6_percentile_threshold", PAIR + ", q AS (SELECT quantile_cont(score, 0.7) AS t FROM p) SELECT source, target FROM p, q WHERE score > t", (EDGES,))
 def w6(spark, d):
     p = scored(spark, d)
     return p.crossJoin(F.broadcast(p.agg(F.percentile("score", 0.7).alias("t")))).filter("score > t").select("source", "target")
 
 
 @query("w7_scaling", PAIR + """, s AS (SELECT min(score) AS lo, max(score) AS hi, avg(score) AS m, stddev_pop(score) AS sd FROM p)
-  SELECT source, target, round(CASE WHEN hi = lo THEN 0.5 ELSE (score - lo) / (hi - lo) END, 6) AS minmax, round(CASE WHEN sd = 0 THEN 0.5 ELSE 1 / (1 + exp(-(score - m) / sd)) END, 6) AS zscore, round(1 / (1 + exp(-score)), 6) AS sigmoid FROM p, s""", (SPARSE,))
+  SELECT source, target, round(CASE WHEN hi = lo THEN 0.5 ELSE (score - lo) / (hi - lo) END, 6) AS minmax, round(CASE WHEN sd = 0 THEN 0.5 ELSE 1 / (1 + exp(-(score - m) / sd)) END, 6) AS zscore, round(1 / (1 + exp(-score)), 6) AS sigmoid FROM p, s""", (EDGES,))
 def w7(spark, d):
     p = scored(spark, d)
     s = p.agg(F.min("score").alias("lo"), F.max("score").alias("hi"), F.avg("score").alias("m"), F.stddev_pop("score").alias("sd"))
@@ -83,12 +83,12 @@ def o1(spark, d):
     return papers(spark, d).orderBy(F.desc_nulls_last("influence_score"), "pmid").limit(20).select("pmid", "influence_score")
 
 
-@query("o2_top_n", PAIR + " SELECT source, target, score FROM p ORDER BY score DESC, source, target LIMIT 10", (SPARSE,))
+@query("o2_top_n", PAIR + " SELECT source, target, score FROM p ORDER BY score DESC, source, target LIMIT 10", (EDGES,))
 def o2(spark, d):
     return scored(spark, d).orderBy(F.desc("score"), "source", "target").limit(10).select("source", "target", "score")
 
 
-@query("o3_flag_then_score", PAIR + " SELECT source, target, edge_count >= 2 AS high, score FROM p ORDER BY (edge_count >= 2) DESC, score DESC, source, target LIMIT 50", (SPARSE,))
+@query("o3_flag_then_score", PAIR + " SELECT source, target, edge_count >= 2 AS high, score FROM p ORDER BY (edge_count >= 2) DESC, score DESC, source, target LIMIT 50", (EDGES,))
 def o3(spark, d):
     return scored(spark, d).withColumn("high", F.col("edge_count") >= 2).orderBy(F.desc("high"), F.desc("score"), "source", "target").limit(50).select("source", "target", "high", "score")
 

@@ -67,21 +67,19 @@ def steady(sql: str) -> str:
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), whole: bool = True) -> Callable[[Query], Query]:
     """Register a query; ``sql`` may use the views named.
 
-    A query that takes its edges from a parameter ``sparse`` is also registered over all edges, as
-    ``name_all``, unless ``whole`` is off: where untested pairs are the feature.
+    A query that takes its edges from a parameter ``sparse`` runs over all edges, and so does its SQL,
+    unless ``whole`` is off: where untested pairs are the feature, of which all edges leave none.
     """
 
-    def put(name: str, f: Query, sql: str | None, views: tuple[str, ...]) -> None:
+    def add(f: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"two queries are named {name}")
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLES[name] = steady(("WITH " + ",".join(views) + "\n" if views else "") + sql)
-
-    def add(f: Query) -> Query:
-        put(name, f, sql, views)
+        run, text, seen = f, sql, views
         if whole and "sparse" in signature(f).parameters:
-            put(f"{name}_all", lambda spark, d: f(spark, d, sparse=edges), sql and sql.replace(SPARSE, WHOLE), tuple(WHOLE if v is SPARSE else v for v in views))
+            run, text, seen = (lambda spark, d: f(spark, d, sparse=edges)), sql and sql.replace(SPARSE, WHOLE), tuple(WHOLE if v is SPARSE else v for v in views)
+        QUERIES[name] = run
+        if text is not None:
+            ORACLES[name] = steady(("WITH " + ",".join(seen) + "\n" if seen else "") + text)
         return f
 
     return add

@@ -27,19 +27,14 @@ def _escape(c):
 
 
 # -- readers ---------------------------------------------------------------------
-@query("s4_glob_reader", "SELECT pmid, journal FROM papers WHERE pmid < 2000", (PAPERS,))
-def s4(spark, d, part="pmid < 2000"):
+@query("s4_glob_reader", "SELECT pmid, journal FROM papers", (PAPERS,))
+def s4(spark, d):
     """Several files by one pattern."""
     path = _scratch(spark, "glob")
-    papers(spark, d).filter(part).select("pmid", "journal").repartition(3).write.json(path)
+    papers(spark, d).select("pmid", "journal").repartition(3).write.json(path)
     return spark.read.schema("pmid bigint, journal string").json(f"{path}/part-*.json")
 
 
-@query("s4_glob_reader_all", "SELECT pmid, journal FROM papers", (PAPERS,))
-def s4_all(spark, d):
-    return s4(spark, d, "TRUE")
-
-
 @query("s5_body_text", r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?s)<p[^>]*>(.*?)</p>', 1), '<[^>]+>', '', 'g')) AS first FROM pages")
 def s5(spark, d):
     first = F.regexp_extract("html", r"(?s)<p[^>]*>(.*?)</p>", 1)
@@ -53,22 +48,17 @@ def s7(spark, d):
     return articles.read_suggestions(spark, path).select("term", "canonical", "confidence")
 
 
-@query("s8_review_files", "SELECT o_orderkey AS id, 'm' || o_custkey % 3 AS model FROM orders WHERE o_orderkey % 50 = 0")
-def s8(spark, d, part="o_orderkey % 50 = 0"):
+@query("s8_review_files", "SELECT o_orderkey AS id, 'm' || o_custkey % 3 AS model FROM orders")
+def s8(spark, d):
     path = _scratch(spark, "reviews")
-    raw(spark, d, "orders").filter(part).select(F.col("o_orderkey").alias("id"), F.concat(F.lit("m"), F.col("o_custkey") % 3).alias("model")).write.json(path)
+    raw(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("m"), F.col("o_custkey") % 3).alias("model")).write.json(path)
     return spark.read.schema("id long, model string, verdict string").json(path).select("id", "model")
 
 
-@query("s8_review_files_all", "SELECT o_orderkey AS id, 'm' || o_custkey % 3 AS model FROM orders")
-def s8_all(spark, d):
-    return s8(spark, d, "TRUE")
-
-
-@query("x12_article_fields", "SELECT CAST(pmid AS VARCHAR) AS pmid, title, coalesce('AIM: ' || abstract, NULL) AS abstract, journal, substr(publication_date, 1, 7) AS publication_date, doi FROM papers WHERE pmid % 20 = 0", (PAPERS,))
-def x12(spark, d, part="pmid % 20 = 0"):
+@query("x12_article_fields", "SELECT CAST(pmid AS VARCHAR) AS pmid, title, coalesce('AIM: ' || abstract, NULL) AS abstract, journal, substr(publication_date, 1, 7) AS publication_date, doi FROM papers", (PAPERS,))
+def x12(spark, d):
     """Papers written as article XML and parsed again."""
-    p = papers(spark, d).filter(part)
+    p = papers(spark, d)
     day = F.to_date("publication_date")
     tag = lambda name, value: F.coalesce(F.concat(F.lit(f"<{name}>"), _escape(value), F.lit(f"</{name.split(' ')[0]}>")), F.lit(""))
     x = F.concat(
@@ -79,11 +69,6 @@ def x12(spark, d, part="pmid % 20 = 0"):
     return articles.parse_articles(p.select(x.alias("x"))).select("pmid", "title", "abstract", "journal", "publication_date", "doi")
 
 
-@query("x12_article_fields_all", "SELECT CAST(pmid AS VARCHAR) AS pmid, title, coalesce('AIM: ' || abstract, NULL) AS abstract, journal, substr(publication_date, 1, 7) AS publication_date, doi FROM papers", (PAPERS,))
-def x12_all(spark, d):
-    return x12(spark, d, "TRUE")
-
-
 # -- sinks -------------------------------------------------------------------------
 @query("k5_refresh_snapshot", "SELECT pmid, journal FROM papers WHERE pmid % 2 = 0", (PAPERS,))
 def k5(spark, d):
@@ -318,20 +303,15 @@ def r19(spark, d):
     return raw(spark, d, "events").groupBy("event_type").agg(F.max("event_id").alias("reached"))
 
 
-@query("r23_snapshot_rewrite", "SELECT pmid, title, journal FROM papers WHERE pmid <= 1000", (PAPERS,))
-def r23(spark, d, part="pmid <= 1000"):
+@query("r23_snapshot_rewrite", "SELECT pmid, title, journal FROM papers", (PAPERS,))
+def r23(spark, d):
     """Columns dropped by writing a new snapshot."""
     s = sinks.Snapshots(spark, _scratch(spark, "table"))
-    s.publish(papers(spark, d).filter(part))
+    s.publish(papers(spark, d))
     s.publish(s.read().select("pmid", "title", "journal"))
     return s.read()
 
 
-@query("r23_snapshot_rewrite_all", "SELECT pmid, title, journal FROM papers", (PAPERS,))
-def r23_all(spark, d):
-    return r23(spark, d, "TRUE")
-
-
 @query("r24_condition_status", "SELECT target, count(*) AS n, count(CASE WHEN source IN (SELECT entity_name FROM canonical WHERE category = 'ASIA') THEN 1 END) AS normalised FROM sparse GROUP BY target", (SPARSE, CANONICAL))
 def r24(spark, d, sparse=edges_sparse):
     done = canonical(spark, d).filter("category = 'ASIA'").select(F.col("entity_name").alias("source"), F.lit(True).alias("done")).distinct()

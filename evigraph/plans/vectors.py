@@ -69,15 +69,9 @@ def v9(spark, d):
     return cl.agglomerate(clusters(spark, d), "cluster_id", "member", "vector", "average", 1.2)
 
 
-@query("v12_single_linkage", """WITH RECURSIVE c AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 150), l AS (SELECT a.id AS a, b.id AS b FROM c a JOIN c b ON a.id <> b.id WHERE list_sum(list_transform(generate_series(1, 64), lambda i: a.v[i] * b.v[i])) >= 0.3),
-  w(n, r) AS (SELECT id, id FROM c UNION SELECT l.b, w.r FROM w JOIN l ON w.n = l.a) SELECT n AS member, min(r) AS label FROM w GROUP BY n""")
-def v12(spark, d, part="member < 150"):
-    return cl.single_linkage(clusters(spark, d).filter(part), "member", "vector", 0.3)
-
-
-@query("v12_single_linkage_all")
-def v12_all(spark, d):
-    return v12(spark, d, "TRUE")
+@query("v12_single_linkage")
+def v12(spark, d):
+    return cl.single_linkage(clusters(spark, d), "member", "vector", 0.3)
 
 
 @query("v11_singleton_labels", """, x AS (SELECT member AS id, CASE WHEN member % 7 = 0 THEN -1 ELSE cluster_id END AS label FROM clusters)
