@@ -94,6 +94,14 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def free(name: str, taken: list[str]) -> str:
+    """The name, with underscores after it until no column has it (names differ by more than case)."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
