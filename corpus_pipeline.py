@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evigraph.llm import byte_bpe, decontamination, jaccard_join, pii, toxicity
-from evigraph.llm.common import drop_tables, few, persist_table, table
+from evigraph.llm.common import drop_tables, few, free, persist_table, table
 
 
 def _with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -19,32 +19,43 @@ def _with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.5 or more go."""
+    """Documents that score 0.5 or more go; null and empty texts, repeated rows and all columns are kept as they are."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out()), "toxic")
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).filter("score < 0.5").select(*docs.columns)
+    return toxicity.score(docs, model, keep=tuple(docs.columns)).filter(F.col(free("score", docs.columns)) < 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; rows without an id stay."""
-    linked = persist_table(jaccard_join.link(docs).select("doc_id", "component_id"), "linked")
-    gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(few(gone), "doc_id", "left_anti")
-    repeated = kept.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    return kept.join(few(repeated), "doc_id", "left_anti").union(kept.join(few(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Of each group of linked documents the one with the smallest id stays; rows without an id stay.
+
+    Where an id repeats, rows with other texts are documents of their own, of which the one with the
+    smaller digest goes first; of rows with equal id and text the least by all columns stays.
+    """
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return _representatives(docs, "doc_id")
+    key, row = free("_key", docs.columns), free("_row", docs.columns)
+    spelled = F.lpad(F.hex(F.col("doc_id").cast("bigint").bitwiseXOR(F.lit(-(2**63)).cast("bigint"))), 16, "0")  # sorts as the id
+    keyed = persist_table(docs.withColumn(key, F.concat(spelled, F.md5(F.coalesce("text", F.lit(""))))), "keyed")
+    kept = _representatives(keyed, key)
+    named = kept.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*docs.columns)).alias(row))
+    return named.select(f"{row}.*").union(kept.filter(F.col(key).isNull()).select(*docs.columns))
+
+
+def _representatives(docs: DataFrame, key: str) -> DataFrame:
+    linked = persist_table(jaccard_join.link(docs, id_col=key).select(key, "component_id"), "linked")
+    gone = linked.filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    return docs.join(few(gone), key, "left_anti").select(*docs.columns)
 
 
 def remove_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside occurrences of benchmark windows are cut from the text; every document stays."""
     found = decontamination.find(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns), keep_text=True)
-    return _with_text(found, "cleaned", docs.columns)
+    return _with_text(found, free("cleaned", docs.columns), docs.columns)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it give way to the name of their kind; every document stays."""
     found = pii.find(docs, keep=tuple(docs.columns), with_text=True)
-    return _with_text(found, "sanitised", docs.columns)
+    return _with_text(found, free("sanitised", docs.columns), docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ phrase word for word, and merged into spans.
 
 Defined results: a null text has no words; an item without words has no phrases; an item
 shorter than the window is one phrase; items that share a phrase are all reported;
-repeated rows are reported each.
+repeated rows are reported each; an empty table gives no rows, a very long text is a shard
+of its own; a result column whose name a kept column has gets an underscore after it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_or_empty
+from .common import free, ship, text_or_empty
 from .words import ALNUM, borders, hashes, lowered
 
 SHARD_BYTES = 2_000_000
@@ -267,6 +268,11 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
     spark = docs.sparkSession
     ship(spark)
     shared = _blocks(benchmark, window, item_col, item_text_col)
+    kinds = dict(docs.dtypes)
+    columns = list(dict.fromkeys([id_col, *keep]))
+    kind = {"n_words": "bigint", "n_hit": "bigint", "item_ids": "array<string>", "spans": "array<struct<start: int, end: int>>"} | ({"cleaned": "string"} if keep_text else {})
+    made = {free(c, columns): k for c, k in kind.items()}
+    names = [*columns, *made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,16 +289,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
                     pa.array([sorted(map(str, x)) for x in hits.items], pa.list_(pa.string())),
                     pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 ]
-                names = [*batch.schema.names[1:], "n_words", "n_hit", "item_ids", "spans"]
                 if keep_text:
                     columns.append(pa.array([_without(t, s) if s else t.decode() for t, s in zip(shard, spans, strict=True)], pa.string()))
-                    names.append("cleaned")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    made = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start: int, end: int>>" + ", cleaned string" * keep_text
-    kinds = dict(docs.dtypes)
-    columns = list(dict.fromkeys([id_col, *keep]))
-    return docs.select(text_or_empty(text_col).alias("_text"), *columns).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", " + made)
+    schema = ", ".join(f"`{c}` {k}" for c, k in ({c: kinds[c] for c in columns} | made).items())
+    return docs.select(text_or_empty(text_col).alias(free("_text", columns)), *columns).mapInArrow(run, schema)
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> str:

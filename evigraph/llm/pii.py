@@ -13,7 +13,9 @@ of t without e, so p = c / (df(t) - co(t, e) + support). A term that discloses t
 
 Defined results: a null text is empty and has no spans; spans of different kinds may
 overlap and are all reported; repeated rows are reported each and count as documents;
-an entity in every document carries no bits and nothing discloses it.
+an entity in every document carries no bits and nothing discloses it; an empty table gives no
+rows, and a very long text is worked on alone; a result column whose name a kept column has gets
+an underscore after it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_tables, persist_table, runs, ship, text_or_empty
+from .common import drop_tables, free, persist_table, runs, ship, text_or_empty
 from .words import ALNUM, borders, hashes, lowered
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -90,6 +92,8 @@ def _value(kind: str, found: str) -> str:
     return f"{kind}:{_STRIP.sub('', found) if kind in ('card', 'phone') else found.lower()}"
 
 
+#: A word that the border of a context may have cut.
+_CUT_FIRST, _CUT_LAST = re.compile(r"\A[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+\Z")
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]{3,}")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -103,7 +107,8 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, s
     """For each span its entity, a digest of its context, and the terms of the context."""
     out = []
     for kind, a, b in spans:
-        near = text[max(0, a - 40 * WINDOW) : a].translate(_FOLD), text[b : b + 40 * WINDOW].translate(_FOLD)
+        near = _CUT_FIRST.sub("", text[max(0, a - 40 * WINDOW - 1) : a]) if a > 40 * WINDOW else text[:a], text[b : b + 40 * WINDOW + 1]
+        near = near[0].translate(_FOLD), (_CUT_LAST.sub("", near[1]) if b + 40 * WINDOW < len(text) else near[1]).translate(_FOLD)
         masked = [re.sub(r"\S*[@0-9]\S*", " ", x) for x in near]
         before, after = _TERM.findall(masked[0])[-WINDOW:], _TERM.findall(masked[1])[:WINDOW]
         terms = sorted(set(before + after))
@@ -241,6 +246,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         shared.append(spark.sparkContext.broadcast(np.array(sorted(r.term for r in part.toLocalIterator()), np.int64)))
     drop_tables(terms)
 
+    kinds = dict(docs.dtypes)
+    columns = list(dict.fromkeys([id_col, *keep]))
+    kind = {f"n_{k}": "bigint" for k in KINDS[:4]} | {"base": "string", "base_sha256": "string", "spans": "string"} | ({"sanitised": "string"} if with_text else {})
+    names = {c: free(c, columns) for c in kind}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs(batch):
@@ -255,9 +265,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
                 made["spans"] = pa.array([spell(x) for x in every], pa.string())
                 if with_text:
                     made["sanitised"] = pa.array([sanitised(t, x) if x else t for t, x in zip(texts, every, strict=True)], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made.values()], [*part.schema.names[1:], *made])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made.values()], [*columns, *(names[c] for c in made)])
 
-    kinds = dict(docs.dtypes)
-    columns = list(dict.fromkeys([id_col, *keep]))
-    made = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, base_sha256 string, spans string" + ", sanitised string" * with_text
-    return docs.select(text_or_empty(text_col).alias("_text"), *columns).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", " + made)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in columns] + [f"`{names[c]}` {k}" for c, k in kind.items()])
+    return docs.select(text_or_empty(text_col).alias(free("_text", columns)), *columns).mapInArrow(run, schema)

@@ -8,7 +8,8 @@ driver handles the slot table alone, whose size is the fixed number of slots.
 
 Defined results: a null text has no bytes and still weighs the record's overhead; equal
 keys share a slot; an empty table gives an empty result and a map that deals the slots
-round; rows with equal keys are all kept.
+round; rows with equal keys are all kept; columns of the input named ``_size``,
+``_virtual_slot``, ``_shard`` or ``_position`` give way to the results.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_dir
+from .common import free, shared_dir
 
 SLOTS = 8192
 #: Parts of a slot that number their rows independently; slots times parts groups exist at most.
@@ -133,11 +134,12 @@ def positions(assigned: DataFrame, order: list[str], parts: int = PARTS) -> Data
     come from a table of counts with ``slots`` times ``parts`` rows at most. No shard is
     ever gathered in one task.
     """
-    keyed = assigned.withColumn("_part", F.pmod(F.xxhash64(*order, F.lit(7)), F.lit(parts)).cast("int"))
-    counts = keyed.groupBy("_shard", "_virtual_slot", "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_shard").orderBy("_virtual_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_virtual_slot", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = Window.partitionBy("_virtual_slot", "_part").orderBy(*order)
-    numbered = keyed.withColumn("_own", F.row_number().over(own) - 1)
+    part, mine, first = (free(c, assigned.columns) for c in ("_part", "_own", "_before"))
+    keyed = assigned.withColumn(part, F.pmod(F.xxhash64(*order, F.lit(7)), F.lit(parts)).cast("int"))
+    counts = keyed.groupBy("_shard", "_virtual_slot", part).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_shard").orderBy("_virtual_slot", part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_virtual_slot", part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(first))
+    own = Window.partitionBy("_virtual_slot", part).orderBy(*order)
+    numbered = keyed.withColumn(mine, F.row_number().over(own) - 1)
     # At most slots x parts rows of three numbers: about 2 MB by default.
-    return numbered.join(F.broadcast(offsets), ["_virtual_slot", "_part"]).withColumn("_position", F.col("_before") + F.col("_own")).drop("_own", "_before", "_part")
+    return numbered.join(F.broadcast(offsets), ["_virtual_slot", part]).withColumn("_position", F.col(first) + F.col(mine)).drop(mine, first, part)

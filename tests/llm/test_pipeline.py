@@ -3,6 +3,9 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+
+from evigraph.llm.common import persist_table
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -55,5 +58,27 @@ def test_run_equals_the_stages(spark, made):
     assert {r.doc_id for r in corpus_pipeline.run(spark, made[0]).collect()} == set(range(300)) | {502, 503, 504, 505}
 
 
+CLASHES = ["_text", "score", "score_", "n_words", "n_hit", "item_ids", "spans", "cleaned", "n_email", "base", "base_sha256", "sanitised", "id", "key", "component_id", "node", "rep", "_key", "_row", "COUNT", "term", "ids"]
+
+
+def test_clashing_names_nulls_and_repeated_ids(spark, made):
+    """Extra columns of any name stay as they are; rows of one id and other texts are documents of their own."""
+    d, rows, _ = made
+    docs = spark.read.parquet(f"{d}/documents.parquet").filter("doc_id < 40")
+    more = [(7, "another text of the same id, unlike all others here", "en", "s", 3), (7, rows[7], "en", "s", 3), (9, rows[8], "fr", "t", 1), (None, None, None, None, None), (None, rows[8], None, None, None), (600, "", None, None, 0)]
+    docs = docs.union(spark.createDataFrame(more, docs.schema)).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = persist_table(stage(spark, now, d), "clash")
+        assert now.columns == docs.columns
+        got = now.collect()
+        assert all(r[c] is None if r.doc_id is None else r[c] == f"{c}{r.doc_id}" for r in got for c in CLASHES)
+        if name == "near_duplicates":
+            assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None) == sorted([*((i, rows[i]) for i in range(40)), (7, more[0][1]), (600, "")])
+            assert sum(r.doc_id is None for r in got) == 2
+        assert stage(spark, docs.limit(0), d).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, now, d).count() == now.count()
+
+
 def test_stages_name_the_operators():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
