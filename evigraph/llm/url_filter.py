@@ -3,13 +3,15 @@
 A rule is a host and a path prefix; it fits its host and all subdomains. A url's
 possible keys are each suffix of its host (at label borders) with each prefix of its
 path that has the length of some rule's path. The blocked Bloom filter of the rules'
-canonical keys (one 64-bit block a key, ``BITS`` bits in it) drops most keys; the rest
-go to a hash join with the rules, which removes false positives. The longest fitting
+canonical keys (one 64-bit block a key, ``BITS`` bits in it) drops most keys where the page is
+read; a page without keys left is judged there. What is left, each distinct list of keys
+once, goes to a hash join with the rules, which removes false positives. The longest fitting
 rule wins; of equally long ones that with the longer host, then the greater text.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no
-rule and gets the default verdict; repeated rows are all kept; no rules, no hits.
-All of it is DataFrame expressions.
+rule and gets the default verdict; repeated rows are all kept; no rules, no hits; no pages,
+no rows; a very long url is judged as any other; columns of the input named ``_host``, ``_path``,
+``_rule`` or ``_verdict`` give way to the results. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -19,10 +21,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import few, free, persist_table
+
 #: Bits that a key sets in its block, and keys that share a block on average.
 BITS, KEYS_A_BLOCK = 6, 4
-#: Beyond this many rules the filter is built from, and the join made with, a shuffled table.
+#: Beyond this many rules the join is made with a shuffled table.
 BROADCAST_RULES = 200_000
+#: 64-bit words of the filter at most (2 MB); of more rules it is fuller and lets more keys pass to the join.
+MOST_BLOCKS = 1 << 18
+#: Parts that pages without keys are dealt to where the last join is shuffled.
+PARTS = 1024
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,8 +60,8 @@ def _mask(h: Column) -> Column:
 
 
 def build_filter(rules: DataFrame, n_rules: int) -> list[int]:
-    """The filter's words. Its size follows the number of listed rules, not the pages: 2 bytes a rule."""
-    blocks = max(16, n_rules // KEYS_A_BLOCK)
+    """The filter's words. Its size follows the number of listed rules, not the pages: 2 bytes a rule, up to MOST_BLOCKS."""
+    blocks = max(16, min(MOST_BLOCKS, n_rules // KEYS_A_BLOCK))
     hashed = rules.select(_hash(F.col("_key")).alias("h"))
     words = hashed.groupBy(_block(F.col("h"), blocks).alias("b")).agg(F.bit_or(_mask(F.col("h"))).alias("w"))
     out = [0] * blocks
@@ -86,18 +94,16 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     if not facts.n:
         return judged.withColumns({"_rule": F.lit(None).cast("string"), "_verdict": F.lit(default)})
     words = build_filter(keyed, facts.n)
-    if len(words) <= BROADCAST_RULES:
-        bits = F.expr("array(" + ",".join(f"{w}L" if w != -(2**63) else "(-9223372036854775807L - 1L)" for w in words) + ")")
-        listed = F.filter(
-            possible_keys(F.col("_host"), F.col("_path"), sorted(facts.lengths)),
-            lambda k: F.element_at(bits, (_block(_hash(k), len(words)) + 1).cast("int")).bitwiseAND(_mask(_hash(k))) == _mask(_hash(k)),
-        )
-    else:  # a list too large for a literal: all keys go to the join
-        listed = possible_keys(F.col("_host"), F.col("_path"), sorted(facts.lengths))
-    # Hosts and paths are judged once each, however many rows share them.
-    urls = judged.select("_host", "_path").filter(F.col("_host") != "").distinct().withColumn("_key", F.explode(listed))
+    bits = F.from_json(F.lit(str(words)), "array<bigint>")  # folded to one literal
+    passes = lambda k: F.element_at(bits, (_block(_hash(k), len(words)) + 1).cast("int")).bitwiseAND(_mask(_hash(k))) == _mask(_hash(k))
+    keys, part, row = (free(c, judged.columns) for c in ("_keys", "_part", "_best"))
+    judged = judged.withColumn(keys, F.when(F.col("_host") != "", F.filter(possible_keys(F.col("_host"), F.col("_path"), sorted(facts.lengths)), passes)).otherwise(F.array().cast("array<string>")))
+    asked = judged.filter(F.size(keys) > 0).select(F.col(keys).alias("keys")).distinct().withColumn("_key", F.explode("keys"))
     right = F.broadcast(keyed) if facts.n <= BROADCAST_RULES else keyed
     order = F.struct(F.length("_key"), "_host_length", F.col("_key"), "_found")
-    best = urls.join(right, "_key").groupBy("_host", "_path").agg(F.max(order).alias("_best"))
-    best = best.select("_host", "_path", F.col("_best._key").alias("_rule"), F.col("_best._found").alias("_verdict"))
-    return judged.join(best, ["_host", "_path"], "left").withColumn("_verdict", F.coalesce("_verdict", F.lit(default)))
+    best = asked.join(right, "_key").groupBy(F.col("keys").alias(keys)).agg(F.max(order).alias(row))
+    best = persist_table(best.withColumn(part, F.lit(0)), "url-hits")
+    # pages without keys meet nothing; where the join is shuffled they are spread
+    judged = judged.withColumn(part, F.when(F.size(keys) > 0, 0).otherwise(1 + F.pmod(F.hash("_host", "_path"), F.lit(PARTS))))
+    out = judged.join(few(best), [keys, part], "left")
+    return out.withColumns({"_rule": F.col(f"{row}._key"), "_verdict": F.coalesce(F.col(f"{row}._found"), F.lit(default))}).drop(keys, part, row)

@@ -1,6 +1,9 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from evigraph.llm import common
 from evigraph.llm import url_filter as uf
 
 
@@ -24,8 +27,10 @@ def test_against_brute_force(spark, monkeypatch):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
     table = spark.createDataFrame(rules, "host string, path string, verdict string")
     want = [(i, *brute(u, rules)) for i, u in enumerate(urls)]
-    for most in (200_000, 0):  # with the filter, and with a list too long for it
+    for most, blocks, few in ((200_000, 1 << 18, 300_000), (0, 1, 0)):  # and with shuffled joins and a full filter
         monkeypatch.setattr(uf, "BROADCAST_RULES", most)
+        monkeypatch.setattr(uf, "MOST_BLOCKS", blocks)
+        monkeypatch.setattr(common, "BROADCAST_ROWS", few)
         got = sorted((r.page_id, r._host, r._path, r._rule, r._verdict) for r in uf.judge(pages, table).collect())
         assert got == want
 
@@ -37,6 +42,16 @@ def test_edges(spark):
     assert uf.judge(pages, rules.limit(0)).filter("_rule IS NOT NULL").count() == 0 and uf.judge(pages.limit(0), rules).count() == 0
 
 
+def test_the_filter_is_one_literal_and_drops_strangers(spark):
+    rules = spark.createDataFrame([(f"h{i}.com", "/", "block") for i in range(3000)], "host string, path string, verdict string")
+    pages = spark.range(5000).select("id", F.concat(F.lit("http://x"), "id", F.lit(".org/a")).alias("url"))
+    judged = uf.judge(pages, rules)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and judged.filter("_rule IS NULL AND _verdict = 'allow'").count() == 5000
+    found = uf.judge(pages.withColumn("url", F.concat(F.lit("https://A.H"), "id", F.lit(".com/z"))), rules)
+    assert found.filter("_verdict = 'block'").count() == 3000
+
+
 def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id int, url string")
     rules = spark.sql("SELECT 'a.com' AS host, '/' AS path, 'block' AS verdict")
