@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, pii, sharding, token_counts, toxicity, url_filter
-from .common import table
+from .common import persist_table, shared_dir, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
@@ -55,9 +56,12 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
-    assigned, _ = sharding.assign(docs, SHARDS, ["doc_id", "text_crc32"])
-    placed = sharding.positions(assigned.drop("text"), ["doc_id", "text_crc32"])
+    docs = table(spark, sf_dir, "documents")
+    # texts are read once: sizes and checksums are kept
+    known = persist_table(docs.select("doc_id", F.octet_length("text").alias("bytes"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")), "sizes")
+    map_path = f"{shared_dir(spark)}/slot-maps/documents-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    assigned, _ = sharding.assign(known, SHARDS, ["doc_id", "text_crc32"], bytes_col="bytes", map_path=map_path)
+    placed = sharding.positions(assigned, ["doc_id", "text_crc32"])
     return placed.select(
         "doc_id", F.col("_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.col("_shard").alias("shard"),
         F.col("_position").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("_virtual_slot").alias("virtual_slot"),

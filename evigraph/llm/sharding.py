@@ -2,8 +2,9 @@
 
 A record's virtual slot is a hash of its key, so it never changes. Bytes are summed
 for each slot, and a versioned slot-to-shard map (one row a slot) places whole slots:
-version 1 packs the slots, largest first, on the lightest shard; a later version edits
-only the entries that a rebalance moves. Everything runs as DataFrame expressions; the
+version 1 packs the slots, largest first, on the lightest shard; where a map is stored already,
+its newest version is loaded and a rebalance edits only the entries that it moves, which
+gives the next version, or none if nothing moves. Everything runs as DataFrame expressions; the
 driver handles the slot table alone, whose size is the fixed number of slots.
 
 Defined results: a null text has no bytes and still weighs the record's overhead; equal
@@ -15,6 +16,7 @@ round; rows with equal keys are all kept; columns of the input named ``_size``,
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,15 +43,21 @@ class SlotMap:
         rows = spark.range(len(self.shards), numPartitions=1).select(
             F.col("id").cast("int").alias("slot"), self.shard_of(F.col("id").cast("int")).alias("shard"), F.lit(self.n_shards).alias("n_shards")
         )
-        rows.write.mode("overwrite").parquet(f"{path}/version={self.version}")
+        rows.write.mode("error").parquet(f"{path}/version={self.version}")  # a version is never written twice
+
+    @staticmethod
+    def versions(spark: SparkSession, path: str) -> list[int]:
+        """The stored versions whose writing ended."""
+        sc = spark.sparkContext
+        done = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+        found = done.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(done) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
         """A stored version, the newest unless one is named."""
-        stored = spark.read.parquet(path)
-        if version is None:
-            version = stored.agg(F.max("version")).first()[0]
-        rows = stored.filter(F.col("version") == version).select("slot", "shard", "n_shards").orderBy("slot").collect()
+        version = version or max(cls.versions(spark, path))
+        rows = spark.read.parquet(f"{path}/version={version}").orderBy("slot").collect()  # one row a slot
         return cls(version, rows[0].n_shards, tuple(r.shard for r in rows))
 
     def shard_of(self, slot: Column) -> Column:
@@ -115,15 +123,29 @@ def rebalance(current: SlotMap, weights: dict[int, int], n_shards: int, toleranc
     return SlotMap(current.version + 1, n_shards, tuple(out))
 
 
-def assign(docs: DataFrame, n_shards: int, key_cols: list[str], text_col: str = "text", overhead: int = 16, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, SlotMap]:
-    """Every row with ``_size``, ``_virtual_slot`` and ``_shard``; and the map, stored at ``map_path`` (by default in the shared folder)."""
+def assign(docs: DataFrame, n_shards: int, key_cols: list[str], text_col: str = "text", overhead: int = 16, slots: int = SLOTS, map_path: str | None = None, bytes_col: str | None = None) -> tuple[DataFrame, SlotMap]:
+    """Every row with ``_size``, ``_virtual_slot`` and ``_shard``; and the map, kept at ``map_path``, one for each table.
+
+    ``bytes_col`` holds the sizes of texts where they are known already.
+    """
     spark = docs.sparkSession
+    size = F.col(bytes_col) if bytes_col else F.octet_length(text_col)
     sized = docs.withColumns({
-        "_size": F.coalesce(F.octet_length(text_col).cast("bigint"), F.lit(0).cast("bigint")) + overhead,
+        "_size": F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint")) + overhead,
         "_virtual_slot": virtual_slot([F.col(c) for c in key_cols], slots),
     })
-    chosen = pack(slot_bytes(sized, "_virtual_slot", "_size"), n_shards, slots)
-    chosen.save(spark, map_path or f"{shared_dir(spark)}/slot-maps")
+    weights = slot_bytes(sized, "_virtual_slot", "_size")
+    path = map_path or f"{shared_dir(spark)}/slot-maps/{uuid.uuid4().hex}"
+    if SlotMap.versions(spark, path):
+        before = SlotMap.load(spark, path)
+        chosen = rebalance(before, weights, n_shards)
+        if (chosen.shards, n_shards) == (before.shards, before.n_shards):
+            chosen = before
+        else:
+            chosen.save(spark, path)
+    else:
+        chosen = pack(weights, n_shards, slots)
+        chosen.save(spark, path)
     return sized.withColumn("_shard", chosen.shard_of(F.col("_virtual_slot"))), chosen
 
 

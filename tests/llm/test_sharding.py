@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from evigraph.llm import sharding as sh
 
 
@@ -23,7 +25,7 @@ def test_packing_and_rebalancing():
 
 
 def test_rows_are_placed_gapless(spark, edge_docs, no_docs, tmp_path):
-    placed, kept = sh.assign(edge_docs.drop("_shard"), 3, ["doc_id", "text"], slots=64, map_path=str(tmp_path / "maps"))
+    placed, kept = sh.assign(edge_docs, 3, ["doc_id", "text"], slots=64, map_path=str(tmp_path / "maps"))
     rows = sh.positions(placed, ["doc_id", "text"]).collect()
     places = defaultdict(list)
     for r in rows:
@@ -31,7 +33,7 @@ def test_rows_are_placed_gapless(spark, edge_docs, no_docs, tmp_path):
         assert r._size == len((r.text or "").encode()) + 16 and r._shard == kept.shards[r._virtual_slot]
     assert len(rows) == edge_docs.count() and all(sorted(p) == list(range(len(p))) for p in places.values())
     assert sh.SlotMap.load(spark, str(tmp_path / "maps")) == kept
-    assert sh.assign(no_docs.drop("_shard"), 3, ["doc_id"])[0].count() == 0
+    assert sh.assign(no_docs, 3, ["doc_id"])[0].count() == 0
 
 
 def test_query_contract(spark):
@@ -46,3 +48,23 @@ def test_query_contract(spark):
         load[r.shard] += r.size
         places[r.shard].append(r.slot)
     assert len(rows) == len(text) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    largest = max(len(t.encode()) for t in text.values()) + 16
+    assert max(load.values()) - min(load[s] for s in range(40)) <= 2 * largest
+    again = {r.doc_id: r.shard for r in op6_sharding(spark, d).collect()}
+    assert again == {r.doc_id: r.shard for r in rows}  # the stored map is used
+
+
+def test_a_growing_table_moves_little(spark, tmp_path):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.pmod(F.xxhash64("id"), F.lit(900)) + 1).cast("int")).alias("text"))
+    path = str(tmp_path / "maps")
+    _, one = sh.assign(docs.filter("doc_id < 16000"), 8, ["doc_id"], slots=512, map_path=path)
+    placed, two = sh.assign(docs, 8, ["doc_id"], slots=512, map_path=path)
+    assert (one.version, two.version) == (1, 2) and sh.SlotMap.versions(spark, path) == [1, 2]
+    assert sh.SlotMap.load(spark, path, 1) == one and sh.SlotMap.load(spark, path) == two
+    assert sum(a != b for a, b in zip(one.shards, two.shards, strict=True)) < 60
+    load = [r.n for r in placed.groupBy("_shard").agg(F.sum("_size").alias("n")).collect()]
+    most = max(r.n for r in placed.groupBy("_virtual_slot").agg(F.sum("_size").alias("n")).collect())
+    assert len(load) == 8 and max(load) - min(load) <= max(0.01 * sum(load) / 8, most)
+    assert sh.assign(docs, 8, ["doc_id"], slots=512, map_path=path)[1] == two and sh.SlotMap.versions(spark, path) == [1, 2]
+    grown, three = sh.assign(docs, 9, ["doc_id"], slots=512, map_path=path)
+    assert three.version == 3 and {b for a, b in zip(two.shards, three.shards, strict=True) if a != b} == {8} and grown.filter("_shard = 8").count() > 1500
