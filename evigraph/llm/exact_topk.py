@@ -27,45 +27,58 @@ from pyspark.sql.window import Window
 
 from .common import ship
 
-CANDIDATE_BLOCK, QUERY_BLOCK = 8192, 1024
-STEPS = 8
+CANDIDATE_BLOCK, QUERY_BLOCK = 8192, 4096
+#: Impact levels; and the shares of the largest norm that may be left when a proof is tried.
+STEPS, TRIALS = 8, (0.6, 0.3)
 
 
 class ImpactIndex:
-    """Posting segments of a block of integer vectors, by descending quantised impact."""
+    """Posting segments of a block of integer vectors, by descending quantised impact.
+
+    Segments between two trials of the proof are scored in one product.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
         size = np.abs(vectors)
-        step = max(1.0, float(size.max(initial=0)) / STEPS)
-        level = np.minimum((size / step).astype(np.int64), STEPS - 1)
-        self.segments = []
+        self.largest = float(size.max(initial=0))
+        level = np.minimum((size / max(1.0, self.largest / STEPS)).astype(np.int64), STEPS - 1)
+        square = vectors**2
+        self.norm = np.sqrt(square.sum(axis=1))
+        most, trials = self.norm.max(initial=0), list(TRIALS)
+        self.parts: list[tuple[int, np.ndarray, np.ndarray]] = []  # segments, their postings, and the norms of what is left after them
+        top = STEPS
         for impact in range(STEPS - 1, -1, -1):
-            row, dimension = np.nonzero((level == impact) & (size > 0))
-            self.segments.append((row, dimension, vectors[row, dimension]))
-        left = (vectors**2).sum(axis=1)
-        self.left = []  # norm of what is unprocessed, after each segment
-        for row, _, value in self.segments:
-            left = left - np.bincount(row, value**2, len(vectors))
-            self.left.append(np.sqrt(np.maximum(left, 0)))
+            left = np.sqrt((square * (level < impact)).sum(axis=1))
+            worst = left.max(initial=0)
+            if impact and (not trials or worst > trials[0] * most):
+                continue
+            while trials and worst <= trials[0] * most:
+                trials.pop(0)
+            self.parts.append((top - impact, vectors * ((level >= impact) & (level < top)), left))
+            top = impact
+        #: Segments that searches processed, of how many.
+        self.processed, self.offered = 0, 0
 
     def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> list[np.ndarray]:
         """For each query the candidates that can be among its best k; ``own`` marks pairs that may not meet."""
-        score = np.zeros((len(queries), len(self.vectors)))
-        norm, whole = np.sqrt((queries**2).sum(axis=1))[:, None], np.sqrt((self.vectors**2).sum(axis=1))
-        few = max(4 * k, len(self.vectors) // 50)
-        for (row, dimension, value), left in zip(self.segments, self.left, strict=True):
-            if len(row):
-                share = np.zeros(self.vectors.shape)
-                share[row, dimension] = value
-                score += queries @ share.T
-            if left.max(initial=0) > 0.75 * whole.max(initial=0):
-                continue  # too much is left for any proof
-            slack = norm * (left * (1 + 1e-9) + whole * 1e-12) + 1e-6  # what is left, and rounding of what is summed
+        # sums below 2^24 are exact in single precision
+        small = self.vectors.shape[1] * self.largest * np.abs(queries).max(initial=0) < 2**24
+        kind = np.float32 if small else np.float64
+        n = len(self.vectors)
+        score = np.zeros((len(queries), n), kind)
+        norm = np.sqrt((queries**2).sum(axis=1))[:, None]
+        few, asked = max(4 * k, n // 50), queries.astype(kind)
+        heads = np.arange(0, n, max(1, min(64, n // (8 * k))))
+        self.offered += STEPS
+        for segments, postings, left in self.parts:
+            self.processed += segments
+            score += asked @ postings.astype(kind).T
+            slack = norm * (left * (1 + 1e-9) + self.norm * 1e-12) + 1e-6  # what is left, and rounding of what is summed
             low = np.where(own, -np.inf, score - slack)
-            if low.shape[1] > k:
-                bar = np.partition(low, low.shape[1] - k, axis=1)[:, -k][:, None]
-                may = (score + slack >= bar) & ~own
+            if len(heads) > k:  # the k-th best head of a run of candidates: k of them reach it
+                best = np.maximum.reduceat(low, heads, axis=1)
+                may = (score + slack >= np.partition(best, len(heads) - k, axis=1)[:, -k][:, None]) & ~own
             else:
                 may = ~own
             if may.sum() <= few * len(queries):

@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -46,3 +47,26 @@ def test_proof_stops_early():
     for q, rows in zip(np.floor(v[:3]), found, strict=True):
         best = np.argsort(-(np.floor(v) @ q))[:3]
         assert set(best) <= set(rows.tolist()) and len(rows) < 2000
+
+    near = np.floor(rng.normal(size=32) * 400 + rng.normal(size=(10, 32)) * 5)
+    index = et.ImpactIndex(np.concatenate([near, np.floor(v[5:])]))
+    found = index.search(near[:3], 3, np.zeros((3, len(index.vectors)), bool))
+    assert index.processed < index.offered and all(set(np.argsort(-(index.vectors @ q))[:3]) <= set(rows.tolist()) for q, rows in zip(near, found, strict=False))
+
+
+def test_no_slower_than_a_plain_product():
+    """On vectors that allow no early stop: of the order of a product with a selection."""
+    rng = np.random.default_rng(3)
+    v = np.floor(256 * rng.normal(size=(8192, 64)) / 8)
+    q, own, index = v[:256], np.zeros((256, 8192), bool), et.ImpactIndex(v)
+
+    def seconds(f):
+        best = 9e9
+        for _ in range(5):
+            began = time.perf_counter()
+            f()
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    plain = seconds(lambda: np.argpartition(q @ v.T, 8192 - 5, axis=1)[:, -5:])
+    assert seconds(lambda: index.search(q, 5, own)) < 8 * plain + 0.05
