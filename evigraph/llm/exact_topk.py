@@ -69,16 +69,18 @@ class ImpactIndex:
         score = np.zeros((len(queries), n), kind)
         norm = np.sqrt((queries**2).sum(axis=1))[:, None]
         few, asked = max(4 * k, n // 50), queries.astype(kind)
-        heads = np.arange(0, n, max(1, min(64, n // (8 * k))))
+        runs = max(8 * k, n // 64)
         self.offered += STEPS
         for segments, postings, left in self.parts:
             self.processed += segments
             score += asked @ postings.astype(kind).T
             slack = norm * (left * (1 + 1e-9) + self.norm * 1e-12) + 1e-6  # what is left, and rounding of what is summed
             low = np.where(own, -np.inf, score - slack)
-            if len(heads) > k:  # the k-th best head of a run of candidates: k of them reach it
-                best = np.maximum.reduceat(low, heads, axis=1)
-                may = (score + slack >= np.partition(best, len(heads) - k, axis=1)[:, -k][:, None]) & ~own
+            if n > k:
+                best = low
+                if n > runs:  # the best of every runs-th candidate: k candidates reach the k-th of these
+                    best = low[:, : n - n % runs].reshape(len(queries), -1, runs).max(axis=1)
+                may = (score + slack >= np.partition(best, best.shape[1] - k, axis=1)[:, -k][:, None]) & ~own
             else:
                 may = ~own
             if may.sum() <= few * len(queries):
