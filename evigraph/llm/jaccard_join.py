@@ -100,39 +100,51 @@ def shingle_hashes(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def segment_keys(own: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of the parity sketch in the set's band, with the lowest bit set, and in the next, with the lowest bit clear."""
+def segment_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the sets' parity sketches, set by set, and where each set's keys begin, with the end.
+
+    Those in the set's own band have the lowest bit set, those in the next have it clear.
+    """
     low = bands(num, den)
-    band = bisect_right(low, len(own)) - 1
-    out = []
-    for k in (band, band + 1):
-        apart = most_apart(low[k + 1] - 1, low[k + 1] - 1, num, den)
-        if not apart:
-            continue  # similar sets of this band are equal
-        n = apart + 1 - (-apart // GROUP)
-        bit = (mix(own ^ _U(0x5851F42D4C957F2D)) % _U(n * SEGMENT_BITS)).astype(np.int64)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    band = np.searchsorted(np.array(low[: bisect_right(low, int(sizes.max(initial=1))) + 1]), sizes, "right") - 1
+    whole = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    spread = mix(whole ^ _U(0x5851F42D4C957F2D))
+    found, owner = [], []
+    for step in (0, 1):
+        top = np.array([low[k + 1] - 1 if k >= 0 else 0 for k in (band + step).tolist()], np.int64)
+        apart = np.where(sizes > 0, 2 * top * (den - num) // (den + num), 0)  # similar sets of a band with 0 are equal
+        groups = -(-apart // GROUP)
+        n = np.where(apart > 0, apart + 1 + groups, 0)
+        first = np.concatenate([[0], np.cumsum(n)])  # each set's segments are a run
+        width = np.repeat(n, sizes)
+        used = width > 0
+        # a bit's place among all segments of all sets
+        bit = (spread[used] % (width[used] * SEGMENT_BITS).astype(np.uint64)).astype(np.int64) + np.repeat(first[:-1], sizes)[used] * SEGMENT_BITS
         bit.sort()
-        edge = np.flatnonzero(np.append(True, bit[1:] != bit[:-1]))
-        odd = np.diff(np.append(edge, len(bit))) & 1 == 1
-        bit = bit[edge[odd]]
-        named = mix(np.arange(n, dtype=np.uint64) + _U(k << 32))
-        full = np.zeros(n, bool)
-        keys = []
-        if len(bit):
-            segment = bit // SEGMENT_BITS
-            begin = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
-            full[segment[begin]] = True
-            keys.append(named[segment[begin]] + np.add.reduceat(mix(bit.astype(np.uint64) + _U(1)), begin))
-        empty = np.flatnonzero(~full)
-        group = empty * -(-apart // GROUP) // n
-        for step in range(1, len(empty)):
-            same = np.flatnonzero(group[step:] == group[:-step])
+        edge = np.flatnonzero(np.append(True, bit[1:] != bit[:-1])) if len(bit) else np.zeros(0, np.int64)
+        bit = bit[edge[np.diff(np.append(edge, len(bit))) & 1 == 1]]
+        holder = np.repeat(np.arange(len(sets)), n)
+        place = np.arange(first[-1]) - first[holder]
+        named = mix(place.astype(np.uint64) + (np.repeat(band + step, n) << 32).astype(np.uint64))
+        segment = bit // SEGMENT_BITS
+        begin = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(bit) else np.zeros(0, np.int64)
+        at = segment[begin]
+        if len(at):
+            inner = (bit - first[holder[segment]] * SEGMENT_BITS).astype(np.uint64)
+            found.append(mix(named[at] + np.add.reduceat(mix(inner + _U(1)), begin)) & ~_U(1) | _U(step == 0))
+            owner.append(holder[at])
+        empty = np.setdiff1d(np.arange(first[-1]), at, assume_unique=True)
+        group = place[empty] * groups[holder[empty]] // np.maximum(1, n[holder[empty]]) + holder[empty] * (1 << 32)
+        for away in range(1, GROUP + 2):
+            same = np.flatnonzero(group[away:] == group[:-away])
             if not len(same):
                 break  # groups are runs
-            keys.append(mix(named[empty[same]]) ^ named[empty[same + step]])
-        if keys:
-            out.append(mix(np.concatenate(keys)) & ~_U(1) | _U(k == band))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            found.append(mix(mix(named[empty[same]]) ^ named[empty[same + away]]) & ~_U(1) | _U(step == 0))
+            owner.append(holder[empty[same]])
+    keys, of = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64), np.concatenate([*owner, np.zeros(0, np.int64)])
+    order = np.argsort(of, kind="stable")
+    return keys[order], np.searchsorted(of[order], np.arange(len(sets) + 1))
 
 
 def parity_sketch(own: np.ndarray, num: int, den: int) -> bytes:
@@ -162,8 +174,11 @@ def _sets(docs: DataFrame, size: int, num: int, den: int, id_col: str, text_col:
             for part in runs(batch, 1):
                 sets = shingle_hashes([t.encode() for t in part.column(1).to_pylist()], size)
                 if keys:
-                    made = [segment_keys(s, num, den) if len(s) else np.zeros(0, np.int64) for s in sets]
-                    last = pa.array([_listed(k, words.value) for k in made] if words else made, pa.list_(pa.int64()))
+                    found, at = segment_keys(sets, num, den)
+                    if words:
+                        may = _listed(found, words.value)
+                        found, at = found[may], np.append(0, np.cumsum(may))[at]
+                    last = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int64()))
                 else:
                     last = pa.array([parity_sketch(s, num, den) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([
@@ -190,12 +205,12 @@ def _filter(listed: DataFrame) -> np.ndarray:
 
 
 def _listed(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """The keys that may be in the filter, which knows them without their lowest bit."""
+    """Whether each key may be in the filter, which knows them without their lowest bit."""
     bucket = keys >> 1
     mask = np.zeros(len(keys), np.int64)
     for i in range(FILTER_BITS):
         mask |= np.int64(1) << (bucket >> (24 + 6 * i) & 63)
-    return keys[words[bucket & (len(words) - 1)] & mask == mask]
+    return words[bucket & (len(words) - 1)] & mask == mask
 
 
 def _near(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
