@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import similarity_tier
 from ..functions.vectors import cosine, l2_normalise
+from ..sources.sinks import Snapshots
 from .components import cut_lineage, weak_components
 from .numbering import numbered
 
@@ -133,16 +134,30 @@ def density(matrix: np.ndarray, min_size: int = 2, epsilon: float = 0.5) -> np.n
 
 
 def quality(members: DataFrame) -> DataFrame:
-    """Cluster counts and spread, and the Davies-Bouldin index from centroids, in one row."""
+    """Cluster counts and spread, assignment rate, the Davies-Bouldin index and the mean silhouette, in one row.
+
+    Members with cluster_id null or -1 are noise. The silhouette is of squared distances: a member's mean squared
+    distance to a cluster follows from the cluster's mean and mean square, so no pairs of members meet.
+    """
+    noise = F.col("cluster_id").isNull() | (F.col("cluster_id") == -1)
+    rate = members.agg(F.avg(F.when(noise, 0.0).otherwise(1.0)).alias("assignment_rate"))
+    members = members.filter(~noise)
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     plain = members.select("cluster_id", F.posexplode("vector").alias("i", "x")).groupBy("cluster_id", "i").agg(F.avg("x").alias("x"))
     mean = plain.groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e.x).alias("mean"))
     gap = lambda u, v: F.sqrt(F.aggregate(F.zip_with(u, v, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    spread = members.join(F.broadcast(mean), "cluster_id").groupBy("cluster_id").agg(F.avg(gap(F.col("vector"), F.col("mean"))).alias("s"), F.count("*").alias("n"))
-    of = mean.join(spread, "cluster_id")
+    spread = members.join(mean, "cluster_id").groupBy("cluster_id").agg(F.avg(gap(F.col("vector"), F.col("mean"))).alias("s"), F.avg(dot(F.col("vector"), F.col("vector"))).alias("sq"), F.count("*").alias("n"))
+    of = cut_lineage(mean.join(spread, "cluster_id"), "spread")
     a, b = (of.select(F.col("cluster_id").alias(x), F.col("mean").alias(f"m{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     worst = a.join(b, F.col("a") != F.col("b")).groupBy("a").agg(F.max((F.col("sa") + F.col("sb")) / gap(F.col("ma"), F.col("mb"))).alias("r"))
+    # every member meets every cluster: rows grow with members times clusters, as the definition does
+    apart = members.withColumn("own", F.col("cluster_id")).drop("cluster_id").crossJoin(of.select("cluster_id", "mean", "sq", "n"))
+    far = dot(F.col("vector"), F.col("vector")) - 2 * dot(F.col("vector"), F.col("mean")) + F.col("sq")
+    same = F.col("own") == F.col("cluster_id")
+    per = apart.groupBy("member").agg(F.max(F.when(same & (F.col("n") > 1), far * F.col("n") / (F.col("n") - 1))).alias("a"), F.min(F.when(~same, far)).alias("b"))
+    shape = per.agg(F.avg(F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))).alias("silhouette"))
     sizes = spread.agg(F.count("*").alias("n_clusters"), F.sum("n").alias("n_members"), F.min("n").alias("smallest"), F.max("n").alias("largest"), F.avg("n").alias("mean_size"))
-    return sizes.crossJoin(worst.agg(F.avg("r").alias("davies_bouldin")))
+    return sizes.crossJoin(rate).crossJoin(worst.agg(F.avg("r").alias("davies_bouldin"))).crossJoin(shape)
 
 
 def greedy_merges(pairs: DataFrame) -> DataFrame:
@@ -176,12 +191,41 @@ def apply_merges(hierarchy: DataFrame, merges: DataFrame) -> DataFrame:
     return out.union(new.select(F.col("parent").alias("cluster_id"), F.lit(None).cast("bigint").alias("parent_id"), F.lit(0).alias("level")))
 
 
-def hierarchy_problems(hierarchy: DataFrame) -> DataFrame:
-    """Orphans (parent missing) and level errors (a child not below its parent), one row each."""
+def hierarchy_problems(hierarchy: DataFrame, cycles: bool = False) -> DataFrame:
+    """Orphans (parent missing), level errors (a child not below its parent) and, if asked, walks up that do not end: one row each."""
     up = hierarchy.select(F.col("cluster_id").alias("parent_id"), F.col("level").alias("up"))
     child = hierarchy.filter("parent_id IS NOT NULL")
     orphans = child.join(up, "parent_id", "left_anti").select("cluster_id", F.lit("orphan").alias("problem"))
-    return orphans.union(child.join(up, "parent_id").filter("level <= up").select("cluster_id", F.lit("level").alias("problem")))
+    found = orphans.union(child.join(up, "parent_id").filter("level <= up").select("cluster_id", F.lit("level").alias("problem")))
+    if not cycles:
+        return found
+    deep = hierarchy.agg(F.countDistinct("level").alias("n")).first().n + 10  # a walk through more clusters than levels meets one again
+    walks = ancestor_depth(hierarchy.select(F.col("cluster_id").alias("id"), F.col("parent_id").alias("parent")), deep)
+    return found.union(walks.filter(F.col("depth") >= deep).select(F.col("id").alias("cluster_id"), F.lit("cycle").alias("problem")))
+
+
+def merge_transaction(hierarchy: Snapshots, junction: Snapshots, merges: DataFrame) -> bool:
+    """Apply all merges, rebuild the junction of members (member, cluster_id), validate, and commit both; or leave both as they were.
+
+    A set of merges is bad when it gives rise to orphans, level errors or cycles that were not there before.
+    Both new versions are written and validated as they will be read; what fails is dropped again.
+    """
+    before, known = hierarchy.read(), junction.read()
+    into = merges.filter("relation = 'identical'").select(F.col("b").alias("cluster_id"), F.col("a").alias("into"))
+    old = hierarchy_problems(before, cycles=True)
+    hierarchy.publish(apply_merges(before, merges))
+    try:
+        new = hierarchy_problems(hierarchy.read(), cycles=True).join(old, ["cluster_id", "problem"], "left_anti")
+        lost = known.join(into, "cluster_id", "left").withColumn("cluster_id", F.coalesce("into", "cluster_id")).select(*known.columns)
+        sound = new.isEmpty() and lost.join(hierarchy.read().select("cluster_id"), "cluster_id", "left_anti").isEmpty()
+        if sound:
+            junction.publish(lost.distinct())
+    except Exception:
+        hierarchy.rollback()
+        raise
+    if not sound:
+        hierarchy.rollback()
+    return sound
 
 
 def ancestor_depth(tree: DataFrame, most: int = 10) -> DataFrame:

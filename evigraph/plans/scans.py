@@ -17,8 +17,8 @@ def s2(spark, d):
     return papers(spark, d).filter(F.col("pmid") == 33).limit(1)
 
 
-@query("s3_page_extraction", "SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, length(html) AS n_chars FROM pages")
-def s3(spark, d):
+@query("x12_page_extraction", "SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, length(html) AS n_chars FROM pages")
+def x12_page(spark, d):
     return raw(spark, d, "pages").select("page_id", F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.length("html").alias("n_chars"))
 
 

@@ -13,7 +13,7 @@ from ..sources import articles, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
 from .aggregates import classification_report
 from .registry import CANONICAL, CLUSTERS, EDGES, PAPERS, SPARSE, query, r6
-from .vectors import _CENTROIDS, _COS
+from .vectors import _CENTROIDS, _COS, hierarchy
 
 
 def _scratch(spark, label):
@@ -27,18 +27,46 @@ def _escape(c):
 
 
 # -- readers ---------------------------------------------------------------------
-@query("s4_glob_reader", "SELECT pmid, journal FROM papers", (PAPERS,))
+ARTICLE = ("pmid", "title", "abstract", "journal", "publication_date", "doi")
+
+
+def article_xml(p):
+    """Papers spelled as article XML, one row each."""
+    day = F.to_date("publication_date")
+    tag = lambda name, value: F.coalesce(F.concat(F.lit(f"<{name}>"), _escape(value), F.lit(f"</{name.split(' ')[0]}>")), F.lit(""))
+    x = F.concat(
+        F.lit("<PubmedArticle><MedlineCitation>"), tag("PMID", F.col("pmid").cast("string")), F.lit("<Article><Journal><JournalIssue><PubDate>"), tag("Year", F.date_format(day, "yyyy")), tag("Month", F.date_format(day, "MMM")),
+        F.lit("</PubDate></JournalIssue>"), tag("Title", F.col("journal")), F.lit("</Journal>"), tag("ArticleTitle", F.col("title")), F.lit("<Abstract>"), tag('AbstractText Label="AIM"', F.col("abstract")),
+        F.lit("</Abstract></Article></MedlineCitation><PubmedData><ArticleIdList>"), tag('ArticleId IdType="doi"', F.col("doi")), F.lit("</ArticleIdList></PubmedData></PubmedArticle>"),
+    )
+    return p.select(x.alias("x"))
+
+
+_FIELDS = "SELECT CAST(pmid AS VARCHAR) AS pmid, title, coalesce('AIM: ' || abstract, NULL) AS abstract, journal, substr(publication_date, 1, 7) AS publication_date, doi FROM papers"
+
+
+@query("s3_article_set", _FIELDS, (PAPERS,))
+def s3(spark, d):
+    """One folder of article files, several articles each, read back."""
+    path = _scratch(spark, "articles")
+    article_xml(papers(spark, d)).repartition(8).write.text(path)
+    return articles.read_articles(spark, path).select(*ARTICLE)
+
+
+@query("s4_glob_reader", "SELECT CAST(pmid AS VARCHAR) AS pmid, journal FROM papers", (PAPERS,))
 def s4(spark, d):
-    """Several files by one pattern."""
+    """Article files of several folders by one pattern."""
     path = _scratch(spark, "glob")
-    papers(spark, d).select("pmid", "journal").repartition(3).write.json(path)
-    return spark.read.schema("pmid bigint, journal string").json(f"{path}/part-*.json")
+    p = papers(spark, d)
+    for k in range(3):
+        article_xml(p.filter(F.col("pmid") % 3 == k)).repartition(3).write.text(f"{path}/set-{k}")
+    return articles.read_articles(spark, f"{path}/set-*/part-*").select("pmid", "journal")
 
 
-@query("s5_body_text", r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?s)<p[^>]*>(.*?)</p>', 1), '<[^>]+>', '', 'g')) AS first FROM pages")
+@query("s5_body_text", r"""SELECT page_id, CASE WHEN body <> '' THEN body ELSE trim(regexp_replace(html, '(?s)<[^>]+>', ' ', 'g')) END AS body
+  FROM (SELECT *, array_to_string(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<body[^>]*>(.*?)</body>', 1), '(?s)<p[^>]*>(.*?)</p>', 1), lambda p: trim(regexp_replace(p, '<[^>]+>', '', 'g'))), chr(10)) AS body FROM pages)""")
 def s5(spark, d):
-    first = F.regexp_extract("html", r"(?s)<p[^>]*>(.*?)</p>", 1)
-    return raw(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(first, "<[^>]+>", "")).alias("first"))
+    return raw(spark, d, "pages").select("page_id", articles.body_text(F.col("html")).alias("body"))
 
 
 @query("s7_suggestions_csv", "SELECT DISTINCT mechanism AS term, 'kind ' || mechanism AS canonical, 0.75::DOUBLE AS confidence FROM edges", (EDGES,))
@@ -55,18 +83,10 @@ def s8(spark, d):
     return spark.read.schema("id long, model string, verdict string").json(path).select("id", "model")
 
 
-@query("x12_article_fields", "SELECT CAST(pmid AS VARCHAR) AS pmid, title, coalesce('AIM: ' || abstract, NULL) AS abstract, journal, substr(publication_date, 1, 7) AS publication_date, doi FROM papers", (PAPERS,))
+@query("x12_article_fields", _FIELDS, (PAPERS,))
 def x12(spark, d):
-    """Papers written as article XML and parsed again."""
-    p = papers(spark, d)
-    day = F.to_date("publication_date")
-    tag = lambda name, value: F.coalesce(F.concat(F.lit(f"<{name}>"), _escape(value), F.lit(f"</{name.split(' ')[0]}>")), F.lit(""))
-    x = F.concat(
-        F.lit("<PubmedArticle><MedlineCitation>"), tag("PMID", F.col("pmid").cast("string")), F.lit("<Article><Journal><JournalIssue><PubDate>"), tag("Year", F.date_format(day, "yyyy")), tag("Month", F.date_format(day, "MMM")),
-        F.lit("</PubDate></JournalIssue>"), tag("Title", F.col("journal")), F.lit("</Journal>"), tag("ArticleTitle", F.col("title")), F.lit("<Abstract>"), tag('AbstractText Label="AIM"', F.col("abstract")),
-        F.lit("</Abstract></Article></MedlineCitation><PubmedData><ArticleIdList>"), tag('ArticleId IdType="doi"', F.col("doi")), F.lit("</ArticleIdList></PubmedData></PubmedArticle>"),
-    )
-    return articles.parse_articles(p.select(x.alias("x"))).select("pmid", "title", "abstract", "journal", "publication_date", "doi")
+    """Papers spelled as article XML and parsed again."""
+    return articles.parse_articles(article_xml(papers(spark, d))).select(*ARTICLE)
 
 
 # -- sinks -------------------------------------------------------------------------
@@ -79,11 +99,15 @@ def k5(spark, d):
     return s.read()
 
 
-@query("k7_json_document", "SELECT source, count(*) AS n FROM sparse GROUP BY source", (SPARSE,))
-def k7(spark, d, sparse=edges_sparse):
-    path = _scratch(spark, "document")
-    sinks.write_json_document(sparse(spark, d).groupBy("source").agg(F.count("*").alias("n")), path)
-    return spark.read.schema("source string, n bigint").json(path)
+@query("k7_json_document", "SELECT source, count(*) AS n FROM edges GROUP BY source UNION ALL SELECT source, 0 FROM edges GROUP BY source", (EDGES,))
+def k7(spark, d):
+    """A document written twice: the second one, and the first from its backup."""
+    path = _scratch(spark, "document") + ".json"
+    counts = edges(spark, d).groupBy("source").agg(F.count("*").alias("n"))
+    sinks.write_json_document(counts.withColumn("n", F.lit(0)), path, ["source"])
+    sinks.write_json_document(counts, path, ["source"])
+    read = spark.read.schema("source string, n bigint")
+    return read.json(path, multiLine=True).union(read.json(f"{path}.bak", multiLine=True))
 
 
 @query("k12_csv_round_trip", "SELECT source, target, count(*) AS n FROM sparse GROUP BY ALL", (SPARSE,))
@@ -434,6 +458,23 @@ def c28(spark, d):
     return clusters(spark, d).select("member", "cluster_id").join(e, "member").groupBy("cluster_id").agg(F.count("*").alias("members"), F.countDistinct("label").alias("labels"))
 
 
+@query("c31_merge_transaction", """, h AS (SELECT vec_id AS cluster_id, CASE WHEN vec_id > 0 THEN (vec_id - 1) // 2 END AS parent_id, CAST(floor(log2(vec_id + 1)) AS INT) AS level FROM embeddings), top AS (SELECT max(cluster_id) AS t FROM h)
+  SELECT h.cluster_id, CASE WHEN h.cluster_id IN (7, 8) THEN t + 1 WHEN h.parent_id = 6 THEN 5 ELSE h.parent_id END AS parent_id, CASE WHEN h.cluster_id IN (7, 8) THEN 1 ELSE h.level END AS level, (SELECT count(*) FROM clusters c WHERE CASE WHEN c.member = 6 THEN 5 ELSE c.member END = h.cluster_id) AS members
+  FROM h, top WHERE h.cluster_id <> 6 UNION ALL SELECT t + 1, NULL, 0, 0 FROM top""", (CLUSTERS,))
+def c31(spark, d):
+    """Merges that validate are published; a set that would leave orphans is rolled back."""
+    tree, junction = (sinks.Snapshots(spark, _scratch(spark, n)) for n in ("hierarchy", "junction"))
+    h = hierarchy(spark, d)
+    tree.publish(h)
+    junction.publish(clusters(spark, d).select("member", F.col("member").alias("cluster_id")))
+    good = spark.sql("SELECT * FROM VALUES (5L, 6L, 'identical'), (7L, 8L, 'variant') AS t(a, b, relation)")
+    bad = spark.sql("SELECT * FROM VALUES (1000000L, 2L, 'identical') AS t(a, b, relation)")  # children would go to a cluster that is not there
+    if not cl.merge_transaction(tree, junction, good) or cl.merge_transaction(tree, junction, bad):
+        raise ValueError("the transactions should end in a commit and a rollback")
+    n = junction.read().groupBy("cluster_id").agg(F.count("*").alias("members"))
+    return tree.read().join(n, "cluster_id", "left").withColumn("members", F.coalesce("members", F.lit(0)))
+
+
 @query("c33_category_lookup", "SELECT entity_name, CASE WHEN category IN ('ASIA', 'EUROPE') THEN 'consider merging across ' || category ELSE 'keep' END AS suggestion FROM canonical WHERE entity_type = 'intervention'", (CANONICAL,))
 def c33(spark, d):
     c = canonical(spark, d).filter("entity_type = 'intervention'")

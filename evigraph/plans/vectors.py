@@ -82,10 +82,13 @@ def v11(spark, d):
 
 
 @query("v13_cluster_quality", """, s AS (SELECT c.cluster_id, avg(sqrt(list_sum(list_transform(generate_series(1, 64), lambda i: (c.vector[i] - m.v[i]) ** 2)))) AS s, count(*) AS n FROM clusters c JOIN means m USING (cluster_id) GROUP BY c.cluster_id),
-  r AS (SELECT a.cluster_id, max((x.s + y.s) / sqrt(list_sum(list_transform(generate_series(1, 64), lambda i: (a.v[i] - b.v[i]) ** 2)))) AS r FROM means a JOIN means b ON a.cluster_id <> b.cluster_id JOIN s x ON x.cluster_id = a.cluster_id JOIN s y ON y.cluster_id = b.cluster_id GROUP BY a.cluster_id)
-  SELECT (SELECT count(*) FROM s) AS n_clusters, (SELECT sum(n) FROM s) AS n_members, (SELECT min(n) FROM s) AS smallest, (SELECT max(n) FROM s) AS largest, round((SELECT avg(n) FROM s), 6) AS mean_size, round((SELECT avg(r) FROM r), 6) AS davies_bouldin""", (CLUSTERS, _CENTROIDS))
+  r AS (SELECT a.cluster_id, max((x.s + y.s) / sqrt(list_sum(list_transform(generate_series(1, 64), lambda i: (a.v[i] - b.v[i]) ** 2)))) AS r FROM means a JOIN means b ON a.cluster_id <> b.cluster_id JOIN s x ON x.cluster_id = a.cluster_id JOIN s y ON y.cluster_id = b.cluster_id GROUP BY a.cluster_id),
+  q AS (SELECT c.cluster_id, avg(list_sum(list_transform(c.vector, lambda x: x * x))) AS sq FROM clusters c GROUP BY c.cluster_id),
+  f AS (SELECT c.member, c.cluster_id = m.cluster_id AS same, s.n, list_sum(list_transform(generate_series(1, 64), lambda i: c.vector[i] * c.vector[i])) - 2 * list_sum(list_transform(generate_series(1, 64), lambda i: c.vector[i] * m.v[i])) + q.sq AS far FROM clusters c, means m JOIN s USING (cluster_id) JOIN q USING (cluster_id)),
+  p AS (SELECT member, max(CASE WHEN same AND n > 1 THEN far * n / (n - 1) END) AS a, min(CASE WHEN NOT same THEN far END) AS b FROM f GROUP BY member)
+  SELECT (SELECT count(*) FROM s) AS n_clusters, (SELECT sum(n) FROM s) AS n_members, (SELECT min(n) FROM s) AS smallest, (SELECT max(n) FROM s) AS largest, round((SELECT avg(n) FROM s), 6) AS mean_size, 1.0::DOUBLE AS assignment_rate, round((SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM p), 6) AS silhouette, round((SELECT avg(r) FROM r), 6) AS davies_bouldin""", (CLUSTERS, _CENTROIDS))
 def v13(spark, d):
-    return cl.quality(clusters(spark, d)).withColumns({c: r6(c) for c in ("mean_size", "davies_bouldin")})
+    return cl.quality(clusters(spark, d)).withColumns({c: r6(c) for c in ("mean_size", "davies_bouldin", "silhouette")})
 
 
 @query("v15_greedy_merges")

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,4 +23,26 @@ SETTINGS = {
 
 def session(master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.config(map=SETTINGS | settings)
-    return (builder.master(master) if master else builder).getOrCreate()
+    spark = (builder.master(master) if master else builder).getOrCreate()
+    ship_code(spark)
+    return spark
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each application.
+
+    Python workers import functions by module name, so every executor needs the source, whether or
+    not it shares a file system with the driver. Sessions made elsewhere get it with their first query.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package.name}_src.zip")
+    Path(path).write_bytes(buffer.getvalue())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)

@@ -60,12 +60,17 @@ def parse_articles(articles: DataFrame, xml_col: str = "x") -> DataFrame:
     )
 
 
+def body_text(xml: Column) -> Column:
+    """Paragraphs of a body, a line each, without inline tags; without such paragraphs all text without tags."""
+    inner = F.regexp_extract_all(F.regexp_extract(xml, r"(?s)<body[^>]*>(.*?)</body>", 1), F.lit(r"(?s)<p[^>]*>(.*?)</p>"), 1)
+    body = F.array_join(F.transform(inner, lambda p: F.trim(F.regexp_replace(p, r"<[^>]+>", ""))), "\n")
+    return F.when(body != "", body).otherwise(F.trim(F.regexp_replace(xml, r"(?s)<[^>]+>", " ")))
+
+
 def read_body(spark: SparkSession, path: str) -> DataFrame:
-    """Full text of XML files: paragraphs of the body; files without a body as raw text without tags; PDFs by a placeholder."""
+    """Full text of XML files (see ``body_text``); PDFs by a placeholder."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    body = F.array_join(F.transform(F.regexp_extract_all(F.regexp_extract("value", r"(?s)<body[^>]*>(.*?)</body>", 1), F.lit(r"(?s)<p[^>]*>(.*?)</p>"), 1), lambda p: F.trim(F.regexp_replace(p, r"<[^>]+>", ""))), "\n")
-    raw = F.trim(F.regexp_replace("value", r"(?s)<[^>]+>", " "))
-    return files.select("file", F.when(F.lower("file").endswith(".pdf"), "[PDF content not extracted]").when(body != "", body).otherwise(raw).alias("text"))
+    return files.select("file", F.when(F.lower("file").endswith(".pdf"), "[PDF content not extracted]").otherwise(body_text(F.col("value"))).alias("text"))
 
 
 def read_config(path: str) -> dict:

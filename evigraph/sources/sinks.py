@@ -86,10 +86,32 @@ def junction(members: DataFrame, entities: DataFrame, on: str) -> DataFrame:
     return members.join(entities, on).distinct()
 
 
-def write_json_document(df: DataFrame, path: str) -> None:
-    """One JSON document: the rows of a small export, as one file that appears whole."""
-    body = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    body.coalesce(1).write.mode("overwrite").text(path)
+def write_json_document(df: DataFrame, path: str, order: list[str], most: int = 1_000_000) -> None:
+    """One JSON file with an array of the rows in ``order``, for exports that a browser loads.
+
+    The file is drafted beside the old one, which becomes ``path.bak`` before the draft takes its name: readers
+    see the old document or the new one whole. More than ``most`` rows are an error: write JSON lines instead.
+    """
+    spark = df.sparkSession
+    if df.count() > most:
+        raise ValueError(f"over {most} rows are no single document: use write_jsonl")
+    lines = df.orderBy(*order).select(F.to_json(F.struct(*df.columns)).alias("j"))
+    held = lines.agg(F.collect_list("j").alias("j")).select(F.concat(F.lit("["), F.array_join("j", ",\n"), F.lit("]")).alias("value"))
+    draft = f"{path}-draft-{uuid.uuid4().hex}"
+    held.coalesce(1).write.text(draft)  # the one row of the document
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at, old, folder = hadoop(path), hadoop(f"{path}.bak"), hadoop(draft)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    if fs.exists(at):
+        fs.delete(old, False)
+        if not fs.rename(at, old):
+            raise OSError(f"no backup of {path}")
+    if not fs.rename(made, at):
+        if fs.exists(old):
+            fs.rename(old, at)
+        raise OSError(f"{path} can't be published")
+    fs.delete(folder, True)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
