@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -16,7 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_shipped: set[str] = set()
+from ..session import ship_code
+
 #: Rows of an Arrow batch between the JVM and Python: texts are long, so few.
 BATCH_ROWS = 1000
 #: Bytes of text that Python code works on at a time, but for a single longer text.
@@ -28,27 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each application, and keep Arrow batches small.
-
-    Python workers import the functions by module name, so every executor needs
-    the source whether or not it shares a file system with the driver.
-    """
-    sc, rows = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    """Send the package's source to the executors, and keep Arrow batches small."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, BATCH_ROWS)
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[2]
-    package = Path(__file__).resolve().parents[1]
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(package.rglob("*.py")):
-            z.write(p, p.relative_to(root))
-    folder = tempfile.mkdtemp(prefix="ship-")
-    path = os.path.abspath(os.path.join(folder, f"{package.name}_src.zip"))
-    Path(path).write_bytes(buffer.getvalue())
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
+    ship_code(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
