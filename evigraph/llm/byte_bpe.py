@@ -7,7 +7,8 @@ hash table of pairs), then the rows are compacted and finished rows leave.
 
 Defined results: a null text counts as empty; an empty text has no ids; repeated
 rows are encoded like any other; a very long pre-token is merged with a heap, which
-makes the same choices in n log n steps.
+makes the same choices in n log n steps; an empty table gives no rows, a very long text is
+worked on alone. Of the input's columns only id and text are used.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Defined results: vectors that are null, or hold null or non-finite components, t
 part; shorter vectors count as padded with zeros; rows with the query's own id are no
 candidates; a query row that repeats exactly is answered once; of candidates that repeat
 exactly each counts; ties go to the smaller id; fewer candidates than k are all returned;
-scores beyond a long are held to its range.
+scores beyond a long are held to its range; an empty table gives no rows. Of the input's columns
+only id and vector are used.
 """
 
 from __future__ import annotations

@@ -28,7 +28,8 @@ which the smallest id stands for all.
 Defined results: a null or wordless text has the empty set, links with nothing and is its
 own component; fewer words than the shingle length make one shingle; a row without an id
 is kept, links with nothing and has no component; an id that repeats with other texts links through
-each of them.
+each of them; repeated rows are kept; an empty table gives no rows, a very long text is shingled as a
+whole. Of the input's columns only id and text are used.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ both kinds it is a fixed quantile of the perplexities of trusted documents of th
 
 Defined results: a null or empty text has perplexity null and is kept; without trusted
 text of a language its threshold is null and all its documents are kept; a null language
-is a language of its own; repeated rows are scored each and count each.
+counts as the language ""; repeated rows are scored each and count each; an empty table gives no
+rows, a very long text is scored as a whole. Of the input's columns only id, text and language are used.
 """
 
 from __future__ import annotations
