@@ -20,7 +20,8 @@ def edges(spark: SparkSession, sf_dir: str, design: bool = False, since: str | N
     """Evidence edges: one study's claim about an intervention (source) and a condition (target).
 
     ``design`` adds study_design, which takes a join with the papers; every study has one, so
-    the edges are the same without it. ``since`` and ``before`` are dates, compared with the
+    the edges are the same without it. Of the lines with flag N (a third) only small ones are inconclusive and the
+    others count as improving, so that scores and thresholds meet all outcomes. ``since`` and ``before`` are dates, compared with the
     stored column itself so that the comparison reaches the scan.
     """
     lines = raw(spark, sf_dir, "lineitem")
