@@ -59,7 +59,7 @@ def v7(spark, d):
 @query("v8_candidate_network", f""", p AS (SELECT a.cluster_id AS a, b.cluster_id AS b, {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id WHERE greatest(a.members, b.members) <= 10 * least(a.members, b.members))
   SELECT c AS cluster_id, count(*) AS n, round(max(s), 6) AS best FROM (SELECT a AS c, s FROM p WHERE s >= 0.05 UNION ALL SELECT b, s FROM p WHERE s >= 0.05) GROUP BY c""", (CLUSTERS, _CENTROIDS))
 def v8(spark, d):
-    kept = cl.filter_candidates(cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.05), "LOW")
+    kept = cl.filter_candidates(cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.05, None), "LOW")
     ends = kept.select(F.explode(F.array("a", "b")).alias("cluster_id"), "similarity")
     return ends.groupBy("cluster_id").agg(F.count("*").alias("n"), r6(F.max("similarity")).alias("best"))
 
@@ -93,7 +93,7 @@ def v13(spark, d):
 
 @query("v15_greedy_merges")
 def v15(spark, d):
-    return cl.greedy_merges(cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.0)).select("a", "b", r6("similarity").alias("similarity"))
+    return cl.greedy_merges(cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.0, None)).select("a", "b", r6("similarity").alias("similarity"))
 
 
 @query("v16_threshold_grid", f""", p AS (SELECT {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id)

@@ -209,3 +209,32 @@ def test_walks_up_are_bounded(spark):
     tree = spark.createDataFrame([(i, i - 1 if i else None) for i in range(6)] + [(50, 51), (51, 50)], "id bigint, parent bigint")
     got = {r.id: r.depth for r in cl.ancestor_depth(tree, 4).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 50: 4, 51: 4}
+
+
+def test_cycles_and_the_merge_transaction(spark, tmp_path):
+    tree = spark.createDataFrame([(1, None, 0), (2, 1, 1), (3, 1, 1), (4, 2, 2), (5, 6, 2), (6, 5, 3)], "cluster_id bigint, parent_id bigint, level int")
+    found = {(r.cluster_id, r.problem) for r in cl.hierarchy_problems(tree, cycles=True).collect()}
+    assert found == {(5, "level"), (5, "cycle"), (6, "cycle")}
+    kept, members = (sinks.Snapshots(spark, str(tmp_path / n)) for n in ("tree", "members"))
+    kept.publish(tree.filter("cluster_id < 5"))
+    members.publish(spark.createDataFrame([(10, 2), (11, 3), (12, 3), (11, 2)], "member bigint, cluster_id bigint"))
+    merges = lambda *rows: spark.createDataFrame(rows, "a bigint, b bigint, relation string")
+    assert not cl.merge_transaction(kept, members, merges((99, 2, "identical"))) and (kept.versions(), members.versions()) == ([1], [1])
+    assert cl.merge_transaction(kept, members, merges((2, 3, "identical"))) and (kept.versions(), members.versions()) == ([1, 2], [1, 2])
+    assert sorted(tuple(r) for r in members.read().collect()) == [(10, 2), (11, 2), (12, 2)]
+
+
+def test_opposites_conflict_with_themselves_and_others(spark):
+    rows = [(1, "IBS ", "a", "Gluten-free diet", "improves"), (1, "ibs", "b", "wheat", "improves"), (1, "ibs", "c", "wheat", "worsens"), (2, "ibs", "d", "low fat", "worsens"), (2, "ibs", "e", "high-fat", "no_effect")]
+    got = mining.opposite_conflicts(spark.createDataFrame(rows, "paper_id bigint, target string, study_id string, name string, outcome string"))
+    assert {(r.paper_id, r.pair, r["without"], r["with"], r.type) for r in got.collect()} == {(1, 0, "a", "a", "both_positive"), (1, 0, "a", "b", "both_positive")}
+
+
+def test_a_document_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "x.json")
+    for n in (1, 2, 3):
+        sinks.write_json_document(spark.range(n), path, ["id"])
+    assert json.loads((tmp_path / "x.json").read_text()) == [{"id": 0}, {"id": 1}, {"id": 2}]
+    assert json.loads((tmp_path / "x.json.bak").read_text()) == [{"id": 0}, {"id": 1}] and not list(tmp_path.glob("*draft*"))
+    with pytest.raises(ValueError):
+        sinks.write_json_document(spark.range(3), path, ["id"], most=2)
