@@ -245,11 +245,6 @@ def ancestor_depth(tree: DataFrame, most: int = 10) -> DataFrame:
     return done.groupBy("id").agg(F.max("depth").alias("depth"))
 
 
-def hierarchy_score(reduction: float, depth: float, coherence: float, separation: float) -> float:
-    """Composite out of 100: 30 reduction, 20 depth, 30 coherence, 20 separation; each part from 0 to 1."""
-    return 100 * (0.3 * reduction + 0.2 * depth + 0.3 * coherence + 0.2 * separation)
-
-
 def threshold_grid(of: DataFrame, levels: tuple[float, ...]) -> DataFrame:
     """How many candidates and merges each threshold gives: one pass over the pairs, not one a threshold."""
     pairs = merge_candidates(of, min(levels), None).select("a", "b", "similarity")

@@ -25,6 +25,20 @@ def effectiveness(edges: DataFrame) -> DataFrame:
     return edges.groupBy("source", "target").agg((F.avg(_effect()) * F.avg("confidence")).alias("v"))
 
 
+def shared_conditions(tested: DataFrame, least: int = 3) -> DataFrame:
+    """Pairs (a before b) of the sources of distinct (source, target) that share ``least`` targets: shared, n_a, n_b and lift.
+
+    The pairs come from a join on shared conditions, so pairs without one never appear.
+    """
+    n = tested.groupBy("source").agg(F.count("*").alias("n"))
+    n = n.filter("n >= 2") if least > 1 else n
+    shared = tested.withColumnRenamed("source", "a").join(tested.withColumnRenamed("source", "b"), "target").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= least)
+    for x in "ab":
+        shared = shared.join(n.select(F.col("source").alias(x), F.col("n").alias(f"n_{x}")), x)
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+    return shared.select("a", "b", "shared", "n_a", "n_b", ((F.col("shared") / F.col("n_a")) / (F.col("n_b") / union)).alias("lift"))
+
+
 def combinations(edges: DataFrame, min_confidence: float = 0.7, min_lift: float = 1.5, min_conditions: int = 3, min_synergy: float = 0.5, synergies: dict | None = None) -> DataFrame:
     """Pairs of interventions (a before b) that share conditions: confidence, lift, synergy.
 
@@ -145,7 +159,7 @@ def innovation(edges: DataFrame, now: int, half_life: float = 3.0, window: int =
     return out.select("source", "recency", "growth", "breakthrough", "diversity", "velocity", "novelty", "momentum", "innovation_index", innovation_class(F.col("innovation_index"), F.col("breakthrough"), F.col("growth")).alias("classification"))
 
 
-def revivals(edges: DataFrame, now: int, span: int = 10, recent_span: int = 5, least: int = 5) -> DataFrame:
+def revivals(edges: DataFrame, now: int, span: int = 10, recent_span: int = 5, least: int = 5, strength: float = 0.5) -> DataFrame:
     """Interventions with old studies, a quiet middle and new applications lately."""
     y = F.col("year")
     per = edges.groupBy("source").agg(
@@ -156,7 +170,7 @@ def revivals(edges: DataFrame, now: int, span: int = 10, recent_span: int = 5, l
     kept = per.filter((F.col("n") >= least) & (F.col("last") - F.col("first") >= span) & (F.col("old") >= 2) & (F.col("recent") >= 3) & (F.col("recent") > 2 * F.col("middle")))
     fresh = F.size(F.array_except("t_new", "t_old"))
     out = kept.filter(fresh > 0).withColumns({"strength": F.least(F.lit(1.0), F.col("recent") / (F.col("old") + 1)), "novelty": fresh / F.size("t_new"), "adoption": F.least(F.lit(1.0), F.col("recent") / 5.0)})
-    return out.filter("strength > 0.5").select("source", "strength", "quality", "novelty", "adoption")
+    return out.filter(F.col("strength") > strength).select("source", "strength", "quality", "novelty", "adoption")
 
 
 #: Names that say a thing is left out, and names that say it is there.
@@ -209,21 +223,6 @@ def unexpected(similar: DataFrame, categories: DataFrame, threshold: float = 0.7
     return similar.filter((F.col("similarity") >= threshold) & (F.col("category_a") != F.col("category_b")))
 
 
-def recommendations(edges: DataFrame, similar: DataFrame, failed: DataFrame, innovation_index: DataFrame, top: int = 10, least: float = 0.3) -> DataFrame:
-    """For each condition the best interventions by direct, similar-condition and novelty evidence, without those that fail."""
-    scores = score_pairs(edges, quantiles=False)
-    direct = scores.select("target", "source", (F.col("score") * F.col("confidence")).alias("v"), F.lit(1.0).alias("w"), F.lit("direct").alias("channel"))
-    both = similar.select("a", "b", "similarity").union(similar.select("b", "a", "similarity")).toDF("target", "peer", "similarity")
-    peers = both.join(scores.select(F.col("target").alias("peer"), "source", "score", "confidence"), "peer").groupBy("target", "source").agg((F.sum(F.col("similarity") * F.col("score") * F.col("confidence")) / F.sum("similarity")).alias("v"))
-    channels = direct.union(peers.select("target", "source", "v", F.lit(0.6).alias("w"), F.lit("similar").alias("channel")))
-    new = innovation_index.select("source", F.col("innovation_index").alias("v"))
-    channels = channels.union(direct.select("target", "source").join(new, "source").select("target", "source", "v", F.lit(0.3).alias("w"), F.lit("novel").alias("channel")))
-    base = channels.groupBy("target", "source").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("score"), F.count("*").alias("channels"))
-    base = base.join(failed.filter("advice = 'AVOID'").select("source"), "source", "left_anti").filter(F.col("score") >= least)
-    order = Window.partitionBy("target").orderBy(F.desc("score"), "source")
-    return base.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-
-
 def suggestions(edges: DataFrame, clusters: DataFrame, top: int = 10, digits: int | None = None) -> DataFrame:
     """Interventions that work for a condition's cluster peers and are untested on it; ``digits`` rounds the score before ranking."""
     per = edges.groupBy("source", "target").agg(F.avg(_effect()).alias("m")).filter("m > 0")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import mining as mn
+from ..operators import mining as mn, recommend as rc
 from ..sources.tables import edges, edges_sparse, raw
 from .bayes import COUNTS
 from .registry import EDGES, SPARSE, query, r6
@@ -78,15 +78,16 @@ def m15(spark, d, sparse=edges_sparse):
     return mn.suggestions(sparse(spark, d), brand_clusters(spark, d), digits=6)
 
 
-@query("m16_similarity_kit", """, t AS (SELECT source, list(DISTINCT target) AS s FROM sparse GROUP BY source), j AS (SELECT a.source AS a, b.source AS b, len(list_intersect(a.s, b.s)) AS i, len(a.s) AS na, len(b.s) AS nb FROM t a JOIN t b ON a.source < b.source WHERE a.source LIKE '%01')
-  SELECT a, b, round(i / CAST(na + nb - i AS DOUBLE), 6) AS jaccard, round(2.0 * i / (na + nb), 6) AS dice, round(0.5 * (i / CAST(na + nb - i AS DOUBLE)) + 0.3 * (2.0 * i / (na + nb)) + 0.2 * least(1, ln(1 + i) / ln(100)), 6) AS composite FROM j""", (SPARSE,))
+@query("m16_similarity_kit", """, t AS (SELECT DISTINCT source, target FROM sparse), n AS (SELECT source, count(*) AS n FROM t GROUP BY source), j AS (SELECT a.source AS a, b.source AS b, count(*) AS i FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL), k AS (SELECT j.*, x.n AS na, y.n AS nb FROM j JOIN n x ON x.source = a JOIN n y ON y.source = b)
+  SELECT a, b, round(i / CAST(na + nb - i AS DOUBLE), 6) AS jaccard, round(2.0 * i / (na + nb), 6) AS dice, round(0.5 * (i / CAST(na + nb - i AS DOUBLE)) + 0.3 * (2.0 * i / (na + nb)) + 0.2 * least(1, ln(1 + i) / ln(100)), 6) AS composite FROM k""", (SPARSE,))
 def m16(spark, d, sparse=edges_sparse):
+    """Every pair of sources that share a condition, from counts: sets are not carried to the pairs."""
     from ..functions import similarity as sm
 
-    t = sparse(spark, d).groupBy("source").agg(F.collect_set("target").alias("s"))
-    p = t.filter("source LIKE '%01'").select(F.col("source").alias("a"), F.col("s").alias("sa")).join(t.select(F.col("source").alias("b"), F.col("s").alias("sb")), F.col("a") < F.col("b"))
-    jaccard, dice = sm.jaccard(F.col("sa"), F.col("sb")), sm.dice(F.col("sa"), F.col("sb"))
-    return p.select("a", "b", r6(jaccard).alias("jaccard"), r6(dice).alias("dice"), r6(sm.composite(jaccard, dice, F.size(F.array_intersect("sa", "sb")))).alias("composite"))
+    p = mn.shared_conditions(sparse(spark, d).select("source", "target").distinct(), 1)
+    both = F.col("n_a") + F.col("n_b")
+    jaccard, dice = F.col("shared") / (both - F.col("shared")), 2.0 * F.col("shared") / both
+    return p.select("a", "b", r6(jaccard).alias("jaccard"), r6(dice).alias("dice"), r6(sm.composite(jaccard, dice, F.col("shared"))).alias("composite"))
 
 
 @query("m17_power_combinations", """, per AS (SELECT source, count(DISTINCT target) AS n, avg(weight * confidence) AS e, count(*) AS k, list(DISTINCT mechanism) AS m FROM sparse GROUP BY source HAVING count(DISTINCT target) >= 2),
@@ -168,18 +169,57 @@ def m22_index(spark, d):
     return out.select("source", r6("innovation_index").alias("innovation_index"), r6("novelty").alias("novelty"), r6("momentum").alias("momentum"), "classification")
 
 
-@query("m23_revivals")
+@query("m23_revivals", """, e AS (SELECT source, target || '/' || mechanism AS target, confidence, CASE WHEN year <= 2000 THEN year - 20 ELSE year END AS y FROM edges), p AS (SELECT source, count(*) AS n, min(y) AS f, max(y) AS l, count(CASE WHEN y >= 1996 THEN 1 END) AS recent, count(CASE WHEN y < 1991 THEN 1 END) AS old, count(CASE WHEN y >= 1991 AND y < 1996 THEN 1 END) AS mid,
+    list(DISTINCT target) FILTER (WHERE y >= 1996) AS tn, list(DISTINCT target) FILTER (WHERE y <= 1991) AS t_o, avg(CASE WHEN y >= 1996 THEN confidence END) AS quality FROM e GROUP BY source),
+  k AS (SELECT *, len(list_filter(tn, lambda x: NOT list_contains(t_o, x))) AS fresh, least(1, recent / (old + 1)::DOUBLE) AS strength FROM p WHERE n >= 5 AND l - f >= 10 AND old >= 2 AND recent >= 3 AND recent > 2 * mid)
+  SELECT source, round(strength, 6) AS strength, round(quality, 6) AS quality, round(fresh / len(tn)::DOUBLE, 6) AS novelty, round(least(1, recent / 5.0)::DOUBLE, 6) AS adoption FROM k WHERE fresh > 0 AND strength > 0.1""", (EDGES,))
 def m23(spark, d):
-    """On a stretched time axis, as the driver's dates span seven years."""
-    stretched = edges(spark, d).filter("year <= 1995 OR year >= 2001").withColumn("year", F.when(F.col("year") <= 1995, F.col("year") - 20).otherwise(F.col("year")))
-    return mn.revivals(stretched, 2001).withColumns({c: r6(c) for c in ("strength", "quality", "novelty", "adoption")})
+    """On a stretched time axis, as the driver's dates span seven years: those up to 2000 count as twenty years older, and an application is a condition by one mechanism."""
+    stretched = edges(spark, d).withColumn("year", F.when(F.col("year") <= 2000, F.col("year") - 20).otherwise(F.col("year"))).withColumn("target", F.concat_ws("/", "target", "mechanism"))
+    return mn.revivals(stretched, 2001, strength=0.1).withColumns({c: r6(c) for c in ("strength", "quality", "novelty", "adoption")})
 
 
-@query("m25_recommendations")
+_RECOMMENDED = SIMILAR + """, alike AS (SELECT a, b FROM sim WHERE round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) >= 0.55), both_ AS (SELECT a AS target, b AS peer FROM alike UNION SELECT b, a FROM alike),
+  cnt AS (SELECT target, source, count(*) AS n FROM sparse GROUP BY ALL), dir AS (SELECT s.target, s.source, s.score AS sd, s.confidence AS cd, n FROM s JOIN cnt USING (target, source)),
+  pe AS (SELECT x.target, s.source, avg(0.8::DOUBLE * s.score) AS ss, list(DISTINCT x.peer ORDER BY x.peer) AS peers FROM both_ x JOIN s ON s.target = x.peer GROUP BY ALL),
+  ws AS (SELECT source, list(DISTINCT mechanism) AS m FROM sparse GROUP BY source), wt AS (SELECT target, list(DISTINCT mechanism) AS m FROM sparse WHERE outcome = 'improves' GROUP BY target),
+  fb AS (SELECT source, mechanism, avg(weight * confidence) AS m, count(*) AS n FROM sparse GROUP BY ALL), fu AS (SELECT source, least(0.7, 0.1 * count(*) + 0.5 * avg(m))::DOUBLE AS sf FROM fb JOIN (SELECT source, count(DISTINCT target) AS conditions FROM sparse GROUP BY source) USING (source) GROUP BY source, conditions HAVING count(*) >= 3 AND conditions >= 4 AND avg(m) > 0.3 AND sum(fb.n) >= 3),
+  gp AS (SELECT source, target FROM sparse GROUP BY ALL HAVING round(avg(weight * confidence), 6) > 0.4), gn AS (SELECT source, count(*) AS n FROM gp GROUP BY source HAVING count(*) >= 2), gs AS (SELECT a.source AS a, b.source AS b, count(*) AS k FROM gp a JOIN gp b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
+  co AS (SELECT a, b, (k / p.n::DOUBLE) / (q.n / (p.n + q.n - k)::DOUBLE) AS lift FROM gs JOIN gn p ON p.source = a JOIN gn q ON q.source = b), cp AS (SELECT a AS source, b AS other, lift FROM co WHERE lift > 1.2 UNION ALL SELECT b, a, lift FROM co WHERE lift > 1.2),
+  tg AS (SELECT x.target, x.source, least(0.6, (max(lift) - 1) * 0.5)::DOUBLE AS sc FROM cnt x JOIN cp ON cp.source = x.source JOIN cnt y ON y.target = x.target AND y.source = cp.other GROUP BY ALL),
+  bad AS (SELECT source FROM sparse GROUP BY source HAVING count(CASE WHEN outcome <> 'improves' THEN 1 END) / count(*)::DOUBLE >= 0.37 AND count(*) >= 3),
+  j AS (SELECT coalesce(dir.target, pe.target) AS target, coalesce(dir.source, pe.source) AS source, sd, cd, n, ss, coalesce(peers, []) AS peers FROM dir FULL JOIN pe ON pe.target = dir.target AND pe.source = dir.source),
+  j2 AS (SELECT j.*, coalesce(list_sort(list_intersect(ws.m, wt.m)), []) AS ms, len(wt.m) AS need, sf, sc FROM j LEFT JOIN ws ON ws.source = j.source LEFT JOIN wt ON wt.target = j.target LEFT JOIN fu ON fu.source = j.source LEFT JOIN tg ON tg.target = j.target AND tg.source = j.source WHERE j.source NOT IN (SELECT source FROM bad)),
+  j3 AS (SELECT *, CASE WHEN len(ms) > 0 THEN least(0.8::DOUBLE, len(ms) / need::DOUBLE) END AS sm FROM j2),
+  j4 AS (SELECT *, [CASE WHEN sd > 0 THEN sd END, CASE WHEN sm > 0 THEN sm END, CASE WHEN ss > 0 THEN ss END, CASE WHEN sf > 0 THEN sf END, CASE WHEN sc > 0 THEN sc END]::DOUBLE[] AS v, [1.0, 0.7, 0.6, 0.9, 0.8]::DOUBLE[] AS w, [CASE WHEN cd > 0 THEN cd END, 0.6, 0.5, 0.65, 0.55]::DOUBLE[] AS c FROM j3),
+  j5 AS (SELECT *, list_filter(generate_series(1, 5), lambda i: v[i] IS NOT NULL) AS ix FROM j4),
+  j6 AS (SELECT *, round(list_sum(list_transform(ix, lambda i: v[i] * w[i])) / list_sum(list_transform(ix, lambda i: w[i])), 6) AS base_score, round(list_avg(list_filter(list_transform(ix, lambda i: c[i]), lambda x: x IS NOT NULL)), 6) AS confidence, list_transform(v, lambda x: round(x, 6)) AS r, coalesce(n, 0) + len(ms) + len(peers) AS evidence_count FROM j5),
+  j7 AS (SELECT *, ['direct', 'mechanism', 'similar_condition', 'fundamental', 'combination'][list_position(r, list_max(r))] AS evidence_type, CASE WHEN evidence_count >= 8 AND confidence >= 0.7 THEN 'established' WHEN evidence_count >= 2 AND confidence >= 0.4 THEN 'emerging_promising' WHEN evidence_count >= 4 AND confidence >= 0.5 THEN 'moderate_evidence' ELSE 'experimental' END AS classification FROM j6 WHERE confidence >= 0.3),
+  j8 AS (SELECT *, CASE classification WHEN 'emerging_promising' THEN 0.2 WHEN 'experimental' THEN 0.1 ELSE 0 END::DOUBLE + CASE WHEN evidence_type = 'mechanism' AND len(ms) > 1 THEN 0.05 ELSE 0 END::DOUBLE AS exploration_bonus FROM j7),
+  rec AS (SELECT *, round(least(1, base_score + exploration_bonus), 6) AS final_score, row_number() OVER (PARTITION BY target ORDER BY round(least(1, base_score + exploration_bonus), 6) DESC, source) AS rank FROM j8 QUALIFY rank <= 10)"""
+
+
+def _recommended(e):
+    """Alike from 0.55 up, failed from 0.37 up, combinations of what has an effect over 0.4: so that the test tables reach every channel."""
+    alike = mn.condition_similarity(e).filter(r6("similarity") >= 0.55)
+    works = e.groupBy("source", "target").agg(r6(F.avg(F.col("weight") * F.col("confidence"))).alias("m")).filter("m > 0.4").select("source", "target")
+    return rc.recommendations(e, alike, mn.failures(e, 0.37), mn.fundamentals(e), mn.shared_conditions(works))
+
+
+@query("m25_recommendations", _RECOMMENDED + """ SELECT target, source, rank, final_score, base_score, round(exploration_bonus, 6) AS exploration_bonus, confidence, evidence_type, evidence_count, classification, array_to_string(ms, ',') AS mechanisms,
+  concat_ws(' | ', CASE classification WHEN 'established' THEN 'Well-established treatment with strong evidence' WHEN 'emerging_promising' THEN 'Promising emerging treatment with positive early results' WHEN 'moderate_evidence' THEN 'Moderate evidence base, worth considering' ELSE 'Experimental treatment, limited evidence' END,
+    'Confidence: ' || CAST(CAST(round(100 * confidence + 1e-9) AS INT) AS VARCHAR) || '%', 'Evidence count: ' || evidence_count, CASE WHEN len(ms) > 0 THEN 'Targets: ' || array_to_string(ms[1:2], ', ') END, CASE WHEN len(peers) > 0 THEN 'Also effective for: ' || array_to_string(peers[1:2], ', ') END,
+    CASE WHEN exploration_bonus > 0 THEN 'Exploration bonus: +' || CAST(CAST(round(100 * exploration_bonus + 1e-9) AS INT) AS VARCHAR) || '%' END) AS explanation FROM rec""", (SPARSE,))
 def m25(spark, d, sparse=edges_sparse):
-    e = sparse(spark, d)
-    out = mn.recommendations(e, mn.condition_similarity(e), mn.failures(e), mn.innovation(edges(spark, d, design=True), 2001))
-    return out.withColumn("score", r6("score"))
+    out = _recommended(sparse(spark, d)).withColumn("explanation", rc.explanation())
+    return out.withColumns({"mechanisms": F.array_join("mechanisms", ","), "exploration_bonus": r6("exploration_bonus")}).drop("peers")
+
+
+@query("m25_recommendation_diversity", _RECOMMENDED + """ SELECT target, count(*) AS total, count(CASE WHEN classification = 'established' THEN 1 END) AS established, count(CASE WHEN classification = 'emerging_promising' THEN 1 END) AS emerging_promising, count(CASE WHEN classification = 'moderate_evidence' THEN 1 END) AS moderate_evidence, count(CASE WHEN classification = 'experimental' THEN 1 END) AS experimental,
+  count(CASE WHEN evidence_type = 'direct' THEN 1 END) AS direct, count(CASE WHEN evidence_type = 'mechanism' THEN 1 END) AS mechanism, count(CASE WHEN evidence_type = 'similar_condition' THEN 1 END) AS similar_condition, count(CASE WHEN evidence_type = 'fundamental' THEN 1 END) AS fundamental, count(CASE WHEN evidence_type = 'combination' THEN 1 END) AS combination,
+  len(list_distinct(flatten(list(ms)))) AS mechanisms, round(avg(confidence), 6) AS mean_confidence, round(avg(exploration_bonus), 6) AS mean_bonus FROM rec GROUP BY target""", (SPARSE,))
+def m25_diversity(spark, d, sparse=edges_sparse):
+    return rc.recommendation_diversity(_recommended(sparse(spark, d))).withColumns({c: r6(c) for c in ("mean_confidence", "mean_bonus")})
 
 
 _DIETS = ("gluten-free diet", "wheat bread", "Dairy free week", "whole milk", "Low-Carb plan", "high carb meals", "caffeine-free tea", "Sugar")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions import text as tx
 from ..functions.labels import ladder
-from ..operators import bayes, clusters as cl, evidence as ev, mining as mn, resolution as rs, validation as va
+from ..operators import bayes, clusters as cl, evidence as ev, hierarchies as hi, mining as mn, resolution as rs, validation as va
 from ..operators.components import cut_lineage
 from ..sources import articles, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
@@ -218,11 +218,29 @@ def v10(spark, d):
     return clusters(spark, d).groupBy("cluster_id").applyInPandas(run, "cluster_id int, member bigint, label bigint")
 
 
-@query("v14_hierarchy_scores", f""", p AS (SELECT {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id)
-  SELECT count(*) AS pairs, round(1 - avg(s), 6) AS separation, round(min(s), 6) AS least, round(max(s), 6) AS most FROM p""", (CLUSTERS, _CENTROIDS))
+_POINTS = """CASE WHEN reduction_ratio BETWEEN 0.4 AND 0.6 THEN 25 WHEN reduction_ratio BETWEEN 0.3 AND 0.7 THEN 20 WHEN reduction_ratio BETWEEN 0.2 AND 0.8 THEN 15 ELSE 10 END::DOUBLE AS reduction_score, 15.0::DOUBLE AS depth_score,
+  (20 - CASE WHEN singleton_ratio > 0.5 THEN 5 ELSE 0 END - CASE WHEN singleton_ratio > 0.6 THEN 3 ELSE 0 END - CASE WHEN median_size < 2 OR median_size > 10 THEN 5 ELSE 0 END - CASE WHEN max_size > 100 THEN 5 WHEN max_size > 50 THEN 2 ELSE 0 END)::DOUBLE AS size_score,
+  CASE WHEN coherence >= 0.7 THEN 25 WHEN coherence >= 0.65 THEN 22 WHEN coherence >= 0.6 THEN 20 WHEN coherence >= 0.5 THEN 15 ELSE 10 END::DOUBLE AS coherence_score, CASE WHEN separation >= 0.4 THEN 15 WHEN separation >= 0.35 THEN 13 WHEN separation >= 0.3 THEN 12 ELSE 8 END::DOUBLE AS separation_score"""
+
+
+@query("v14_hierarchy_scores", f""", z AS (SELECT cluster_id, count(*) AS n FROM clusters GROUP BY cluster_id), p AS (SELECT {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id),
+  i AS (SELECT a.cluster_id, avg({_COS.format(a='a.vector', b='b.vector')}) AS c FROM clusters a JOIN clusters b ON a.cluster_id = b.cluster_id AND a.member < b.member GROUP BY a.cluster_id),
+  m AS (SELECT (SELECT count(*) FROM clusters) AS initial_count, count(*) AS final_count, avg(CASE WHEN n = 1 THEN 1.0 ELSE 0 END)::DOUBLE AS singleton_ratio, median(n)::DOUBLE AS median_size, max(n) AS max_size, (SELECT avg(c) FROM i) AS coherence, 1 - (SELECT avg(s) FROM p) AS separation FROM z),
+  r AS (SELECT *, 1 - final_count / initial_count::DOUBLE AS reduction_ratio FROM m), t AS (SELECT *, {_POINTS} FROM r)
+  SELECT initial_count, final_count, round(reduction_ratio, 6) AS reduction_ratio, singleton_ratio, median_size, max_size, round(coherence, 6) AS coherence, round(separation, 6) AS separation, reduction_score, depth_score, size_score, coherence_score, separation_score, reduction_score + depth_score + size_score + coherence_score + separation_score AS composite_score FROM t""", (CLUSTERS, _CENTROIDS))
 def v14(spark, d):
-    p = cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.0, None)
-    return p.agg(F.count("*").alias("pairs"), r6(1 - F.avg("similarity")).alias("separation"), r6(F.min("similarity")).alias("least"), r6(F.max("similarity")).alias("most"))
+    """Labelled clusters as the top level over one cluster a vector."""
+    m = clusters(spark, d)
+    out = hi.hierarchy_quality(m, cl.merge_candidates(cl.centroids(m), 0.0, None), m.select("member"), 3)
+    return out.drop("depth").withColumns({c: r6(c) for c in ("reduction_ratio", "coherence", "separation")})
+
+
+@query("v16_hierarchy_search")
+def v16_search(spark, d):
+    """All 64 combinations of thresholds, lower than for names, as the test tables' vectors lie far apart."""
+    steps = tuple(tuple(round(low + 0.02 * k, 2) for k in range(4)) for low in (0.08, 0.06, 0.04))
+    out = hi.threshold_search(clusters(spark, d), steps)
+    return out.withColumns({c: r6(c) for c in ("reduction_ratio", "singleton_ratio", "coherence", "separation")})
 
 
 # -- resolution and curation ---------------------------------------------------------------

@@ -238,3 +238,77 @@ def test_a_document_is_replaced_whole(spark, tmp_path):
     assert json.loads((tmp_path / "x.json.bak").read_text()) == [{"id": 0}, {"id": 1}] and not list(tmp_path.glob("*draft*"))
     with pytest.raises(ValueError):
         sinks.write_json_document(spark.range(3), path, ["id"], most=2)
+
+
+def test_recommendations_use_every_channel(spark):
+    from evigraph.operators import recommend as rc
+
+    e = edges(spark, [("a", "x", "m1", "improves", 0.8, 2000), ("a", "x", "m2", "improves", 0.8, 2000), ("b", "y", "m1", "improves", 0.8, 2000), ("c", "x", "m3", "worsens", 0.8, 2000)])
+    similar = spark.createDataFrame([("x", "y")], "a string, b string")
+    failed, wide, pairs = (spark.createDataFrame(rows, t) for rows, t in (([("c",)], "source string"), ([("a", 3, 0.4)], "source string, mechanisms int, effect double"), ([("a", "c", 2.0), ("a", "b", 1.1)], "a string, b string, lift double")))
+    out = rc.recommendations(e, similar, failed, wide, pairs, least=0.0)
+    got = {(r.target, r.source): r for r in out.collect()}
+    assert sorted(got) == [("x", "a"), ("x", "b"), ("y", "a"), ("y", "b")]  # c failed
+    r = got["x", "a"]  # direct 0.75, mechanism min(0.8, 2/2), fundamental 0.5, combination with c 0.5
+    assert r.base_score == pytest.approx((0.75 + 0.8 * 0.7 + 0.5 * 0.9 + 0.5 * 0.8) / 3.4, abs=1e-6)
+    assert (r.evidence_type, r.evidence_count, list(r.mechanisms)) == ("mechanism", 4, ["m1", "m2"]) and r.exploration_bonus == pytest.approx(0.25)
+    peer = got["x", "b"]  # never tried on x, but on y
+    assert (list(peer.peers), peer.evidence_count) == (["y"], 2) and peer.base_score == pytest.approx((0.5 * 0.7 + 0.8 * 2 / 3 * 0.6) / 1.3, abs=1e-6)
+    assert rc.recommendation_problems(out).isEmpty()
+    assert {r.target: (r.total, r.mechanisms) for r in rc.recommendation_diversity(out).collect()} == {"x": (2, 2), "y": (2, 1)}
+    words = out.withColumn("w", rc.explanation()).filter("target = 'x' AND source = 'a'").first().w
+    assert words.startswith("Promising emerging treatment with positive early results | Confidence: ") and words.endswith("Targets: m1, m2 | Exploration bonus: +25%")
+
+
+def test_contradictions_of_recommendations(spark):
+    from evigraph.operators import recommend as rc
+
+    rows = [("x", "a", 1, 0.5, 0.9, 0.5, 3), ("x", "b", 2, 0.6, 0.6, 1.5, -1)]
+    t = spark.createDataFrame(rows, "target string, source string, rank int, final_score double, base_score double, confidence double, evidence_count int")
+    assert sorted((r.source, r.problem) for r in rc.recommendation_problems(t).collect()) == [("a", "final score under base score"), ("b", "invalid confidence"), ("b", "negative evidence count"), ("b", "not sorted by final score")]
+
+
+def test_threshold_search_against_a_plain_simulation(spark):
+    from evigraph.operators import hierarchies as hi
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(9, 6))
+    rows = [(c, 10 * c + k, [float(x) for x in base[c // 2] + 0.4 * rng.normal(size=6)]) for c in range(9) for k in range(1 + c % 3)]
+    members = spark.createDataFrame(rows, "cluster_id int, member bigint, vector array<double>")
+    tried = ((0.2, 0.6, 0.8, 0.95),) * 3
+    got = {(r.t3, r.t2, r.t1): r for r in hi.threshold_search(members, tried).collect()}
+    assert len(got) == 64
+
+    def cos(u, v):
+        return min(1.0, max(0.0, float(np.dot(u, v) / (np.linalg.norm(u) * np.linalg.norm(v)))))
+
+    for steps, r in got.items():
+        now = [[v for c, _, v in rows if c == k] for k in range(9)]
+        for t in steps:
+            pairs = [(-cos(np.mean(now[i], axis=0), np.mean(now[j], axis=0)), i, j) for i in range(len(now)) for j in range(i + 1, len(now))]
+            gone, merged = set(), {}
+            for s, i, j in sorted(pairs):
+                if -s >= t and i not in gone and j not in gone:
+                    gone |= {i, j}
+                    merged[i] = now[i] + now[j]
+            now = [merged.get(i, c) for i, c in enumerate(now) if i in merged or i not in gone]
+        inside = [np.mean([cos(c[i], c[j]) for i in range(len(c)) for j in range(i + 1, len(c))]) for c in now if len(c) > 1]
+        assert (r.initial_count, r.final_count, r.max_size) == (9, len(now), max(map(len, now)))
+        assert r.coherence == pytest.approx(float(np.mean(inside)), abs=1e-6)
+    assert len({r.final_count for r in got.values()}) > 1
+    best = hi.threshold_search(members, tried).first()
+    assert best.composite_score == max(r.composite_score for r in got.values())
+    assert best.composite_score == best.reduction_score + best.depth_score + best.size_score + best.coherence_score + best.separation_score
+
+
+def test_coherence_in_blocks(spark, monkeypatch):
+    from evigraph.operators import hierarchies as hi
+
+    monkeypatch.setattr(hi, "BLOCK", 7)
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(40, 5))
+    members = spark.createDataFrame([(i % 2 if i else 9, i, [float(x) for x in v[i]]) for i in range(40)], "cluster_id int, member bigint, vector array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = np.clip(u @ u.T, 0, 1)
+    want = {c: np.mean([s[i, j] for i in range(1, 40) for j in range(i + 1, 40) if i % 2 == c == j % 2]) for c in (0, 1)}
+    assert {r.cluster_id: pytest.approx(r.coherence) for r in hi.coherence(members).collect()} == want
