@@ -67,9 +67,14 @@ def check_query(text: str, limit: int, offset: int = 0, most: int = 1000) -> lis
     return out + ([] if offset >= 0 else ["the offset is negative"])
 
 
-def export_verdict(rows: DataFrame, least: int = 10) -> DataFrame:
-    """Counts of an export with a verdict, in one row."""
-    return rows.agg(F.count("*").alias("rows"), F.countDistinct("source").alias("sources"), F.count_if(F.col("source").isNull() | F.col("target").isNull()).alias("incomplete")).withColumns({"few": F.col("rows") < least, "valid": (F.col("incomplete") == 0) & (F.col("rows") > 0)})
+def valid_request(term: Column, count: Column) -> Column:
+    """A search asks for some words, 500 characters at most, and 1 to 1000 results."""
+    return (F.trim(term) != "") & (F.length(term) <= 500) & count.between(1, 1000)
+
+
+def export_verdict(rows: DataFrame, least: int = 10, by: list[str] | None = None) -> DataFrame:
+    """Counts of an export with a verdict, in one row, or one for each export of ``by``."""
+    return rows.groupBy(*by or []).agg(F.count("*").alias("rows"), F.countDistinct("source").alias("sources"), F.count_if(F.col("source").isNull() | F.col("target").isNull()).alias("incomplete")).withColumns({"few": F.col("rows") < least, "valid": (F.col("incomplete") == 0) & (F.col("rows") > 0)})
 
 
 def order_breaks(ranked: DataFrame, key: str, rank: str, value: str) -> DataFrame:

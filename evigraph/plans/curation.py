@@ -110,9 +110,13 @@ def e8(spark, d):
     return papers(spark, d).filter("abstract IS NOT NULL").select("pmid").join(open_, "pmid")
 
 
-@query("q1_paper_rules", """SELECT pmid, CAST((CASE WHEN NOT regexp_matches(CAST(pmid AS VARCHAR), '^[0-9]{7,8}$') THEN 1 ELSE 0 END) + (CASE WHEN length(trim(abstract)) < 50 THEN 1 ELSE 0 END) AS BIGINT) AS issues, FALSE AS valid FROM papers""", (PAPERS,))
+@query("q1_paper_rules", """, p AS (SELECT CASE WHEN pmid % 5 = 0 THEN pmid ELSE pmid + 10000000 END AS pmid, title, CASE WHEN citation_count < 90 THEN repeat(abstract || ' ', 4) ELSE abstract END AS abstract, publication_date FROM papers)
+  SELECT pmid, CAST((CASE WHEN NOT regexp_matches(CAST(pmid AS VARCHAR), '^[0-9]{7,8}$') THEN 1 ELSE 0 END) + (CASE WHEN length(trim(abstract)) < 50 THEN 1 ELSE 0 END) AS BIGINT) AS issues, regexp_matches(CAST(pmid AS VARCHAR), '^[0-9]{7,8}$') AND coalesce(length(trim(abstract)) >= 50, TRUE) AS valid FROM p""", (PAPERS,))
 def q1(spark, d):
-    return va.validate_papers(papers(spark, d)).select("pmid", F.size("issues").cast("bigint").alias("issues"), "valid")
+    """Four ids of five are made long enough, and most abstracts."""
+    p = papers(spark, d).withColumn("pmid", F.when(F.col("pmid") % 5 == 0, F.col("pmid")).otherwise(F.col("pmid") + 10000000))
+    p = p.withColumn("abstract", F.when(F.col("citation_count") < 90, F.repeat(F.concat("abstract", F.lit(" ")), F.lit(4))).otherwise(F.col("abstract")))
+    return va.validate_papers(p).select("pmid", F.size("issues").cast("bigint").alias("issues"), "valid")
 
 
 @query("q2_record_rules", "SELECT study_id, sample_size >= 1 AS valid, CAST(1 + CASE WHEN sample_size < 1 THEN 1 ELSE 0 END AS BIGINT) AS issues FROM edges", (EDGES,))
@@ -120,9 +124,11 @@ def q2(spark, d):
     return va.validate_records(edges(spark, d)).select("study_id", "valid", F.size("issues").cast("bigint").alias("issues"))
 
 
-@query("q5_export_verdict", "SELECT count(*) AS rows, count(DISTINCT source) AS sources, 0::BIGINT AS incomplete, FALSE AS few, TRUE AS valid FROM sparse", (SPARSE,))
+@query("q5_export_verdict", ", e AS (SELECT mechanism, CASE WHEN mechanism <> 'SMALL' OR sample_size > 1 THEN source END AS source, target FROM sparse) SELECT mechanism, count(*) AS rows, count(DISTINCT source) AS sources, count(CASE WHEN source IS NULL THEN 1 END) AS incomplete, count(*) < 10 AS few, count(source) = count(*) AS valid FROM e GROUP BY mechanism", (SPARSE,))
 def q5(spark, d, sparse=edges_sparse):
-    return va.export_verdict(sparse(spark, d))
+    """An export for each mechanism; small studies of one of them come without an intervention."""
+    e = sparse(spark, d).withColumn("source", F.when((F.col("mechanism") != "SMALL") | (F.col("sample_size") > 1), F.col("source")))
+    return va.export_verdict(e, by=["mechanism"])
 
 
 @query("q6_order_breaks", ", p AS (SELECT target, source, round(avg(confidence), 6) AS v FROM sparse GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY source) AS rank FROM p) SELECT target, source, rank, v FROM (SELECT *, lag(v) OVER (PARTITION BY target ORDER BY rank) AS b FROM r) WHERE v > b", (SPARSE,))

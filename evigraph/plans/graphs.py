@@ -64,9 +64,9 @@ def g5_pair(spark, d):
     return _mechanisms(edges(spark, d).filter("source = 'Supplier#000000007' AND target = 'Brand#11'"), ["mechanism", "source", "target"])
 
 
-@query("g5_interventions_by_mechanism", f"SELECT mechanism, source, target, {_MECH} FROM edges WHERE mechanism = 'BRASS' AND confidence >= 0.6 GROUP BY ALL", (EDGES,))
+@query("g5_interventions_by_mechanism", f"SELECT mechanism, source, target, {_MECH} FROM edges WHERE mechanism = 'ECONOMY' AND confidence >= 0.6 GROUP BY ALL", (EDGES,))
 def g5_by(spark, d):
-    return _mechanisms(edges(spark, d).filter("mechanism = 'BRASS' AND confidence >= 0.6"), ["mechanism", "source", "target"])
+    return _mechanisms(edges(spark, d).filter("mechanism = 'ECONOMY' AND confidence >= 0.6"), ["mechanism", "source", "target"])
 
 
 @query("g5_mechanisms_for_condition", f"SELECT mechanism, target, {_MECH}, count(DISTINCT source) AS source_count, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM edges WHERE target = 'Brand#11' GROUP BY ALL", (EDGES,))

@@ -59,9 +59,9 @@ def j7(spark, d, sparse=edges_sparse):
     return canonical(spark, d).filter("entity_type = 'intervention'").select("entity_name").join(used, "entity_name", "left_anti")
 
 
-@query("j8_left_is_null", "SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL")
+@query("j8_left_is_null", "SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'P' WHERE o_orderkey IS NULL")
 def j8(spark, d):
-    return raw(spark, d, "customer").join(raw(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return raw(spark, d, "customer").join(raw(spark, d, "orders").filter("o_orderstatus = 'P'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 _TREE = "tree AS (SELECT vec_id AS id, CASE WHEN vec_id % 9 = 0 THEN NULL WHEN vec_id % 13 = 0 THEN vec_id + 1000000 ELSE vec_id // 2 END AS parent, CAST(floor(log2(vec_id + 1)) AS INT) AS level FROM embeddings)"

@@ -238,18 +238,18 @@ def m26(spark, d):
     return mn.opposite_conflicts(edges(spark, d).withColumn("name", named))
 
 
-@query("m27_emerging_categories", """SELECT mechanism AS category, count(*) AS items, count(DISTINCT paper_id) AS papers, round(least(0.4, 0.05 * count(*)) + least(0.3, 0.1 * count(DISTINCT paper_id)) + CASE WHEN mechanism LIKE '%STEEL%' THEN 0.2 ELSE 0 END + 0.1, 6)::DOUBLE AS confidence FROM sparse WHERE outcome = 'inconclusive' GROUP BY mechanism HAVING count(*) >= 3 AND count(DISTINCT paper_id) >= 2""", (SPARSE,))
+@query("m27_emerging_categories", """SELECT mechanism AS category, count(*) AS items, count(DISTINCT paper_id) AS papers, round(least(0.4, 0.05 * count(*)) + least(0.3, 0.1 * count(DISTINCT paper_id)) + CASE WHEN mechanism LIKE '%SMALL%' THEN 0.2 ELSE 0 END + 0.1, 6)::DOUBLE AS confidence FROM sparse WHERE outcome = 'inconclusive' GROUP BY mechanism HAVING count(*) >= 3 AND count(DISTINCT paper_id) >= 2""", (SPARSE,))
 def m27(spark, d, sparse=edges_sparse):
     g = sparse(spark, d).filter("outcome = 'inconclusive'").groupBy(F.col("mechanism").alias("category")).agg(F.count("*").alias("items"), F.countDistinct("paper_id").alias("papers")).filter("items >= 3 AND papers >= 2")
-    sure = F.least(F.lit(0.4), 0.05 * F.col("items")) + F.least(F.lit(0.3), 0.1 * F.col("papers")) + F.when(F.col("category").like("%STEEL%"), 0.2).otherwise(0.0) + 0.1
+    sure = F.least(F.lit(0.4), 0.05 * F.col("items")) + F.least(F.lit(0.3), 0.1 * F.col("papers")) + F.when(F.col("category").like("%SMALL%"), 0.2).otherwise(0.0) + 0.1
     return g.withColumn("confidence", r6(sure))
 
 
-@query("m28_dictionary_lookup", "SELECT DISTINCT mechanism, CASE mechanism WHEN 'BRASS' THEN 'metal' WHEN 'COPPER' THEN 'metal' WHEN 'STEEL' THEN 'alloy' ELSE 'other' END AS class FROM edges", (EDGES,))
+@query("m28_dictionary_lookup", "SELECT DISTINCT mechanism, CASE mechanism WHEN 'ECONOMY' THEN 'thrift' WHEN 'PROMO' THEN 'thrift' WHEN 'SMALL' THEN 'compact' ELSE 'other' END AS class FROM edges", (EDGES,))
 def m28(spark, d):
     from ..functions.labels import lookup
 
-    known = {"brass": "metal", "copper": "metal", "steel": "alloy"}
+    known = {"economy": "thrift", "promo": "thrift", "small": "compact"}
     return edges(spark, d).select("mechanism", lookup(F.replace(F.lower("mechanism"), F.lit(" "), F.lit("_")), known, "other").alias("class")).distinct()
 
 

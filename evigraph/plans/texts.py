@@ -24,11 +24,16 @@ def x3(spark, d):
     return raw(spark, d, "documents").select("doc_id", tx.normalize_string(F.col("text"), 30, 60).alias("text"))
 
 
-@query("x4_category_slug", r"""SELECT n, CASE WHEN n = 'unknown' THEN 'uncategorized' WHEN s IN ('digital_therapeutics', 'telemedicine') THEN 'digital_health' WHEN s = 'gene_therapy' THEN 'genetic_therapy' ELSE s END AS slug FROM
-  (SELECT n, regexp_replace(trim(regexp_replace(lower(n), '[^a-zA-Z0-9\s]', '', 'g')), '\s+', '_', 'g') AS s FROM (VALUES ('Digital  Therapeutics!'), ('Gene therapy'), ('unknown'), ('Cold-exposure 2'), ('Telemedicine')) t(n))""")
+@query("x4_category_slug", r"""WITH n AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Digital  Therapeutics!' WHEN 1 THEN 'Gene therapy' WHEN 2 THEN 'unknown' WHEN 3 THEN 'Telemedicine' WHEN 4 THEN NULL ELSE c_mktsegment || ' (' || c_name || ')' END AS n FROM customer),
+  t AS (SELECT *, regexp_replace(trim(regexp_replace(lower(n), '[^a-zA-Z0-9\s]', '', 'g')), '\s+', '_', 'g') AS s FROM n)
+  SELECT c_custkey, CASE WHEN n IS NULL OR n = 'unknown' THEN 'uncategorized' WHEN s IN ('digital_therapeutics', 'telemedicine') THEN 'digital_health' WHEN s = 'gene_therapy' THEN 'genetic_therapy' ELSE s END AS slug FROM t""")
 def x4(spark, d):
-    names = spark.sql("SELECT explode(array('Digital  Therapeutics!', 'Gene therapy', 'unknown', 'Cold-exposure 2', 'Telemedicine')) AS n")
-    return names.select("n", tx.category_slug(F.col("n")).alias("slug"))
+    words = {0: "Digital  Therapeutics!", 1: "Gene therapy", 2: "unknown", 3: "Telemedicine", 4: None}
+    k = F.col("c_custkey") % 6
+    name = F.concat("c_mktsegment", F.lit(" ("), "c_name", F.lit(")"))
+    for at, word in words.items():
+        name = F.when(k == at, F.lit(word)).otherwise(name)
+    return raw(spark, d, "customer").select("c_custkey", tx.category_slug(name).alias("slug"))
 
 
 @query("x5_truncate_and_numbers", r"""SELECT pmid, CASE WHEN length(title) <= 12 THEN title ELSE substr(title, 1, 9) || '...' END AS short, list_sum(list_transform(regexp_extract_all(publication_date, '-?\d+\.?\d*'), lambda x: CAST(x AS DOUBLE))) AS total FROM papers""", (PAPERS,))
@@ -55,11 +60,13 @@ def x8(spark, d):
     return raw(spark, d, "part").select("p_partkey", tx.name_quality(F.col("p_name")).alias("score"))
 
 
-@query("x9_model_json", """SELECT t AS id, CASE t WHEN 3 THEN 7 WHEN 4 THEN NULL ELSE t END AS a FROM generate_series(0, 4) g(t)""")
+@query("x9_model_json", "SELECT event_id, CASE WHEN event_id % 5 <> 4 THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")
 def x9(spark, d):
-    made = "array('{\"a\": 0}', '<think>hm</think>```json\\n{\"a\": 1}\\n```', 'Answer: {\"a\": 2,} ok', '{\\'a\\': 7}', 'nothing')"
-    rows = spark.sql(f"SELECT posexplode({made}) AS (id, answer)")
-    return rows.select(F.col("id").cast("bigint").alias("id"), F.get_json_object(tx.repair_json(tx.clean_model_json(F.col("answer"))), "$.a").cast("bigint").alias("a"))
+    """Events' JSON as models answer: bare, after a thought and fenced, inside words with a stray comma, in single quotes, or not at all."""
+    p, k = F.col("props"), F.col("event_id") % 5
+    answer = F.when(k == 0, p).when(k == 1, F.concat(F.lit("<think>hm {}</think>```json\n"), p, F.lit("\n```")))
+    answer = answer.when(k == 2, F.concat(F.lit("Answer: "), F.replace(p, F.lit("}"), F.lit(",}")), F.lit(" ok"))).when(k == 3, F.replace(p, F.lit('"'), F.lit("'"))).otherwise("nothing")
+    return raw(spark, d, "events").select("event_id", F.get_json_object(tx.repair_json(tx.clean_model_json(answer)), "$.k").try_cast("bigint").alias("k"))
 
 
 @query("x10_flatten_nested", """, n AS (SELECT source, list(struct_pack(t := target, m := mechanism) ORDER BY study_id) AS studies FROM sparse GROUP BY source)
