@@ -60,10 +60,10 @@ def single_linkage(vectors: DataFrame, id_col: str, vector_col: str, similarity:
     return vectors.select(F.col(id_col).alias("node")).join(found, "node", "left").select(F.col("node").alias(id_col), F.coalesce("component", "node").alias("label"))
 
 
-def linkage(matrix: np.ndarray, method: str = "ward") -> list[tuple[int, int, float, int]]:
-    """Agglomeration of a block of vectors by Lance-Williams updates: (left, right, distance, size), ids from n up for merges."""
+def linkage(matrix: np.ndarray, method: str = "ward", distances: bool = False) -> list[tuple[int, int, float, int]]:
+    """Agglomeration of a block of vectors, or of a square of ``distances``, by Lance-Williams updates: (left, right, distance, size), ids from n up for merges."""
     n = len(matrix)
-    d = np.sqrt(np.maximum(((matrix[:, None] - matrix[None]) ** 2).sum(-1), 0))
+    d = matrix.astype(float) if distances else np.sqrt(np.maximum(((matrix[:, None] - matrix[None]) ** 2).sum(-1), 0))
     np.fill_diagonal(d, np.inf)
     size, name, out = np.ones(n), list(range(n)), []
     live = list(range(n))

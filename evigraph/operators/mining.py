@@ -5,13 +5,16 @@ Mechanisms and innovation come from the edges' own columns, so nothing is drawn
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.dictionaries import PATTERN_WORDS
 from ..functions.labels import failure_advice, gap_confidence, gap_priority, innovation_class, ladder
 from ..functions.similarity import profile_cosine
 from .bayes import score_pairs
@@ -243,21 +246,53 @@ def factorise(v: np.ndarray, parts: int = 10, rounds: int = 500, seed: int = 42)
     return w, h
 
 
-def patterns(edges: DataFrame, parts: int = 10, most: int = 4_000_000) -> DataFrame:
-    """Factors of the effectiveness matrix with their members over the 70th percentile.
-
-    The matrix has one cell a pair of canonical names; one of over ``most`` cells is an error.
-    """
-    spark = edges.sparkSession
+def _factors(edges: DataFrame, parts: int, most: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """The dense matrix of conditions by interventions, which has one cell a pair of canonical names, and its factors."""
     long = effectiveness(edges)
     size = long.agg(F.countDistinct("source").alias("a"), F.countDistinct("target").alias("b")).first()
     if size.a * size.b > most:
         raise ValueError("pool names to canonical groups first: the matrix does not fit one machine")
     rows = long.toPandas().pivot(index="target", columns="source", values="v").fillna(0.0).sort_index().sort_index(axis=1)
-    w, h = factorise(rows.to_numpy(), min(parts, *rows.shape))
+    return rows, *factorise(rows.to_numpy(), min(parts, *rows.shape))
+
+
+def patterns(edges: DataFrame, parts: int = 10, most: int = 4_000_000) -> DataFrame:
+    """Factors of the effectiveness matrix with their members over the 70th percentile. A matrix of over ``most`` cells is an error."""
+    rows, w, h = _factors(edges, parts, most)
     out = []
     for k in range(w.shape[1]):
         for kind, names, loading in (("condition", rows.index, w[:, k]), ("intervention", rows.columns, h[k])):
             bar = np.percentile(loading, 70)
             out += [(k, kind, str(n), float(x)) for n, x in zip(names, loading, strict=True) if x > bar]
-    return spark.createDataFrame(out, "pattern int, kind string, member string, loading double")
+    return edges.sparkSession.createDataFrame(out, "pattern int, kind string, member string, loading double")
+
+
+def _distinct(loading: np.ndarray) -> float:
+    """One less the loadings' entropy as a share of the greatest."""
+    return 1 + float((loading * np.log(loading + 1e-10)).sum() / np.log(len(loading))) if len(loading) > 1 else 0.0
+
+
+def pattern_report(edges: DataFrame, parts: int = 10, words: dict = PATTERN_WORDS, least: int = 3, strength: float = 0.1, confidence: float = 0.2, most: int = 4_000_000) -> DataFrame:
+    """Each pattern's size, strength (mean absolute effect of its tested pairs), distinctiveness, name, and whether it is valid.
+
+    The name is that of the ``words`` met most often in its interventions' names, else their commonest word.
+    """
+    rows, w, h = _factors(edges, parts, most)
+    v, out = rows.to_numpy(), []
+    for k in range(w.shape[1]):
+        i, j = np.flatnonzero(w[:, k] > np.percentile(w[:, k], 70)), np.flatnonzero(h[k] > np.percentile(h[k], 70))
+        cells = v[np.ix_(i, j)]
+        power = float(np.abs(cells[cells != 0]).mean()) if (cells != 0).any() else 0.0
+        sure = (_distinct(w[:, k]) + _distinct(h[k])) / 2
+        members = [str(x) for x in rows.columns[j]]
+        text = " ".join(members).lower()
+        hits = {name: sum(word in text for word in keys) for name, keys in words.items()}
+        best = max(hits, key=hits.get, default=None)
+        if best is not None and hits[best]:
+            name = best.replace("_", " ").title()
+        else:
+            said = Counter(word for m in members[:3] for word in m.split("_"))
+            name = f"{said.most_common(1)[0][0].title()} Mechanism" if said else "Unknown Mechanism"
+        valid = len(i) >= least and len(j) >= least and power > strength and sure > confidence
+        out.append((k, name, len(i), len(j), power, sure, bool(valid)))
+    return edges.sparkSession.createDataFrame(out, "pattern int, name string, conditions int, interventions int, strength double, confidence double, valid boolean")

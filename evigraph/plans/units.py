@@ -392,9 +392,9 @@ def c9(spark, d, sparse=edges_sparse):
     return sparse(spark, d).select("source", "target").distinct()
 
 
-@query("c10_failure_status", ", f AS (SELECT source, count(CASE WHEN outcome <> 'improves' THEN 1 END) / CAST(count(*) AS DOUBLE) AS r, count(*) AS n FROM sparse GROUP BY source) SELECT s_name AS source, CASE WHEN r >= 0.6 AND n >= 3 THEN 'FAILED' ELSE 'NOT_IN_CATALOG' END AS status FROM supplier LEFT JOIN f ON s_name = source", (SPARSE,))
+@query("c10_failure_status", ", f AS (SELECT source, count(CASE WHEN outcome <> 'improves' THEN 1 END) / CAST(count(*) AS DOUBLE) AS r, count(*) AS n FROM sparse GROUP BY source) SELECT s_name AS source, CASE WHEN r >= 0.36 AND n >= 3 THEN 'FAILED' ELSE 'NOT_IN_CATALOG' END AS status FROM supplier LEFT JOIN f ON s_name = source", (SPARSE,))
 def c10(spark, d, sparse=edges_sparse):
-    failed = mn.failures(sparse(spark, d)).select("source", F.lit("FAILED").alias("status"))
+    failed = mn.failures(sparse(spark, d), 0.36).select("source", F.lit("FAILED").alias("status"))
     return raw(spark, d, "supplier").select(F.col("s_name").alias("source")).join(failed, "source", "left").select("source", F.coalesce("status", F.lit("NOT_IN_CATALOG")).alias("status"))
 
 

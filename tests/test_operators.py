@@ -312,3 +312,44 @@ def test_coherence_in_blocks(spark, monkeypatch):
     s = np.clip(u @ u.T, 0, 1)
     want = {c: np.mean([s[i, j] for i in range(1, 40) for j in range(i + 1, 40) if i % 2 == c == j % 2]) for c in (0, 1)}
     assert {r.cluster_id: pytest.approx(r.coherence) for r in hi.coherence(members).collect()} == want
+
+
+def test_condition_clusters_cut_a_ward_tree_of_similarities(spark):
+    from evigraph.operators import conditions as cn
+
+    names = ["a1", "a2", "b1", "b2", "c"]
+    near = [("a1", "a2", 0.9), ("b1", "b2", 0.8)]
+    got = cn.condition_clusters(spark.createDataFrame(near, "a string, b string, similarity double"), spark.createDataFrame([(n,) for n in names], "target string"))
+    of = {r.target: r.cluster for r in got.collect()}
+    assert of["a1"] == of["a2"] != of["b1"] == of["b2"]
+    only = cn.condition_clusters(spark.createDataFrame([], "a string, b string, similarity double"), spark.createDataFrame([], "target string"))
+    assert only.count() == 0
+
+
+def test_cluster_description(spark):
+    from evigraph.operators import conditions as cn
+
+    e = edges(spark, [("t", "x", "inflammation", "improves", 0.9, 2000), ("t", "y", "inflammation", "improves", 0.9, 2000), ("u", "x", "metabolic", "worsens", 0.3, 2000)])
+    r = cn.describe_clusters(e, spark.createDataFrame([("x", 1), ("y", 1), ("z", 1)], "target string, cluster int")).first()
+    assert (r.conditions, list(r.common), r.dominant, r.name) == (3, ["t"], "inflammation", "Inflammatory")
+    assert r.success == pytest.approx((2 / 3 + 2 / 3 + 0.5) / 3) and [p.mechanism for p in r.profile] == ["inflammation"]
+
+
+def test_discoveries_feasibility_and_functions(spark):
+    from evigraph.operators import conditions as cn
+
+    rows = [("IBS", "low mood", []), ("depression", "psoriasis", []), ("pcos", "stress", []), ("a", "b", ["metabolic", "stress_response"]), ("a", "b", ["pain"])]
+    t = spark.createDataFrame(rows, "a string, b string, m array<string>")
+    kinds = [r[0] for r in t.select(cn.discovery_type(F.col("a"), F.col("b"), F.col("m"))).collect()]
+    assert kinds == ["gut_brain_axis", "inflammation_mood_connection", "metabolic_mental_health", "metabolic_stress_axis", "novel_biological_connection"]
+    s = spark.createDataFrame([("gene_therapy",), ("exercise",), ("zinc",)], "s string")
+    assert [r[0] for r in s.select(cn.feasibility(F.col("s"))).collect()] == [0.3, 0.9, 0.6]
+    who = spark.createDataFrame([("Yoga", ["ibs"], ["immune"]), ("zinc", ["pain"], [])], "source string, conditions array<string>, mechanisms array<string>")
+    assert {r.source: list(r.functions) for r in cn.body_functions(who).collect()} == {"Yoga": ["inflammation", "microbiome_regulation", "stress_response"], "zinc": []}
+
+
+def test_pattern_report(spark):
+    rows = [(f"probiotic_{i}" if i < 5 else f"zinc_{i}", f"c{j}", "m", "improves" if (i < 5) == (j < 5) else "worsens", 0.5 + 0.02 * (i + j), 2000) for i in range(10) for j in range(10)]
+    got = mining.pattern_report(edges(spark, rows), 2).collect()
+    assert [r.pattern for r in got] == [0, 1] and all(r.strength > 0.1 for r in got)
+    assert {r.name for r in got} <= {"Gut Microbiome", "Zinc Mechanism"} and all(r.valid == (r.conditions >= 3 and r.interventions >= 3 and r.confidence > 0.2) for r in got)
