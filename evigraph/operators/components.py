@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     """Write to the folder that all executors share, and read back; a lost executor costs a re-read."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "checkpoints")
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

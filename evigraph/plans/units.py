@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions.labels import ladder
 from ..operators import bayes, clusters as cl, evidence as ev, hierarchies as hi, mining as mn, resolution as rs, validation as va
 from ..operators.components import cut_lineage
+from ..session import shared_folder
 from ..sources import articles, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
 from .aggregates import classification_report
@@ -18,8 +19,7 @@ from .vectors import _CENTROIDS, _COS, hierarchy
 
 def _scratch(spark, label):
     """A new folder among those that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _escape(c):

@@ -28,6 +28,20 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset a local folder takes its place on a single machine; on a cluster that is an error, as tables
+    written there could not be read elsewhere.
+    """
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if at:
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return os.path.join(tempfile.gettempdir(), "checkpoints")
+
+
 def ship_code(spark: SparkSession) -> None:
     """Send this package's source to the executors, once for each application.
 
