@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_code
+from ..session import shared_folder, ship_code
 
 #: Rows of an Arrow batch between the JVM and Python: texts are long, so few.
 BATCH_ROWS = 1000
@@ -37,13 +35,11 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` where set.
 
-    Only where it is unset (tests, a single machine) a local folder takes its place.
+    Only where it is unset on a single machine (tests) a local folder takes its place; on a cluster that is an error.
     """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    at = os.path.join(tempfile.gettempdir(), "checkpoints")
-    spark.conf.set("spark.checkpoint.dir", at)
+    at = shared_folder(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
