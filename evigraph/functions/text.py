@@ -135,12 +135,15 @@ def _ratio(a: str, b: str) -> float:
     """1 - (insertions and deletions) / (both lengths): twice the longest common subsequence over both lengths."""
     if not a and not b:
         return 1.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
-    return 2 * row[-1] / (len(a) + len(b))
+    # one bit a character of a; a cleared bit is a step of the longest common subsequence
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    left = whole = (1 << len(a)) - 1
+    for x in b:
+        hit = left & at.get(x, 0)
+        left = ((left + hit) | (left - hit)) & whole
+    return 2 * (len(a) - left.bit_count()) / (len(a) + len(b))
 
 
 @F.pandas_udf(DoubleType())

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import exports as ex
 from ..operators import resolution as rs
 from ..operators import validation as va
 from ..operators.evidence import fold_pairs
@@ -56,6 +57,40 @@ def k10(spark, d, sparse=edges_sparse):
     return sparse(spark, d).select("source", "target", "mechanism", display_outcome(F.col("outcome")).alias("outcome"), "year")
 
 
+@query("k10_basic_export", "SELECT study_id, target AS condition, source AS intervention, CASE WHEN outcome = 'inconclusive' THEN 'unsure' ELSE outcome END AS correlation, confidence AS confidence_score, title, journal, TRY_CAST(substr(publication_date, 1, 4) AS INT) AS publication_year FROM edges LEFT JOIN papers ON paper_id = pmid", (EDGES, PAPERS))
+def k10_basic(spark, d):
+    return ex.basic_export(edges(spark, d), papers(spark, d))
+
+
+@query("k10_enhanced_export", """SELECT study_id, target AS condition, source AS intervention, CASE WHEN outcome = 'inconclusive' THEN 'unsure' ELSE outcome END AS correlation, sample_size AS study_size, TRY_CAST(substr(publication_date, 1, 4) AS INT) AS publication_year, confidence AS confidence_score,
+  study_design AS study_type, mechanism, title, doi, 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' AS pubmed_url FROM edges LEFT JOIN papers ON paper_id = pmid""", (EDGES, PAPERS))
+def k10_enhanced(spark, d):
+    return ex.enhanced_export(edges(spark, d, design=True), papers(spark, d)).select("*", "paper.title", "paper.doi", "paper.pubmed_url").drop("paper")
+
+
+@query("k10_export_summary", """, i AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) AS r FROM edges GROUP BY source), c AS (SELECT target, row_number() OVER (ORDER BY count(*) DESC, target) AS r FROM edges GROUP BY target)
+  SELECT count(*) AS total, count(DISTINCT source) AS interventions, count(DISTINCT target) AS conditions, count(DISTINCT paper_id) AS papers, count(CASE WHEN outcome = 'improves' THEN 1 END) AS improves, count(CASE WHEN outcome = 'worsens' THEN 1 END) AS worsens, count(CASE WHEN outcome = 'no_effect' THEN 1 END) AS no_effect,
+  count(CASE WHEN outcome = 'inconclusive' THEN 1 END) AS inconclusive, round(avg(confidence) + 1e-9, 3) AS mean_confidence, (SELECT string_agg(source, ',' ORDER BY r) FROM i WHERE r <= 10) AS top_interventions, (SELECT string_agg(target, ',' ORDER BY r) FROM c WHERE r <= 10) AS top_conditions FROM edges""", (EDGES,))
+def k10_summary(spark, d):
+    return ex.export_summary(edges(spark, d)).withColumns({c: F.array_join(c, ",") for c in ("top_interventions", "top_conditions")})
+
+
+@query("c25_extraction_chain", """, v AS (SELECT paper_id, study_id, source, target, mechanism, outcome, confidence, sample_size FROM edges WHERE paper_id % 7 <> 5 AND NOT (sample_size < 3 AND paper_id % 2 = 0)),
+  n AS (SELECT * FROM v WHERE paper_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY paper_id, source, target ORDER BY confidence DESC, study_id) = 1),
+  o AS (SELECT paper_id, min(study_id) AS study_id, source, target FROM edges WHERE paper_id % 3 <> 1 GROUP BY paper_id, source, target)
+  SELECT paper_id, study_id, source, target, outcome, confidence FROM n UNION ALL SELECT o.paper_id, o.study_id, o.source, o.target, 'unknown', 0.0 FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.paper_id = o.paper_id AND n.source = o.source AND n.target = o.target)""", (EDGES,))
+def c25(spark, d):
+    """Answers for two thirds of the papers, some broken, some that hold nothing, some with an outcome that is no word, saved over older records."""
+    e = edges(spark, d)
+    record = F.struct("study_id", "source", "target", "mechanism", F.when((F.col("sample_size") < 3) & (F.col("paper_id") % 2 == 0), "better").otherwise(F.col("outcome")).alias("outcome"), "confidence", "sample_size")
+    told = e.filter("paper_id % 3 <> 0").groupBy("paper_id").agg(F.to_json(F.collect_list(record)).alias("json"))
+    k = F.col("paper_id") % 7
+    answer = F.when(k == 5, "I can not say.").when(k == 6, F.replace("json", F.lit("]"), F.lit(",]"))).otherwise(F.concat(F.lit("<think>so</think>```json\n"), "json", F.lit("\n```")))
+    old = e.filter("paper_id % 3 <> 1").groupBy("paper_id", "source", "target").agg(F.min("study_id").alias("study_id"))
+    old = old.select("paper_id", "study_id", "source", "target", F.lit("unknown").alias("outcome"), F.lit(0.0).alias("confidence"))
+    return ex.save_extracted(old, told.select("paper_id", answer.alias("answer")), "paper_id", "answer", ["paper_id", "source", "target"])
+
+
 @query("k11_training_export", "SELECT study_id, 'What does ' || source || ' do for ' || target || '?' AS prompt, outcome AS answer FROM sparse WHERE confidence >= 0.9", (SPARSE,))
 def k11(spark, d, sparse=edges_sparse):
     ask = F.concat(F.lit("What does "), "source", F.lit(" do for "), "target", F.lit("?"))

@@ -94,7 +94,9 @@ def v13(spark, d):
     return cl.quality(clusters(spark, d)).withColumns({c: r6(c) for c in ("mean_size", "davies_bouldin", "silhouette")})
 
 
-@query("v15_greedy_merges")
+@query("v15_greedy_merges", f""", p AS (SELECT a.cluster_id AS a, b.cluster_id AS b, {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id),
+  l AS (SELECT list_reduce(list([a, b] ORDER BY s DESC, a, b), lambda got, x: CASE WHEN list_has_any(got, x) THEN got ELSE got || x END) AS flat FROM p), u AS (SELECT unnest(generate_series(1, len(flat), 2)) AS i, flat FROM l)
+  SELECT flat[i] AS a, flat[i + 1] AS b, round(s, 6) AS similarity FROM u JOIN p ON p.a = flat[i] AND p.b = flat[i + 1]""", (CLUSTERS, _CENTROIDS))
 def v15(spark, d):
     return cl.greedy_merges(cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.0, None)).select("a", "b", r6("similarity").alias("similarity"))
 

@@ -353,3 +353,45 @@ def test_pattern_report(spark):
     got = mining.pattern_report(edges(spark, rows), 2).collect()
     assert [r.pattern for r in got] == [0, 1] and all(r.strength > 0.1 for r in got)
     assert {r.name for r in got} <= {"Gut Microbiome", "Zinc Mechanism"} and all(r.valid == (r.conditions >= 3 and r.interventions >= 3 and r.confidence > 0.2) for r in got)
+
+
+def test_extraction_from_answers(spark):
+    from evigraph.operators import exports as ex
+
+    one = '{"study_id": "%s", "source": "zinc %s", "target": "colds", "mechanism": "immune cells respond", "outcome": "%s", "confidence": %s, "sample_size": 40}'
+    rows = [
+        (1, "<think>[]</think>```json\n[" + one % ("a", "x", "improves", 0.5) + "," + one % ("b", "x", "worsens", 0.9) + "]\n```"), (2, "[" + one % ("c", "y", "improves", 0.7) + ",]"),
+        (3, "nothing"), (4, None), (5, "[" + one % ("d", "z", "better", 0.7) + "]"), (6, "[]"),
+    ]
+    answers = spark.createDataFrame(rows, "paper_id bigint, answer string")
+    found = {(r.paper_id, r.study_id): r.valid for r in ex.extract_records(answers, "paper_id", "answer").collect()}
+    assert found == {(1, "a"): True, (1, "b"): True, (2, "c"): True, (5, "d"): False}
+    old = spark.createDataFrame([(1, "zinc x", "colds", "old"), (9, "zinc x", "colds", "old")], "paper_id bigint, source string, target string, outcome string")
+    with_id = old.withColumn("study_id", F.lit("o")).withColumn("confidence", F.lit(0.0))
+    got = sorted((r.paper_id, r.outcome) for r in ex.save_extracted(with_id, answers, "paper_id", "answer", ["paper_id", "source", "target"]).collect())
+    assert got == [(1, "worsens"), (2, "improves"), (9, "old")]
+
+
+def test_exports_keep_records_without_a_paper(spark):
+    from evigraph.operators import exports as ex
+
+    e = edges(spark, [("a", "x", "", "inconclusive", 0.5, 2000), ("b", "x", "m", "improves", 0.5, 2000)])
+    papers = spark.createDataFrame([(1, "t", "j", "2001-05", None)], "pmid bigint, title string, journal string, publication_date string, doi string")
+    got = {r.intervention: r for r in ex.enhanced_export(e, papers).collect()}
+    assert (got["a"].correlation, got["a"].mechanism, got["a"].publication_year, got["a"].paper.pubmed_url) == ("unsure", None, None, None)
+    assert (got["b"].publication_year, got["b"].paper.pubmed_url) == (2001, "https://pubmed.ncbi.nlm.nih.gov/1/")
+    assert ex.basic_export(e, papers).count() == 2 and ex.export_summary(e.limit(0)).first().total == 0
+
+
+def test_ratio_by_bits_against_the_table(spark):
+    from evigraph.functions.text import _ratio
+
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = ("".join(rng.choice(list("abcé"), rng.integers(0, 12))) for _ in range(2))
+        row = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                row[i + 1][j + 1] = row[i][j] + 1 if x == y else max(row[i][j + 1], row[i + 1][j])
+        want = 2 * row[-1][-1] / (len(a) + len(b)) if a or b else 1.0
+        assert _ratio(a, b) == want
