@@ -118,6 +118,29 @@ def failures(edges: DataFrame, min_rate: float = 0.6, min_evidence: int = 3, avo
     return per.withColumns({"waste": F.col("n") * F.col("failure_rate") * (1 + F.col("confidence")), "advice": failure_advice(F.col("confidence"), F.col("failure_rate"), avoid)})
 
 
+def failure_status(names: DataFrame, failed: DataFrame, alternatives: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Each name's (source) entry in the catalogue, with what to try in its place where it failed."""
+    known = F.array(F.lit("consult_healthcare_provider"))
+    for name, others in (alternatives or {}).items():
+        known = F.when(F.col("source") == name, F.array(*[F.lit(x) for x in others])).otherwise(known)
+    rows = names.join(failed.select("source", "failure_rate", "confidence", "advice"), "source", "left")
+    found = F.col("failure_rate").isNotNull()
+    return rows.withColumns({"status": F.when(found, "FAILED").otherwise("NOT_IN_CATALOG"), "alternatives": F.when(found, known)})
+
+
+def combinations_of(pairs: DataFrame, member: str) -> DataFrame:
+    """Combinations (a, b) that a member is in."""
+    return pairs.filter((F.col("a") == member) | (F.col("b") == member))
+
+
+def combination_trends(pairs: DataFrame, top: int = 5) -> DataFrame:
+    """How many combinations there are, their mean measures, and the members met most often, in one row."""
+    row = pairs.agg(F.count("*").alias("total"), *[F.round(F.avg(c) + 1e-9, k).alias(f"mean_{c}") for c, k in (("confidence", 3), ("lift", 1), ("synergy", 2))])
+    often = pairs.select(F.explode(F.array("a", "b")).alias("m")).groupBy("m").count().orderBy(F.desc("count"), "m").limit(top)
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("k"), "m")))
+    return row.crossJoin(often.agg(F.transform(listed, lambda e: e.getField("m")).alias("members")))
+
+
 def fundamentals(edges: DataFrame, min_mechanisms: int = 3, min_conditions: int = 4) -> DataFrame:
     """Interventions that work by several mechanisms on several conditions."""
     by = edges.groupBy("source", "mechanism").agg(F.avg(_effect()).alias("m"), F.count("*").alias("n"))

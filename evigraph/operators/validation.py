@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import is_placeholder
 
@@ -77,9 +78,18 @@ def export_verdict(rows: DataFrame, least: int = 10, by: list[str] | None = None
     return rows.groupBy(*by or []).agg(F.count("*").alias("rows"), F.countDistinct("source").alias("sources"), F.count_if(F.col("source").isNull() | F.col("target").isNull()).alias("incomplete")).withColumns({"few": F.col("rows") < least, "valid": (F.col("incomplete") == 0) & (F.col("rows") > 0)})
 
 
+def band_report(rows: DataFrame, name: Column, high: float = 0.7, middle: float = 0.4, top: int = 3) -> DataFrame:
+    """How many rows (by confidence ``c``) are in each band, and the ``top`` surest of each, ties by the other columns."""
+    band = F.when(F.col("c") > high, "high").when(F.col("c") >= middle, "middle").otherwise("low")
+    banded = rows.withColumn("band", band).withColumn("_name", name)
+    ties = [c for c in rows.columns if c != "c"]
+    ranked = banded.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("c"), *ties))).filter(F.col("_r") <= top)
+    best = ranked.groupBy("band").agg(F.array_sort(F.collect_list(F.struct("_r", "_name"))).alias("b"))
+    listed = F.array_join(F.transform("b", lambda e: e.getField("_name")), ",")
+    return banded.groupBy("band").agg(F.count("*").alias("n")).join(best, "band").select("band", "n", listed.alias("best"))
+
+
 def order_breaks(ranked: DataFrame, key: str, rank: str, value: str) -> DataFrame:
     """Rows that score more than the row ranked before them."""
-    from pyspark.sql.window import Window
-
     before = F.lag(value).over(Window.partitionBy(key).orderBy(rank))
     return ranked.withColumn("_before", before).filter(F.col(value) > F.col("_before")).drop("_before")

@@ -154,9 +154,17 @@ def q1(spark, d):
     return va.validate_papers(p).select("pmid", F.size("issues").cast("bigint").alias("issues"), "valid")
 
 
-@query("q2_record_rules", "SELECT study_id, sample_size >= 1 AS valid, CAST(1 + CASE WHEN sample_size < 1 THEN 1 ELSE 0 END AS BIGINT) AS issues FROM edges", (EDGES,))
+@query("q2_record_rules", """, r AS (SELECT study_id, sample_size < 3 AS small, month = 1 AND confidence > 0.8 AS high, mechanism = 'SMALL' AS named, outcome = 'inconclusive' AS odd, mechanism = 'LARGE' AS told FROM edges)
+  SELECT study_id, NOT (small OR high OR named OR odd) AS valid, CAST(small::INT + high::INT + named::INT + odd::INT + (NOT told)::INT AS BIGINT) AS issues FROM r""", (EDGES,))
 def q2(spark, d):
-    return va.validate_records(edges(spark, d)).select("study_id", "valid", F.size("issues").cast("bigint").alias("issues"))
+    """Records spoilt by rule: too few people, too sure, a name that is none, a word that is no outcome; one mechanism is told in words."""
+    e, m = edges(spark, d), F.col("mechanism")
+    spoilt = e.withColumns({
+        "sample_size": F.when(F.col("sample_size") < 3, 0.0).otherwise(F.col("sample_size")), "confidence": F.when((F.col("month") == 1) & (F.col("confidence") > 0.8), 1.2).otherwise(F.col("confidence")),
+        "source": F.when(m == "SMALL", "unknown").otherwise(F.col("source")), "outcome": F.when(F.col("outcome") == "inconclusive", "perhaps").otherwise(F.col("outcome")),
+        "mechanism": F.when(m == "LARGE", "lowers inflammation slowly").otherwise(m),
+    })
+    return va.validate_records(spoilt).select("study_id", "valid", F.size("issues").cast("bigint").alias("issues"))
 
 
 @query("q5_export_verdict", ", e AS (SELECT mechanism, CASE WHEN mechanism <> 'SMALL' OR sample_size > 1 THEN source END AS source, target FROM sparse) SELECT mechanism, count(*) AS rows, count(DISTINCT source) AS sources, count(CASE WHEN source IS NULL THEN 1 END) AS incomplete, count(*) < 10 AS few, count(source) = count(*) AS valid FROM e GROUP BY mechanism", (SPARSE,))
@@ -198,10 +206,12 @@ def r8(spark, d):
     return e.groupBy("mechanism").agg(F.count_if(F.array_contains("flags", "unsure")).alias("unsure"), F.count_if(F.array_contains("flags", "open")).alias("open"), F.count_if(F.size("flags") == 2).alias("both"))
 
 
-@query("r11_band_report", """, p AS (SELECT source, target, avg(confidence) AS c FROM sparse GROUP BY ALL) SELECT CASE WHEN round(c, 6) > 0.7 THEN 'high' WHEN round(c, 6) >= 0.4 THEN 'middle' ELSE 'low' END AS band, count(*) AS n FROM p GROUP BY 1""", (SPARSE,))
+@query("r11_band_report", """, p AS (SELECT source, target, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL), b AS (SELECT *, CASE WHEN c > 0.75 THEN 'high' WHEN c >= 0.7 THEN 'middle' ELSE 'low' END AS band FROM p)
+  SELECT band, count(*) AS n, array_to_string((list(source || ' ' || target ORDER BY c DESC, source, target))[1:3], ',') AS best FROM b GROUP BY band""", (SPARSE,))
 def r11(spark, d, sparse=edges_sparse):
+    """Bands with their three best members, at bounds that part the test tables' means."""
     p = sparse(spark, d).groupBy("source", "target").agg(r6(F.avg("confidence")).alias("c"))
-    return p.groupBy(F.when(F.col("c") > 0.7, "high").when(F.col("c") >= 0.4, "middle").otherwise("low").alias("band")).agg(F.count("*").alias("n"))
+    return va.band_report(p, F.concat_ws(" ", "source", "target"), 0.75, 0.7)
 
 
 @query("c7_category_backfill", "SELECT DISTINCT entity_name AS entity, 'primary' AS category_type, category AS category_name FROM canonical WHERE category IS NOT NULL", (CANONICAL,))

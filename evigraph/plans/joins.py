@@ -193,9 +193,11 @@ def u4(spark, d):
     return p.select("a", "b", "shared", (F.col("n_a") + F.col("n_b") - 2 * F.col("shared")).alias("differ"))
 
 
-@query("u5_new_conditions", """SELECT source, count(DISTINCT target) FILTER (WHERE year >= 2000) - count(DISTINCT CASE WHEN year >= 2000 AND target IN (SELECT target FROM edges x WHERE x.source = e.source AND x.year < 2000) THEN target END) AS fresh FROM edges e GROUP BY source""", (EDGES,))
+@query("u5_new_conditions", """, p AS (SELECT source, target || ' ' || mechanism AS t, max(year) >= 2001 AS late, min(year) < 2001 AS early FROM edges GROUP BY ALL) SELECT source, count(CASE WHEN late AND NOT early THEN 1 END) AS fresh FROM p GROUP BY source""", (EDGES,))
 def u5(spark, d):
-    sets = edges(spark, d).groupBy("source").agg(F.collect_set(F.when(F.col("year") >= 2000, F.col("target"))).alias("recent"), F.collect_set(F.when(F.col("year") < 2000, F.col("target"))).alias("old"))
+    """Conditions by mechanism that only the last year has."""
+    t = F.concat_ws(" ", "target", "mechanism")
+    sets = edges(spark, d).groupBy("source").agg(F.collect_set(F.when(F.col("year") >= 2001, t)).alias("recent"), F.collect_set(F.when(F.col("year") < 2001, t)).alias("old"))
     return sets.select("source", F.size(F.array_except("recent", "old")).cast("bigint").alias("fresh"))
 
 

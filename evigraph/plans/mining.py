@@ -105,11 +105,14 @@ def m16(spark, d, sparse=edges_sparse):
     return p.select("a", "b", r6(jaccard).alias("jaccard"), r6(dice).alias("dice"), r6(sm.composite(jaccard, dice, F.col("shared"))).alias("composite"))
 
 
-@query("m17_power_combinations", """, per AS (SELECT source, count(DISTINCT target) AS n, avg(weight * confidence) AS e, count(*) AS k, list(DISTINCT mechanism) AS m FROM sparse GROUP BY source HAVING count(DISTINCT target) >= 2),
+_COMBINED = """, per AS (SELECT source, count(DISTINCT target) AS n, avg(weight * confidence) AS e, count(*) AS k, list(DISTINCT mechanism) AS m FROM sparse GROUP BY source HAVING count(DISTINCT target) >= 2),
   t AS (SELECT DISTINCT source, target FROM sparse), sh AS (SELECT a.source AS a, b.source AS b, count(*) AS shared FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
   x AS (SELECT sh.*, p.e AS ea, q.e AS eb, p.k AS ka, q.k AS kb, shared / CAST(p.n AS DOUBLE) AS confidence, (shared / CAST(p.n AS DOUBLE)) / (q.n / CAST(p.n + q.n - shared AS DOUBLE)) AS lift, (p.e + q.e) / 2 AS base, len(p.m) + len(q.m) - 2 * len(list_intersect(p.m, q.m)) AS d, len(p.m) + len(q.m) AS mm FROM sh JOIN per p ON p.source = sh.a JOIN per q ON q.source = sh.b),
   y AS (SELECT *, least(1, base) AS combined, least(1, 0.3 * confidence + 0.3 * least(1, (lift - 1) / 4) + 0.2 * least(1, least(1, base) / greatest(base, 0.1) - 1) + 0.2 * d / mm::DOUBLE) AS synergy FROM x)
-  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.6 AND lift >= 0.9 AND synergy >= 0.1""", (SPARSE,), whole=False)
+  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM y WHERE confidence >= 0.6 AND lift >= 0.9 AND synergy >= 0.1"""
+
+
+@query("m17_power_combinations", _COMBINED, (SPARSE,), whole=False)
 def m17(spark, d, sparse=edges_sparse):
     out = mn.combinations(sparse(spark, d), 0.6, 0.9, 3, 0.1)
     return out.withColumns({c: r6(c) for c in ("confidence", "lift", "combined", "synergy")})
@@ -123,6 +126,17 @@ def m18(spark, d, sparse=edges_sparse):
     return sh.select(F.explode(F.array("a", "b")).alias("source")).groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(5)
 
 
+@query("m18_combinations_of_member", "WITH " + SPARSE.lstrip() + ", c AS (SELECT * FROM (" + "WITH one AS (SELECT 1)" + _COMBINED + ")) SELECT * FROM c WHERE a = 'Supplier#000000007' OR b = 'Supplier#000000007'")
+def m18_member(spark, d):
+    return mn.combinations_of(m17(spark, d), "Supplier#000000007")
+
+
+@query("m18_combination_summary", "WITH " + SPARSE.lstrip() + ", c AS (SELECT * FROM (" + "WITH one AS (SELECT 1)" + _COMBINED + """)), t AS (SELECT m, row_number() OVER (ORDER BY count(*) DESC, m) AS r FROM (SELECT a AS m FROM c UNION ALL SELECT b FROM c) GROUP BY m)
+  SELECT count(*) AS total, round(avg(confidence) + 1e-9, 3) AS mean_confidence, round(avg(lift) + 1e-9, 1) AS mean_lift, round(avg(synergy) + 1e-9, 2) AS mean_synergy, (SELECT string_agg(m, ',' ORDER BY r) FROM t WHERE r <= 5) AS members FROM c""")
+def m18_summary(spark, d):
+    return mn.combination_trends(m17(spark, d)).withColumn("members", F.array_join("members", ","))
+
+
 _GAPS = _CLUSTERS + """, pairs AS (SELECT source, target, sum(weight * confidence) AS total, count(*) AS n FROM sparse GROUP BY ALL), o AS (SELECT s.source, t.target FROM (SELECT DISTINCT source FROM sparse) s CROSS JOIN (SELECT DISTINCT target FROM sparse) t WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.source = s.source AND p.target = t.target)),
   size AS (SELECT cluster, count(*) - 1 AS peers FROM cl GROUP BY cluster), near AS (SELECT source, cluster, sum(total) / sum(n) AS mean, count(DISTINCT target) AS overlap FROM pairs JOIN cl USING (target) GROUP BY ALL),
   alike AS (SELECT o.source, o.target, greatest(0, least(1, mean * (1 + overlap / CAST(peers AS DOUBLE)))) AS sm FROM o JOIN cl USING (target) JOIN size USING (cluster) JOIN near ON near.source = o.source AND near.cluster = cl.cluster),

@@ -54,10 +54,15 @@ def x7(spark, d):
     return pairs.select("a", "b", r6(tx.indel_ratio("a", "b")).alias("ratio"), r6(tx.token_sort_ratio(F.col("a"), F.col("b"))).alias("token_ratio"))
 
 
-@query("x8_name_quality", """SELECT p_partkey, greatest(0, least(100, 100 - CASE WHEN len(string_split(p_name, ' ')) < 2 THEN 10 ELSE 0 END + CASE WHEN contains(lower(p_name), 'mineral') OR contains(lower(p_name), 'cox') OR contains(lower(p_name), 'enzyme') THEN 10 ELSE 0 END
-  + CASE WHEN len(string_split(p_name, ' ')) >= 3 THEN 10 ELSE 0 END)) AS score FROM part""")
+_GROUPS = ("therapy", "Treatments", "vitamin D with calcium", "Enzyme", "", "a group whose name goes on and on without an end, which no reader of a table would wish")
+
+
+@query("x8_name_quality", f"""WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 8 < 6 THEN {list(_GROUPS)!r}[1 + CAST(p_partkey % 8 AS INT)] ELSE p_name END AS name FROM part), w AS (SELECT *, lower(name) AS l, len(list_filter(string_split(trim(name), ' '), lambda x: x <> '')) AS k FROM n)
+  SELECT p_partkey, CASE WHEN name = '' THEN 0 ELSE greatest(0, least(100, 100 - CASE WHEN l IN {tx.GENERIC_GROUP_NAMES!r} THEN 50 ELSE 0 END - CASE WHEN k < 2 THEN 10 ELSE 0 END + CASE WHEN regexp_matches(l, '{"|".join(tx.SPECIFIC_TERMS)}') THEN 10 ELSE 0 END + CASE WHEN k >= 3 THEN 10 ELSE 0 END - CASE WHEN length(name) > 80 THEN 5 ELSE 0 END)) END AS score FROM w""")
 def x8(spark, d):
-    return raw(spark, d, "part").select("p_partkey", tx.name_quality(F.col("p_name")).alias("score"))
+    k = (F.col("p_partkey") % 8).cast("int")
+    name = F.when(k < 6, F.element_at(F.array(*[F.lit(x) for x in _GROUPS]), F.least(k, F.lit(5)) + 1)).otherwise(F.col("p_name"))
+    return raw(spark, d, "part").select("p_partkey", tx.name_quality(name).alias("score"))
 
 
 @query("x9_model_json", "SELECT event_id, CASE WHEN event_id % 5 <> 4 THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")

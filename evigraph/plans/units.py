@@ -9,10 +9,12 @@ from ..functions import text as tx
 from ..functions.labels import ladder
 from ..operators import bayes, clusters as cl, evidence as ev, hierarchies as hi, mining as mn, resolution as rs, validation as va
 from ..operators.components import cut_lineage
+from ..operators.conditions import feasibility
 from ..session import shared_folder
 from ..sources import articles, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
 from .aggregates import classification_report
+from .mining import _GAPS, brand_clusters
 from .registry import CANONICAL, CLUSTERS, EDGES, PAPERS, SPARSE, query, r6
 from .vectors import _CENTROIDS, _COS, hierarchy
 
@@ -392,10 +394,20 @@ def c9(spark, d, sparse=edges_sparse):
     return sparse(spark, d).select("source", "target").distinct()
 
 
-@query("c10_failure_status", ", f AS (SELECT source, count(CASE WHEN outcome <> 'improves' THEN 1 END) / CAST(count(*) AS DOUBLE) AS r, count(*) AS n FROM sparse GROUP BY source) SELECT s_name AS source, CASE WHEN r >= 0.36 AND n >= 3 THEN 'FAILED' ELSE 'NOT_IN_CATALOG' END AS status FROM supplier LEFT JOIN f ON s_name = source", (SPARSE,))
+@query("c9_gap_predictions", _GAPS.replace("SELECT source, target, score, sources, CASE WHEN", "SELECT source, score, CASE WHEN").replace("FROM z WHERE", "FROM z WHERE target = 'Brand#11' AND"), (SPARSE,), whole=False)
+def c9_stored(spark, d, sparse=edges_sparse):
+    """One condition's predictions from the stored ones."""
+    s = sinks.Snapshots(spark, _scratch(spark, "gaps"))
+    s.publish(mn.gaps(sparse(spark, d), brand_clusters(spark, d), {"Supplier#000000003": 0.9}, cap=None).withColumns({"score": r6("score"), "feasibility": feasibility(F.col("source"))}))
+    return s.read().filter("target = 'Brand#11'").drop("target", "sources")
+
+
+@query("c10_failure_status", """, f AS (SELECT source, count(CASE WHEN outcome <> 'improves' THEN 1 END) / CAST(count(*) AS DOUBLE) AS r, count(*) AS n FROM sparse GROUP BY source), c AS (SELECT source, r FROM f WHERE r >= 0.36 AND n >= 3)
+  SELECT s_name AS source, CASE WHEN r IS NOT NULL THEN 'FAILED' ELSE 'NOT_IN_CATALOG' END AS status, round(r, 6) AS failure_rate, CASE WHEN r IS NULL THEN NULL WHEN s_name = 'Supplier#000000000' THEN 'walking,sleep' ELSE 'consult_healthcare_provider' END AS alternatives FROM supplier LEFT JOIN c ON s_name = source""", (SPARSE,))
 def c10(spark, d, sparse=edges_sparse):
-    failed = mn.failures(sparse(spark, d), 0.36).select("source", F.lit("FAILED").alias("status"))
-    return raw(spark, d, "supplier").select(F.col("s_name").alias("source")).join(failed, "source", "left").select("source", F.coalesce("status", F.lit("NOT_IN_CATALOG")).alias("status"))
+    known = {"Supplier#000000000": ("walking", "sleep")}
+    out = mn.failure_status(raw(spark, d, "supplier").select(F.col("s_name").alias("source")), mn.failures(sparse(spark, d), 0.36), known)
+    return out.select("source", "status", r6("failure_rate").alias("failure_rate"), F.array_join("alternatives", ",").alias("alternatives"))
 
 
 #: Keywords of a condition's name and the mechanism loadings they stand for.
@@ -438,10 +450,10 @@ def c12(spark, d):
     return edges(spark, d, design=True).groupBy("source").agg(F.count("*").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"), F.countDistinct("study_design").alias("designs"))
 
 
-@query("c13_single_source_branch", ", g AS (SELECT source, target, count(*) AS n, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL) SELECT source, target, CASE WHEN n = 1 THEN 'single' ELSE 'consensus' END AS kind, c AS confidence FROM g", (SPARSE,))
+@query("c13_single_source_branch", ", g AS (SELECT source, target, mechanism, count(*) AS n, round(avg(confidence), 6) AS c FROM sparse GROUP BY ALL) SELECT source, target, mechanism, CASE WHEN n = 1 THEN 'single' ELSE 'consensus' END AS kind, c AS confidence FROM g", (SPARSE,))
 def c13(spark, d, sparse=edges_sparse):
-    g = sparse(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"), r6(F.avg("confidence")).alias("confidence"))
-    return g.select("source", "target", F.when(F.col("n") == 1, "single").otherwise("consensus").alias("kind"), "confidence")
+    g = sparse(spark, d).groupBy("source", "target", "mechanism").agg(F.count("*").alias("n"), r6(F.avg("confidence")).alias("confidence"))
+    return g.select("source", "target", "mechanism", F.when(F.col("n") == 1, "single").otherwise("consensus").alias("kind"), "confidence")
 
 
 @query("c14_permissive_json", "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")
