@@ -31,7 +31,8 @@ def effectiveness(edges: DataFrame) -> DataFrame:
 def shared_conditions(tested: DataFrame, least: int = 3) -> DataFrame:
     """Pairs (a before b) of the sources of distinct (source, target) that share ``least`` targets: shared, n_a, n_b and lift.
 
-    The pairs come from a join on shared conditions, so pairs without one never appear.
+    The pairs come from a join on shared conditions, so pairs without one never appear. Lift is taken over the
+    union of both sources' targets, so it is 1 at most.
     """
     n = tested.groupBy("source").agg(F.count("*").alias("n"))
     n = n.filter("n >= 2") if least > 1 else n

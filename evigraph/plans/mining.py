@@ -249,7 +249,7 @@ def works(e, bar=0.4):
 
 
 def _recommended(e):
-    """Alike from 0.55 up, failed from 0.37 up, combinations of what has an effect over 0.4: so that the test tables reach every channel."""
+    """Alike from 0.55 up, failed from 0.37 up, combinations of what has an effect over 0.4, whose lift is 1 at most: that channel stays empty here."""
     alike = mn.condition_similarity(e).filter(r6("similarity") >= 0.55)
     return rc.recommendations(e, alike, mn.failures(e, 0.37), mn.fundamentals(e), mn.shared_conditions(works(e)))
 
