@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, pii, sharding, token_counts, toxicity, url_filter
+from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, periodic_runs, pii, sharding, token_counts, toxicity, url_filter
 from .common import persist_table, shared_dir, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -86,8 +86,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents")).drop("base")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents in one of ten of which (by a checksum of the id) a stretch of the words repeats to the end, so that there are runs to find.
+
+    Without an id or words a text stays as it is.
+    """
+    words, a, p = F.col("_words"), F.col("_a"), F.col("_p")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    some = docs.select("doc_id", "text", h.alias("_h"), F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).alias("_words"))
+    g, n = F.floor(F.col("_h") / 10).cast("bigint"), F.size("_words").cast("bigint")
+    some = some.withColumn("_a", F.when(n > 0, g % n)).withColumn("_p", 1 + F.floor((n - a) / (3 + g % 8)).cast("bigint"))
+    cycled = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+    return some.select("doc_id", F.when(a.isNotNull(), F.array_join(cycled, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs_of(looped(table(spark, sf_dir, "documents")))
+    best = F.col("strongest")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n", "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"), F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii, op11_periodic_runs)
     return {f.__name__: f for f in found}
 
 
