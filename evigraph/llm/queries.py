@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, periodic_runs, pii, sharding, token_counts, toxicity, url_filter
+from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, language_id, periodic_runs, pii, sharding, token_counts, toxicity, url_filter
 from .common import persist_table, shared_dir, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -111,8 +111,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~toxicity.held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii, op11_periodic_runs)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii, op11_periodic_runs, op13_language_id)
     return {f.__name__: f for f in found}
 
 
