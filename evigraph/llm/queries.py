@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, exact_topk, jaccard_join, kneser_ney, language_id, periodic_runs, pii, sharding, token_counts, toxicity, url_filter
+from . import byte_bpe, collocations, decontamination, exact_topk, jaccard_join, kneser_ney, language_id, periodic_runs, pii, sharding, token_counts, toxicity, url_filter
 from .common import persist_table, shared_dir, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -111,6 +111,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~toxicity.held_out()))
@@ -119,7 +123,7 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii, op11_periodic_runs, op13_language_id)
+    found = (op1_byte_bpe, op2_decontamination, op3_jaccard_join, op4_toxicity, op5_kneser_ney, op6_sharding, op7_url_filter, op8_token_counts, op9_exact_topk, op10_pii, op11_periodic_runs, op12_collocations, op13_language_id)
     return {f.__name__: f for f in found}
 
 
@@ -173,6 +177,29 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+n AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS ws
+  FROM (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, words, k, unnest(generate_series(1, len(words) - k + 1)) AS i FROM w, (VALUES (1), (2), (3), (4)) t(k) WHERE len(words) >= k))
+  GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT lang, phrase, f, k, ws, unnest(generate_series(1, k - 1)) AS j FROM g WHERE k > 1) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : j], ' ') JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1 : c.k], ' ')),
+weakest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cuts) WHERE o = 1),
+longer AS (
+  SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT lang, f, ws, k, m, unnest(generate_series(1, k - m + 1)) AS i FROM g, (VALUES (2), (3)) t(m) WHERE k > m) GROUP BY 1, 2),
+kept AS (SELECT s.* FROM weakest s LEFT JOIN longer b ON s.lang = b.lang AND s.phrase = b.phrase WHERE b.f IS NULL OR 100 * b.f < 80 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_url_filter": OP7_SQL, "op9_exact_topk": OP9_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_url_filter": OP7_SQL, "op9_exact_topk": OP9_SQL, "op12_collocations": OP12_SQL}
