@@ -42,7 +42,7 @@ from .common import drop_tables, persist_table, runs, shared_dir, ship
 from .words import mix
 
 #: Words of a task's open shards together, the largest of which is closed then; and words for each of which there is a bucket.
-SHARD_WORDS, BUCKET_WORDS = 2_000_000, 250_000
+SHARD_WORDS, BUCKET_WORDS = 1_000_000, 250_000
 _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BREAK = b"."  # no word holds it
@@ -63,19 +63,21 @@ def _row(**values) -> pa.RecordBatch:
 
 
 def pack(**arrays: np.ndarray | bytes) -> bytes:
-    """Arrays and bytes as one value."""
-    parts = {k: v if isinstance(v, bytes) else np.ascontiguousarray(v) for k, v in arrays.items()}
+    """Arrays of whole numbers and bytes as one compressed value; numbers as differences, which are small in sorted lists."""
+    parts = {k: v if isinstance(v, bytes) else np.diff(v, prepend=v.dtype.type(0)) for k, v in arrays.items()}
     head = ";".join(f"{k}:{'b' if isinstance(v, bytes) else v.dtype.str}:{len(v) if isinstance(v, bytes) else v.nbytes}" for k, v in parts.items())
-    return b"".join([head.encode(), b"\n", *(v if isinstance(v, bytes) else v.tobytes() for v in parts.values())])
+    plain = b"".join([head.encode(), b"\n", *(v if isinstance(v, bytes) else v.tobytes() for v in parts.values())])
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
 
 def unpack(value: bytes) -> dict:
+    value = pa.decompress(value[8:], int.from_bytes(value[:8], "little"), "zstd", asbytes=True)
     at = value.index(b"\n") + 1
     out = {}
     for field in value[: at - 1].decode().split(";"):
         name, kind, size = field.split(":")
         part = value[at : at + int(size)]
-        out[name] = part if kind == "b" else np.frombuffer(part, kind)
+        out[name] = part if kind == "b" else np.cumsum(np.frombuffer(part, kind), dtype=kind)
         at += int(size)
     return out
 
