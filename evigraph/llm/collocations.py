@@ -12,7 +12,9 @@ leave their shard: per level, a shard sends (phrase, length) pairs, packed in ar
 and gets back the phrases that are frequent in all shards together, with a number and a total
 each. A frequent phrase is written out by one of its shards, which has its words and the totals
 of all its parts. So no word, however common, has more than one entry for each shard anywhere,
-and no phrase table is broadcast.
+and no phrase table is broadcast. Beyond ``LANES`` buckets or shards, packed arrays go by way of
+lanes, where arrays from many senders are gathered and cut again, so that their number grows
+with the input and not with its square.
 
 Phrases go by exact numbers, never by fingerprints: a phrase is the number of its first words
 and that of its last word, in 63 bits (an error says so if a corpus has more).
@@ -28,8 +30,10 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,31 +46,41 @@ from .common import drop_tables, persist_table, runs, shared_dir, ship
 from .words import mix
 
 #: Words of a task's open shards together, the largest of which is closed then; and words for each of which there is a bucket.
-SHARD_WORDS, BUCKET_WORDS = 1_000_000, 250_000
+SHARD_WORDS, BUCKET_WORDS = 1_000_000, 2_000_000
+#: Destinations that are sent to directly, and entries that a lane gathers at a time.
+LANES, GATHERED = 512, 2_000_000
 _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BREAK = b"."  # no word holds it
 
-#: What a step writes, by kind: a shard's lists, its packed lengths by bucket, phrases that are written out.
-_SHAPE = "kind string, shard bigint, lang string, bucket bigint, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
-_NAMES = [c.split()[0] for c in _SHAPE.split(", ")]
+#: What a step writes, by kind: a shard's lists (to is the shard), lengths of its phrases (to is the bucket or its lane), phrases that are written out.
 _FIELDS = pa.schema([
-    ("kind", pa.string()), ("shard", pa.int64()), ("lang", pa.string()), ("bucket", pa.int64()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
+    ("kind", pa.string()), ("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
     ("phrase", pa.string()), ("a", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64())), ("inside", pa.list_(pa.int64())),
 ])
-#: A frequent phrase's totals on their way back to a shard.
-_BACK = "shard bigint, bucket bigint, frequent bigint, data binary"
+_SHAPE = "kind string, to bigint, lang string, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
+#: Packed entries on their way.
+_SENT = "to bigint, lang string, data binary, top bigint"
+_SENT_FIELDS = pa.schema([("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("top", pa.int64())])
 
 
-def _row(**values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({f.name: pa.array(values[f.name] if f.name in values else [None] * len(values["kind"]), f.type) for f in _FIELDS}, _FIELDS)
+def _rows(n: int, **values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in _FIELDS], schema=_FIELDS)
 
 
 def pack(**arrays: np.ndarray | bytes) -> bytes:
     """Arrays of whole numbers and bytes as one compressed value; numbers as differences, which are small in sorted lists."""
-    parts = {k: v if isinstance(v, bytes) else np.diff(v, prepend=v.dtype.type(0)) for k, v in arrays.items()}
-    head = ";".join(f"{k}:{'b' if isinstance(v, bytes) else v.dtype.str}:{len(v) if isinstance(v, bytes) else v.nbytes}" for k, v in parts.items())
-    plain = b"".join([head.encode(), b"\n", *(v if isinstance(v, bytes) else v.tobytes() for v in parts.values())])
+    head, parts = [], []
+    for name, v in arrays.items():
+        if not isinstance(v, bytes):
+            kind, d = v.dtype.str, v.copy()
+            d[1:] -= v[:-1]
+            v = d.tobytes()
+        else:
+            kind = "b"
+        head.append(f"{name}:{kind}:{len(v)}")
+        parts.append(v)
+    plain = b"".join([";".join(head).encode(), b"\n", *parts])
     return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
 
@@ -82,6 +96,75 @@ def unpack(value: bytes) -> dict:
     return out
 
 
+def packed_words(words: np.ndarray) -> bytes:
+    return b" ".join(words.tolist())
+
+
+def joined(parts: list[dict]) -> dict:
+    """The same columns of several packed values, one after another; words as an array of bytes."""
+    out = {}
+    for name in parts[0]:
+        values = [np.array(p[name].split(b" "), object) if isinstance(p[name], bytes) else p[name] for p in parts]
+        out[name] = values[0] if len(values) == 1 else np.concatenate(values)
+    return out
+
+
+def word_buckets(d: dict, buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, d["words"]), np.int64, len(d["words"])) % buckets
+
+
+def phrase_buckets(d: dict, buckets: int) -> np.ndarray:
+    return (mix(d["keys"]) % np.uint64(buckets)).astype(np.int64)
+
+
+def shards_of(d: dict, _: int) -> np.ndarray:
+    return d["shards"]
+
+
+def lanes(to: np.ndarray, lanes: int) -> np.ndarray:
+    """The first stop of entries for many destinations."""
+    return to if not lanes else (mix(to) % np.uint64(lanes)).astype(np.int64)
+
+
+def split(to: np.ndarray, d: dict) -> tuple[list[int], list[bytes]]:
+    """Destinations and the packed columns of the entries for each, in the order given."""
+    if not len(to):
+        return [], []
+    order = np.argsort(to, kind="stable")
+    starts = np.flatnonzero(np.diff(to[order], prepend=to[order[0]] - 1))
+    d = {k: v[order] for k, v in d.items()}
+    ends = [*starts[1:].tolist(), len(order)]
+    return to[order[starts]].tolist(), [pack(**{k: packed_words(v[a:b]) if v.dtype == object else v[a:b] for k, v in d.items()}) for a, b in zip(starts.tolist(), ends, strict=True)]
+
+
+def _top(d: dict) -> int:
+    """What all numbers of phrases in packed entries are below."""
+    return int(d["ids"].max(initial=-1)) + 1 if "ids" in d else 0
+
+
+def relay(batches: Iterator[pa.RecordBatch], destination, n: int) -> Iterator[pa.RecordBatch]:
+    """What lanes do: gather entries of many senders, and cut them by their own destinations."""
+    held: dict[str | None, list[dict]] = {}
+    count = 0
+
+    def send() -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            d = joined(parts)
+            to, data = split(destination(d, n), d)
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([lang] * len(to), pa.string()), pa.array(data, pa.binary()), pa.array([_top(d)] * len(to), pa.int64())], schema=_SENT_FIELDS)
+        held.clear()
+
+    for batch in batches:
+        for lang, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            d = unpack(data)
+            held.setdefault(lang, []).append(d)
+            count += len(d["shards"])
+            if count >= GATHERED:
+                yield from send()
+                count = 0
+    yield from send()
+
+
 def pieces(text: bytes) -> list[bytes]:
     """The text's words in lower case (A-Z), with a mark where a piece ends."""
     return _CUT.sub(b" . ", text).translate(_LOWER).split()
@@ -107,36 +190,25 @@ def merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hit, at[hit]
 
 
-def _by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """The columns' parts by bucket, each in the order given."""
-    order = np.argsort(bucket, kind="stable")
-    starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    if not len(order):
-        return
-    for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
-        yield int(bucket[order[a]]), [c[order[a:b]] for c in columns]
-
-
-def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, stops: int) -> Iterator[pa.RecordBatch]:
     """Shards of a task's texts: rows of lists, and of word lengths by bucket."""
     held: dict[str, tuple[dict, list]] = {}
     sizes: dict[str, int] = {}
-    count, task = 0, TaskContext.get().partitionId()
+    shards, task = 0, TaskContext.get().partitionId()
 
     def close(lang: str) -> Iterator[pa.RecordBatch]:
-        nonlocal count
+        nonlocal shards
         (known, parts), _ = held.pop(lang), sizes.pop(lang)
-        names, words = np.concatenate(parts), list(known)
-        names, words = names - 1, words[1:]  # the break has name 0
+        names, words = np.concatenate(parts) - 1, np.array(list(known)[1:], object)  # the break has name 0
         positions, lengths = invert(names, len(words))
         if not len(positions):
             return
-        shard = task << 32 | count
-        count += 1
-        yield _row(kind=["lists"], shard=[shard], lang=[lang], data=[pack(words=b" ".join(words), lengths=lengths, positions=positions)], words=[len(positions)])
-        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
-        for k, (name, word, n) in _by_bucket(bucket, np.arange(len(words), dtype=np.int32), np.array(words, object), lengths):
-            yield _row(kind=["lengths"], shard=[shard], lang=[lang], bucket=[k], data=[pack(keys=name, words=b" ".join(word.tolist()), lengths=n)])
+        shard = task << 32 | shards
+        shards += 1
+        yield _rows(1, kind=["lists"], to=[shard], lang=[lang], data=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
+        d = {"names": np.arange(len(words)), "words": words, "lengths": lengths, "shards": np.full(len(words), shard)}
+        to, data = split(lanes(word_buckets(d, buckets), stops), d)
+        yield _rows(len(to), kind=["lengths"] * len(to), to=to, lang=[lang] * len(to), data=data)
 
     for batch in batches:
         for part in runs(batch, 1):
@@ -144,9 +216,10 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int) ->
                 if not text:
                     continue
                 words = pieces(text)
-                known, parts = held.setdefault(lang, ({_BREAK: 0}, []))
-                new = known.setdefault
-                parts.append(np.array([new(w, len(known)) for w in words] + [0], np.int32))
+                if lang not in held:
+                    held[lang] = defaultdict(count(1).__next__, {_BREAK: 0}), []
+                known, parts = held[lang]
+                parts.append(np.fromiter(map(known.__getitem__, [*words, _BREAK]), np.int32, len(words) + 1))
                 sizes[lang] = sizes.get(lang, 0) + len(words) + 1
                 if sum(sizes.values()) >= shard_words:
                     yield from close(max(sizes, key=sizes.get))
@@ -154,57 +227,48 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int) ->
         yield from close(key)
 
 
-def count_words(group: pa.Table, least: int) -> pa.Table:
-    """The frequent words of a bucket for each shard that has them: own name, number within the bucket, total, whether it writes them out."""
+def count_words(group: pa.Table) -> tuple[dict, np.ndarray, int]:
     known: dict[tuple, int] = {}
-    rows = [(shard, lang, unpack(data)) for shard, lang, data in zip(*(group.column(c).to_pylist() for c in ("shard", "lang", "data")), strict=True)]
-    of = [np.array([known.setdefault((lang, w), len(known)) for w in d["words"].split(b" ")], np.int64) for _, lang, d in rows]
-    return _answer([r[0] for r in rows], [r[2]["keys"] for r in rows], of, [r[2]["lengths"] for r in rows], len(known), least, group.column("bucket")[0].as_py())
+    parts, of = [], []
+    for lang, data in zip(group.column("lang").to_pylist(), group.column("data").to_pylist(), strict=True):
+        d = unpack(data)
+        of.append(np.array([known.setdefault((lang, w), len(known)) for w in d.pop("words").split(b" ")], np.int64))
+        d["keys"] = d.pop("names")
+        parts.append(d)
+    return joined(parts), np.concatenate(of), len(known)
 
 
-def count_phrases(group: pa.Table, least: int) -> pa.Table:
-    """As ``count_words`` for phrases, which go by their packed numbers."""
-    rows = [(shard, unpack(data)) for shard, data in zip(group.column("shard").to_pylist(), group.column("data").to_pylist(), strict=True)]
-    keys = [d["keys"] for _, d in rows]
-    known, of = np.unique(np.concatenate(keys), return_inverse=True)
-    return _answer([s for s, _ in rows], keys, np.split(of, np.cumsum([len(k) for k in keys])[:-1]), [d["lengths"] for _, d in rows], len(known), least, group.column("bucket")[0].as_py())
+def count_phrases(group: pa.Table) -> tuple[dict, np.ndarray, int]:
+    d = joined([unpack(data) for data in group.column("data").to_pylist()])
+    known, of = np.unique(d["keys"], return_inverse=True)
+    return d, of, len(known)
 
 
-def _answer(shards: list[int], keys: list, of: list, lengths: list, n: int, least: int, bucket: int) -> pa.Table:
+def answers(group: pa.Table, counted, least: int, buckets: int, stops: int) -> pa.Table:
+    """The frequent phrases of a bucket for each shard that has them: the shard's own key, the phrase's number, its total, and whether the shard writes it out."""
+    d, of, n = counted(group)
     total, writer = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max)
-    for shard, row, size in zip(shards, of, lengths, strict=True):
-        total[row] += size  # a shard names a phrase once
-        writer[row] = np.minimum(writer[row], shard)
-    number = np.cumsum(total >= least) - 1
-    out = []
-    for shard, key, row in zip(shards, keys, of, strict=True):
-        kept = total[row] >= least
-        if kept.any():
-            row, key = row[kept], key[kept]
-            out.append((shard, pack(keys=key, numbers=number[row], totals=total[row], own=(writer[row] == shard).astype(np.uint8))))
-    schema = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("frequent", pa.int64()), ("data", pa.binary())])
-    return pa.table([[s for s, _ in out], [bucket] * len(out), [int(number[-1]) + 1 if n else 0] * len(out), [d for _, d in out]], schema=schema)
-
+    np.add.at(total, of, d["lengths"])
+    np.minimum.at(writer, of, d["shards"])
+    number = (np.cumsum(total >= least) - 1) * buckets + group.column("to")[0].as_py()
+    kept = total[of] >= least
+    of, shards = of[kept], d["shards"][kept]
+    back = {"keys": d["keys"][kept], "ids": number[of], "totals": total[of], "own": (writer[of] == shards).astype(np.int8), "shards": shards}
+    to, data = split(lanes(shards, stops), back)
+    return pa.table([to, [None] * len(to), data, [_top(back)] * len(to)], schema=_SENT_FIELDS)
 
-def _received(answers: pa.Table, stride: int) -> tuple[np.ndarray, ...]:
-    """Keys, numbers over all buckets, totals and marks of own phrases, from all buckets of a shard, by key."""
-    parts = [unpack(d) for d in answers.column("data").to_pylist()]
-    keys = np.concatenate([p["keys"].astype(np.int64) for p in parts])
-    numbers = np.concatenate([b * stride + p["numbers"] for b, p in zip(answers.column("bucket").to_pylist(), parts, strict=True)])
-    order = np.argsort(keys)
-    return keys[order], numbers[order], *(np.concatenate([p[c] for p in parts])[order] for c in ("totals", "own"))
 
-
-def extend(level: int, stride: int, bits: int, buckets: int, longest: int, shard: pa.Table, answers: pa.Table) -> pa.Table:
+def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shard: pa.Table, answers: pa.Table) -> pa.Table:
     """A shard's next step: lists of its frequent phrases of ``level`` words, from those that the answers name.
 
     Writes its own phrases out, and the lengths of candidates one word longer, with the lists that these need.
     """
     if not len(shard) or not len(answers):
         return pa.Table.from_batches([], _FIELDS)
-    number, lang = shard.column("shard")[0].as_py(), shard.column("lang")[0].as_py()
-    d = unpack(shard.column("data")[0].as_py())
-    keys, ids, totals, own = _received(answers, stride)
+    number, lang = shard.column("to")[0].as_py(), shard.column("lang")[0].as_py()
+    d, back = unpack(shard.column("data")[0].as_py()), joined([unpack(x) for x in answers.column("data").to_pylist()])
+    order = np.argsort(back["keys"])
+    keys, ids, totals, own = (back[c][order] for c in ("keys", "ids", "totals", "own"))
     if level == 1:
         # only frequent words keep their lists: names become places among them
         words = d["words"].split(b" ")
@@ -229,11 +293,12 @@ def extend(level: int, stride: int, bits: int, buckets: int, longest: int, shard
         key, _ = _joined(lists, level + 1, bits)
         if len(key):
             unique, n = np.unique(key, return_counts=True)
-            for bucket, (k, size) in _by_bucket((mix(unique) % np.uint64(buckets)).astype(np.int64), unique, n):
-                out.append(_row(kind=["lengths"], shard=[number], bucket=[bucket], data=[pack(keys=k, lengths=size)]))
+            sent = {"keys": unique, "lengths": n, "shards": np.full(len(unique), number)}
+            to, data = split(lanes(phrase_buckets(sent, buckets), stops), sent)
+            out.append(_rows(len(to), kind=["lengths"] * len(to), to=to, data=data))
             kept = _needed(lists, level)
             data = {f"{c}{k}": v for k, columns in kept.items() for c, v in zip(("ids", "totals", "at", "of"), columns, strict=True)}
-            out.append(_row(kind=["lists"], shard=[number], lang=[lang], data=[pack(text=b" ".join(text.tolist()), **data)]))
+            out.append(_rows(1, kind=["lists"], to=[number], lang=[lang], data=[pack(text=packed_words(text), **data)]))
     return pa.Table.from_batches(out, _FIELDS)
 
 
@@ -286,7 +351,7 @@ def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: s
     inside = [np.stack([np.full(len(own), k), inner[k, s]], 1) for k in range(2, level) for s in range(level - k + 1)]
     inside = np.concatenate(inside, 1) if inside else np.zeros((len(own), 0), np.int64)
     n = len(own)
-    return _row(kind=["found"] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
+    return _rows(n, kind=["found"] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
 
 
 class _Table:
@@ -303,13 +368,19 @@ class _Table:
         return self.all.filter(F.col("kind") == kind)
 
 
-def _counted(table: DataFrame, count, least: int) -> tuple[DataFrame, int]:
-    """Answers for all shards, and by how much numbers of the next bucket begin later."""
-    answers = persist_table(table.select("bucket", "shard", "lang", "data").groupBy("bucket").applyInArrow(lambda group: count(group, least), _BACK), "answers")
-    return answers, answers.agg(F.coalesce(F.max("frequent"), F.lit(0))).first()[0]
+def _delivered(rows: DataFrame, stops: int, destination, n: int) -> DataFrame:
+    """Packed entries at their destinations, by way of lanes if there are ``stops``."""
+    return rows.repartition("to").mapInArrow(partial(relay, destination=destination, n=n), _SENT) if stops else rows
+
+
+def _answering(*known):
+    """``answers`` as a function of one table alone."""
+    return lambda group: answers(group, *known)
 
 
-def mine(docs: DataFrame, least: int = 30, longest: int = 4, lang_col: str = "lang", text_col: str = "text", shard_words: int = SHARD_WORDS, bucket_words: int = BUCKET_WORDS) -> tuple[DataFrame, DataFrame]:
+def mine(
+    docs: DataFrame, least: int = 30, longest: int = 4, lang_col: str = "lang", text_col: str = "text", shard_words: int = SHARD_WORDS, bucket_words: int = BUCKET_WORDS, direct: int = LANES
+) -> tuple[DataFrame, DataFrame]:
     """Two tables: lang, level (words), id, phrase, a (occurrences), l and r (occurrences of the first and the last part at each cut) and inside (level and id
     of each frequent phrase of two words or more in it) for every phrase of 2 to ``longest`` words that occurs ``least`` times in its language; and lang and n, all words.
 
@@ -320,24 +391,27 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, lang_col: str = "la
     cut = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     # about six bytes a word
     buckets = max(8, int(cut.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]) // (6 * bucket_words))
-    step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets), _SHAPE))
+    outward = direct if buckets > direct else 0
+    step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets, stops=outward), _SHAPE))
     totals = persist_table(step.of("lists").groupBy("lang").agg(F.sum("words").alias("n")), "totals")
-    answers, stride = _counted(step.of("lengths"), count_words, least)
-    bits = max(1, int(buckets * stride).bit_length())
-    found = None
+    homeward = direct if step.of("lists").count() > direct else 0
+    found, bits = None, 0
     for level in range(1, longest + 1):
-        if level < longest and int(buckets * stride).bit_length() + bits > 63:
+        counted, hashed = (count_words, word_buckets) if level == 1 else (count_phrases, phrase_buckets)
+        sent = _delivered(step.of("lengths").select("to", "lang", "data", F.lit(0).cast("bigint").alias("top")), outward, hashed, buckets)
+        told = sent.groupBy("to").applyInArrow(_answering(counted, least, buckets, homeward), _SENT)
+        told = persist_table(_delivered(told, homeward, shards_of, 0), "answers")
+        width = int(told.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]).bit_length()
+        bits = bits or max(1, width)
+        if level < longest and width + bits > 63:
             raise ValueError("more frequent phrases than 63 bits number: raise least")
-        grown = step.of("lists").select("shard", "lang", "data").groupBy("shard").cogroup(answers.select("shard", "bucket", "data").groupBy("shard"))
-        grown = _Table(grown.applyInArrow(_extension(level, stride, bits, buckets, longest), _SHAPE))
-        drop_tables(step.all, answers)
+        grown = step.of("lists").select("to", "lang", "data").groupBy("to").cogroup(told.select("to", "data").groupBy("to"))
+        grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE))
+        drop_tables(step.all, told)
         step = grown
-        rows = step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside")
         if level > 1:
-            kept = persist_table(rows, "phrases")
+            kept = persist_table(step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside"), "phrases")
             found = kept if found is None else found.union(kept)
-        if level < longest:
-            answers, stride = _counted(step.of("lengths"), count_phrases, least)
     drop_tables(step.all)
     return found, totals
 
