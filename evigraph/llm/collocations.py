@@ -53,12 +53,12 @@ _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BREAK = b"."  # no word holds it
 
-#: What a step writes, by kind: a shard's lists (to is the shard), lengths of its phrases (to is the bucket or its lane), phrases that are written out.
+#: What a step writes for a shard (home), by kind: its lists, lengths of its phrases (to is the bucket or its lane), phrases that are written out.
 _FIELDS = pa.schema([
-    ("kind", pa.string()), ("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
+    ("kind", pa.string()), ("home", pa.int64()), ("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
     ("phrase", pa.string()), ("a", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64())), ("inside", pa.list_(pa.int64())),
 ])
-_SHAPE = "kind string, to bigint, lang string, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
+_SHAPE = "kind string, home bigint, to bigint, lang string, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
 #: Packed entries on their way.
 _SENT = "to bigint, lang string, data binary, top bigint"
 _SENT_FIELDS = pa.schema([("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("top", pa.int64())])
@@ -69,15 +69,15 @@ def _rows(n: int, **values) -> pa.RecordBatch:
 
 
 def pack(**arrays: np.ndarray | bytes) -> bytes:
-    """Arrays of whole numbers and bytes as one compressed value; numbers as differences, which are small in sorted lists."""
+    """Arrays of whole numbers and bytes as one compressed value. Numbers are laid out by their bytes, of which the higher ones are mostly alike; ascending ones as differences."""
     head, parts = [], []
     for name, v in arrays.items():
+        kind = "b"
         if not isinstance(v, bytes):
-            kind, d = v.dtype.str, v.copy()
-            d[1:] -= v[:-1]
-            v = d.tobytes()
-        else:
-            kind = "b"
+            kind = v.dtype.str
+            if len(v) > 1 and (np.diff(v) >= 0).all() or name == "positions":
+                kind, v = kind + "+", np.diff(v, prepend=v.dtype.type(0))
+            v = v.view(np.uint8).reshape(len(v), v.dtype.itemsize).T.tobytes()
         head.append(f"{name}:{kind}:{len(v)}")
         parts.append(v)
     plain = b"".join([";".join(head).encode(), b"\n", *parts])
@@ -91,8 +91,13 @@ def unpack(value: bytes) -> dict:
     for field in value[: at - 1].decode().split(";"):
         name, kind, size = field.split(":")
         part = value[at : at + int(size)]
-        out[name] = part if kind == "b" else np.cumsum(np.frombuffer(part, kind), dtype=kind)
         at += int(size)
+        if kind == "b":
+            out[name] = part
+            continue
+        dtype = np.dtype(kind.rstrip("+"))
+        v = np.ascontiguousarray(np.frombuffer(part, np.uint8).reshape(dtype.itemsize, -1).T).view(dtype).ravel()
+        out[name] = np.cumsum(v, dtype=dtype) if kind[-1] == "+" else v
     return out
 
 
@@ -205,10 +210,10 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, sto
             return
         shard = task << 32 | shards
         shards += 1
-        yield _rows(1, kind=["lists"], to=[shard], lang=[lang], data=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
+        yield _rows(1, kind=["lists"], home=[shard], lang=[lang], data=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
         d = {"names": np.arange(len(words)), "words": words, "lengths": lengths, "shards": np.full(len(words), shard)}
         to, data = split(lanes(word_buckets(d, buckets), stops), d)
-        yield _rows(len(to), kind=["lengths"] * len(to), to=to, lang=[lang] * len(to), data=data)
+        yield _rows(len(to), kind=["lengths"] * len(to), home=[shard] * len(to), to=to, lang=[lang] * len(to), data=data)
 
     for batch in batches:
         for part in runs(batch, 1):
@@ -265,9 +270,10 @@ def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shard:
     """
     if not len(shard) or not len(answers):
         return pa.Table.from_batches([], _FIELDS)
-    number, lang = shard.column("to")[0].as_py(), shard.column("lang")[0].as_py()
+    number, lang = shard.column("home")[0].as_py(), shard.column("lang")[0].as_py()
     d, back = unpack(shard.column("data")[0].as_py()), joined([unpack(x) for x in answers.column("data").to_pylist()])
-    order = np.argsort(back["keys"])
+    # frequent phrases first: their places are small numbers
+    order = np.lexsort((back["keys"], -back["totals"]))
     keys, ids, totals, own = (back[c][order] for c in ("keys", "ids", "totals", "own"))
     if level == 1:
         # only frequent words keep their lists: names become places among them
@@ -275,30 +281,32 @@ def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shard:
         new = np.full(len(words), -1)
         new[keys] = np.arange(len(keys))
         named = np.repeat(new, d["lengths"])
-        at = d["positions"][named >= 0]
-        lists = {1: (ids, totals, *by_position(at, np.bincount(named[named >= 0], minlength=len(keys))))}
+        kept = named >= 0
+        order = np.argsort(d["positions"][kept], kind="stable")
+        lists = {1: (ids, totals, d["positions"][kept][order], named[kept][order].astype(np.int32), own)}
         text = np.array(words, object)[keys]
     else:
         text = np.array(d["text"].split(b" "), object)
-        lists = {k: (d[f"ids{k}"], d[f"totals{k}"], d[f"at{k}"], d[f"of{k}"]) for k in range(1, level)}
-        candidate = _joined(lists, level, bits)
-        place = np.searchsorted(keys, candidate[0])
-        place[place == len(keys)] = 0
-        hit = keys[place] == candidate[0]
-        lists[level] = (ids, totals, candidate[1][hit], place[hit])
+        lists = {k: (d[f"ids{k}"], d[f"totals{k}"], d[f"at{k}"], d[f"of{k}"], None) for k in range(1, level)}
+        candidate, at = _joined(lists, level, bits)
+        order = np.argsort(keys)
+        place = np.searchsorted(keys, candidate, sorter=order)
+        place = order[np.where(place == len(keys), 0, place)]
+        hit = keys[place] == candidate
+        lists[level] = (ids, totals, at[hit], place[hit].astype(np.int32), own)
     out = []
     if level > 1 and own.any():
-        out.append(_written(lists, level, np.flatnonzero(own), text, lang))
+        out.append(_written(lists, level, np.flatnonzero(lists[level][4]), text, lang, number))
     if level < longest and len(lists[level][2]):
         key, _ = _joined(lists, level + 1, bits)
         if len(key):
             unique, n = np.unique(key, return_counts=True)
             sent = {"keys": unique, "lengths": n, "shards": np.full(len(unique), number)}
             to, data = split(lanes(phrase_buckets(sent, buckets), stops), sent)
-            out.append(_rows(len(to), kind=["lengths"] * len(to), to=to, data=data))
+            out.append(_rows(len(to), kind=["lengths"] * len(to), home=[number] * len(to), to=to, data=data))
             kept = _needed(lists, level)
             data = {f"{c}{k}": v for k, columns in kept.items() for c, v in zip(("ids", "totals", "at", "of"), columns, strict=True)}
-            out.append(_rows(1, kind=["lists"], to=[number], lang=[lang], data=[pack(text=packed_words(text), **data)]))
+            out.append(_rows(1, kind=["lists"], home=[number], lang=[lang], data=[pack(text=packed_words(text), **data)]))
     return pa.Table.from_batches(out, _FIELDS)
 
 
@@ -309,9 +317,9 @@ def _extension(*known: int):
 
 def _joined(lists: dict, level: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and positions of the candidates of ``level`` words: a frequent phrase one word shorter, the posting of its next word, and one that starts a word later."""
-    ids, _, at, of = lists[level - 1]
+    ids, _, at, of, _ = lists[level - 1]
     a, b = merge_join(at, at - 1)  # the phrase at a position, and the one a word later
-    word_ids, _, word_at, word_of = lists[1]
+    word_ids, _, word_at, word_of, _ = lists[1]
     if level == 2:
         last = of[b]
     else:
@@ -324,7 +332,7 @@ def _needed(lists: dict, level: int) -> dict:
     """The lists without positions that no longer phrase can use: those outside occurrences of the frequent phrases of ``level`` words."""
     start = lists[level][2]
     out = {}
-    for k, (ids, totals, at, of) in lists.items():
+    for k, (ids, totals, at, of, _) in lists.items():
         before = np.searchsorted(start, at, "right") - 1  # the last occurrence that begins at or before
         kept = (before >= 0) & (at + k <= start[np.maximum(before, 0)] + level) if k < level else np.ones(len(at), bool)
         # an earlier occurrence ends earlier, so the last one decides
@@ -332,14 +340,14 @@ def _needed(lists: dict, level: int) -> dict:
     return out
 
 
-def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str) -> pa.RecordBatch:
+def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str, shard: int) -> pa.RecordBatch:
     """One row for each own phrase, read off one of its occurrences: its words, its parts' totals, and the phrases inside it."""
-    ids, totals, at, of = lists[level]
+    ids, totals, at, of, _ = lists[level]
     first = np.zeros(len(ids), np.int64)
     first[of[::-1]] = at[::-1]
     start = first[own]
     word, value, inner = {}, {}, {}
-    for k, (k_ids, k_totals, k_at, k_of) in lists.items():
+    for k, (k_ids, k_totals, k_at, k_of, _) in lists.items():
         for shift in range(level - k + 1):
             place = k_of[np.searchsorted(k_at, start + shift)]
             value[k, shift], inner[k, shift] = k_totals[place], k_ids[place]
@@ -351,22 +359,27 @@ def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: s
     inside = [np.stack([np.full(len(own), k), inner[k, s]], 1) for k in range(2, level) for s in range(level - k + 1)]
     inside = np.concatenate(inside, 1) if inside else np.zeros((len(own), 0), np.int64)
     n = len(own)
-    return _rows(n, kind=["found"] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
+    return _rows(n, kind=["found"] * n, home=[shard] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
 
 
 class _Table:
-    """A step's rows in the shared folder, in one folder for each kind."""
+    """A step's rows in the shared folder, bucketed by shard, so that lists are not shuffled again."""
 
-    def __init__(self, rows: DataFrame):
-        spark: SparkSession = rows.sparkSession
-        self.at = f"{shared_dir(spark)}/collocations-{uuid.uuid4().hex}"
-        rows.write.partitionBy("kind").parquet(self.at)
-        self.all = spark.read.schema(_SHAPE).parquet(self.at)
-        self.all._shared_path = self.at
+    def __init__(self, rows: DataFrame, buckets: int):
+        self.spark: SparkSession = rows.sparkSession
+        self.name = f"collocations_{uuid.uuid4().hex}"
+        at = f"{shared_dir(self.spark)}/{self.name}"
+        rows.write.partitionBy("kind").bucketBy(buckets, "home").option("path", at).saveAsTable(self.name)
+        self.all = self.spark.table(self.name)
+        self.all._shared_path = at
 
     def of(self, kind: str) -> DataFrame:
         return self.all.filter(F.col("kind") == kind)
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        drop_tables(self.all)
+
 
 def _delivered(rows: DataFrame, stops: int, destination, n: int) -> DataFrame:
     """Packed entries at their destinations, by way of lanes if there are ``stops``."""
@@ -390,9 +403,12 @@ def mine(
     ship(spark)
     cut = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     # about six bytes a word
-    buckets = max(8, int(cut.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]) // (6 * bucket_words))
+    words = int(cut.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]) // 6
+    buckets = max(8, words // bucket_words)
     outward = direct if buckets > direct else 0
-    step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets, stops=outward), _SHAPE))
+    # tasks that hold shards: a setting of Spark bounds how many a table may have
+    folders = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // (16 * shard_words)))
+    step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets, stops=outward), _SHAPE), folders)
     totals = persist_table(step.of("lists").groupBy("lang").agg(F.sum("words").alias("n")), "totals")
     homeward = direct if step.of("lists").count() > direct else 0
     found, bits = None, 0
@@ -405,14 +421,15 @@ def mine(
         bits = bits or max(1, width)
         if level < longest and width + bits > 63:
             raise ValueError("more frequent phrases than 63 bits number: raise least")
-        grown = step.of("lists").select("to", "lang", "data").groupBy("to").cogroup(told.select("to", "data").groupBy("to"))
-        grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE))
-        drop_tables(step.all, told)
+        grown = step.of("lists").select("home", "lang", "data").groupBy("home").cogroup(told.select(F.col("to").alias("home"), "data").groupBy("home"))
+        grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE), folders)
+        step.drop()
+        drop_tables(told)
         step = grown
         if level > 1:
             kept = persist_table(step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside"), "phrases")
             found = kept if found is None else found.union(kept)
-    drop_tables(step.all)
+    step.drop()
     return found, totals
 
 

@@ -46,7 +46,7 @@ def texts(seed=1, n=250):
 def test_against_brute_force(spark):
     rows = texts()
     df = spark.createDataFrame([(lang, t) for lang, t in rows], "lang string, text string").repartition(5)
-    for options, sizes in (({}, {}), ({"least": 3}, {"shard_words": 300, "bucket_words": 200, "direct": 3}), ({"least": 2, "longest": 3, "absorbed": 50, "top": 7}, {"shard_words": 1})):
+    for options, sizes in (({}, {}), ({"least": 3}, {"shard_words": 300, "bucket_words": 200, "direct": 3}), ({"least": 2, "longest": 3, "absorbed": 50, "top": 7}, {"shard_words": 40})):
         got = sorted(tuple(r) for r in co.collocations(df, **options, **sizes).collect())
         assert got == brute(rows, **options)
         assert len(got) > 10
