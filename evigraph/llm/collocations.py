@@ -369,7 +369,8 @@ class _Table:
         self.spark: SparkSession = rows.sparkSession
         self.name = f"collocations_{uuid.uuid4().hex}"
         at = f"{shared_dir(self.spark)}/{self.name}"
-        rows.write.partitionBy("kind").bucketBy(buckets, "home").option("path", at).saveAsTable(self.name)
+        # what is packed is compressed already, and compressors of many files hold memory outside the heap
+        rows.write.partitionBy("kind").bucketBy(buckets, "home").option("path", at).option("compression", "uncompressed").saveAsTable(self.name)
         self.all = self.spark.table(self.name)
         self.all._shared_path = at
 
