@@ -53,12 +53,15 @@ _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BREAK = b"."  # no word holds it
 
-#: What a step writes for a shard (home), by kind: its lists, lengths of its phrases (to is the bucket or its lane), phrases that are written out.
+#: Shards in a row that are kept together, so that a task writes few files.
+TOGETHER = 8
+
+#: What a step writes, by kind: a shard's lists (to is the shard), lengths of its phrases (to is the bucket or its lane), phrases that are written out.
 _FIELDS = pa.schema([
-    ("kind", pa.string()), ("home", pa.int64()), ("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
+    ("kind", pa.string()), ("home", pa.int64()), ("to", pa.int64()), ("lang", pa.string()), ("lists", pa.binary()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
     ("phrase", pa.string()), ("a", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64())), ("inside", pa.list_(pa.int64())),
 ])
-_SHAPE = "kind string, home bigint, to bigint, lang string, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
+_SHAPE = "kind string, home bigint, to bigint, lang string, lists binary, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
 #: Packed entries on their way.
 _SENT = "to bigint, lang string, data binary, top bigint"
 _SENT_FIELDS = pa.schema([("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("top", pa.int64())])
@@ -210,10 +213,11 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, sto
             return
         shard = task << 32 | shards
         shards += 1
-        yield _rows(1, kind=["lists"], home=[shard], lang=[lang], data=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
+        home = shard - shard % TOGETHER
+        yield _rows(1, kind=["lists"], home=[home], to=[shard], lang=[lang], lists=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
         d = {"names": np.arange(len(words)), "words": words, "lengths": lengths, "shards": np.full(len(words), shard)}
         to, data = split(lanes(word_buckets(d, buckets), stops), d)
-        yield _rows(len(to), kind=["lengths"] * len(to), home=[shard] * len(to), to=to, lang=[lang] * len(to), data=data)
+        yield _rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, lang=[lang] * len(to), data=data)
 
     for batch in batches:
         for part in runs(batch, 1):
@@ -263,15 +267,24 @@ def answers(group: pa.Table, counted, least: int, buckets: int, stops: int) -> p
     return pa.table([to, [None] * len(to), data, [_top(back)] * len(to)], schema=_SENT_FIELDS)
 
 
-def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shard: pa.Table, answers: pa.Table) -> pa.Table:
+def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
+    """The next step of shards that are kept together."""
+    back: dict[int, list[dict]] = {}
+    for to, data in zip(answers.column("to").to_pylist(), answers.column("data").to_pylist(), strict=True):
+        back.setdefault(to, []).append(unpack(data))
+    out = []
+    for at in range(len(shards)):
+        home, number, lang, lists = (shards.column(c)[at].as_py() for c in ("home", "to", "lang", "lists"))
+        if number in back:
+            out += extended(level, bits, buckets, stops, longest, home, number, lang, unpack(lists), joined(back.pop(number)))
+    return pa.Table.from_batches(out, _FIELDS)
+
+
+def extended(level: int, bits: int, buckets: int, stops: int, longest: int, home: int, number: int, lang: str, d: dict, back: dict) -> list[pa.RecordBatch]:
     """A shard's next step: lists of its frequent phrases of ``level`` words, from those that the answers name.
 
     Writes its own phrases out, and the lengths of candidates one word longer, with the lists that these need.
     """
-    if not len(shard) or not len(answers):
-        return pa.Table.from_batches([], _FIELDS)
-    number, lang = shard.column("home")[0].as_py(), shard.column("lang")[0].as_py()
-    d, back = unpack(shard.column("data")[0].as_py()), joined([unpack(x) for x in answers.column("data").to_pylist()])
     # frequent phrases first: their places are small numbers
     order = np.lexsort((back["keys"], -back["totals"]))
     keys, ids, totals, own = (back[c][order] for c in ("keys", "ids", "totals", "own"))
@@ -296,23 +309,23 @@ def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shard:
         lists[level] = (ids, totals, at[hit], place[hit].astype(np.int32), own)
     out = []
     if level > 1 and own.any():
-        out.append(_written(lists, level, np.flatnonzero(lists[level][4]), text, lang, number))
+        out.append(_written(lists, level, np.flatnonzero(lists[level][4]), text, lang, home))
     if level < longest and len(lists[level][2]):
         key, _ = _joined(lists, level + 1, bits)
         if len(key):
             unique, n = np.unique(key, return_counts=True)
             sent = {"keys": unique, "lengths": n, "shards": np.full(len(unique), number)}
             to, data = split(lanes(phrase_buckets(sent, buckets), stops), sent)
-            out.append(_rows(len(to), kind=["lengths"] * len(to), home=[number] * len(to), to=to, data=data))
+            out.append(_rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, data=data))
             kept = _needed(lists, level)
             data = {f"{c}{k}": v for k, columns in kept.items() for c, v in zip(("ids", "totals", "at", "of"), columns, strict=True)}
-            out.append(_rows(1, kind=["lists"], home=[number], lang=[lang], data=[pack(text=packed_words(text), **data)]))
-    return pa.Table.from_batches(out, _FIELDS)
+            out.append(_rows(1, kind=["lists"], home=[home], to=[number], lang=[lang], lists=[pack(text=packed_words(text), **data)]))
+    return out
 
 
 def _extension(*known: int):
     """``extend`` as a function of two tables alone."""
-    return lambda shard, answers: extend(*known, shard, answers)
+    return lambda shards, answers: extend(*known, shards, answers)
 
 
 def _joined(lists: dict, level: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,7 +353,7 @@ def _needed(lists: dict, level: int) -> dict:
     return out
 
 
-def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str, shard: int) -> pa.RecordBatch:
+def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str, home: int) -> pa.RecordBatch:
     """One row for each own phrase, read off one of its occurrences: its words, its parts' totals, and the phrases inside it."""
     ids, totals, at, of, _ = lists[level]
     first = np.zeros(len(ids), np.int64)
@@ -359,18 +372,18 @@ def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: s
     inside = [np.stack([np.full(len(own), k), inner[k, s]], 1) for k in range(2, level) for s in range(level - k + 1)]
     inside = np.concatenate(inside, 1) if inside else np.zeros((len(own), 0), np.int64)
     n = len(own)
-    return _rows(n, kind=["found"] * n, home=[shard] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
+    return _rows(n, kind=["found"] * n, home=[home] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
 
 
 class _Table:
-    """A step's rows in the shared folder, bucketed by shard, so that lists are not shuffled again."""
+    """A step's rows in the shared folder, bucketed by home, so that lists are not shuffled again. Kinds have columns of their own, so a reader of one leaves the others."""
 
     def __init__(self, rows: DataFrame, buckets: int):
         self.spark: SparkSession = rows.sparkSession
         self.name = f"collocations_{uuid.uuid4().hex}"
         at = f"{shared_dir(self.spark)}/{self.name}"
         # what is packed is compressed already, and compressors of many files hold memory outside the heap
-        rows.write.partitionBy("kind").bucketBy(buckets, "home").option("path", at).option("compression", "uncompressed").saveAsTable(self.name)
+        rows.write.bucketBy(buckets, "home").option("path", at).option("compression", "uncompressed").saveAsTable(self.name)
         self.all = self.spark.table(self.name)
         self.all._shared_path = at
 
@@ -422,13 +435,13 @@ def mine(
         bits = bits or max(1, width)
         if level < longest and width + bits > 63:
             raise ValueError("more frequent phrases than 63 bits number: raise least")
-        grown = step.of("lists").select("home", "lang", "data").groupBy("home").cogroup(told.select(F.col("to").alias("home"), "data").groupBy("home"))
+        grown = step.of("lists").select("home", "to", "lang", "lists").groupBy("home").cogroup(told.select((F.col("to") - F.pmod("to", F.lit(TOGETHER))).alias("home"), "to", "data").groupBy("home"))
         grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE), folders)
         step.drop()
         drop_tables(told)
         step = grown
         if level > 1:
-            kept = persist_table(step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside"), "phrases")
+            kept = persist_table(step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside").coalesce(max(1, folders // 8)), "phrases")
             found = kept if found is None else found.union(kept)
     step.drop()
     return found, totals
