@@ -46,7 +46,7 @@ from .common import drop_tables, persist_table, runs, shared_dir, ship
 from .words import mix
 
 #: Words of a task's open shards together, the largest of which is closed then; and words for each of which there is a bucket.
-SHARD_WORDS, BUCKET_WORDS = 1_000_000, 2_000_000
+SHARD_WORDS, BUCKET_WORDS = 2_500_000, 2_000_000
 #: Destinations that are sent to directly, and entries that a lane gathers at a time.
 LANES, GATHERED = 512, 2_000_000
 _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
