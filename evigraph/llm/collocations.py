@@ -55,6 +55,8 @@ _BREAK = b"."  # no word holds it
 
 #: Shards in a row that are kept together, so that a task writes few files.
 TOGETHER = 8
+#: Bytes of a packed value that travel as one.
+PIECE = 200_000
 
 #: What a step writes, by kind: a shard's lists (to is the shard), lengths of its phrases (to is the bucket or its lane), phrases that are written out.
 _FIELDS = pa.schema([
@@ -71,6 +73,13 @@ def _rows(n: int, **values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in _FIELDS], schema=_FIELDS)
 
 
+def _lists(home: int, shard: int, lang: str, value: bytes, words: int = 0) -> pa.RecordBatch:
+    """Packed lists in pieces (level is their order), as large values are a burden to the JVM."""
+    cut = [value[at : at + PIECE] for at in range(0, len(value), PIECE)]
+    n = len(cut)
+    return _rows(n, kind=["lists"] * n, home=[home] * n, to=[shard] * n, lang=[lang] * n, level=list(range(n)), lists=cut, words=[words] + [0] * (n - 1))
+
+
 def pack(**arrays: np.ndarray | bytes) -> bytes:
     """Arrays of whole numbers and bytes as one compressed value. Numbers are laid out by their bytes, of which the higher ones are mostly alike; ascending ones as differences."""
     head, parts = [], []
@@ -214,7 +223,7 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, sto
         shard = task << 32 | shards
         shards += 1
         home = shard - shard % TOGETHER
-        yield _rows(1, kind=["lists"], home=[home], to=[shard], lang=[lang], lists=[pack(words=packed_words(words), lengths=lengths, positions=positions)], words=[len(positions)])
+        yield _lists(home, shard, lang, pack(words=packed_words(words), lengths=lengths, positions=positions), len(positions))
         d = {"names": np.arange(len(words)), "words": words, "lengths": lengths, "shards": np.full(len(words), shard)}
         to, data = split(lanes(word_buckets(d, buckets), stops), d)
         yield _rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, lang=[lang] * len(to), data=data)
@@ -272,11 +281,14 @@ def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shards
     back: dict[int, list[dict]] = {}
     for to, data in zip(answers.column("to").to_pylist(), answers.column("data").to_pylist(), strict=True):
         back.setdefault(to, []).append(unpack(data))
+    held: dict[tuple, dict[int, bytes]] = {}
+    for home, number, lang, k, piece in zip(*(shards.column(c).to_pylist() for c in ("home", "to", "lang", "level", "lists")), strict=True):
+        held.setdefault((home, number, lang), {})[k] = piece
     out = []
-    for at in range(len(shards)):
-        home, number, lang, lists = (shards.column(c)[at].as_py() for c in ("home", "to", "lang", "lists"))
+    for home, number, lang in list(held):
+        pieces_ = held.pop((home, number, lang))
         if number in back:
-            out += extended(level, bits, buckets, stops, longest, home, number, lang, unpack(lists), joined(back.pop(number)))
+            out += extended(level, bits, buckets, stops, longest, home, number, lang, unpack(b"".join(pieces_[k] for k in range(len(pieces_)))), joined(back.pop(number)))
     return pa.Table.from_batches(out, _FIELDS)
 
 
@@ -319,7 +331,7 @@ def extended(level: int, bits: int, buckets: int, stops: int, longest: int, home
             out.append(_rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, data=data))
             kept = _needed(lists, level)
             data = {f"{c}{k}": v for k, columns in kept.items() for c, v in zip(("ids", "totals", "at", "of"), columns, strict=True)}
-            out.append(_rows(1, kind=["lists"], home=[home], to=[number], lang=[lang], lists=[pack(text=packed_words(text), **data)]))
+            out.append(_lists(home, number, lang, pack(text=packed_words(text), **data)))
     return out
 
 
@@ -424,7 +436,7 @@ def mine(
     folders = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // (16 * shard_words)))
     step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets, stops=outward), _SHAPE), folders)
     totals = persist_table(step.of("lists").groupBy("lang").agg(F.sum("words").alias("n")), "totals")
-    homeward = direct if step.of("lists").count() > direct else 0
+    homeward = direct if step.of("lists").filter("level = 0").count() > direct else 0
     found, bits = None, 0
     for level in range(1, longest + 1):
         counted, hashed = (count_words, word_buckets) if level == 1 else (count_phrases, phrase_buckets)
@@ -435,7 +447,7 @@ def mine(
         bits = bits or max(1, width)
         if level < longest and width + bits > 63:
             raise ValueError("more frequent phrases than 63 bits number: raise least")
-        grown = step.of("lists").select("home", "to", "lang", "lists").groupBy("home").cogroup(told.select((F.col("to") - F.pmod("to", F.lit(TOGETHER))).alias("home"), "to", "data").groupBy("home"))
+        grown = step.of("lists").select("home", "to", "lang", "level", "lists").groupBy("home").cogroup(told.select((F.col("to") - F.pmod("to", F.lit(TOGETHER))).alias("home"), "to", "data").groupBy("home"))
         grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE), folders)
         step.drop()
         drop_tables(told)
