@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +9,9 @@ from ..functions.labels import similarity_tier
 from ..functions.vectors import cosine, l2_normalise
 from ..sources.sinks import Snapshots
 from .components import cut_lineage, weak_components
+from .metric import cosine_pairs
 from .numbering import numbered
+from .trees import depths, on_cycles
 
 
 def centroids(members: DataFrame, weight_col: str | None = None) -> DataFrame:
@@ -30,11 +30,15 @@ def centroids(members: DataFrame, weight_col: str | None = None) -> DataFrame:
 def merge_candidates(of: DataFrame, threshold: float = 0.85, cap: int | None = 1000) -> DataFrame:
     """Pairs of clusters with similar centroids, most similar first. ``cap`` is part of the report; None gives all.
 
-    Centroids are one row a cluster; pairs of them are what is asked for.
+    Above a threshold of 0 only clusters meet whose cells of centroids lie near enough; at 0 every pair is asked for.
     """
     a, b = (of.select(F.col("cluster_id").alias(x), F.col("centroid").alias(f"v{x}"), F.col("members").alias(f"n{x}")) for x in "ab")
-    s = cosine(F.col("va"), F.col("vb"))
-    out = a.join(b, F.col("a") < F.col("b")).withColumn("similarity", s).filter(F.col("similarity") >= threshold)
+    if threshold > 0:
+        near = cosine_pairs(of, "cluster_id", "centroid", threshold)
+        out = near.join(a.drop("va"), "a").join(b.drop("vb"), "b")
+    else:
+        s = cosine(F.col("va"), F.col("vb"))
+        out = a.join(b, F.col("a") < F.col("b")).withColumn("similarity", s).filter(F.col("similarity") >= threshold)
     out = out.select("a", "b", "similarity", similarity_tier(F.col("similarity")).alias("tier"), F.col("na").alias("size_a"), F.col("nb").alias("size_b")).orderBy(F.desc("similarity"), "a", "b")
     return out.limit(cap) if cap else out
 
@@ -53,86 +57,11 @@ def complete_singletons(labelled: DataFrame, id_col: str, label_col: str = "labe
 
 
 def single_linkage(vectors: DataFrame, id_col: str, vector_col: str, similarity: float = 0.8) -> DataFrame:
-    """Clusters of a similarity graph: single linkage cut at a threshold equals its connected components."""
-    a, b = (vectors.select(F.col(id_col).alias(x), F.col(vector_col).alias(f"v{x}")) for x in "ab")
-    links = a.join(b, F.col("a") < F.col("b")).filter(cosine(F.col("va"), F.col("vb")) >= similarity).select("a", "b")
-    found = weak_components(links, "a", "b")
+    """Clusters of a similarity graph: single linkage cut at a threshold equals its connected components. Rows without a vector are alone."""
+    found = weak_components(cosine_pairs(vectors, id_col, vector_col, similarity), "a", "b")
     return vectors.select(F.col(id_col).alias("node")).join(found, "node", "left").select(F.col("node").alias(id_col), F.coalesce("component", "node").alias("label"))
 
 
-def linkage(matrix: np.ndarray, method: str = "ward", distances: bool = False) -> list[tuple[int, int, float, int]]:
-    """Agglomeration of a block of vectors, or of a square of ``distances``, by Lance-Williams updates: (left, right, distance, size), ids from n up for merges."""
-    n = len(matrix)
-    d = matrix.astype(float) if distances else np.sqrt(np.maximum(((matrix[:, None] - matrix[None]) ** 2).sum(-1), 0))
-    np.fill_diagonal(d, np.inf)
-    size, name, out = np.ones(n), list(range(n)), []
-    live = list(range(n))
-    for k in range(n - 1):
-        block = d[np.ix_(live, live)]
-        i, j = divmod(int(block.argmin()), len(live))
-        i, j = sorted((live[i], live[j]))
-        out.append((min(name[i], name[j]), max(name[i], name[j]), float(d[i, j]), int(size[i] + size[j])))
-        others = [x for x in live if x not in (i, j)]
-        di, dj, dij = d[i, others], d[j, others], d[i, j]
-        if method == "single":
-            new = np.minimum(di, dj)
-        elif method == "complete":
-            new = np.maximum(di, dj)
-        elif method == "average":
-            new = (size[i] * di + size[j] * dj) / (size[i] + size[j])
-        else:
-            total = size[i] + size[j] + size[others]
-            new = np.sqrt(((size[i] + size[others]) * di**2 + (size[j] + size[others]) * dj**2 - size[others] * dij**2) / total)
-        d[i, others] = d[others, i] = new
-        size[i] += size[j]
-        name[i] = n + k
-        live.remove(j)
-    return out
-
-
-def cut(merges: list[tuple[int, int, float, int]], n: int, threshold: float | None = None, k: int | None = None) -> np.ndarray:
-    """Labels of a dendrogram at a distance or a number of clusters, numbered by first member."""
-    parent = list(range(n + len(merges)))
-    use = len(merges) if k is None else max(0, n - k)
-    for step, (a, b, dist, _) in enumerate(merges[:use]):
-        if threshold is not None and dist > threshold:
-            break
-        parent[a] = parent[b] = n + step
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    tops = [top(i) for i in range(n)]
-    order = {t: i for i, t in enumerate(dict.fromkeys(tops))}
-    return np.array([order[t] for t in tops])
-
-
-def agglomerate(vectors: DataFrame, block_col: str, id_col: str, vector_col: str, method: str = "ward", threshold: float | None = 0.7, k: int | None = None, most: int = 4000) -> DataFrame:
-    """Agglomerative clusters inside each block. A block is quadratic in memory, so one over ``most`` rows is an error, not a sample."""
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        if len(block) > most:
-            raise ValueError(f"a block of {len(block)} rows: split it, or use single_linkage, which has no such bound")
-        block = block.sort_values(id_col)
-        matrix = np.array(block[vector_col].tolist(), float)
-        labels = cut(linkage(matrix, method), len(matrix), threshold, k)
-        return pd.DataFrame({block_col: block[block_col], id_col: block[id_col], "label": labels})
-
-    kinds = dict(vectors.dtypes)
-    return vectors.select(block_col, id_col, vector_col).groupBy(block_col).applyInPandas(run, f"{block_col} {kinds[block_col]}, {id_col} {kinds[id_col]}, label bigint")
-
-
-def density(matrix: np.ndarray, min_size: int = 2, epsilon: float = 0.5) -> np.ndarray:
-    """Density clusters of a block: components of the graph of distances within ``epsilon``; smaller ones are noise, -1."""
-    merges = linkage(matrix, "single") if len(matrix) > 1 else []
-    labels = cut(merges, len(matrix), threshold=epsilon)
-    sizes = np.bincount(labels, minlength=labels.max(initial=-1) + 1)
-    kept = {int(c): i for i, c in enumerate(np.flatnonzero(sizes >= min_size))}
-    return np.array([kept.get(int(c), -1) for c in labels])
-
-
 def quality(members: DataFrame) -> DataFrame:
     """Cluster counts and spread, assignment rate, the Davies-Bouldin index and the mean silhouette, in one row.
 
@@ -191,17 +120,19 @@ def apply_merges(hierarchy: DataFrame, merges: DataFrame) -> DataFrame:
     return out.union(new.select(F.col("parent").alias("cluster_id"), F.lit(None).cast("bigint").alias("parent_id"), F.lit(0).alias("level")))
 
 
-def hierarchy_problems(hierarchy: DataFrame, cycles: bool = False) -> DataFrame:
-    """Orphans (parent missing), level errors (a child not below its parent) and, if asked, walks up that do not end: one row each."""
+def hierarchy_problems(hierarchy: DataFrame) -> DataFrame:
+    """One row for each orphan (its parent is missing), level error (not below its parent), cluster on a cycle, and cluster whose walk up leads to one."""
     up = hierarchy.select(F.col("cluster_id").alias("parent_id"), F.col("level").alias("up"))
     child = hierarchy.filter("parent_id IS NOT NULL")
     orphans = child.join(up, "parent_id", "left_anti").select("cluster_id", F.lit("orphan").alias("problem"))
     found = orphans.union(child.join(up, "parent_id").filter("level <= up").select("cluster_id", F.lit("level").alias("problem")))
-    if not cycles:
+    links = hierarchy.select(F.col("cluster_id").alias("id"), F.col("parent_id").alias("up"))
+    endless = depths(links)[1]
+    if endless.isEmpty():
         return found
-    deep = hierarchy.agg(F.countDistinct("level").alias("n")).first().n + 10  # a walk through more clusters than levels meets one again
-    walks = ancestor_depth(hierarchy.select(F.col("cluster_id").alias("id"), F.col("parent_id").alias("parent")), deep)
-    return found.union(walks.filter(F.col("depth") >= deep).select(F.col("id").alias("cluster_id"), F.lit("cycle").alias("problem")))
+    cycles = cut_lineage(on_cycles(links, endless), "cycles")
+    leads = endless.join(cycles, "id", "left_anti")
+    return found.union(cycles.select(F.col("id").alias("cluster_id"), F.lit("cycle").alias("problem"))).union(leads.select(F.col("id").alias("cluster_id"), F.lit("leads to cycle").alias("problem")))
 
 
 def merge_transaction(hierarchy: Snapshots, junction: Snapshots, merges: DataFrame) -> bool:
@@ -212,10 +143,10 @@ def merge_transaction(hierarchy: Snapshots, junction: Snapshots, merges: DataFra
     """
     before, known = hierarchy.read(), junction.read()
     into = merges.filter("relation = 'identical'").select(F.col("b").alias("cluster_id"), F.col("a").alias("into"))
-    old = hierarchy_problems(before, cycles=True)
+    old = hierarchy_problems(before)
     hierarchy.publish(apply_merges(before, merges))
     try:
-        new = hierarchy_problems(hierarchy.read(), cycles=True).join(old, ["cluster_id", "problem"], "left_anti")
+        new = hierarchy_problems(hierarchy.read()).join(old, ["cluster_id", "problem"], "left_anti")
         lost = known.join(into, "cluster_id", "left").withColumn("cluster_id", F.coalesce("into", "cluster_id")).select(*known.columns)
         sound = new.isEmpty() and lost.join(hierarchy.read().select("cluster_id"), "cluster_id", "left_anti").isEmpty()
         if sound:

@@ -4,40 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dictionaries import CLUSTER_NAMES, EASY_TO_STUDY, FIELD_DISCOVERIES, FIELD_WORDS, FUNCTION_PATTERNS, HARD_TO_STUDY, MECHANISM_DISCOVERIES
 from ..functions.labels import ladder, lookup
+from .agglomeration import cut, dendrograms, indexed
 from .bayes import score_pairs
-from .clusters import cut, linkage
 
 
-def condition_clusters(similar: DataFrame, conditions: DataFrame, most_clusters: int = 15, least_size: int = 2, most: int = 4000) -> DataFrame:
+def condition_clusters(similar: DataFrame, conditions: DataFrame, most_clusters: int = 15, least_size: int = 2) -> DataFrame:
     """(target, cluster): Ward clusters on one less the similarity of ``similar`` (a, b, similarity); a pair without a row is not similar at all.
 
     The number of clusters is half that of conditions, from 2 to ``most_clusters``, and clusters under ``least_size`` are left out.
-    The distances are a square of the conditions in one task; more than ``most`` of them are an error.
+    Distances are a table with a row for each pair of conditions, which Ward's criterion is defined on.
     """
-    ends = conditions.select(F.col("target").alias("a"), F.col("target").alias("b"), F.lit(1.0).alias("similarity"))
-    rows = similar.select("a", "b", F.col("similarity").cast("double").alias("similarity")).union(ends.distinct())
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(block["a"]) | set(block["b"]))
-        n = len(names)
-        if n > most:
-            raise ValueError(f"{n} conditions: pool them to canonical groups first")
-        at = {x: i for i, x in enumerate(names)}
-        i, j = block["a"].map(at).to_numpy(), block["b"].map(at).to_numpy()
-        d = np.ones((n, n))
-        d[i, j] = d[j, i] = 1 - block["similarity"].to_numpy()
-        labels = cut(linkage(d, "ward", distances=True), n, None, max(2, min(most_clusters, n // least_size)))
-        sizes = np.bincount(labels)
-        return pd.DataFrame([(x, int(c)) for x, c in zip(names, labels, strict=True) if sizes[c] >= least_size], columns=["target", "cluster"])
-
-    return rows.withColumn("whole", F.lit(0)).groupBy("whole").applyInPandas(run, "target string, cluster long")
+    nodes = indexed(conditions.select(F.lit(0).alias("block"), "target").distinct(), "block", "target")
+    pairs = nodes.filter("node > 0").select("block", F.col("node").alias("b"), F.col("target").alias("name_b"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("node") - 1)).alias("a"))
+    pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("target").alias("name_a")), "a")
+    alike = similar.select(F.least("a", "b").alias("name_a"), F.greatest("a", "b").alias("name_b"), F.col("similarity").cast("double").alias("similarity")).filter("name_a <> name_b")
+    pairs = pairs.join(alike, ["name_a", "name_b"], "left").select("block", "a", "b", (1 - F.coalesce("similarity", F.lit(0.0))).alias("d"))
+    labels = cut(dendrograms(pairs, nodes, "ward"), nodes, clusters=F.greatest(F.lit(2), F.least(F.lit(most_clusters), F.floor(F.col("n") / least_size))))
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    return labels.join(sizes, "label").filter(F.col("size") >= least_size).join(nodes, ["block", "node"]).select("target", F.col("label").alias("cluster"))
 
 
 def describe_clusters(edges: DataFrame, clusters: DataFrame, significant: float = 0.2) -> DataFrame:

@@ -5,11 +5,9 @@ Mechanisms and innovation come from the edges' own columns, so nothing is drawn
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +16,10 @@ from ..functions.dictionaries import PATTERN_WORDS
 from ..functions.labels import failure_advice, gap_confidence, gap_priority, innovation_class, ladder
 from ..functions.similarity import profile_cosine
 from .bayes import score_pairs
+from .components import cut_lineage
+from .cooccurrence import shared_keys
+from .factors import factorise
+from .quantiles import quantiles
 
 def _effect():
     return F.col("weight") * F.col("confidence")
@@ -31,34 +33,34 @@ def effectiveness(edges: DataFrame) -> DataFrame:
 def shared_conditions(tested: DataFrame, least: int = 3) -> DataFrame:
     """Pairs (a before b) of the sources of distinct (source, target) that share ``least`` targets: shared, n_a, n_b and lift.
 
-    The pairs come from a join on shared conditions, so pairs without one never appear. Lift is taken over the
+    Shared targets are counted by blocks of sources, without a row for each. Lift is taken over the
     union of both sources' targets, so it is 1 at most.
     """
     n = tested.groupBy("source").agg(F.count("*").alias("n"))
     n = n.filter("n >= 2") if least > 1 else n
-    shared = tested.withColumnRenamed("source", "a").join(tested.withColumnRenamed("source", "b"), "target").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= least)
+    shared = shared_keys(tested, "source", "target", least).drop("total")
     for x in "ab":
         shared = shared.join(n.select(F.col("source").alias(x), F.col("n").alias(f"n_{x}")), x)
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
     return shared.select("a", "b", "shared", "n_a", "n_b", ((F.col("shared") / F.col("n_a")) / (F.col("n_b") / union)).alias("lift"))
 
 
-def combinations(edges: DataFrame, min_confidence: float = 0.7, min_lift: float = 1.5, min_conditions: int = 3, min_synergy: float = 0.5, synergies: dict | None = None) -> DataFrame:
+def combinations(edges: DataFrame, min_confidence: float = 0.7, min_lift: float = 1.5, min_conditions: int = 3, min_synergy: float = 0.5, bonuses: DataFrame | None = None) -> DataFrame:
     """Pairs of interventions (a before b) that share conditions: confidence, lift, synergy.
 
-    The pairs come from a join on shared conditions, so pairs without one never appear.
-    ``synergies`` maps "a|b" to a bonus. Mechanisms are those of the intervention's edges.
+    Shared conditions are counted by blocks of interventions. ``bonuses`` (a, b, bonus) is that of ``synergy_bonuses``.
+    Mechanisms are those of the intervention's edges.
     """
     per = edges.groupBy("source").agg(F.countDistinct("target").alias("n"), F.avg(_effect()).alias("effect"), F.count("*").alias("evidence"), F.collect_set("mechanism").alias("mechanisms")).filter("n >= 2")
     tested = edges.select("source", "target").distinct()
-    shared = tested.withColumnRenamed("source", "a").join(tested.withColumnRenamed("source", "b"), "target").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= min_conditions)
+    shared = shared_keys(tested, "source", "target", min_conditions).drop("total")
     a, b = (per.select(F.col("source").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "effect", "evidence", "mechanisms")]) for x in "ab")
     out = shared.join(a, "a").join(b, "b")
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
     base = (F.col("effect_a") + F.col("effect_b")) / 2
     bonus = F.lit(0.0)
-    for key, value in (synergies or {}).items():
-        bonus = F.when(F.concat_ws("|", "a", "b") == key, float(value)).otherwise(bonus)
+    if bonuses is not None:
+        out, bonus = out.join(bonuses.select("a", "b", "bonus"), ["a", "b"], "left"), F.coalesce("bonus", F.lit(0.0))
     out = out.withColumns({"confidence": F.col("shared") / F.col("n_a"), "lift": (F.col("shared") / F.col("n_a")) / (F.col("n_b") / union), "combined": F.least(F.lit(1.0), base * (1 + bonus))})
     differ = F.size(F.array_except("mechanisms_a", "mechanisms_b")) + F.size(F.array_except("mechanisms_b", "mechanisms_a"))
     complementarity = differ / F.greatest(F.size("mechanisms_a") + F.size("mechanisms_b"), F.lit(1))
@@ -69,6 +71,19 @@ def combinations(edges: DataFrame, min_confidence: float = 0.7, min_lift: float
     return out.select("a", "b", "shared", "confidence", "lift", "combined", "synergy", "evidence_strength")
 
 
+def synergy_bonuses(roles: DataFrame, pairs: DataFrame, known: DataFrame, flat: float = 0.3) -> DataFrame:
+    """bonus for pairs (a before b): ``flat`` for those of ``known``; else 0.2 for each domain of ``roles`` (domain, name, role) that gives both a role, but
+    another one, and 0.3 if they are in ``pairs`` (a, b), 0.5 at most.
+    """
+    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one = roles.dropDuplicates(["domain", "name"])
+    both = shared_keys(one, "name", "domain").select("a", "b", F.col("shared").alias("both"))
+    same = shared_keys(one.withColumn("key", F.to_json(F.struct("domain", "role"))), "name", "key").select("a", "b", F.col("shared").alias("same"))
+    rows = both.join(same, ["a", "b"], "left").join(ordered(pairs).withColumn("pair", F.lit(0.3)), ["a", "b"], "full").join(ordered(known).withColumn("flat", F.lit(flat)), ["a", "b"], "full")
+    estimate = F.least(F.lit(0.5), 0.2 * (F.coalesce("both", F.lit(0)) - F.coalesce("same", F.lit(0))) + F.coalesce("pair", F.lit(0.0)))
+    return rows.select("a", "b", F.coalesce("flat", estimate).alias("bonus")).filter("bonus > 0")
+
+
 def gaps(edges: DataFrame, clusters: DataFrame, emerging: dict[str, float] | None = None, threshold: float = 0.5, cap: int | None = 50) -> DataFrame:
     """Untested pairs with a predicted score from similar conditions, mechanisms, track record and novelty.
 
@@ -227,12 +242,15 @@ def opposite_conflicts(studies: DataFrame, pairs: tuple = OPPOSITES) -> DataFram
     return sides[0].join(sides[1], ["paper_id", "condition", "outcome", "pair"]).select("paper_id", "condition", "pair", "without", "with", kind.alias("type"))
 
 
+def _alike(score_a: np.ndarray, sure_a: np.ndarray, score_b: np.ndarray, sure_b: np.ndarray) -> np.ndarray:
+    return (1 - np.abs(score_a - score_b)) * np.minimum(sure_a, sure_b)
+
+
 def condition_similarity(edges: DataFrame) -> DataFrame:
     """Pairs of conditions that share a treatment: 0.4 overlap, 0.35 evidence, 0.25 mechanism profiles."""
     scores = score_pairs(edges, quantiles=False).select("source", "target", "score", "confidence")
-    a, b = (scores.select("source", F.col("target").alias(x), F.col("score").alias(f"s{x}"), F.col("confidence").alias(f"c{x}")) for x in "ab")
-    near = (1 - F.abs(F.col("sa") - F.col("sb"))) * F.least("ca", "cb")
-    shared = a.join(b, "source").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"), F.avg(near).alias("evidence"))
+    near = shared_keys(scores, "target", "source", measure=_alike, values=("score", "confidence"))
+    shared = near.select("a", "b", "shared", (F.col("total") / F.col("shared")).alias("evidence"))
     sizes = scores.groupBy("target").agg(F.count("*").alias("n"))
     profile = edges.groupBy("target", "mechanism").agg(F.avg("confidence").alias("l")).groupBy("target").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("mechanism", "l")))).alias("p"))
     of = sizes.join(profile, "target")
@@ -259,64 +277,51 @@ def suggestions(edges: DataFrame, clusters: DataFrame, top: int = 10, digits: in
     return open_.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("score"), "source"))).filter(F.col("rank") <= top).select("target", "source", "score", "peers", "rank")
 
 
-def factorise(v: np.ndarray, parts: int = 10, rounds: int = 500, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """Non-negative factors by multiplicative updates, of a matrix shifted to be positive."""
-    x = v - min(0.0, float(v.min())) + 0.01
-    rng = np.random.default_rng(seed)
-    w, h = rng.random((x.shape[0], parts)) + 0.1, rng.random((parts, x.shape[1])) + 0.1
-    for _ in range(rounds):
-        h *= (w.T @ x) / (w.T @ w @ h + 1e-12)
-        w *= (x @ h.T) / (w @ h @ h.T + 1e-12)
-    return w, h
-
-
-def _factors(edges: DataFrame, parts: int, most: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """The dense matrix of conditions by interventions, which has one cell a pair of canonical names, and its factors."""
-    long = effectiveness(edges)
-    size = long.agg(F.countDistinct("source").alias("a"), F.countDistinct("target").alias("b")).first()
-    if size.a * size.b > most:
-        raise ValueError("pool names to canonical groups first: the matrix does not fit one machine")
-    rows = long.toPandas().pivot(index="target", columns="source", values="v").fillna(0.0).sort_index().sort_index(axis=1)
-    return rows, *factorise(rows.to_numpy(), min(parts, *rows.shape))
+def pattern_loadings(edges: DataFrame, parts: int = 10, rounds: int = 500, seed: int = 42) -> DataFrame:
+    """kind (condition or intervention), pattern, member and loading: the factors of the effectiveness matrix."""
+    cells = effectiveness(edges).select(F.col("target").alias("row"), F.col("source").alias("col"), "v")
+    ends = cells.agg(F.countDistinct("row").alias("a"), F.countDistinct("col").alias("b")).first()
+    w, h = factorise(cells, max(1, min(parts, ends.a, ends.b)), rounds, seed)
+    sides = [f.select(F.lit(kind).alias("kind"), F.posexplode("f").alias("pattern", "loading"), F.col("name").alias("member")) for kind, f in (("condition", w), ("intervention", h))]
+    return sides[0].union(sides[1]).select("kind", "pattern", "member", "loading")
 
 
-def patterns(edges: DataFrame, parts: int = 10, most: int = 4_000_000) -> DataFrame:
-    """Factors of the effectiveness matrix with their members over the 70th percentile. A matrix of over ``most`` cells is an error."""
-    rows, w, h = _factors(edges, parts, most)
-    out = []
-    for k in range(w.shape[1]):
-        for kind, names, loading in (("condition", rows.index, w[:, k]), ("intervention", rows.columns, h[k])):
-            bar = np.percentile(loading, 70)
-            out += [(k, kind, str(n), float(x)) for n, x in zip(names, loading, strict=True) if x > bar]
-    return edges.sparkSession.createDataFrame(out, "pattern int, kind string, member string, loading double")
+def patterns(edges: DataFrame, parts: int = 10, rounds: int = 500, share: float = 0.7) -> DataFrame:
+    """Factors of the effectiveness matrix with their members over the 70th percentile."""
+    return _members(pattern_loadings(edges, parts, rounds), share).select("pattern", "kind", "member", "loading")
 
 
-def _distinct(loading: np.ndarray) -> float:
-    """One less the loadings' entropy as a share of the greatest."""
-    return 1 + float((loading * np.log(loading + 1e-10)).sum() / np.log(len(loading))) if len(loading) > 1 else 0.0
+def _members(loadings: DataFrame, share: float) -> DataFrame:
+    bars = quantiles(loadings, ["kind", "pattern"], "loading", [share]).select("kind", "pattern", F.col("x").alias("bar"))
+    return loadings.join(F.broadcast(bars), ["kind", "pattern"]).filter("loading > bar").drop("bar")  # two rows a pattern
 
 
-def pattern_report(edges: DataFrame, parts: int = 10, words: dict = PATTERN_WORDS, least: int = 3, strength: float = 0.1, confidence: float = 0.2, most: int = 4_000_000) -> DataFrame:
+def pattern_report(edges: DataFrame, parts: int = 10, words: dict = PATTERN_WORDS, least: int = 3, strength: float = 0.1, confidence: float = 0.2, rounds: int = 500) -> DataFrame:
     """Each pattern's size, strength (mean absolute effect of its tested pairs), distinctiveness, name, and whether it is valid.
 
-    The name is that of the ``words`` met most often in its interventions' names, else their commonest word.
+    Distinctiveness is one less the loadings' entropy as a share of the greatest, the mean of both kinds. The name is that of the
+    ``words`` met most often in its interventions' names, else the commonest word of the first three of these.
     """
-    rows, w, h = _factors(edges, parts, most)
-    v, out = rows.to_numpy(), []
-    for k in range(w.shape[1]):
-        i, j = np.flatnonzero(w[:, k] > np.percentile(w[:, k], 70)), np.flatnonzero(h[k] > np.percentile(h[k], 70))
-        cells = v[np.ix_(i, j)]
-        power = float(np.abs(cells[cells != 0]).mean()) if (cells != 0).any() else 0.0
-        sure = (_distinct(w[:, k]) + _distinct(h[k])) / 2
-        members = [str(x) for x in rows.columns[j]]
-        text = " ".join(members).lower()
-        hits = {name: sum(word in text for word in keys) for name, keys in words.items()}
-        best = max(hits, key=hits.get, default=None)
-        if best is not None and hits[best]:
-            name = best.replace("_", " ").title()
-        else:
-            said = Counter(word for m in members[:3] for word in m.split("_"))
-            name = f"{said.most_common(1)[0][0].title()} Mechanism" if said else "Unknown Mechanism"
-        valid = len(i) >= least and len(j) >= least and power > strength and sure > confidence
-        out.append((k, name, len(i), len(j), power, sure, bool(valid)))
-    return edges.sparkSession.createDataFrame(out, "pattern int, name string, conditions int, interventions int, strength double, confidence double, valid boolean")
+    loadings = cut_lineage(pattern_loadings(edges, parts, rounds), "loadings")
+    x = F.col("loading")
+    own = loadings.groupBy("kind", "pattern").agg((1 + F.sum(x * F.log(x + 1e-10)) / F.log(F.count("*").cast("double"))).alias("d"), F.count("*").alias("n"))
+    sure = own.groupBy("pattern").agg((F.sum(F.when(F.col("n") > 1, F.col("d")).otherwise(0.0)) / 2).alias("confidence"))
+    members = cut_lineage(_members(loadings, 0.7), "members")
+    sizes = members.groupBy("pattern").agg(F.count_if(F.col("kind") == "condition").alias("conditions"), F.count_if(F.col("kind") == "intervention").alias("interventions"))
+    side = lambda kind, end: members.filter(F.col("kind") == kind).select("pattern", F.col("member").alias(end))
+    power = effectiveness(edges).filter("v <> 0").join(side("condition", "target"), "target").join(side("intervention", "source"), ["source", "pattern"]).groupBy("pattern").agg(F.avg(F.abs("v")).alias("strength"))
+    # a word counts once a pattern, whichever names hold it
+    names, low = list(words), F.lower("member")
+    met = [sum((F.max(low.contains(w).cast("int")) for w in words[n]), F.lit(0)).alias(f"_{k}") for k, n in enumerate(names)]
+    said = members.filter("kind = 'intervention'").groupBy("pattern").agg(F.count("*").alias("_n"), *met)
+    best, top = F.lit(None).cast("string"), F.lit(0)
+    for k, n in enumerate(names):
+        best, top = F.when(F.col(f"_{k}") > top, n.replace("_", " ").title()).otherwise(best), F.greatest(top, F.col(f"_{k}"))
+    first = F.row_number().over(Window.partitionBy("pattern").orderBy("member"))
+    parts_of = members.filter("kind = 'intervention'").withColumn("r", first).filter("r <= 3").select("pattern", "r", F.posexplode(F.split("member", "_")).alias("at", "word"))
+    common = parts_of.groupBy("pattern", "word").agg(F.count("*").alias("n"), F.min(F.struct("r", "at")).alias("place")).groupBy("pattern").agg(F.max_by(F.initcap("word"), F.struct("n", -F.col("place.r"), -F.col("place.at"))).alias("commonest"))
+    name = F.coalesce(F.col("best"), F.concat("commonest", F.lit(" Mechanism")), F.lit("Unknown Mechanism"))
+    out = sure.join(sizes, "pattern", "left").join(power, "pattern", "left").join(said.select("pattern", best.alias("best")), "pattern", "left").join(common, "pattern", "left")
+    out = out.fillna({"conditions": 0, "interventions": 0, "strength": 0.0})
+    valid = (F.col("conditions") >= least) & (F.col("interventions") >= least) & (F.col("strength") > strength) & (F.col("confidence") > confidence)
+    return out.select("pattern", name.alias("name"), F.col("conditions").cast("int").alias("conditions"), F.col("interventions").cast("int").alias("interventions"), "strength", "confidence", valid.alias("valid"))

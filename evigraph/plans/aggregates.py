@@ -5,6 +5,7 @@ from pyspark.sql.window import Window
 
 from ..operators import evidence as ev
 from ..operators import graph
+from ..operators.quantiles import quantiles
 from ..sources.tables import canonical, edges, edges_sparse, papers, raw
 from .registry import CANONICAL, EDGES, PAPERS, SPARSE, query, r6
 
@@ -195,8 +196,9 @@ def a24(spark, d, sparse=edges_sparse):
 @query("a25_summary_statistics", """SELECT mechanism, min(confidence) AS low, max(confidence) AS high, round(avg(confidence), 6) AS mean, round(quantile_cont(confidence, 0.5), 6) AS median,
   round(stddev_pop(confidence), 6) AS std, round(100.0 * count(CASE WHEN confidence > 0.7 THEN 1 END) / count(*), 6) AS above FROM edges GROUP BY mechanism""", (EDGES,))
 def a25(spark, d):
-    c = F.col("confidence")
-    return edges(spark, d).groupBy("mechanism").agg(F.min(c).alias("low"), F.max(c).alias("high"), r6(F.avg(c)).alias("mean"), r6(F.percentile(c, 0.5)).alias("median"), r6(F.stddev_pop(c)).alias("std"), r6(100.0 * F.count_if(c > 0.7) / F.count("*")).alias("above"))
+    c, e = F.col("confidence"), edges(spark, d)
+    middle = quantiles(e, ["mechanism"], "confidence", [0.5]).select("mechanism", r6("x").alias("median"))
+    return middle.join(e.groupBy("mechanism").agg(F.min(c).alias("low"), F.max(c).alias("high"), r6(F.avg(c)).alias("mean"), r6(F.stddev_pop(c)).alias("std"), r6(100.0 * F.count_if(c > 0.7) / F.count("*")).alias("above")), "mechanism")
 
 
 @query("a26_classification_report", """, x AS (SELECT CAST(quality AS VARCHAR) AS truth, CASE WHEN n_chars > 200 THEN '1' ELSE '0' END AS guess FROM labels JOIN documents USING (doc_id)),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mining as mn
 from ..operators.clusters import ancestor_depth
+from ..operators.cooccurrence import shared_keys
 from ..sources.tables import canonical, edges, edges_sparse, papers, raw
 from .registry import CANONICAL, EDGES, PAPERS, SPARSE, query, r6
 
@@ -133,10 +134,9 @@ def j16(spark, d):
     return n.select(F.col("n_name").alias("a")).join(n.select(F.col("n_name").alias("b")), F.col("a") < F.col("b"))
 
 
-@query("j17_shared_neighbour", ", t AS (SELECT DISTINCT source, target FROM sparse) SELECT a.target AS a, b.target AS b, count(*) AS shared FROM t a JOIN t b ON a.source = b.source AND a.target < b.target GROUP BY ALL", (SPARSE,), whole=False)
+@query("j17_shared_neighbour", ", t AS (SELECT DISTINCT source, target FROM sparse) SELECT a.target AS a, b.target AS b, count(*) AS shared FROM t a JOIN t b ON a.source = b.source AND a.target < b.target GROUP BY ALL", (SPARSE,))
 def j17(spark, d, sparse=edges_sparse):
-    t = sparse(spark, d).select("source", "target").distinct()
-    return t.withColumnRenamed("target", "a").join(t.withColumnRenamed("target", "b"), "source").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    return shared_keys(sparse(spark, d).select("source", "target").distinct(), "target", "source").drop("total")
 
 
 @query("j18_category_pairs", "SELECT a.category, a.canonical_name AS a, b.canonical_name AS b FROM (SELECT DISTINCT category, canonical_name FROM canonical) a JOIN (SELECT DISTINCT category, canonical_name FROM canonical) b ON a.category = b.category AND a.canonical_name < b.canonical_name", (CANONICAL,))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import conditions as cn, mining as mn, recommend as rc
+from ..operators.cooccurrence import shared_keys
 from ..sources.tables import edges, edges_sparse, raw
 from .bayes import COUNTS
 from .registry import EDGES, SPARSE, query, r6
@@ -23,14 +24,18 @@ def m8(spark, d, sparse=edges_sparse):
     return ends.join(mn.effectiveness(e), ["source", "target"], "left").select("source", "target", r6(F.coalesce("v", F.lit(0.0))).alias("v"))
 
 
+#: Of the factorisation in registered queries; its own bound is 500.
+ROUNDS = 10
+
+
 @query("m9_patterns")
 def m9(spark, d, sparse=edges_sparse):
-    return mn.patterns(sparse(spark, d)).withColumn("loading", r6("loading"))
+    return mn.patterns(sparse(spark, d), rounds=ROUNDS).withColumn("loading", r6("loading"))
 
 
 @query("m9_pattern_report")
 def m9_report(spark, d, sparse=edges_sparse):
-    return mn.pattern_report(sparse(spark, d)).withColumns({c: r6(c) for c in ("strength", "confidence")})
+    return mn.pattern_report(sparse(spark, d), rounds=ROUNDS).withColumns({c: r6(c) for c in ("strength", "confidence")})
 
 
 @query("m10_cross_talk", "SELECT target, count(DISTINCT mechanism) AS mechanisms, string_agg(DISTINCT mechanism, ',' ORDER BY mechanism) AS names FROM sparse WHERE outcome = 'improves' GROUP BY target HAVING count(DISTINCT mechanism) > 1", (SPARSE,))
@@ -118,11 +123,28 @@ def m17(spark, d, sparse=edges_sparse):
     return out.withColumns({c: r6(c) for c in ("confidence", "lift", "combined", "synergy")})
 
 
+_ROLES = """, sn AS (SELECT s_name AS name, n_name AS role, r_name AS domain FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+_BONUS = """least(0.5, CASE WHEN u.domain = w.domain AND u.role <> w.role THEN 0.2 ELSE 0 END + CASE WHEN CAST(substr(y.b, 10) AS INT) = CAST(substr(y.a, 10) AS INT) + 1 THEN 0.3 ELSE 0 END)"""
+
+
+@query("m17_role_bonus", _COMBINED[: _COMBINED.index("\n  y AS")] + _ROLES.replace(", sn AS", "\n  sn AS") + f""",
+  y AS (SELECT *, base * 1.0 AS bb FROM x), z AS (SELECT y.*, CASE WHEN CAST(substr(y.b, 10) AS INT) = CAST(substr(y.a, 10) AS INT) + 2 THEN 0.3 ELSE {_BONUS} END AS bonus FROM y JOIN sn u ON u.name = y.a JOIN sn w ON w.name = y.b),
+  q AS (SELECT *, least(1, base * (1 + bonus)) AS combined FROM z), v AS (SELECT *, least(1, 0.3 * confidence + 0.3 * least(1, (lift - 1) / 4) + 0.2 * least(1, combined / greatest(base, 0.1) - 1) + 0.2 * d / mm::DOUBLE) AS synergy FROM q)
+  SELECT a, b, shared, round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(combined, 6) AS combined, round(synergy, 6) AS synergy, least(ka, kb) / 10.0::DOUBLE AS evidence_strength FROM v WHERE confidence >= 0.6 AND lift >= 0.9 AND round(synergy, 6) >= 0.3""", (SPARSE,))
+def m17_bonus(spark, d, sparse=edges_sparse):
+    """Combinations over all edges, with a bonus for other roles (nations) in one domain (region), for pairs of neighbours, and for known pairs (two apart)."""
+    names = raw(spark, d, "supplier").join(raw(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(raw(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    roles = names.select(F.col("r_name").alias("domain"), F.col("s_name").alias("name"), F.col("n_name").alias("role"))
+    at = F.substr("name", F.lit(10)).cast("int")
+    apart = lambda k: roles.select(F.col("name").alias("a"), at.alias("k")).join(roles.select(F.col("name").alias("b"), (at - k).alias("k")), "k").select("a", "b")
+    out = mn.combinations(sparse(spark, d), 0.6, 0.9, 3, -9, mn.synergy_bonuses(roles, apart(1), apart(2)))
+    return out.withColumns({c: r6(c) for c in ("confidence", "lift", "combined", "synergy")}).filter("synergy >= 0.3")
+
+
 @query("m18_combination_trends", """, t AS (SELECT DISTINCT source, target FROM sparse), sh AS (SELECT a.source AS a, b.source AS b FROM t a JOIN t b ON a.target = b.target AND a.source < b.source GROUP BY ALL HAVING count(*) >= 10)
   SELECT s AS source, count(*) AS n FROM (SELECT a AS s FROM sh UNION ALL SELECT b FROM sh) GROUP BY s ORDER BY n DESC, s LIMIT 5""", (SPARSE,))
 def m18(spark, d, sparse=edges_sparse):
-    t = sparse(spark, d).select("source", "target").distinct()
-    sh = t.withColumnRenamed("source", "a").join(t.withColumnRenamed("source", "b"), "target").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("k")).filter("k >= 10")
+    sh = shared_keys(sparse(spark, d).select("source", "target").distinct(), "source", "target", 10)
     return sh.select(F.explode(F.array("a", "b")).alias("source")).groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(5)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.evidence import fold_pairs
+from ..operators.quantiles import quantiles
 from ..sources.tables import edges, edges_sparse, papers, raw
 from .registry import EDGES, PAPERS, SPARSE, query, r6
 
@@ -63,7 +64,8 @@ def w5(spark, d):
 @query("w6_percentile_threshold", PAIR + ", q AS (SELECT quantile_cont(score, 0.7) AS t FROM p) SELECT source, target FROM p, q WHERE score > t", (EDGES,))
 def w6(spark, d):
     p = scored(spark, d)
-    return p.crossJoin(F.broadcast(p.agg(F.percentile("score", 0.7).alias("t")))).filter("score > t").select("source", "target")
+    bar = quantiles(p, [], "score", [0.7]).first()  # one number
+    return p.filter(F.col("score") > (bar.x if bar else None)).select("source", "target")
 
 
 @query("w7_scaling", PAIR + """, s AS (SELECT min(score) AS lo, max(score) AS hi, avg(score) AS m, stddev_pop(score) AS sd FROM p)

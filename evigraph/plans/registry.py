@@ -85,7 +85,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), whole:
 
         QUERIES[name] = shipped
         if text is not None:
-            ORACLES[name] = steady(("WITH " + ",".join(seen) + "\n" if seen else "") + text)
+            ORACLES[name] = steady(("WITH RECURSIVE " + ",".join(seen) + "\n" if seen else "") + text)
         return f
 
     return add

@@ -11,7 +11,7 @@ from ..operators import bayes, clusters as cl, evidence as ev, hierarchies as hi
 from ..operators.components import cut_lineage
 from ..operators.conditions import feasibility
 from ..session import shared_folder
-from ..sources import articles, sinks
+from ..sources import articles, content_cache, sessions, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
 from .aggregates import classification_report
 from .mining import _GAPS, brand_clusters
@@ -119,9 +119,19 @@ def k12(spark, d, sparse=edges_sparse):
     return spark.read.csv(path, header=True, schema="source string, target string, n bigint")
 
 
-@query("k13_run_log", "SELECT 'mining' AS phase, (SELECT count(*) FROM sparse) AS rows, 'completed' AS status", (SPARSE,))
-def k13(spark, d, sparse=edges_sparse):
-    return sinks.run_log(spark, "mining", sparse(spark, d).count(), "completed").select("phase", "rows", "status")
+_BATCHES = "SELECT CAST(substr(o_orderpriority, 1, 1) AS INT) AS batch, count(*) AS rows FROM orders GROUP BY 1"
+
+
+def _by_priority(spark, d):
+    return raw(spark, d, "orders").select("o_orderkey", "o_totalprice", F.substring("o_orderpriority", 1, 1).cast("int").alias("batch"))
+
+
+@query("k13_run_log", _BATCHES)
+def k13(spark, d):
+    """A session's log after its run, read back: rows of each batch that counts."""
+    session = sessions.Session(spark, _scratch(spark, "session"))
+    session.run(_by_priority(spark, d), "batch", lambda df: df.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint")))
+    return session.log().filter("record = 'done'").select("batch", "rows")
 
 
 @query("k14_rollback", "SELECT pmid FROM papers WHERE pmid < 500", (PAPERS,))
@@ -210,19 +220,6 @@ def v1(spark, d):
     return dense.select("doc_id", l2_normalise(v).alias("vector"))
 
 
-@query("v10_density_clusters")
-def v10(spark, d):
-    """Density clusters inside each labelled block."""
-    import numpy as np
-    import pandas as pd
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("member")
-        return pd.DataFrame({"cluster_id": block["cluster_id"], "member": block["member"], "label": cl.density(np.array(block["vector"].tolist()), 2, 1.15)})
-
-    return clusters(spark, d).groupBy("cluster_id").applyInPandas(run, "cluster_id int, member bigint, label bigint")
-
-
 _POINTS = """CASE WHEN reduction_ratio BETWEEN 0.4 AND 0.6 THEN 25 WHEN reduction_ratio BETWEEN 0.3 AND 0.7 THEN 20 WHEN reduction_ratio BETWEEN 0.2 AND 0.8 THEN 15 ELSE 10 END::DOUBLE AS reduction_score, 15.0::DOUBLE AS depth_score,
   (20 - CASE WHEN singleton_ratio > 0.5 THEN 5 ELSE 0 END - CASE WHEN singleton_ratio > 0.6 THEN 3 ELSE 0 END - CASE WHEN median_size < 2 OR median_size > 10 THEN 5 ELSE 0 END - CASE WHEN max_size > 100 THEN 5 WHEN max_size > 50 THEN 2 ELSE 0 END)::DOUBLE AS size_score,
   CASE WHEN coherence >= 0.7 THEN 25 WHEN coherence >= 0.65 THEN 22 WHEN coherence >= 0.6 THEN 20 WHEN coherence >= 0.5 THEN 15 ELSE 10 END::DOUBLE AS coherence_score, CASE WHEN separation >= 0.4 THEN 15 WHEN separation >= 0.35 THEN 13 WHEN separation >= 0.3 THEN 12 ELSE 8 END::DOUBLE AS separation_score"""
@@ -346,10 +343,39 @@ def r18(spark, d):
     return known.join(n, "category", "left").select("category", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("r19_resume_log", "SELECT event_type, max(event_id) AS reached FROM events GROUP BY event_type")
+@query("r19_resume_log", "SELECT CAST(substr(o_orderpriority, 1, 1) AS INT) AS batch, count(*) AS rows, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1")
 def r19(spark, d):
-    """Where each phase of a resumable session stands."""
-    return raw(spark, d, "events").groupBy("event_type").agg(F.max("event_id").alias("reached"))
+    """A session whose first run dies before its second batch counts; the next run goes on from there."""
+    at, steps = _scratch(spark, "session"), []
+
+    def dies(step: str) -> None:
+        steps.append(step)
+        if len(steps) == 6:
+            raise InterruptedError(step)
+
+    work = lambda df: df.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+    rows = _by_priority(spark, d).withColumn("of", F.col("batch"))
+    first = sessions.Session(spark, at)
+    try:
+        first.run(rows, "batch", work, dies)
+    except InterruptedError:
+        later = sessions.Session(spark, at, clock=lambda: first.clock() + 2 * sessions.LEASE)
+        later.run(rows, "batch", work)
+    return first.output().groupBy(F.col("of").alias("batch")).agg(F.count("*").alias("rows"), F.sum("cents").alias("cents"))
+
+
+@query("s11_content_cache", """, t AS (SELECT DISTINCT mechanism AS text FROM edges UNION SELECT DISTINCT source FROM edges UNION SELECT DISTINCT target FROM edges), h AS (SELECT DISTINCT lower(mechanism) AS text FROM edges)
+  SELECT text, sha256('words|8|' || lower(text)) AS key, lower(text) IN (SELECT text FROM h) AS hit, 8 AS dimension FROM t""", (EDGES,))
+def s11_cache(spark, d):
+    """Names asked of a store that has seen the mechanisms: what is stored is not computed again."""
+    e = edges(spark, d)
+    cache = content_cache.ContentCache(spark, _scratch(spark, "cache"), "words", 8)
+    hashed = lambda df: df.select("key", F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.pmod(F.xxhash64("text", i), F.lit(1000)) + 1.0).alias("vector"))
+    cache.vectors(e.select("mechanism").distinct(), "mechanism", hashed)
+    seen = cut_lineage(cache.entries().select("key", F.lit(True).alias("hit")), "seen")
+    texts = e.select(F.explode(F.array("mechanism", "source", "target")).alias("text")).distinct()
+    found, _ = cache.vectors(texts, "text", hashed)
+    return found.join(seen, "key", "left").select("text", "key", F.coalesce("hit", F.lit(False)).alias("hit"), F.size("vector").alias("dimension"))
 
 
 @query("r23_snapshot_rewrite", "SELECT pmid, title, journal FROM papers", (PAPERS,))

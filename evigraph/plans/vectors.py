@@ -5,7 +5,7 @@ from pyspark.sql.window import Window
 
 from ..functions import vectors as vx
 from ..functions.labels import auto_approval, diversity_severity
-from ..operators import clusters as cl
+from ..operators import agglomeration as ag, clusters as cl, density as de
 from ..sources.tables import canonical, clusters, edges, edges_sparse, raw
 from .registry import CANONICAL, CLUSTERS, EDGES, SPARSE, query, r6
 
@@ -56,7 +56,7 @@ def v6(spark, d):
 @query("v7_merge_candidates", f""", p AS (SELECT a.cluster_id AS a, b.cluster_id AS b, round({_COS.format(a='a.centroid', b='b.centroid')}, 6) AS similarity, a.members AS size_a, b.members AS size_b FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id)
   SELECT *, CASE WHEN similarity >= 0.9 THEN 'HIGH' WHEN similarity >= 0.85 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM p WHERE similarity >= 0.05""", (CLUSTERS, _CENTROIDS))
 def v7(spark, d):
-    return cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.05).withColumn("similarity", r6("similarity"))
+    return cl.merge_candidates(cl.centroids(clusters(spark, d)), 0.05, None).withColumn("similarity", r6("similarity"))
 
 
 @query("v8_candidate_network", f""", p AS (SELECT a.cluster_id AS a, b.cluster_id AS b, {_COS.format(a='a.centroid', b='b.centroid')} AS s FROM centroids a JOIN centroids b ON a.cluster_id < b.cluster_id WHERE greatest(a.members, b.members) <= 10 * least(a.members, b.members))
@@ -69,10 +69,31 @@ def v8(spark, d):
 
 @query("v9_agglomeration")
 def v9(spark, d):
-    return cl.agglomerate(clusters(spark, d), "cluster_id", "member", "vector", "average", 1.2)
+    """Average linkage of each label's vectors, cut at 1.2."""
+    return ag.agglomerate(clusters(spark, d), "cluster_id", "member", "vector", "average", 1.2)[0]
 
 
-@query("v12_single_linkage")
+@query("c27_dendrogram")
+def c27_dendrogram(spark, d):
+    """Ward merges of each label's vectors, as rows of left, right, distance and size."""
+    merges = ag.agglomerate(clusters(spark, d), "cluster_id", "member", "vector", "ward")[1]
+    return merges.withColumn("distance", r6("distance"))
+
+
+@query("v10_density_clusters")
+def v10(spark, d):
+    """Density clusters of all vectors, by the usual two members and one neighbour."""
+    return de.density_clusters(clusters(spark, d), "member", "vector")[0].withColumn("probability", r6("probability"))
+
+
+@query("c27_condensed_tree")
+def c27_condensed(spark, d):
+    """The condensed tree of clusters of five members, by cores of three neighbours."""
+    return de.density_clusters(clusters(spark, d), "member", "vector", 5, 3)[1].withColumn("strength", r6("strength"))
+
+
+@query("v12_single_linkage", f""", l AS (SELECT a.member AS a, b.member AS b FROM clusters a JOIN clusters b ON a.member <> b.member WHERE {_COS.format(a='a.vector', b='b.vector')} >= 0.3),
+  r AS (SELECT member, member AS seen FROM clusters UNION SELECT r.member, l.b FROM r JOIN l ON r.seen = l.a) SELECT member, min(seen) AS label FROM r GROUP BY member""", (CLUSTERS,))
 def v12(spark, d):
     return cl.single_linkage(clusters(spark, d), "member", "vector", 0.3)
 
@@ -140,10 +161,16 @@ def v19(spark, d):
     return cl.apply_merges(hierarchy(spark, d), m)
 
 
-@query("v20_hierarchy_problems", ", b AS (SELECT cluster_id, CASE WHEN cluster_id % 40 = 9 THEN 999999 ELSE parent_id END AS parent_id, CASE WHEN cluster_id % 50 = 3 THEN 0 ELSE level END AS level FROM h) SELECT c.cluster_id, CASE WHEN p.cluster_id IS NULL THEN 'orphan' ELSE 'level' END AS problem FROM b c LEFT JOIN b p ON c.parent_id = p.cluster_id WHERE c.parent_id IS NOT NULL AND (p.cluster_id IS NULL OR c.level <= p.level)", (_H,))
+@query("v20_hierarchy_problems", """, b AS (SELECT cluster_id, CASE WHEN cluster_id % 40 = 9 THEN 999999 WHEN cluster_id % 60 = 7 THEN 2 * cluster_id + 1 ELSE parent_id END AS parent_id, CASE WHEN cluster_id % 50 = 3 THEN 0 ELSE level END AS level FROM h),
+  w AS (SELECT cluster_id AS id, parent_id AS seen FROM b WHERE parent_id IS NOT NULL UNION SELECT w.id, b.parent_id FROM w JOIN b ON w.seen = b.cluster_id WHERE b.parent_id IS NOT NULL),
+  e AS (SELECT w.id FROM w LEFT JOIN b ON w.seen = b.cluster_id GROUP BY w.id HAVING count(*) FILTER (WHERE b.parent_id IS NULL) = 0), o AS (SELECT id FROM w WHERE id = seen)
+  SELECT c.cluster_id, CASE WHEN p.cluster_id IS NULL THEN 'orphan' ELSE 'level' END AS problem FROM b c LEFT JOIN b p ON c.parent_id = p.cluster_id WHERE c.parent_id IS NOT NULL AND (p.cluster_id IS NULL OR c.level <= p.level)
+  UNION ALL SELECT id, 'cycle' FROM o UNION ALL SELECT id, 'leads to cycle' FROM e WHERE id NOT IN (SELECT id FROM o)""", (_H,))
 def v20(spark, d):
+    """Parents that are missing, clusters above their parents, and some whose parent is their own first child."""
     c = F.col("cluster_id")
-    bad = hierarchy(spark, d).select(c, F.when(c % 40 == 9, 999999).otherwise(F.col("parent_id")).alias("parent_id"), F.when(c % 50 == 3, 0).otherwise(F.col("level")).alias("level"))
+    wrong = F.when(c % 40 == 9, 999999).when(c % 60 == 7, 2 * c + 1).otherwise(F.col("parent_id")).cast("bigint")
+    bad = hierarchy(spark, d).select(c, wrong.alias("parent_id"), F.when(c % 50 == 3, 0).otherwise(F.col("level")).alias("level"))
     return cl.hierarchy_problems(bad)
 
 

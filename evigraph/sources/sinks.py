@@ -122,11 +122,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def run_log(spark: SparkSession, phase: str, rows: int, status: str) -> DataFrame:
-    """A row for the run log, to be appended."""
-    return spark.range(1).select(F.lit(str(uuid.uuid4())).alias("run_id"), F.lit(phase).alias("phase"), F.lit(rows).cast("long").alias("rows"), F.lit(status).alias("status"), F.current_timestamp().alias("at"))
-
-
 def node_link(pairs: DataFrame) -> DataFrame:
     """Node-link graph in one row: ordered nodes with degrees, ordered links. For exports that a browser loads, so small."""
     nodes = pairs.select(F.col("source").alias("id"), F.lit("intervention").alias("type")).union(pairs.select(F.col("target").alias("id"), F.lit("condition").alias("type")))

@@ -3,11 +3,12 @@
 import json
 
 import numpy as np
+import plain
 import pytest
 from pyspark.sql import functions as F
 
 from evigraph.operators import clusters as cl
-from evigraph.operators import components, evidence, graph, mining, resolution, validation
+from evigraph.operators import components, evidence, factors, graph, mining, resolution, validation
 from evigraph.sources import articles, sinks
 from evigraph.streaming import evidence_counts, outcome_windows, read_events
 from evigraph.streaming.evidence import run_available
@@ -74,9 +75,9 @@ def test_centroids_and_candidates(spark):
 def test_linkage_is_a_tree_that_finds_blobs(method):
     rng = np.random.default_rng(3)
     points = np.concatenate([rng.normal(0, 0.1, (10, 2)), rng.normal(5, 0.1, (8, 2)), rng.normal(-5, 0.1, (6, 2))])
-    merges = cl.linkage(points, method)
+    merges = plain.linkage(points, method)
     assert len(merges) == len(points) - 1 and merges[-1][3] == len(points)
-    assert sorted(np.bincount(cl.cut(merges, len(points), k=3)).tolist()) == [6, 8, 10]
+    assert sorted(np.bincount(plain.cut(merges, len(points), k=3)).tolist()) == [6, 8, 10]
 
 
 def test_single_linkage_equals_cut(spark):
@@ -84,7 +85,7 @@ def test_single_linkage_equals_cut(spark):
     v = rng.normal(size=(40, 3))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     got = {r.id: r.label for r in cl.single_linkage(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id int, v array<double>"), "id", "v", 0.9).collect()}
-    want = cl.cut(cl.linkage(v, "single"), 40, threshold=np.sqrt(2 - 2 * 0.9))
+    want = plain.cut(plain.linkage(v, "single"), 40, threshold=np.sqrt(2 - 2 * 0.9))
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(40) for j in range(i))
 
 
@@ -99,17 +100,29 @@ def test_greedy_merges_match_the_sequential_pass(spark):
     assert {(r.a, r.b) for r in cl.greedy_merges(spark.createDataFrame(pairs, "a int, b int, similarity double")).collect()} == want
 
 
-def test_oversized_block_is_an_error(spark):
-    df = spark.createDataFrame([(1, i, [float(i)]) for i in range(5)], "g int, id int, v array<double>")
-    with pytest.raises(Exception, match="a block of 5 rows"):
-        cl.agglomerate(df, "g", "id", "v", most=4).collect()
-
-
-def test_factorisation_is_non_negative_and_close():
+def test_factorisation_equals_the_matrix_form(spark):
+    """Same start, same rounds: same factors and error, with untested cells in the matrix."""
     rng = np.random.default_rng(0)
-    v = rng.random((12, 3)) @ rng.random((3, 9))
-    w, h = mining.factorise(v, 3)
-    assert (w >= 0).all() and (h >= 0).all() and np.abs(w @ h - (v + 0.01)).mean() < 0.05
+    v = (rng.random((12, 3)) @ rng.random((3, 9)) - 0.3) * (rng.random((12, 9)) < 0.7)
+    v[:, 0] += 0.1
+    df = spark.createDataFrame([(f"r{i:02d}", f"c{j}", float(v[i, j])) for i in range(12) for j in range(9) if v[i, j]], "row string, col string, v double")
+    first = [np.array([r.f for r in factors.start(df.select(F.col(c).alias("name")).distinct(), 3, 42).orderBy("name").collect()]) for c in ("row", "col")]
+    assert all(len({tuple(x) for x in f.tolist()}) == len(f) and f.min() >= 0.1 for f in first)
+    w, h = factors.factorise(df, 3, rounds=5)
+    got_w, got_h = (np.array([r.f for r in f.orderBy("name").collect()]) for f in (w, h))
+    want_w, want_h = plain.factorise(v, first[0], first[1].T, 5)
+    assert np.allclose(got_w, want_w) and np.allclose(got_h.T, want_h) and got_w.min() >= 0
+    x = v - min(0.0, v.min()) + 0.01
+    error = factors.objective(df, w, h, 3, factors.shift_of(df))
+    assert error == pytest.approx(float(((x - got_w @ got_h.T) ** 2).sum()))
+    assert error < float(((x - first[0] @ first[1].T) ** 2).sum())
+
+
+def test_synergy_bonuses(spark):
+    roles = spark.createDataFrame([("gut", "a", "x"), ("gut", "b", "y"), ("gut", "c", "x"), ("mind", "a", "p"), ("mind", "b", "q"), ("mind", "d", "q"), ("skin", "a", "1"), ("skin", "b", "2")], "domain string, name string, role string")
+    pairs, known = (spark.createDataFrame(r, "a string, b string") for r in ([("b", "a"), ("e", "f"), ("c", "a")], [("d", "b"), ("z", "y")]))
+    got = {(r.a, r.b): round(r.bonus, 6) for r in mining.synergy_bonuses(roles, pairs, known).collect()}
+    assert got == {("a", "b"): 0.5, ("a", "c"): 0.3, ("a", "d"): 0.2, ("b", "c"): 0.2, ("b", "d"): 0.3, ("e", "f"): 0.3, ("y", "z"): 0.3}
 
 
 def test_failures_and_fundamentals(spark):
@@ -213,7 +226,7 @@ def test_walks_up_are_bounded(spark):
 
 def test_cycles_and_the_merge_transaction(spark, tmp_path):
     tree = spark.createDataFrame([(1, None, 0), (2, 1, 1), (3, 1, 1), (4, 2, 2), (5, 6, 2), (6, 5, 3)], "cluster_id bigint, parent_id bigint, level int")
-    found = {(r.cluster_id, r.problem) for r in cl.hierarchy_problems(tree, cycles=True).collect()}
+    found = {(r.cluster_id, r.problem) for r in cl.hierarchy_problems(tree).collect()}
     assert found == {(5, "level"), (5, "cycle"), (6, "cycle")}
     kept, members = (sinks.Snapshots(spark, str(tmp_path / n)) for n in ("tree", "members"))
     kept.publish(tree.filter("cluster_id < 5"))
@@ -350,7 +363,7 @@ def test_discoveries_feasibility_and_functions(spark):
 
 def test_pattern_report(spark):
     rows = [(f"probiotic_{i}" if i < 5 else f"zinc_{i}", f"c{j}", "m", "improves" if (i < 5) == (j < 5) else "worsens", 0.5 + 0.02 * (i + j), 2000) for i in range(10) for j in range(10)]
-    got = mining.pattern_report(edges(spark, rows), 2).collect()
+    got = mining.pattern_report(edges(spark, rows), 2, rounds=10).collect()
     assert [r.pattern for r in got] == [0, 1] and all(r.strength > 0.1 for r in got)
     assert {r.name for r in got} <= {"Gut Microbiome", "Zinc Mechanism"} and all(r.valid == (r.conditions >= 3 and r.interventions >= 3 and r.confidence > 0.2) for r in got)
 
