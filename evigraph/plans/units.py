@@ -11,7 +11,7 @@ from ..operators import bayes, clusters as cl, evidence as ev, hierarchies as hi
 from ..operators.components import cut_lineage
 from ..operators.conditions import feasibility
 from ..session import shared_folder
-from ..sources import articles, content_cache, sessions, sinks
+from ..sources import articles, content_cache, documents, sessions, sinks
 from ..sources.tables import canonical, clusters, edges, edges_sparse, papers, raw
 from .aggregates import classification_report
 from .mining import _GAPS, brand_clusters
@@ -134,6 +134,14 @@ def k13(spark, d):
     return session.log().filter("record = 'done'").select("batch", "rows")
 
 
+@query("k7_document_parts", "SELECT pmid, title, journal FROM papers", (PAPERS,))
+def k7_parts(spark, d):
+    """All papers as a document in ordered parts, read back by its manifest."""
+    at = _scratch(spark, "document")
+    documents.write_parts(papers(spark, d).select("pmid", "title", "journal"), at, ["pmid"], 5000)
+    return documents.read_parts(spark, at, "pmid bigint, title string, journal string")
+
+
 @query("k14_rollback", "SELECT pmid FROM papers WHERE pmid < 500", (PAPERS,))
 def k14(spark, d):
     s = sinks.Snapshots(spark, _scratch(spark, "table"))
