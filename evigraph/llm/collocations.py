@@ -193,12 +193,6 @@ def invert(names: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.argsort(names[at], kind="stable")].astype(np.int32), np.bincount(names[at], minlength=n).astype(np.int64)
 
 
-def by_position(positions: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All lists merged into one by position, with the number of the list that each position comes from."""
-    order = np.argsort(positions, kind="stable")
-    return positions[order], np.repeat(np.arange(len(lengths)), lengths)[order]
-
-
 def merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where two sorted lists of distinct positions agree: the places in both."""
     at = np.searchsorted(right, left)

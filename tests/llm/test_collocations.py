@@ -61,8 +61,6 @@ def test_lists():
     names = np.array([1, 0, -1, 1, 1, 2])
     positions, lengths = co.invert(names, 4)
     assert positions.tolist() == [1, 0, 3, 4, 5] and lengths.tolist() == [1, 3, 1, 0]
-    at, of = co.by_position(positions, lengths)
-    assert at.tolist() == [0, 1, 3, 4, 5] and of.tolist() == [1, 0, 1, 1, 2]
     assert [x.tolist() for x in co.merge_join(np.array([1, 3, 9]), np.array([0, 1, 2, 9]))] == [[0, 2], [1, 3]]
     assert [x.tolist() for x in co.merge_join(np.array([1]), np.array([], int))] == [[], []]
     packed = co.unpack(co.pack(a=np.arange(3), b=b"x y\nz", c=np.zeros(0, np.int32)))
