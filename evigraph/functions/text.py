@@ -121,8 +121,26 @@ def name_quality(col: Column, generic: tuple[str, ...] = GENERIC_GROUP_NAMES, sp
     return F.when(col.isNull() | (col == ""), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), score)))
 
 
-def duration_text(seconds: Column) -> Column:
-    return F.when(seconds < 60, F.format_string("%.1fs", seconds)).when(seconds < 3600, F.format_string("%.1fm", seconds / 60)).otherwise(F.format_string("%.1fh", seconds / 3600))
+def one_digit(x: Column) -> Column:
+    """A number from 0 up with one digit, rounded by the exact value of the double, as C and Python print it.
+
+    Java rounds the shortest decimal: 25.95 is stored as a little less, and is 26.0 there instead of 25.9.
+    """
+    # 20 x = 16 x + 4 x: both terms are exact, and so are their sum and what it lost
+    a, b = 16 * x, 4 * x
+    whole = a + b
+    lost = b - (whole - a)
+    tenths = F.floor(whole / 2)
+    rest = (whole - 2 * tenths) - 1
+    up = (rest > 0) | ((rest == 0) & ((lost > 0) | ((lost == 0) & (tenths % 2 == 1))))
+    tenths = tenths + F.when(up, 1).otherwise(0)
+    return F.concat((F.floor(tenths / 10)).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
+def duration_text(seconds: Column, unit: str | None = None) -> Column:
+    """Seconds, minutes or hours with one digit; the unit follows the size unless it is given."""
+    shown = {u: F.concat(one_digit(seconds / k), F.lit(u)) for u, k in (("s", 1), ("m", 60), ("h", 3600))}
+    return shown[unit] if unit else F.when(seconds < 60, shown["s"]).when(seconds < 3600, shown["m"]).otherwise(shown["h"])
 
 
 def clean_model_json(col: Column) -> Column:
