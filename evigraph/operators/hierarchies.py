@@ -6,10 +6,15 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import ladder
+from .clusters import greedy_merges
+from .components import cut_lineage, drop_table
+from .metric import matrix, slices
+from .numbering import numbered
 
 #: Points by ladders of ranges or bars, the first that holds.
 REDUCTION = ((0.40, 0.60, 25.0), (0.30, 0.70, 20.0), (0.20, 0.80, 15.0))
@@ -38,15 +43,6 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / (np.linalg.norm(v, axis=-1, keepdims=True) + 1e-9)
 
 
-def _mean_cosine(unit: np.ndarray) -> float:
-    """Over the pairs of unit vectors, a block of rows at a time."""
-    total = 0.0
-    for at in range(0, len(unit), BLOCK):
-        own = unit[at : at + BLOCK]
-        total += float(np.triu(np.clip(own @ unit[at:].T, 0, 1), 1).sum())
-    return total / (len(unit) * (len(unit) - 1) / 2)
-
-
 def coherence(members: DataFrame) -> DataFrame:
     """cluster_id and the mean cosine, held to 0 to 1, of its pairs of members; clusters of one have none.
 
@@ -83,50 +79,120 @@ def hierarchy_quality(members: DataFrame, pairs: DataFrame, initial: DataFrame,
     return row.withColumns(points(*[F.col(c) for c in names]))
 
 
-def merge_levels(of: list[np.ndarray], vectors: np.ndarray, thresholds: tuple[float, ...]) -> list[list[np.ndarray]]:
-    """Levels from the clusters given (members' positions) upward: at each threshold disjoint pairs merge, most similar first."""
-    levels = [of]
-    for t in thresholds:
-        now = levels[-1]
-        mean = _unit(np.array([vectors[c].mean(axis=0) for c in now])) if now else np.zeros((0, 1))
-        s = np.clip(mean @ mean.T, 0, 1)
-        a, b = np.nonzero(np.triu(s >= t, 1))
-        used, merged = set(), []
-        for k in np.lexsort((b, a, -s[a, b])):
-            x, y = int(a[k]), int(b[k])
-            if x not in used and y not in used:
-                used |= {x, y}
-                merged.append((x, np.concatenate([now[x], now[y]])))
-        levels.append([c for _, c in sorted(merged + [(i, c) for i, c in enumerate(now) if i not in used], key=lambda e: e[0])])
-    return levels
-
-
-def threshold_search(members: DataFrame, steps: tuple[tuple[float, ...], ...] = STEPS, most: int = 100_000) -> DataFrame:
+#: Rows of a block of members, and clusters of a block, two of which meet in a task.
+MEMBERS, CLUSTERS = 8192, 4096
+
+
+def _cosine_sums(rows: DataFrame, size: int, key: str, group: str) -> DataFrame:
+    """``key``, low <= high and total: over the pairs of ``rows`` (key, group, id, vector) of each key, once for each two ``group`` numbers, the sum of their cosines held to 0 to 1.
+
+    Rows are dealt into blocks by a hash and blocks meet pairwise, so no task has more than two of them.
+    """
+    deals = rows.groupBy(key).agg(F.ceil(F.count("*") / size).cast("int").alias("k"))
+    dealt = rows.join(deals, key).withColumn("i", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    meets = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    keyed = meets.select(key, F.col(group).cast("bigint").alias("group"), "vector", "i", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+
+    def run(t: pa.Table) -> pa.Table:
+        low, high, at = t.column("low")[0].as_py(), t.column("high")[0].as_py(), t.column("i").to_numpy()
+        t = t.append_column("at", pa.array(at)).sort_by([("at", "ascending"), ("group", "ascending")])
+        at, of, unit = t.column("at").to_numpy(), t.column("group").to_numpy(), _unit(matrix(t.column("vector")))
+        left, right = np.flatnonzero(at == low), np.flatnonzero(at == high)
+        total: dict[tuple[int, int], float] = {}
+        if len(left) and len(right):
+            starts = np.flatnonzero(np.diff(of[right], prepend=of[right[0]] - 1))
+            for some in slices(len(left), len(right)):
+                own = left[some]
+                s = np.clip(unit[own] @ unit[right].T, 0, 1)
+                if low == high:
+                    s[own[:, None] >= right[None]] = 0
+                rows = np.flatnonzero(np.diff(of[own], prepend=of[own[0]] - 1))
+                sums = np.add.reduceat(np.add.reduceat(s, starts, axis=1), rows, axis=0)
+                for x, line in zip(of[own[rows]].tolist(), sums.tolist(), strict=True):
+                    for y, value in zip(of[right[starts]].tolist(), line, strict=True):
+                        if value:
+                            pair = (x, y) if x <= y else (y, x)
+                            total[pair] = total.get(pair, 0.0) + value
+        lows, highs = zip(*total, strict=True) if total else ((), ())
+        of_key = pa.array([t.column(key)[0].as_py()] * len(total), t.schema.field(key).type)
+        return pa.table([of_key, pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(list(total.values()), pa.float64())], names=[key, "low", "high", "total"])
+
+    found = keyed.groupBy(key, "low", "high").applyInArrow(lambda t: run(t), f"{key} {dict(rows.dtypes)[key]}, low bigint, high bigint, total double")
+    return found.groupBy(key, "low", "high").agg(F.sum("total").alias("total"))
+
+
+def _similar(means: DataFrame, least: float, size: int) -> DataFrame:
+    """way, a < b and similarity: all pairs of a way's clusters (way, c, vector) whose means have a cosine, held to 0 to 1, of ``least`` or more."""
+    deals = means.groupBy("way").agg(F.ceil(F.count("*") / size).cast("int").alias("k"))
+    dealt = means.join(deals, "way").withColumn("i", F.pmod(F.xxhash64("c"), F.col("k")).cast("int"))
+    meets = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    keyed = meets.select("way", "c", "vector", "i", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+
+    def run(t: pa.Table) -> pa.Table:
+        at, ids, unit = t.column("i").to_numpy(), t.column("c").to_numpy(), _unit(matrix(t.column("vector")))
+        left, right = (np.flatnonzero(at == t.column(x)[0].as_py()) for x in ("low", "high"))
+        out = [(ids[:0], ids[:0], np.zeros(0))]
+        for some in slices(len(left), len(right)) if len(right) else ():
+            own = left[some]
+            s = np.clip(unit[own] @ unit[right].T, 0, 1)
+            near = s >= least
+            if t.column("low")[0].as_py() == t.column("high")[0].as_py():
+                near &= ids[own][:, None] < ids[right][None]
+            x, y = np.nonzero(near)
+            a, b = ids[own[x]], ids[right[y]]
+            out.append((np.minimum(a, b), np.maximum(a, b), s[x, y]))
+        a, b, s = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.table({"way": pa.array([t.column("way")[0].as_py()] * len(a), pa.int64()), "a": a, "b": b, "similarity": s})
+
+    return keyed.groupBy("way", "low", "high").applyInArrow(lambda t: run(t), "way bigint, a bigint, b bigint, similarity double")
+
+
+def _vectors(parts: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and vector from rows of (keys, i, x)."""
+    return parts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e.x).alias("vector"))
+
+
+def threshold_search(members: DataFrame, steps: tuple[tuple[float, ...], ...] = STEPS, block: int = MEMBERS, clusters: int = CLUSTERS) -> DataFrame:
     """Every combination of thresholds for the three merging steps, simulated on vectors alone and scored, best first.
 
-    Clusters and their vectors go to each combination's task as a whole, as a search over canonical groups needs;
-    more than ``most`` members are an error, not a sample.
+    At each step disjoint pairs of clusters merge, most similar first. That takes the clusters' sums alone, for all combinations of the steps so far
+    at once (a *way*). Members meet once, in blocks, for the sums of cosines between the clusters given; those of merged ones are sums of these.
     """
     spark = members.sparkSession
-    combos = spark.createDataFrame([tuple(map(float, c)) for c in product(*steps)], "t3 double, t2 double, t1 double")
-    if members.count() > most:
-        raise ValueError(f"more than {most} members: search thresholds on canonical groups")
-    shape = "t3 double, t2 double, t1 double, initial_count long, final_count long, reduction_ratio double, depth int, singleton_ratio double, median_size double, max_size long, coherence double, separation double"
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["cluster_id", "member"])
-        vectors = np.array(block["vector"].tolist(), float)
-        start = [np.flatnonzero(block["cluster_id"].to_numpy() == c) for c in dict.fromkeys(block["cluster_id"])]
-        t = tuple(block.iloc[0][["t3", "t2", "t1"]])
-        top = merge_levels(start, vectors, t)[-1]
-        size = np.array([len(c) for c in top])
-        unit = _unit(vectors)
-        inside = [_mean_cosine(unit[c]) for c in top if len(c) > 1]
-        mean = _unit(np.array([vectors[c].mean(axis=0) for c in top]))
-        between = np.clip(mean @ mean.T, 0, 1)[np.triu_indices(len(top), 1)]
-        out = (*t, len(start), len(top), 1 - len(top) / len(start), 3, float((size == 1).mean()), float(np.median(size)), int(size.max()), float(np.mean(inside)) if inside else 0.5, 1 - float(between.mean()) if len(between) else 1.0)
-        return pd.DataFrame([out], columns=[f.split()[0] for f in shape.split(", ")])
-
-    rows = combos.crossJoin(members.select("cluster_id", "member", "vector")).groupBy("t3", "t2", "t1").applyInPandas(run, shape)
+    # clusters by number, in order of their ids
+    members = members.filter("vector IS NOT NULL")
+    named = numbered(members.select("cluster_id").distinct(), ["cluster_id"], "base", first=0)
+    base = cut_lineage(members.join(named, "cluster_id").select("base", F.col("member").alias("id"), "vector"), "base")
+    parts = base.select("base", F.posexplode("vector").alias("i", "x")).groupBy("base", "i").agg(F.sum("x").alias("x"))
+    sums = cut_lineage(_vectors(parts, "base").join(base.groupBy("base").agg(F.count("*").alias("n")), "base"), "sums")
+    count = sums.agg(F.coalesce(F.max("base"), F.lit(-1))).first()[0] + 1
+    # a way's clusters, each named by the first of those it is made of
+    now = cut_lineage(sums.select(F.lit(0).cast("bigint").alias("way"), F.col("base").alias("c"), "base"), "level")
+    for tried in steps:
+        x = now.join(sums.select("base", "n", F.posexplode("vector").alias("i", "x")), "base").groupBy("way", "c", "i").agg((F.sum("x") / F.sum("n")).alias("x"))
+        near = cut_lineage(_similar(_vectors(x, "way", "c"), min(tried), clusters), "similar")
+        each = F.explode(F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"), F.lit(float(t)).alias("t")) for k, t in enumerate(tried)])).alias("e")
+        ways = near.select("*", each).filter("similarity >= e.t").select((F.col("way") * len(tried) + F.col("e.k")).alias("way"), "a", "b", "similarity")
+        # ways in one table: their clusters' numbers lie apart
+        joined = greedy_merges(ways.select((F.col("way") * count + F.col("a")).alias("a"), (F.col("way") * count + F.col("b")).alias("b"), "similarity"))
+        into = joined.select(F.floor(F.col("b") / count).cast("bigint").alias("way"), (F.col("b") % count).alias("c"), (F.col("a") % count).alias("into"))
+        grown = now.select("way", "c", "base", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(len(tried) - 1).cast("bigint"))).alias("k")).select((F.col("way") * len(tried) + F.col("k")).alias("way"), "c", "base")
+        before, now = now, cut_lineage(grown.join(into, ["way", "c"], "left").select("way", F.coalesce("into", "c").alias("c"), "base"), "level")
+        drop_table(before, near)
+    size = cut_lineage(now.join(sums.select("base", "n"), "base").groupBy("way", "c").agg(F.sum("n").alias("n")), "sizes")
+    shape = size.groupBy("way").agg(F.count("*").alias("final_count"), F.avg((F.col("n") == 1).cast("double")).alias("singleton_ratio"), F.median("n").alias("median_size"), F.max("n").alias("max_size"))
+    between = cut_lineage(_cosine_sums(base.select(F.lit(0).alias("all"), "base", "id", "vector"), block, "all", "base").select("low", "high", "total"), "between")
+    low, high = (now.select("way", F.col("c").alias(f"c_{x}"), F.col("base").alias(x)) for x in ("low", "high"))
+    inner = between.join(low, "low").join(high, ["way", "high"]).filter("c_low = c_high").groupBy("way", F.col("c_low").alias("c")).agg(F.sum("total").alias("total"))
+    inside = size.filter("n > 1").join(inner, ["way", "c"], "left").groupBy("way").agg(F.avg(F.coalesce("total", F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)).alias("coherence"))
+    x = now.join(sums.select("base", "n", F.posexplode("vector").alias("i", "x")), "base").groupBy("way", "c", "i").agg((F.sum("x") / F.sum("n")).alias("x"))
+    apart = _cosine_sums(_vectors(x, "way", "c").select("way", F.lit(0).alias("one"), F.col("c").alias("id"), "vector"), clusters, "way", "one").select("way", "total")
+    combos = [(k, *map(float, c)) for k, c in enumerate(product(*steps))]
+    rows = F.broadcast(spark.createDataFrame(combos, "way bigint, t3 double, t2 double, t1 double")).join(shape, "way").join(inside, "way", "left").join(apart, "way", "left")
+    pairs = F.col("final_count") * (F.col("final_count") - 1) / 2
+    rows = rows.select(
+        "t3", "t2", "t1", F.lit(count).cast("bigint").alias("initial_count"), "final_count", (1 - F.col("final_count") / F.lit(count)).alias("reduction_ratio"), F.lit(3).alias("depth"), "singleton_ratio",
+        F.col("median_size").cast("double").alias("median_size"), "max_size", F.coalesce("coherence", F.lit(0.5)).alias("coherence"), F.when(pairs > 0, 1 - F.coalesce("total", F.lit(0.0)) / pairs).otherwise(1.0).alias("separation"),
+    )
     names = ("reduction_ratio", "depth", "singleton_ratio", "median_size", "max_size", "coherence", "separation")
     return rows.withColumns(points(*[F.col(c) for c in names])).orderBy(F.desc("composite_score"), "t3", "t2", "t1")

@@ -314,6 +314,22 @@ def test_threshold_search_against_a_plain_simulation(spark):
     assert best.composite_score == best.reduction_score + best.depth_score + best.size_score + best.coherence_score + best.separation_score
 
 
+def test_threshold_search_in_blocks(spark):
+    """No number of members is refused, as a task has two blocks of them at most."""
+    from evigraph.operators import hierarchies as hi
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(9, 6))
+    rows = [(c, 10 * c + k, [float(x) for x in base[c // 2] + 0.4 * rng.normal(size=6)]) for c in range(9) for k in range(1 + c % 3)]
+    members = spark.createDataFrame(rows, "cluster_id int, member bigint, vector array<double>")
+    tried = ((0.2, 0.95), (0.2, 0.9), (0.95,))
+    got, some = ({(r.t3, r.t2, r.t1): r for r in hi.threshold_search(members, tried, **sizes).collect()} for sizes in ({}, {"block": 4, "clusters": 2}))
+    assert len(got) == 4 and len({r.final_count for r in got.values()}) > 1
+    for k, r in got.items():
+        assert tuple(some[k]) == pytest.approx(tuple(r), abs=1e-9)
+
+
+
 def test_coherence_in_blocks(spark, monkeypatch):
     from evigraph.operators import hierarchies as hi
 
