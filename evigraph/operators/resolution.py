@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_term, token_sort_ratio
+from ..functions.text import indel_ratio, normalize_term, sort_tokens
 from .numbering import numbered
 
+#: Shortened forms of a name, on average, up to which names meet by these.
+FORMS = 200
+
 
 def best_mapping(terms: DataFrame, mappings: DataFrame) -> DataFrame:
     """Each term's mapping of greatest confidence, by name in a tie; null where there is none."""
@@ -38,10 +43,49 @@ def group_names(names: DataFrame) -> DataFrame:
     return out.withColumns({"mapping_confidence": F.when(same, 1.0).otherwise(0.9), "consensus": F.least(F.lit(0.98), F.col("mean") + 0.1)}).drop("k", "mean")
 
 
-def candidate_pairs(names: DataFrame, block_col: str, least: float = 0.6) -> DataFrame:
-    """Pairs of names that may mean the same: compared inside blocks, by token-sorted edit ratio."""
-    a, b = (names.select(F.col(block_col), F.col("name").alias(x)).distinct() for x in "ab")
-    pairs = a.join(b, block_col).filter("a < b").withColumn("similarity", token_sort_ratio(F.col("a"), F.col("b")))
+def shortened(lengths: list[int], least: float) -> dict[int, list[int]]:
+    """For each of the lengths how many characters to leave out, so that any two texts of an edit ratio of ``least`` have a shortened form in common.
+
+    Twice the longest common subsequence over both lengths is the ratio, so two texts of m and n characters have one of ``least * (m + n) / 2``.
+    """
+    out: dict[int, set[int]] = {m: set() for m in lengths}
+    for m in lengths:
+        for n in lengths:
+            common = max(0, math.ceil(least * (m + n) / 2 - 1e-9))
+            if common <= min(m, n):
+                out[m].add(m - common)
+    return {m: sorted(x) for m, x in out.items()}
+
+
+def _forms(text: Column, leave: Column, most: int) -> Column:
+    """The text without as many of its characters as ``leave`` names, in all ways, up to ``most``."""
+    one_less = lambda s: F.when(F.length(s) > 0, F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))).otherwise(F.array().cast("array<string>"))
+    none, now, out = F.array().cast("array<string>"), F.array(text), []
+    for k in range(most + 1):
+        out.append(F.when(F.array_contains(leave, k), now).otherwise(none))
+        now = F.when(F.array_max(leave) > k, F.array_distinct(F.flatten(F.transform(now, one_less)))).otherwise(none)
+    return F.concat(*out)
+
+
+def candidate_pairs(names: DataFrame, block_col: str, least: float = 0.6, forms: int = FORMS) -> DataFrame:
+    """Pairs of names that may mean the same: compared inside blocks, by token-sorted edit ratio.
+
+    A high ratio leaves few characters out, so names that have a shortened form in common are all that can reach it, and rows grow with
+    these. Where a name has more than ``forms`` of them on average (low ratios, long names), all pairs of a block are compared.
+    """
+    known = names.select(F.col(block_col).alias("_block"), "name").distinct().filter("name IS NOT NULL AND _block IS NOT NULL").withColumn("_text", sort_tokens(F.col("name")))
+    sizes = {n: k for n, k in known.groupBy(F.length("_text").alias("n")).count().collect()}  # one row a length
+    leave = shortened(list(sizes), least)
+    each = sum(k * sum(math.comb(n, x) for x in leave[n]) for n, k in sizes.items())
+    sides = [known.select("_block", F.col("name").alias(x), F.col("_text").alias(f"_{x}")) for x in "ab"]
+    if each <= forms * sum(sizes.values()):
+        counts = F.create_map(*[c for n, x in leave.items() for c in (F.lit(n), F.array(*map(F.lit, x)).cast("array<int>"))]) if leave else F.lit(None).cast("map<int,array<int>>")
+        most = max((x[-1] for x in leave.values() if x), default=0)
+        a, b = (side.withColumn("_form", F.explode(_forms(F.col(f"_{x}"), F.element_at(counts, F.length(f"_{x}")), most))) for x, side in zip("ab", sides, strict=True))
+        met = a.join(b, ["_block", "_form"]).filter("a < b").select("_block", "a", "b", "_a", "_b").distinct()
+    else:
+        met = sides[0].join(sides[1], "_block").filter("a < b")
+    pairs = met.select(F.col("_block").alias(block_col), "a", "b", indel_ratio(F.col("_a"), F.col("_b")).alias("similarity"))
     return pairs.filter(F.col("similarity") >= least)
 
 
