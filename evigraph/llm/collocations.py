@@ -7,12 +7,15 @@ that follow (and with the list of frequent phrases that starts one position late
 every frequent longer phrase has one): what is left are the lists of the phrases of k + 1
 words, whose lengths are their exact numbers of occurrences in the shard.
 
-Lengths of one phrase are summed over shards in *buckets* by hash of the phrase. Lists never
-leave their shard: per level, a shard sends (phrase, length) pairs, packed in arrays by bucket,
-and gets back the phrases that are frequent in all shards together, with a number and a total
-each. A frequent phrase is written out by one of its shards, which has its words and the totals
-of all its parts. So no word, however common, has more than one entry for each shard anywhere,
-and no phrase table is broadcast. Beyond ``LANES`` buckets or shards, packed arrays go by way of
+Lengths of one phrase are summed over shards in *buckets*, of words by hash and of phrases by
+the remainder of their key, so that only the quotient travels. Lists never leave their shard:
+per level, a shard sends (phrase, length) pairs, packed in arrays by bucket, and gets back the
+phrases that are frequent in all shards together, with a number and a total each. Only the
+words' lists and these answers are stored, once: each level merges the lists of shorter phrases
+anew from them, so that no level has lists of its own on disk, and what a level shuffles is
+removed when it is summed up. A frequent phrase is written out by one of its shards at the end,
+which has its words and the totals of all its parts. So no word, however common, has more than
+one entry for each shard anywhere, and no phrase table is broadcast. Beyond ``LANES`` buckets or shards, packed arrays go by way of
 lanes, where arrays from many senders are gathered and cut again, so that their number grows
 with the input and not with its square.
 
@@ -32,6 +35,7 @@ import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 from itertools import count
 
@@ -58,36 +62,50 @@ TOGETHER = 8
 #: Bytes of a packed value that travel as one.
 PIECE = 200_000
 
-#: What a step writes, by kind: a shard's lists (to is the shard), lengths of its phrases (to is the bucket or its lane), phrases that are written out.
-_FIELDS = pa.schema([
-    ("kind", pa.string()), ("home", pa.int64()), ("to", pa.int64()), ("lang", pa.string()), ("lists", pa.binary()), ("data", pa.binary()), ("words", pa.int64()), ("level", pa.int32()), ("id", pa.int64()),
-    ("phrase", pa.string()), ("a", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64())), ("inside", pa.list_(pa.int64())),
+#: A shard in pieces, which come in the order of ``part``: its words with their lists' lengths (head), and the lists' positions.
+_SHARD_FIELDS = pa.schema([("home", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("part", pa.int32()), ("n", pa.int64()), ("head", pa.binary()), ("positions", pa.binary())])
+_SHARD = "home bigint, shard bigint, lang string, part int, n bigint, head binary, positions binary"
+#: Phrases that are written out.
+_FOUND_FIELDS = pa.schema([
+    ("lang", pa.string()), ("level", pa.int32()), ("id", pa.int64()), ("phrase", pa.string()), ("a", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64())), ("inside", pa.list_(pa.int64())),
 ])
-_SHAPE = "kind string, home bigint, to bigint, lang string, lists binary, data binary, words bigint, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
+_FOUND = "lang string, level int, id bigint, phrase string, a bigint, l array<bigint>, r array<bigint>, inside array<bigint>"
 #: Packed entries on their way.
 _SENT = "to bigint, lang string, data binary, top bigint"
 _SENT_FIELDS = pa.schema([("to", pa.int64()), ("lang", pa.string()), ("data", pa.binary()), ("top", pa.int64())])
 
 
-def _rows(n: int, **values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in _FIELDS], schema=_FIELDS)
+def _pieces(home: int, shard: int, lang: str, n: int, **packed: bytes) -> pa.RecordBatch:
+    """Packed columns in pieces, as large values are a burden to the JVM; n, the words that have positions, stands in the first row."""
+    cut = [(name, value[at : at + PIECE]) for name, value in packed.items() for at in range(0, len(value), PIECE)]
+    rows = len(cut)
+    columns = {"home": [home] * rows, "shard": [shard] * rows, "lang": [lang] * rows, "part": range(rows), "n": [n] + [0] * (rows - 1)}
+    columns |= {c: [v if name == c else None for name, v in cut] for c in ("head", "positions")}
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _SHARD_FIELDS], schema=_SHARD_FIELDS)
 
 
-def _lists(home: int, shard: int, lang: str, value: bytes, words: int = 0) -> pa.RecordBatch:
-    """Packed lists in pieces (level is their order), as large values are a burden to the JVM."""
-    cut = [value[at : at + PIECE] for at in range(0, len(value), PIECE)]
-    n = len(cut)
-    return _rows(n, kind=["lists"] * n, home=[home] * n, to=[shard] * n, lang=[lang] * n, level=list(range(n)), lists=cut, words=[words] + [0] * (n - 1))
+def _whole(table: pa.Table, column: str) -> dict[tuple[int, str], dict]:
+    """The unpacked column of each shard."""
+    held: dict[tuple[int, str], list[tuple[int, bytes]]] = {}
+    for shard, lang, part, piece in zip(*(table.column(c).to_pylist() for c in ("shard", "lang", "part", column)), strict=True):
+        if piece is not None:
+            held.setdefault((shard, lang), []).append((part, piece))
+    return {k: unpack(b"".join(piece for _, piece in sorted(v))) for k, v in held.items()}
+
+
+def _sent(to: list[int], data: list[bytes], lang: str | None = None, top: int = 0) -> pa.RecordBatch:
+    n = len(to)
+    return pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([lang] * n, pa.string()), pa.array(data, pa.binary()), pa.array([top] * n, pa.int64())], schema=_SENT_FIELDS)
 
 
 def pack(**arrays: np.ndarray | bytes) -> bytes:
-    """Arrays of whole numbers and bytes as one compressed value. Numbers are laid out by their bytes, of which the higher ones are mostly alike; ascending ones as differences."""
+    """Arrays of whole numbers and bytes as one compressed value. Numbers are laid out by their bytes, of which the higher ones are mostly alike; ascending ones as differences, and those that ascend for the most part."""
     head, parts = [], []
     for name, v in arrays.items():
         kind = "b"
         if not isinstance(v, bytes):
             kind = v.dtype.str
-            if len(v) > 1 and (np.diff(v) >= 0).all() or name == "positions":
+            if len(v) > 1 and (np.diff(v) >= 0).all() or name in ("positions", "keys"):
                 kind, v = kind + "+", np.diff(v, prepend=v.dtype.type(0))
             v = v.view(np.uint8).reshape(len(v), v.dtype.itemsize).T.tobytes()
         head.append(f"{name}:{kind}:{len(v)}")
@@ -130,8 +148,8 @@ def word_buckets(d: dict, buckets: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, d["words"]), np.int64, len(d["words"])) % buckets
 
 
-def phrase_buckets(d: dict, buckets: int) -> np.ndarray:
-    return (mix(d["keys"]) % np.uint64(buckets)).astype(np.int64)
+def phrase_buckets(d: dict, _: int) -> np.ndarray:
+    return d["buckets"]
 
 
 def shards_of(d: dict, _: int) -> np.ndarray:
@@ -155,7 +173,7 @@ def split(to: np.ndarray, d: dict) -> tuple[list[int], list[bytes]]:
 
 
 def _top(d: dict) -> int:
-    """What all numbers of phrases in packed entries are below."""
+    """What all numbers of phrases in packed entries are below, each in its bucket."""
     return int(d["ids"].max(initial=-1)) + 1 if "ids" in d else 0
 
 
@@ -167,8 +185,7 @@ def relay(batches: Iterator[pa.RecordBatch], destination, n: int) -> Iterator[pa
     def send() -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
             d = joined(parts)
-            to, data = split(destination(d, n), d)
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([lang] * len(to), pa.string()), pa.array(data, pa.binary()), pa.array([_top(d)] * len(to), pa.int64())], schema=_SENT_FIELDS)
+            yield _sent(*split(destination(d, n), d), lang, _top(d))
         held.clear()
 
     for batch in batches:
@@ -201,8 +218,8 @@ def merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hit, at[hit]
 
 
-def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, stops: int) -> Iterator[pa.RecordBatch]:
-    """Shards of a task's texts: rows of lists, and of word lengths by bucket."""
+def index(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
+    """Shards of a task's texts."""
     held: dict[str, tuple[dict, list]] = {}
     sizes: dict[str, int] = {}
     shards, task = 0, TaskContext.get().partitionId()
@@ -216,11 +233,7 @@ def index(batches: Iterator[pa.RecordBatch], shard_words: int, buckets: int, sto
             return
         shard = task << 32 | shards
         shards += 1
-        home = shard - shard % TOGETHER
-        yield _lists(home, shard, lang, pack(words=packed_words(words), lengths=lengths, positions=positions), len(positions))
-        d = {"names": np.arange(len(words)), "words": words, "lengths": lengths, "shards": np.full(len(words), shard)}
-        to, data = split(lanes(word_buckets(d, buckets), stops), d)
-        yield _rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, lang=[lang] * len(to), data=data)
+        yield _pieces(shard - shard % TOGETHER, shard, lang, len(positions), head=pack(words=packed_words(words), lengths=lengths), positions=pack(positions=positions))
 
     for batch in batches:
         for part in runs(batch, 1):
@@ -256,82 +269,98 @@ def count_phrases(group: pa.Table) -> tuple[dict, np.ndarray, int]:
     return d, of, len(known)
 
 
-def answers(group: pa.Table, counted, least: int, buckets: int, stops: int) -> pa.Table:
-    """The frequent phrases of a bucket for each shard that has them: the shard's own key, the phrase's number, its total, and whether the shard writes it out."""
+def answers(group: pa.Table, counted, least: int, stops: int) -> pa.Table:
+    """The frequent phrases of a bucket for each shard that has them: the shard's own key, the phrase's number in the bucket, its total, and whether the shard writes it out."""
     d, of, n = counted(group)
     total, writer = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max)
     np.add.at(total, of, d["lengths"])
     np.minimum.at(writer, of, d["shards"])
-    number = (np.cumsum(total >= least) - 1) * buckets + group.column("to")[0].as_py()
+    number = np.cumsum(total >= least) - 1  # of those in the bucket
     kept = total[of] >= least
     of, shards = of[kept], d["shards"][kept]
-    back = {"keys": d["keys"][kept], "ids": number[of], "totals": total[of], "own": (writer[of] == shards).astype(np.int8), "shards": shards}
-    to, data = split(lanes(shards, stops), back)
-    return pa.table([to, [None] * len(to), data, [_top(back)] * len(to)], schema=_SENT_FIELDS)
-
-
-def extend(level: int, bits: int, buckets: int, stops: int, longest: int, shards: pa.Table, answers: pa.Table) -> pa.Table:
-    """The next step of shards that are kept together."""
-    back: dict[int, list[dict]] = {}
-    for to, data in zip(answers.column("to").to_pylist(), answers.column("data").to_pylist(), strict=True):
-        back.setdefault(to, []).append(unpack(data))
-    held: dict[tuple, dict[int, bytes]] = {}
-    for home, number, lang, k, piece in zip(*(shards.column(c).to_pylist() for c in ("home", "to", "lang", "level", "lists")), strict=True):
-        held.setdefault((home, number, lang), {})[k] = piece
-    out = []
-    for home, number, lang in list(held):
-        pieces_ = held.pop((home, number, lang))
-        if number in back:
-            out += extended(level, bits, buckets, stops, longest, home, number, lang, unpack(b"".join(pieces_[k] for k in range(len(pieces_)))), joined(back.pop(number)))
-    return pa.Table.from_batches(out, _FIELDS)
+    bucket = np.full(len(of), group.column("to")[0].as_py())
+    back = {"keys": d["keys"][kept], "ids": number[of], "totals": total[of], "own": (writer[of] == shards).astype(np.int8), "shards": shards, "buckets": bucket}
+    return pa.Table.from_batches([_sent(*split(lanes(shards, stops), back), top=_top(back))])
 
 
-def extended(level: int, bits: int, buckets: int, stops: int, longest: int, home: int, number: int, lang: str, d: dict, back: dict) -> list[pa.RecordBatch]:
-    """A shard's next step: lists of its frequent phrases of ``level`` words, from those that the answers name.
-
-    Writes its own phrases out, and the lengths of candidates one word longer, with the lists that these need.
-    """
-    # frequent phrases first: their places are small numbers
-    order = np.lexsort((back["keys"], -back["totals"]))
-    keys, ids, totals, own = (back[c][order] for c in ("keys", "ids", "totals", "own"))
-    if level == 1:
-        # only frequent words keep their lists: names become places among them
-        words = d["words"].split(b" ")
-        new = np.full(len(words), -1)
-        new[keys] = np.arange(len(keys))
-        named = np.repeat(new, d["lengths"])
-        kept = named >= 0
-        order = np.argsort(d["positions"][kept], kind="stable")
-        lists = {1: (ids, totals, d["positions"][kept][order], named[kept][order].astype(np.int32), own)}
-        text = np.array(words, object)[keys]
-    else:
-        text = np.array(d["text"].split(b" "), object)
-        lists = {k: (d[f"ids{k}"], d[f"totals{k}"], d[f"at{k}"], d[f"of{k}"], None) for k in range(1, level)}
-        candidate, at = _joined(lists, level, bits)
-        order = np.argsort(keys)
-        place = np.searchsorted(keys, candidate, sorter=order)
-        place = order[np.where(place == len(keys), 0, place)]
-        hit = keys[place] == candidate
-        lists[level] = (ids, totals, at[hit], place[hit].astype(np.int32), own)
+def word_lengths(shards: pa.Table, buckets: int, stops: int) -> pa.Table:
+    """What shards that are kept together send of their words."""
     out = []
-    if level > 1 and own.any():
-        out.append(_written(lists, level, np.flatnonzero(lists[level][4]), text, lang, home))
-    if level < longest and len(lists[level][2]):
-        key, _ = _joined(lists, level + 1, bits)
-        if len(key):
-            unique, n = np.unique(key, return_counts=True)
-            sent = {"keys": unique, "lengths": n, "shards": np.full(len(unique), number)}
-            to, data = split(lanes(phrase_buckets(sent, buckets), stops), sent)
-            out.append(_rows(len(to), kind=["lengths"] * len(to), home=[home] * len(to), to=to, data=data))
-            kept = _needed(lists, level)
-            data = {f"{c}{k}": v for k, columns in kept.items() for c, v in zip(("ids", "totals", "at", "of"), columns, strict=True)}
-            out.append(_lists(home, number, lang, pack(text=packed_words(text), **data)))
-    return out
+    for (shard, lang), d in _whole(shards, "head").items():
+        words = np.array(d["words"].split(b" "), object)
+        sent = {"names": np.arange(len(words)), "words": words, "lengths": d["lengths"], "shards": np.full(len(words), shard)}
+        out.append(_sent(*split(lanes(word_buckets(sent, buckets), stops), sent), lang))
+    return pa.Table.from_batches(out, _SENT_FIELDS)
+
+
+def told_lists(shards: pa.Table, answers: pa.Table, level: int, bits: int, buckets: int) -> Iterator[tuple[int, str, np.ndarray, dict]]:
+    """For each shard that has frequent words: its number, its language, these words, and its lists of frequent phrases of up to ``level`` words, as far as it has any."""
+    back: dict[int, dict[int, list[dict]]] = {}
+    for k, to, data in zip(*(answers.column(c).to_pylist() for c in ("level", "to", "data")), strict=True):
+        back.setdefault(to, {}).setdefault(k, []).append(data)
+    heads, positions = _whole(shards, "head"), _whole(shards, "positions")
+    for shard, lang in list(heads):
+        head, at = heads.pop((shard, lang)), positions.pop((shard, lang))["positions"]
+        told = {k: joined([unpack(v) for v in data]) for k, data in back.pop(shard, {}).items() if k <= level}
+        for k, d in told.items():
+            d["ids"] = d["ids"] * buckets + d["buckets"]
+            if k > 1:
+                d["keys"] = d["keys"] * buckets + d["buckets"]
+        if told:
+            yield shard, lang, *frequent_lists(head, at, told, bits)
+
+
+def frequent_lists(head: dict, positions: np.ndarray, told: dict[int, dict], bits: int) -> tuple[np.ndarray, dict]:
+    """A shard's frequent words, and by number of words its frequent phrases' numbers and totals, the positions at which they begin, the place of the phrase at each, and whether the shard writes it out."""
+    keys = told[1]["keys"]
+    place = np.full(len(head["lengths"]), -1, np.int32)
+    place[keys] = np.arange(len(keys))
+    names = np.full(int(positions.max()) + 1, -1, np.int32)
+    names[positions] = np.repeat(place, head["lengths"])
+    at = np.flatnonzero(names >= 0).astype(np.int32)
+    lists = {1: (told[1]["ids"], told[1]["totals"], at, names[at], told[1]["own"])}
+    for k in range(2, max(told) + 1):
+        order = np.argsort(told[k]["keys"])
+        keys, ids, totals, own = (told[k][c][order] for c in ("keys", "ids", "totals", "own"))
+        candidate, at = _joined(lists, k, bits)
+        of = np.minimum(np.searchsorted(keys, candidate), len(keys) - 1).astype(np.int32)
+        hit = keys[of] == candidate
+        lists[k] = (ids, totals, at[hit], of[hit], own)
+    return np.array(head["words"].split(b" "), object)[told[1]["keys"]], lists
+
+
+def phrase_lengths(shards: pa.Table, answers: pa.Table, level: int, bits: int, buckets: int, stops: int) -> pa.Table:
+    """What shards that are kept together send of their candidates of ``level`` words."""
+    out = []
+    for shard, _, _, lists in told_lists(shards, answers, level - 1, bits, buckets):
+        if level - 1 in lists:
+            keys, n = np.unique(_joined(lists, level, bits)[0], return_counts=True)
+            bucket = keys % buckets
+            order = np.argsort(bucket, kind="stable")
+            sent = {"keys": keys[order] // buckets, "buckets": bucket[order], "lengths": n[order], "shards": np.full(len(keys), shard)}
+            out.append(_sent(*split(lanes(phrase_buckets(sent, buckets), stops), sent)))
+    return pa.Table.from_batches(out, _SENT_FIELDS)
+
+
+def written_out(shards: pa.Table, answers: pa.Table, longest: int, bits: int, buckets: int) -> pa.Table:
+    """The phrases of two words or more that shards kept together write out."""
+    out = []
+    for _, lang, text, lists in told_lists(shards, answers, longest, bits, buckets):
+        for level in range(2, max(lists) + 1):
+            own = np.flatnonzero(lists[level][4])
+            if len(own):
+                out.append(_written(lists, level, own, text, lang))
+    return pa.Table.from_batches(out, _FOUND_FIELDS)
 
 
-def _extension(*known: int):
-    """``extend`` as a function of two tables alone."""
-    return lambda shards, answers: extend(*known, shards, answers)
+def _alone(f, *known):
+    """``f`` as a function of one table alone."""
+    return lambda shards: f(shards, *known)
+
+
+def _told(f, *known):
+    """``f`` as a function of two tables alone."""
+    return lambda shards, answers: f(shards, answers, *known)
 
 
 def _joined(lists: dict, level: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -347,26 +376,15 @@ def _joined(lists: dict, level: int, bits: int) -> tuple[np.ndarray, np.ndarray]
     return ids[of[a]] << bits | word_ids[last], at[a]
 
 
-def _needed(lists: dict, level: int) -> dict:
-    """The lists without positions that no longer phrase can use: those outside occurrences of the frequent phrases of ``level`` words."""
-    start = lists[level][2]
-    out = {}
-    for k, (ids, totals, at, of, _) in lists.items():
-        before = np.searchsorted(start, at, "right") - 1  # the last occurrence that begins at or before
-        kept = (before >= 0) & (at + k <= start[np.maximum(before, 0)] + level) if k < level else np.ones(len(at), bool)
-        # an earlier occurrence ends earlier, so the last one decides
-        out[k] = (ids, totals, at[kept].astype(np.int32), of[kept].astype(np.int32))
-    return out
-
-
-def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str, home: int) -> pa.RecordBatch:
+def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: str) -> pa.RecordBatch:
     """One row for each own phrase, read off one of its occurrences: its words, its parts' totals, and the phrases inside it."""
     ids, totals, at, of, _ = lists[level]
     first = np.zeros(len(ids), np.int64)
     first[of[::-1]] = at[::-1]
     start = first[own]
     word, value, inner = {}, {}, {}
-    for k, (k_ids, k_totals, k_at, k_of, _) in lists.items():
+    for k in range(1, level + 1):
+        k_ids, k_totals, k_at, k_of, _ = lists[k]
         for shift in range(level - k + 1):
             place = k_of[np.searchsorted(k_at, start + shift)]
             value[k, shift], inner[k, shift] = k_totals[place], k_ids[place]
@@ -378,27 +396,46 @@ def _written(lists: dict, level: int, own: np.ndarray, text: np.ndarray, lang: s
     inside = [np.stack([np.full(len(own), k), inner[k, s]], 1) for k in range(2, level) for s in range(level - k + 1)]
     inside = np.concatenate(inside, 1) if inside else np.zeros((len(own), 0), np.int64)
     n = len(own)
-    return _rows(n, kind=["found"] * n, home=[home] * n, lang=[lang] * n, level=[level] * n, id=ids[own], phrase=[p.decode() for p in phrases], a=totals[own], l=left.tolist(), r=right.tolist(), inside=inside.tolist())
+    columns = {"lang": [lang] * n, "level": [level] * n, "id": ids[own], "phrase": [p.decode() for p in phrases], "a": totals[own], "l": left.tolist(), "r": right.tolist(), "inside": inside.tolist()}
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _FOUND_FIELDS], schema=_FOUND_FIELDS)
 
 
 class _Table:
-    """A step's rows in the shared folder, bucketed by home, so that lists are not shuffled again. Kinds have columns of their own, so a reader of one leaves the others."""
+    """A table in the shared folder, bucketed by home, so that what is kept together is not shuffled when it is read."""
 
-    def __init__(self, rows: DataFrame, buckets: int):
-        self.spark: SparkSession = rows.sparkSession
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets = spark, buckets
         self.name = f"collocations_{uuid.uuid4().hex}"
-        at = f"{shared_dir(self.spark)}/{self.name}"
+        self._shared_path = f"{shared_dir(spark)}/{self.name}"
+
+    def add(self, rows: DataFrame) -> None:
         # what is packed is compressed already, and compressors of many files hold memory outside the heap
-        rows.write.bucketBy(buckets, "home").option("path", at).option("compression", "uncompressed").saveAsTable(self.name)
-        self.all = self.spark.table(self.name)
-        self.all._shared_path = at
+        rows.write.mode("append").bucketBy(self.buckets, "home").option("path", self._shared_path).option("compression", "uncompressed").saveAsTable(self.name)
 
-    def of(self, kind: str) -> DataFrame:
-        return self.all.filter(F.col("kind") == kind)
+    @property
+    def all(self) -> DataFrame:
+        return self.spark.table(self.name)
 
     def drop(self) -> None:
+        back = self.all
+        back._shared_path = self._shared_path
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        drop_tables(self.all)
+        drop_tables(back)
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes what a query has shuffled when that query ends, and not when the driver happens to collect its garbage: here each query runs once, and writes its result."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _delivered(rows: DataFrame, stops: int, destination, n: int) -> DataFrame:
@@ -406,11 +443,6 @@ def _delivered(rows: DataFrame, stops: int, destination, n: int) -> DataFrame:
     return rows.repartition("to").mapInArrow(partial(relay, destination=destination, n=n), _SENT) if stops else rows
 
 
-def _answering(*known):
-    """``answers`` as a function of one table alone."""
-    return lambda group: answers(group, *known)
-
-
 def mine(
     docs: DataFrame, least: int = 30, longest: int = 4, lang_col: str = "lang", text_col: str = "text", shard_words: int = SHARD_WORDS, bucket_words: int = BUCKET_WORDS, direct: int = LANES
 ) -> tuple[DataFrame, DataFrame]:
@@ -421,35 +453,44 @@ def mine(
     """
     spark = docs.sparkSession
     ship(spark)
-    cut = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
+    with _shuffles_removed(spark):
+        return _mined(docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")), least, longest, shard_words, bucket_words, direct)
+
+
+def _mined(cut: DataFrame, least: int, longest: int, shard_words: int, bucket_words: int, direct: int) -> tuple[DataFrame, DataFrame]:
     # about six bytes a word
     words = int(cut.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]) // 6
-    buckets = max(8, words // bucket_words)
+    buckets = max(9, words // bucket_words) | 1  # odd, so that the remainder of a key depends on both its numbers
     outward = direct if buckets > direct else 0
     # tasks that hold shards: a setting of Spark bounds how many a table may have
-    folders = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // (16 * shard_words)))
-    step = _Table(cut.mapInArrow(partial(index, shard_words=shard_words, buckets=buckets, stops=outward), _SHAPE), folders)
-    totals = persist_table(step.of("lists").groupBy("lang").agg(F.sum("words").alias("n")), "totals")
-    homeward = direct if step.of("lists").filter("level = 0").count() > direct else 0
-    found, bits = None, 0
+    folders = min(100_000, max(int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")), words // (16 * shard_words)))
+    shards, told = (_Table(cut.sparkSession, folders) for _ in range(2))
+    shards.add(cut.mapInArrow(partial(index, shard_words=shard_words), _SHARD))
+    totals = persist_table(shards.all.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    homeward = direct if shards.all.filter("part = 0").count() > direct else 0
+    bits = 0
+
+    def by_home(f, shape: str) -> DataFrame:
+        """Of shards that are kept together and all that they were told."""
+        return shards.all.groupBy("home").cogroup(told.all.groupBy("home")).applyInArrow(f, shape)
+
     for level in range(1, longest + 1):
-        counted, hashed = (count_words, word_buckets) if level == 1 else (count_phrases, phrase_buckets)
-        sent = _delivered(step.of("lengths").select("to", "lang", "data", F.lit(0).cast("bigint").alias("top")), outward, hashed, buckets)
-        told = sent.groupBy("to").applyInArrow(_answering(counted, least, buckets, homeward), _SENT)
-        told = persist_table(_delivered(told, homeward, shards_of, 0), "answers")
-        width = int(told.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]).bit_length()
+        if level == 1:
+            counted, hashed = count_words, word_buckets
+            sent = shards.all.filter("head IS NOT NULL").select("home", "shard", "lang", "part", "head").groupBy("home").applyInArrow(_alone(word_lengths, buckets, outward), _SENT)
+        else:
+            counted, hashed = count_phrases, phrase_buckets
+            sent = by_home(_told(phrase_lengths, level, bits, buckets, outward), _SENT)
+        back = _delivered(sent, outward, hashed, buckets).groupBy("to").applyInArrow(_alone(answers, counted, least, homeward), _SENT)
+        back = _delivered(back, homeward, shards_of, 0)
+        told.add(back.select((F.col("to") - F.pmod("to", F.lit(TOGETHER))).alias("home"), F.lit(level).alias("level"), "to", "data", "top").repartition(folders, "home"))
+        width = (int(told.all.filter(F.col("level") == level).agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]) * buckets).bit_length()
         bits = bits or max(1, width)
         if level < longest and width + bits > 63:
             raise ValueError("more frequent phrases than 63 bits number: raise least")
-        grown = step.of("lists").select("home", "to", "lang", "level", "lists").groupBy("home").cogroup(told.select((F.col("to") - F.pmod("to", F.lit(TOGETHER))).alias("home"), "to", "data").groupBy("home"))
-        grown = _Table(grown.applyInArrow(_extension(level, bits, buckets, outward, longest), _SHAPE), folders)
-        step.drop()
-        drop_tables(told)
-        step = grown
-        if level > 1:
-            kept = persist_table(step.of("found").select("lang", "level", "id", "phrase", "a", "l", "r", "inside").coalesce(max(1, folders // 8)), "phrases")
-            found = kept if found is None else found.union(kept)
-    step.drop()
+    found = persist_table(by_home(_told(written_out, longest, bits, buckets), _FOUND), "phrases")
+    shards.drop()
+    told.drop()
     return found, totals
 
 

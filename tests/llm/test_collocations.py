@@ -1,5 +1,7 @@
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 from random import Random
 
 import numpy as np
@@ -73,3 +75,45 @@ def test_odd_tables(spark, edge_docs, no_docs):
     assert sorted(tuple(r) for r in co.collocations(clash, least=3).collect()) == brute(rows, least=3)
     assert co.collocations(no_docs).collect() == []
     assert co.collocations(edge_docs, least=10**6).collect() == []
+
+
+def test_disk(spark, monkeypatch):
+    """Lists are stored once for all levels, and what was shuffled is gone in the end without the driver's collecting its garbage."""
+    sizes, drop = [], co.drop_tables
+
+    def measured(*tables):
+        sizes.extend(sum(f.stat().st_size for f in Path(df._shared_path.removeprefix("file:")).rglob("*.parquet")) for df in tables)
+        drop(*tables)
+
+    def shuffled():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    monkeypatch.setattr(co, "drop_tables", measured)
+    r = Random(4)
+    rows = [("en", " ".join(str(int(r.paretovariate(0.6)) % 5000) for _ in range(500))) for _ in range(400)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(4)
+    before = shuffled()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    found, _ = co.mine(docs, shard_words=50_000)
+    assert found.count() > 100
+    assert spark.conf.get(setting) == was
+    until = time.time() + 20
+    while (left := [f for f in shuffled() - before if f.stat().st_size > 10_000]) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert sum(sizes) < 2 * max(sizes)
+
+
+def test_quotients_name_phrases():
+    """Keys leave their remainder to the bucket, and come back whole."""
+    at = np.array([0, 1, 2, 3, 4, 6, 7])
+    head, positions, told = {"words": b"a b", "lengths": np.array([4, 3])}, np.array([0, 2, 4, 6, 1, 3, 7], np.int32), {"keys": np.array([0, 1]), "ids": np.array([5, 9]), "totals": np.array([4, 3]), "own": np.zeros(2, np.int8)}
+    text, lists = co.frequent_lists(head, positions, {1: told}, 4)
+    assert text.tolist() == [b"a", b"b"] and lists[1][2].tolist() == at.tolist() and lists[1][3].tolist() == [0, 1, 0, 1, 0, 0, 1]
+    keys, _ = co._joined(lists, 2, 4)
+    assert keys.tolist() == [5 << 4 | 9, 9 << 4 | 5, 5 << 4 | 9, 9 << 4 | 5, 5 << 4 | 9]
+    buckets = np.unique(keys) % 9
+    packed = co.unpack(co.pack(keys=np.array([7, 9, 2, 2, 40]), buckets=buckets))
+    assert packed["keys"].tolist() == [7, 9, 2, 2, 40] and packed["buckets"].tolist() == buckets.tolist()
