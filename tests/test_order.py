@@ -44,7 +44,7 @@ def folder(request, tmp_path_factory):
     return str(at)
 
 
-@pytest.mark.parametrize("name", ["a11_pair_evidence", "f13_tiers", "g10_simple_paths"])
+@pytest.mark.parametrize("name", ["a11_pair_evidence", "f13_tiers", "g10_simple_paths", "g3_treatments_for_condition"])
 def test_bars_meet_the_digits_of_the_tables_order(spark, folder, name):
     con = duckdb.connect(config={"threads": 1})
     for table in ("supplier", "part", "orders"):
